@@ -1 +1,3 @@
-"""Additional query registrations (filled as operators land)."""
+"""Imports every module that registers queries beyond the layer models."""
+
+from finspark.operators import primitives  # noqa: F401
