@@ -1,3 +1,4 @@
 """Imports every module that registers queries beyond the layer models."""
 
 from finspark.operators import primitives  # noqa: F401
+from finspark.operators import quality  # noqa: F401
