@@ -3,3 +3,4 @@
 from finspark.operators import primitives  # noqa: F401
 from finspark.operators import quality  # noqa: F401
 from finspark.operators import compliance, insight  # noqa: F401
+from finspark.operators import docmetrics, triage  # noqa: F401
