@@ -5,3 +5,4 @@ from finspark.operators import quality  # noqa: F401
 from finspark.operators import compliance, insight  # noqa: F401
 from finspark.operators import docmetrics, triage  # noqa: F401
 from finspark.operators import retrieval  # noqa: F401
+from finspark.operators import ingest  # noqa: F401
