@@ -142,10 +142,11 @@ def doc_customer_metrics(spark, sf_dir):
     return for_output(customer_flags(_p(spark, sf_dir)))
 
 
-FINAL_STATUS = (F.when((F.col("final_payment_status") == "success") & (F.col("refunded_amount") > 0), "refunded")
-                .when(F.col("final_payment_status") == "success", "paid")
-                .when(F.col("final_payment_status") == "failed", "failed")
-                .otherwise("pending"))
+def final_status() -> F.Column:
+    return (F.when((F.col("final_payment_status") == "success") & (F.col("refunded_amount") > 0), "refunded")
+            .when(F.col("final_payment_status") == "success", "paid")
+            .when(F.col("final_payment_status") == "failed", "failed")
+            .otherwise("pending"))
 
 
 @query("doc_final_status")
@@ -153,7 +154,7 @@ def doc_final_status(spark, sf_dir):
     p = _p(spark, sf_dir)
     f = p.ref("gold_transaction_facts").select("transaction_id", "refunded_amount")
     pay = p.ref("silver_payments").select("transaction_id", "final_payment_status")
-    return f.join(pay, "transaction_id", "left").select("transaction_id", FINAL_STATUS.alias("final_status"))
+    return f.join(pay, "transaction_id", "left").select("transaction_id", final_status().alias("final_status"))
 
 
 @query("doc_paying_customers")
