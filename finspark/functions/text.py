@@ -16,9 +16,14 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# The same whitespace set as literal characters, for trim(BOTH ... FROM ...).
+WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
+                    + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def py_strip(x: Column | str) -> Column:
     """``str.strip()``: drop leading / trailing whitespace (Python's set)."""
-    return F.regexp_replace(_c(x), f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+\\z", "")
+    return F.trim(_c(x), F.lit(WHITESPACE_CHARS))
 
 
 def split_lines(x: Column | str) -> Column:

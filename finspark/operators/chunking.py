@@ -43,11 +43,13 @@ def section_name(line: Column) -> Column:
     return F.when(name == "", F.lit("root")).otherwise(name)
 
 
-def chunk_spans(lines: Column, target: int = CHUNK_TARGET_CHARS, overlap: int = CHUNK_OVERLAP_CHARS,
-                header_ratio: float = 0.6) -> Column:
-    """Array of (start_line, end_line, section) buffer flushes, in order."""
+def chunk_spans(lines: Column, lens: Column, target: int = CHUNK_TARGET_CHARS,
+                overlap: int = CHUNK_OVERLAP_CHARS, header_ratio: float = 0.6) -> Column:
+    """Array of (start_line, end_line, section) buffer flushes, in order.
+
+    ``lens`` must be a column holding ``length(line) + 1`` per line (not an
+    expression: it is read once per step inside the fold)."""
     n = F.size(lines)
-    lens = F.transform(lines, lambda x: F.length(x) + 1)
     header_min = int(target * header_ratio)
     init = F.struct(F.lit(1).alias("bs"), F.lit(0).alias("cl"), F.lit("root").alias("sec"),
                     F.array().cast(SPAN_TYPE).alias("out"))
@@ -100,6 +102,7 @@ def chunk_documents(docs: DataFrame, text_col: str = "text", source_col: str = "
     section, start_line, end_line, chunk_index, ...keep)."""
     with_lines = docs.select(*keep, F.col(source_col).alias("source_file"),
                              split_lines(F.col(text_col)).alias("lines"))
+    with_lines = with_lines.withColumn("lens", F.transform("lines", lambda x: F.length(x) + 1))
     lines = F.col("lines")
 
     def materialize(sp: Column) -> Column:
@@ -107,7 +110,8 @@ def chunk_documents(docs: DataFrame, text_col: str = "text", source_col: str = "
         return F.struct(py_strip(body).alias("text"), sp["sec"].alias("section"),
                         sp["s"].alias("start_line"), sp["e"].alias("end_line"))
 
-    texts = F.filter(F.transform(chunk_spans(lines, target, overlap), materialize), lambda c: c["text"] != "")
+    texts = F.filter(F.transform(chunk_spans(lines, F.col("lens"), target, overlap), materialize),
+                     lambda c: c["text"] != "")
     exploded = with_lines.select(*keep, "source_file", F.posexplode(texts).alias("chunk_index", "c"))
     return exploded.where(F.length(F.col("c.text")) >= min_chars).select(
         F.concat_ws(":", "source_file", F.col("chunk_index").cast("string")).alias("chunk_id"),

@@ -92,8 +92,19 @@ def read_markdown_corpus(spark: SparkSession, root: str) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text"))
 
 
+def chunk_key(doc_id: Column, chunk_index: Column) -> Column:
+    """Numeric chunk key ordered like (doc_id, chunk_index)."""
+    return F.shiftleft(doc_id.cast("bigint"), 20) + chunk_index.cast("bigint")
+
+
+def kb_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks with their document id and numeric key ``ck``."""
+    c = chunk_documents(kb_corpus(spark, sf_dir), keep=("doc_id",))
+    return c.withColumn("ck", chunk_key(F.col("doc_id"), F.col("chunk_index")))
+
+
 def kb_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_documents(kb_corpus(spark, sf_dir)).select(*CHUNK_SCHEMA.fieldNames())
+    return kb_chunk_table(spark, sf_dir).select(*CHUNK_SCHEMA.fieldNames())
 
 
 # --------------------------------------------------------------- embedding
@@ -120,12 +131,20 @@ def weigh(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
     return w.select(id_col, "bucket", (F.col("w") / norm).alias("weight"))
 
 
-def build_index(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Returns (chunk term weights, idf table)."""
-    counts = term_counts(chunks, "chunk_id")
+def build_index(chunks: DataFrame, counts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Returns (chunk term weights (ck, bucket, weight), idf table)."""
+    counts = term_counts(chunks, "ck") if counts is None else counts
     n = chunks.select(F.count(F.lit(1))).scalar()
-    idf = idf_table(counts, n, "chunk_id")
-    return weigh(counts, idf, "chunk_id"), idf
+    idf = idf_table(counts, n, "ck")
+    return weigh(counts, idf, "ck"), idf
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a small input over the cluster's cores.  Only when the scan
+    produced fewer partitions than there are cores (small test inputs); a
+    large input already has one task per file split and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def embed_queries(queries: DataFrame, idf: DataFrame) -> DataFrame:
@@ -148,15 +167,40 @@ def search(index: DataFrame, query_terms: DataFrame, search_k: int, term_bound:
     q = query_terms.select("query_id", "bucket", F.col("weight").alias("qw"))
     q = broadcast_if_small(q) if term_bound is None else broadcast_if_bounded(q, term_bound)
     scored = (index.join(q, "bucket")
-              .groupBy("query_id", "chunk_id").agg(F.sum(F.col("weight") * F.col("qw")).alias("raw")))
-    scored = scored.select("query_id", "chunk_id", F.round("raw", SCORE_DP).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("chunk_id").asc())
+              .groupBy("query_id", "ck").agg(F.sum(F.col("weight") * F.col("qw")).alias("raw")))
+    scored = scored.select("query_id", "ck", F.round("raw", SCORE_DP).alias("score"))
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("ck").asc())
     return scored.withColumn("search_rank", F.row_number().over(w)).where(F.col("search_rank") <= search_k)
 
 
+_BUILT: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
+def build_kb(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The knowledge base of ``sf_dir``, built once per Spark application
+    (like an index built offline and queried many times); ``rebuild``
+    forces a fresh build."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if rebuild or key not in _BUILT:
+        _BUILT[key] = _build_kb(spark, sf_dir)
+    return _BUILT[key]
+
+
+def _build_kb(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chunks, term index and idf, each computed once: the chunk table and
+    the term counts are checkpointed (written to the shared checkpoint
+    folder), cutting the lineage the later joins would otherwise re-run."""
+    ensure_checkpoint_dir(spark)
+    corpus = ensure_parallelism(kb_corpus(spark, sf_dir))
+    chunks = chunk_documents(corpus, keep=("doc_id",)).withColumn(
+        "ck", chunk_key(F.col("doc_id"), F.col("chunk_index"))).checkpoint(eager=True)
+    counts = term_counts(chunks, "ck").checkpoint(eager=True)
+    index, idf = build_index(chunks, counts)
+    return chunks, index, idf
+
+
 def retrieval_inputs(spark: SparkSession, sf_dir: str):
-    chunks = kb_chunks(spark, sf_dir)
-    index, idf = build_index(chunks)
+    chunks, index, idf = build_kb(spark, sf_dir)
     queries = kb_queries(spark, sf_dir)
     return chunks, index, idf, queries
 
@@ -170,7 +214,7 @@ def candidates(spark: SparkSession, sf_dir: str, top_k: int = RETRIEVE_TOP_K) ->
     search_k = max(top_k * 6, 30)
     hits = search(index, embed_queries(queries, idf), search_k, term_bound)
     hits = broadcast_if_bounded(hits, n_queries * search_k)
-    return (chunks.join(hits, "chunk_id").join(broadcast_if_bounded(queries, n_queries), "query_id")
+    return (chunks.join(hits, "ck").join(broadcast_if_bounded(queries, n_queries), "query_id")
             .withColumn("text_lower", F.lower("text")).withColumn("query_lower", F.lower("query_text")))
 
 
@@ -296,18 +340,18 @@ def kb_chunks_roundtrip_q(spark, sf_dir):
 
 @query("kb_embed")
 def kb_embed_q(spark, sf_dir):
-    index, _ = build_index(kb_chunks(spark, sf_dir))
-    return index.select("chunk_id", "bucket", F.round("weight", 6).alias("weight"))
+    chunks, index, _ = build_kb(spark, sf_dir)
+    return index.join(chunks.select("ck", "chunk_id"), "ck").select(
+        "chunk_id", "bucket", F.round("weight", 6).alias("weight"))
 
 
 @query("kb_index")
 def kb_index_q(spark, sf_dir):
     """Persisted index: chunk rows with their sparse vector (bucket/weight
     arrays), written as parquet and read back."""
-    chunks = kb_chunks(spark, sf_dir)
-    index, _ = build_index(chunks)
-    vec = index.groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("bucket", "weight"))).alias("v"))
-    out = chunks.join(vec, "chunk_id").select(
+    chunks, index, _ = build_kb(spark, sf_dir, rebuild=True)
+    vec = index.groupBy("ck").agg(F.sort_array(F.collect_list(F.struct("bucket", "weight"))).alias("v"))
+    out = chunks.join(vec, "ck").select(
         "chunk_id", "source_file", "section", "start_line", "end_line",
         F.transform("v", lambda x: x["bucket"]).alias("buckets"),
         F.transform("v", lambda x: F.round(x["weight"], 6)).alias("weights"))
@@ -329,7 +373,8 @@ def vector_topk_q(spark, sf_dir):
 def kb_search_q(spark, sf_dir):
     chunks, index, idf, queries = retrieval_inputs(spark, sf_dir)
     _, term_bound = query_bounds(queries)
-    return search(index, embed_queries(queries, idf), max(RETRIEVE_TOP_K * 6, 30), term_bound)
+    hits = search(index, embed_queries(queries, idf), max(RETRIEVE_TOP_K * 6, 30), term_bound)
+    return hits.join(chunks.select("ck", "chunk_id"), "ck").select("query_id", "chunk_id", "score", "search_rank")
 
 
 @query("kb_gate")

@@ -27,10 +27,10 @@ SPAN = "struct(s integer, e integer, sec varchar)"
 CHUNKS = f"""
 with recursive corpus as ({CORPUS}),
 docs as (
-  select source_file, lines, len(lines) as n, list_transform(lines, lambda x: length(x) + 1) as lens
-  from (select source_file,
+  select doc_id, source_file, lines, len(lines) as n, list_transform(lines, lambda x: length(x) + 1) as lens
+  from (select doc_id, source_file,
           case when parts[len(parts)] = '' then parts[1:len(parts) - 1] else parts end as lines
-        from (select source_file, regexp_split_to_array(text, '{BREAK}') as parts from corpus) p) q
+        from (select doc_id, source_file, regexp_split_to_array(text, '{BREAK}') as parts from corpus) p) q
 ),
 fold(source_file, i, bs, cl, sec, out) as (
   select source_file, 0, 1, 0, 'root', cast([] as {SPAN}[]) from docs
@@ -62,22 +62,24 @@ fold(source_file, i, bs, cl, sec, out) as (
   ) s2
 ),
 spans as (
-  select f.source_file, d.lines,
+  select f.source_file, d.doc_id, d.lines,
     case when f.bs <= d.n then list_append(f.out, {{'s': f.bs, 'e': d.n, 'sec': f.sec}}::{SPAN}) else f.out end
       as spans
   from fold f join docs d on f.source_file = d.source_file and f.i = d.n
 ),
 texts as (
-  select source_file, ord, sp.s as start_line, sp.e as end_line, sp.sec as section,
+  select source_file, doc_id, ord, sp.s as start_line, sp.e as end_line, sp.sec as section,
     {strip("array_to_string(lines[sp.s:sp.e], chr(10))")} as text
-  from (select source_file, lines, unnest(spans) as sp, unnest(range(1, len(spans) + 1)) as ord from spans) u
+  from (select source_file, doc_id, lines, unnest(spans) as sp, unnest(range(1, len(spans) + 1)) as ord
+        from spans) u
 ),
 indexed as (
   select *, row_number() over (partition by source_file order by ord) - 1 as chunk_index
   from texts where text <> ''
 )
 select source_file || ':' || cast(chunk_index as varchar) as chunk_id, text, source_file, section,
-  cast(start_line as integer) as start_line, cast(end_line as integer) as end_line
+  cast(start_line as integer) as start_line, cast(end_line as integer) as end_line,
+  doc_id, chunk_index
 from indexed where length(text) >= 80"""
 
 
@@ -114,9 +116,11 @@ query_w as (
 search as (
   select * from (
     select query_id, chunk_id, score,
-      row_number() over (partition by query_id order by score desc, chunk_id asc) as search_rank
-    from (select q.query_id, c.chunk_id, round(sum(c.weight * q.weight), 5) as score
-          from chunk_w c join query_w q on c.bucket = q.bucket group by 1, 2) s
+      row_number() over (partition by query_id order by score desc, doc_id asc, chunk_index asc) as search_rank
+    from (select q.query_id, c.chunk_id, any_value(k.doc_id) as doc_id, any_value(k.chunk_index) as chunk_index,
+            round(sum(c.weight * q.weight), 5) as score
+          from chunk_w c join query_w q on c.bucket = q.bucket join kb_chunks k on c.chunk_id = k.chunk_id
+          group by 1, 2) s
   ) r where search_rank <= 48
 ),
 cand as (
@@ -165,8 +169,9 @@ def kb(final: str) -> str:
 
 
 Q["kb_documents"] = CORPUS
-Q["kb_chunks"] = CHUNKS
-Q["kb_chunks_roundtrip"] = CHUNKS
+CHUNK_COLS = "chunk_id, text, source_file, section, start_line, end_line"
+Q["kb_chunks"] = f"select {CHUNK_COLS} from ({CHUNKS}) c"
+Q["kb_chunks_roundtrip"] = Q["kb_chunks"]
 Q["kb_embed"] = kb("select chunk_id, bucket, round(weight, 6) as weight from chunk_w")
 Q["kb_search"] = kb("select query_id, chunk_id, score, search_rank from search")
 Q["kb_gate"] = kb("select query_id, chunk_id, score, search_rank from gated")
