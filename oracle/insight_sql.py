@@ -58,3 +58,35 @@ Q["pii_scan_documents"] = f"""
 select doc_id, cast(len(regexp_extract_all(text, '{EMAIL_PATTERN}', 0)) as bigint) as email_matches,
   cast(len(regexp_extract_all(text, '{PHONE_PATTERN}', 1)) as bigint) as phone_matches
 from documents"""
+
+# Value-pattern scan: per table, the string columns that are not ids (model
+# schemas), the first 200 rows in column order, patterns matched per row.
+SAMPLED = [
+    ("bronze.bronze_accounts", "bronze_accounts", ["account_type", "status"]),
+    ("bronze.bronze_transactions", "bronze_transactions", ["currency", "merchant_name", "status", "card_last_four"]),
+    ("bronze.bronze_payments", "bronze_payments", ["payment_method", "status"]),
+    ("bronze.bronze_subscriptions", "bronze_subscriptions", ["plan_name", "status"]),
+    ("bronze.bronze_refunds", "bronze_refunds", ["refund_reason"]),
+    ("silver.silver_customers", "silver_customers", ["full_name_hash", "email_hash", "phone_hash", "address_hash"]),
+    ("silver.silver_accounts", "silver_accounts", ["account_type", "normalized_status"]),
+    ("silver.silver_transactions", "silver_transactions",
+     ["currency", "merchant_name", "status", "card_last_four_hash"]),
+    ("silver.silver_payments", "silver_payments", ["payment_method", "final_payment_status"]),
+    ("silver.silver_subscriptions", "silver_subscriptions", ["plan_name", "status"]),
+    ("silver.silver_refunds", "silver_refunds", ["refund_reason"]),
+    ("platinum.platinum_anomalies_daily", "platinum_anomalies_daily", ["metric_name", "reason"]),
+]
+
+
+def _value_scan(obj: str, key: str, cols: list[str]) -> str:
+    order = ", ".join(f"{c} asc nulls last" for c in cols)
+    return f"""
+select '{obj}' as object,
+  coalesce(bool_or(regexp_matches(concat_ws(' ', {', '.join(cols)}), '{EMAIL_PATTERN}')), false) as email_detected,
+  coalesce(bool_or(regexp_matches(concat_ws(' ', {', '.join(cols)}), '{PHONE_PATTERN}')), false) as phone_detected,
+  '{','.join(cols)}' as sampled_columns
+from (select {', '.join(cols)} from ({Q[key]}) t order by {order} limit 200) s"""
+
+
+Q["pii_scan_values"] = ("select *, email_detected or phone_detected as finding from ("
+                        + " union all ".join(_value_scan(o, k, c) for o, k, c in SAMPLED) + ") x")

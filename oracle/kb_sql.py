@@ -211,3 +211,9 @@ select * from (
           round(list_dot_product(qn.qvec, cast(e.embedding as double[])), 5) as score
         from qn, embeddings e) s
 ) r where rank <= 48"""
+
+Q["kb_index"] = kb("""
+select k.chunk_id, k.source_file, k.section, k.start_line, k.end_line, w.terms, w.norm_sq
+from kb_chunks k join (
+  select chunk_id, count(*) as terms, round(sum(round(weight, 6) * round(weight, 6)), 4) as norm_sq
+  from chunk_w group by chunk_id) w on k.chunk_id = w.chunk_id""")
