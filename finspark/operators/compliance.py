@@ -44,8 +44,17 @@ def catalog_columns(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> Data
     return spark.createDataFrame(rows, schema)
 
 
+def schema_columns(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> DataFrame:
+    """Same rows as :func:`catalog_columns`, read from the model schemas
+    (metadata only, no catalog round trips)."""
+    rows = [(layer, m, f.name, f.dataType.simpleString(), i)
+            for layer in layers for m in LAYER_MODELS[layer] for i, f in enumerate(p.ref(m).schema.fields)]
+    schema = "layer string, table_name string, column_name string, data_type string, ordinal int"
+    return spark.createDataFrame(rows, schema)
+
+
 def pii_column_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> DataFrame:
-    cols = catalog_columns(spark, p, layers)
+    cols = schema_columns(spark, p, layers)
     hits = cols.where(F.lower("column_name").isin(*PII_COLUMN_HINTS))
     return (hits.groupBy("layer", "table_name")
             .agg(F.array_join(F.sort_array(F.collect_list("column_name")), ",").alias("evidence"))

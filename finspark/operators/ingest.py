@@ -131,3 +131,11 @@ def stream_bronze_ingest_q(spark, sf_dir):
     from finspark.streaming.ingest import stream_bronze_demo
     raw = Pipeline(spark, sf_dir).raw("transactions")
     return for_output(stream_bronze_demo(spark, raw, "transactions", scratch_dir(spark, "stream-bronze")))
+
+
+@query("stream_event_counts")
+def stream_event_counts_q(spark, sf_dir):
+    from finspark.sources.tables import read_table
+    from finspark.streaming.ingest import stream_event_counts
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    return stream_event_counts(spark, ev, scratch_dir(spark, "stream-events"))

@@ -57,8 +57,9 @@ def stream_bronze(spark: SparkSession, landing_dir: str, table: str, entity: str
 
 def watermarked_daily_counts(events: DataFrame, delay: str = "2 days") -> DataFrame:
     """Late-data-aware daily event counts for a streaming events source:
-    a watermark on the event time bounds the state kept per window."""
-    return (events.withWatermark("ts", delay)
+    a watermark on the event time bounds the state kept per window.
+    Watermarks need a TIMESTAMP (session time zone, UTC here) event time."""
+    return (events.withColumn("ts", F.col("ts").cast("timestamp_ltz")).withWatermark("ts", delay)
             .groupBy(F.window("ts", "1 day").alias("w"), "event_type")
             .agg(F.count(F.lit(1)).alias("events"))
             .select(F.col("w.start").alias("window_start"), "event_type", "events"))
@@ -78,3 +79,24 @@ def stream_bronze_demo(spark: SparkSession, raw: DataFrame, entity: str, root: s
     write_entity_csv(raw.where(~first), f"{landing}/drop=2")
     stream_bronze(spark, f"{landing}/*", table, entity, ckpt)
     return read_latest(spark, table)
+
+
+def stream_event_counts(spark: SparkSession, events: DataFrame, root: str, delay: str = "2 days") -> DataFrame:
+    """Events landed as files, counted per day and type by a watermarked
+    streaming aggregation in update mode.  Each micro-batch appends its
+    updated windows (tagged with the batch id) to a parquet sink; the
+    latest row per window is the current count."""
+    landing, sink, ckpt = f"{root}/landing", f"{root}/counts", f"{root}/_checkpoint"
+    events.write.mode("overwrite").parquet(landing)
+    src = spark.readStream.schema(events.schema).parquet(landing)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+
+    q = (watermarked_daily_counts(src, delay).writeStream.outputMode("update").foreachBatch(append)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(sink)
+    latest = out.groupBy("window_start", "event_type").agg(
+        F.max_by("events", "batch_id").alias("events"))
+    return latest.select(F.to_date("window_start").alias("day"), "event_type", "events")

@@ -26,3 +26,7 @@ select {TX} from (
     "drop1": "select * from raw_transactions where ingestion_date < DATE '1998-01-01'",
     "drop2": "select * from raw_transactions where ingestion_date >= DATE '1998-01-01'",
 })
+
+Q["stream_event_counts"] = """
+select cast(date_trunc('day', ts) as date) as day, event_type, count(*) as events
+from events group by 1, 2"""
