@@ -32,18 +32,26 @@ def _load_models() -> None:
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, config: PipelineConfig | None = None,
-                 overrides: dict[str, DataFrame] | None = None):
+                 overrides: dict[str, DataFrame] | None = None, checkpoint: tuple[str, ...] = ()):
+        """``checkpoint`` names models (or layer prefixes such as ``"silver_"``)
+        to materialise in the shared checkpoint folder the first time they are
+        referenced, so runs that build many models on top of them read them
+        once instead of re-deriving them in every branch."""
         _load_models()
         self.spark = spark
         self.sf_dir = sf_dir
         self.config = config or PipelineConfig()
         self._memo: dict[str, DataFrame] = dict(overrides or {})
+        self._checkpoint = tuple(checkpoint)
 
     def ref(self, name: str) -> DataFrame:
         if name not in self._memo:
             if name not in MODELS:
                 raise KeyError(f"unknown model {name!r}")
-            self._memo[name] = MODELS[name](self)
+            df = MODELS[name](self)
+            if any(name == c or (c.endswith("_") and name.startswith(c)) for c in self._checkpoint):
+                df = df.checkpoint(eager=True)
+            self._memo[name] = df
         return self._memo[name]
 
     def raw(self, entity: str) -> DataFrame:
