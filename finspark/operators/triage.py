@@ -55,19 +55,39 @@ def triage_duplicate_refunds(spark, sf_dir):
 
 @query("triage_payment_retries")
 def triage_payment_retries(spark, sf_dir):
-    """Status distribution per attempt number plus retry-sequencing faults:
-    attempt-number gaps and attempts timed before the previous attempt."""
+    """Status distribution per attempt number plus retry-sequencing faults.
+
+    * gap rows: an attempt whose number is neither the transaction's first
+      nor one more than an existing attempt, plus every repeat of an
+      attempt number already seen;
+    * out-of-order rows: an attempt timed before the latest attempt k - 1.
+
+    Written without a per-transaction window: attempts are aggregated per
+    (transaction, attempt number) first (copies collapse map-side) and
+    compared with attempt k - 1 through a 1:1 join, so a transaction holding
+    a large share of all attempts is spread over its attempt numbers.
+    """
     b = _p(spark, sf_dir).ref("bronze_payments")
-    w = Window.partitionBy("transaction_id").orderBy("attempt_number", "payment_id")
-    x = b.select("attempt_number", "status",
-                 (F.col("attempt_number") - F.lag("attempt_number").over(w)).alias("step"),
-                 (F.col("attempted_at") < F.lag("attempted_at").over(w)).alias("out_of_order"))
-    return x.groupBy("attempt_number").agg(
+    per_attempt = b.groupBy("transaction_id", "attempt_number").agg(
+        F.count(F.lit(1)).alias("copies"), F.max("attempted_at").alias("latest_at"))
+    first = b.groupBy("transaction_id").agg(F.min("attempt_number").alias("first_attempt"))
+    prev = per_attempt.select("transaction_id", (F.col("attempt_number") + 1).alias("attempt_number"),
+                              F.col("latest_at").alias("prev_latest_at"))
+    flags = (per_attempt.join(first, "transaction_id").join(prev, ["transaction_id", "attempt_number"], "left")
+             .select("transaction_id", "attempt_number", "prev_latest_at",
+                     ((F.col("copies") - 1) + F.when((F.col("attempt_number") > F.col("first_attempt"))
+                                                     & F.col("prev_latest_at").isNull(), F.col("copies"))
+                      .otherwise(0)).alias("gap_rows")))
+    rows = b.select("transaction_id", "attempt_number", "status", "attempted_at").join(
+        flags, ["transaction_id", "attempt_number"])
+    per_k = rows.groupBy("attempt_number").agg(
         F.count(F.lit(1)).alias("attempts"),
         F.count_if(F.col("status") == "success").alias("successes"),
         F.count_if(F.col("status") != "success").alias("failures"),
-        F.count_if(F.col("step") != 1).alias("gap_rows"),
-        F.count_if(F.col("out_of_order")).alias("out_of_order_rows"))
+        F.count_if(F.col("attempted_at") < F.col("prev_latest_at")).alias("out_of_order_rows"))
+    gaps = flags.groupBy("attempt_number").agg(F.sum("gap_rows").cast("bigint").alias("gap_rows"))
+    return per_k.join(gaps, "attempt_number").select(
+        "attempt_number", "attempts", "successes", "failures", "gap_rows", "out_of_order_rows")
 
 
 @query("triage_churn_distribution")

@@ -173,10 +173,11 @@ select attempt_number, count(*) as attempts,
   count(*) filter (where status = 'success') as successes,
   count(*) filter (where status != 'success') as failures,
   count(*) filter (where step != 1) as gap_rows,
-  count(*) filter (where out_of_order) as out_of_order_rows
-from (select attempt_number, status,
-        attempt_number - lag(attempt_number) over w as step,
-        attempted_at < lag(attempted_at) over w as out_of_order
+  count(*) filter (where attempted_at < (select max(p2.attempted_at) from raw_payments p2
+                                        where p2.transaction_id = x.transaction_id
+                                          and p2.attempt_number = x.attempt_number - 1)) as out_of_order_rows
+from (select transaction_id, attempt_number, status, attempted_at,
+        attempt_number - lag(attempt_number) over w as step
       from raw_payments window w as (partition by transaction_id order by attempt_number, payment_id)) x
 group by attempt_number""")
 

@@ -156,3 +156,33 @@ def test_insight_headline_and_refund_driver(spark):
     r = finance_insight(p).first()
     assert r["headline"] == "Net revenue up 80.0% versus prior day"
     assert r["status"] == "warn" and r["drivers"] == "Refund pressure: Refund rate 10.00% is elevated"
+
+
+def test_payment_retry_faults_match_row_order_definition(spark):
+    """Gaps / repeats / out-of-order attempts, against a brute-force scan of
+    each transaction's attempts in (attempt_number, payment_id) order."""
+    from finspark.operators import triage
+    attempts = [pay("p1", "t1", "failed", 1, T(2024, 1, 1, 9)), pay("p2", "t1", "failed", 3, T(2024, 1, 1, 8)),
+                pay("p3", "t1", "success", 4, T(2024, 1, 1, 7)), pay("p4", "t2", "failed", 1, T(2024, 1, 1, 9)),
+                pay("p5", "t2", "failed", 1, T(2024, 1, 1, 10)), pay("p6", "t2", "success", 2, T(2024, 1, 1, 9, 30)),
+                pay("p7", "t3", "success", 2, T(2024, 1, 1, 9))]
+    p = pipeline(spark, payments=attempts)
+    from unittest import mock
+    with mock.patch.object(triage, "_p", lambda s, d: p):
+        got = {r["attempt_number"]: (r["attempts"], r["gap_rows"], r["out_of_order_rows"])
+               for r in triage.triage_payment_retries(spark, "unused").collect()}
+    exp: dict[int, list[int]] = {}
+    by_txn: dict[str, list] = {}
+    for a in attempts:
+        by_txn.setdefault(a[1], []).append(a)
+    for rows_ in by_txn.values():
+        rows_.sort(key=lambda a: (a[4], a[0]))
+        for i, a in enumerate(rows_):
+            e = exp.setdefault(a[4], [0, 0, 0])
+            e[0] += 1
+            if i > 0 and a[4] - rows_[i - 1][4] != 1:
+                e[1] += 1
+            prev = [b[5] for b in rows_ if b[4] == a[4] - 1]
+            if prev and a[5] < max(prev):
+                e[2] += 1
+    assert got == {k: tuple(v) for k, v in exp.items()}
