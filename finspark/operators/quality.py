@@ -215,11 +215,16 @@ def accepted_values_checks(p: Pipeline, rules=ACCEPTED_VALUES) -> DataFrame:
 
 
 def referential_checks(p: Pipeline, refs=REFERENCES) -> DataFrame:
+    """Child rows whose key is missing in the parent.  Child keys are
+    counted first (map-side combine), so the anti join sees one row per
+    distinct key however many child rows share it."""
     parts = []
     for child, ck, parent, pk in refs:
         keys = p.ref(parent).select(F.col(pk).alias(ck)).distinct()
-        orphans = (p.ref(child).where(F.col(ck).isNotNull()).select(ck)
-                   .join(keys, ck, "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows")))
+        child_keys = (p.ref(child).where(F.col(ck).isNotNull())
+                      .groupBy(ck).agg(F.count(F.lit(1)).alias("n")))
+        orphans = child_keys.join(keys, ck, "left_anti").agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
         parts.append(orphans.select(F.lit(child).alias("child_table"), F.lit(ck).alias("child_column"),
                                     F.lit(parent).alias("parent_table"), "orphan_rows"))
     return union_all(parts).withColumn("status", _status(F.col("orphan_rows")))
