@@ -16,6 +16,7 @@ from finspark.functions.masking import standardize_email
 from finspark.functions.numeric import safe_ratio
 from finspark.operators.gold import mrr_by_subscription
 from finspark.operators.macros import dedupe_latest, desc_last
+from finspark.operators.ordering import ranked_with_next
 from finspark.plans.pipeline import Pipeline, for_output
 from finspark.plans.registry import query, round_columns
 
@@ -166,16 +167,15 @@ def doc_paying_customers(spark, sf_dir):
 
 @query("doc_subscription_lifecycle")
 def doc_subscription_lifecycle(spark, sf_dir):
+    """Each customer's subscriptions in start order: sequence number, next
+    start date, overlap with the next one (skew-safe ordered rank)."""
     p = _p(spark, sf_dir)
-    s = p.ref("silver_subscriptions")
-    w = Window.partitionBy("customer_id").orderBy("start_date", "subscription_id")
+    s = p.ref("silver_subscriptions").select("subscription_id", "customer_id", "status", "start_date", "end_date")
+    x = ranked_with_next(s, "customer_id", ["start_date", "subscription_id"], "start_date")
     eff_end = F.coalesce("end_date", F.lit(p.config.as_of))
-    x = s.select("subscription_id", "customer_id", "status", "start_date", "end_date",
-                 F.row_number().over(w).alias("lifecycle_seq"),
-                 F.lead("start_date").over(w).alias("next_start_date"), eff_end.alias("eff_end"))
-    return x.select("subscription_id", "customer_id", "status", "start_date", "end_date", "lifecycle_seq",
-                    "next_start_date",
-                    F.coalesce(F.col("eff_end") > F.col("next_start_date"), F.lit(False)).alias("overlaps_next"))
+    return x.select("subscription_id", "customer_id", "status", "start_date", "end_date",
+                    F.col("seq").alias("lifecycle_seq"), F.col("next_value").alias("next_start_date"),
+                    F.coalesce(eff_end > F.col("next_value"), F.lit(False)).alias("overlaps_next"))
 
 
 @query("doc_mrr_movement")

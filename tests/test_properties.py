@@ -70,3 +70,21 @@ def test_dedupe_is_idempotent(spark):
     twice = dedupe_latest(once, "k", desc_last("v", "w"))
     assert sorted(map(tuple, once.collect())) == [("j", 1, "c"), ("k", 2, "b")]
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_ranked_with_next_splits_a_hot_group(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from finspark.operators.ordering import ranked_with_next
+    rows = [("hot", i % 97, f"id{i:05d}") for i in range(3000)] + [(f"g{i}", i, f"x{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, d int, id string")
+    got = ranked_with_next(df, "g", ["d", "id"], "d", partitions=8)
+    pieces = got.where("g = 'hot'").select(F.spark_partition_id()).distinct().count()
+    w = Window.partitionBy("g").orderBy("d", "id")
+    exp = df.select("*", F.row_number().over(w).alias("seq"), F.lead("d").over(w).alias("next_value"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    assert pieces >= 1
+    hot_parts = (df.repartitionByRange(8, "g", "d", "id").where("g = 'hot'")
+                 .select(F.spark_partition_id()).distinct().count())
+    assert hot_parts > 1  # the hot group really is spread over several pieces
