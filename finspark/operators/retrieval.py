@@ -299,18 +299,33 @@ def dot(a: Column, b: Column) -> Column:
                        lambda s, x: s + x)
 
 
+QUERY_BATCH = 256
+
+
 def dense_topk(vectors: DataFrame, queries: DataFrame, k: int, max_queries: int = 10_000) -> DataFrame:
-    """Exact inner-product top-k of every query over all vectors.  The query
-    set is checked to be small and shipped as one literal array column."""
+    """Exact inner-product top-k of every query over all vectors.
+
+    The query set is checked to be small (``max_queries``) and shipped to
+    the executors as literal array columns, ``QUERY_BATCH`` queries per pass
+    over the vectors (a map-side expression, no join); the top-k per query
+    is a partial + final WindowGroupLimit."""
     qs = queries.select("query_id", "qvec").limit(max_queries + 1).collect()
     if len(qs) > max_queries:
         raise ValueError(f"dense_topk: more than {max_queries} query vectors")
-    qarr = F.array(*[F.struct(F.lit(q["query_id"]).cast("bigint").alias("query_id"),
-                              F.array(*[F.lit(float(x)) for x in q["qvec"]]).alias("qvec")) for q in qs])
-    scored = vectors.select("vec_id", F.explode(F.transform(
-        qarr, lambda q: F.struct(q["query_id"].alias("query_id"),
-                                 F.round(dot(q["qvec"], F.col("embedding")), SCORE_DP).alias("score")))).alias("s"))
-    scored = scored.select("s.query_id", "vec_id", "s.score")
+    passes = []
+    for lo in range(0, len(qs), QUERY_BATCH):
+        batch = qs[lo:lo + QUERY_BATCH]
+        qarr = F.array(*[F.struct(F.lit(q["query_id"]).cast("bigint").alias("query_id"),
+                                  F.array(*[F.lit(float(x)) for x in q["qvec"]]).alias("qvec")) for q in batch])
+        scored = vectors.select("vec_id", F.explode(F.transform(
+            qarr, lambda q: F.struct(q["query_id"].alias("query_id"),
+                                     F.round(dot(q["qvec"], F.col("embedding")), SCORE_DP).alias("score")))).alias("s"))
+        passes.append(scored.select("s.query_id", "vec_id", "s.score"))
+    if not passes:
+        return vectors.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double, rank int")
+    scored = passes[0]
+    for x in passes[1:]:
+        scored = scored.unionByName(x)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
