@@ -87,8 +87,7 @@ def kb_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_markdown_corpus(spark: SparkSession, root: str) -> DataFrame:
     """``*.md`` files under ``root`` (recursive), one row per file."""
-    df = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.md").text(root))
+    df = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text"))
 
 
