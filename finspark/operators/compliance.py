@@ -1,6 +1,7 @@
 """PII compliance scans.
 
-* Column-name scan over the catalog (metadata only).
+* Column-name scan over the model schemas; catalog listing of published views
+  (metadata only).
 * Value-pattern scan: a bounded, deterministic sample per table
   (``orderBy(...).limit(200)`` -> distributed top-k), values concatenated per
   row and matched with the e-mail / phone patterns (JVM regex), ``bool_or``.
@@ -25,14 +26,6 @@ from finspark.sources.tables import read_table
 DEFAULT_LAYERS = ("gold", "platinum")
 ALL_LAYERS = ("bronze", "silver", "gold", "platinum")
 
-FINDING_SCHEMA = T.StructType([
-    T.StructField("object", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("evidence", T.StringType()),
-    T.StructField("severity", T.StringType()),
-])
-
-
 def catalog_columns(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> DataFrame:
     """(layer, table_name, column_name, data_type, ordinal) via the catalog."""
     views = publish(p, layers)

@@ -14,7 +14,6 @@ overwritten and a replayed run rewrites the same version (idempotent).
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,11 +113,3 @@ def write_report(df: DataFrame, path: str) -> str:
     """A report DataFrame as JSON lines (one file per partition)."""
     df.write.mode("overwrite").json(path)
     return path
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))

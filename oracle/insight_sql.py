@@ -90,3 +90,33 @@ from (select {', '.join(cols)} from ({Q[key]}) t order by {order} limit 200) s""
 
 Q["pii_scan_values"] = ("select *, email_detected or phone_detected as finding from ("
                         + " union all ".join(_value_scan(o, k, c) for o, k, c in SAMPLED) + ") x")
+
+# Column-name scan over every model of the four layers (names from DESCRIBE).
+ENTITIES = ("customers", "accounts", "transactions", "payments", "subscriptions", "refunds")
+LAYER_TABLES = (
+    [("bronze", f"bronze_{e}", f"bronze_{e}") for e in ENTITIES]
+    + [("silver", f"silver_{e}", f"silver_{e}") for e in ENTITIES]
+    + [("gold", m, m) for m in ("gold_transaction_facts", "gold_daily_revenue", "gold_monthly_revenue", "gold_mrr",
+                                "gold_arr", "gold_churn", "gold_customer_metrics", "gold_refund_rate",
+                                "gold_failed_payment_rate", "gold_cohort_retention")]
+    + [("platinum", "platinum_finance_exec_scorecard_daily", "platinum_scorecard_daily"),
+       ("platinum", "platinum_finance_exec_scorecard_monthly", "platinum_scorecard_monthly"),
+       ("platinum", "platinum_anomalies_daily", "platinum_anomalies_daily")])
+
+COLUMNS = " union all ".join(
+    f"select '{layer}' as layer, '{name}' as table_name, column_name from (describe {Q[key]}) d"
+    for layer, name, key in LAYER_TABLES)
+
+Q["pii_scan_columns"] = f"""
+select layer || '.' || table_name as object, 'pii_column_name' as type,
+  string_agg(column_name, ',' order by column_name) as evidence, 'fail' as severity
+from ({COLUMNS}) c
+where lower(column_name) in ('full_name', 'name', 'email', 'phone', 'address')
+group by layer, table_name"""
+
+Q["compliance_status"] = f"""
+select case when col_findings > 0 then 'fail' when col_findings + value_findings > 0 then 'warn' else 'pass' end
+    as status,
+  cast({len(LAYER_TABLES)} as bigint) as checked_objects, col_findings + value_findings as findings
+from (select (select count(*) from ({Q['pii_scan_columns']}) a) as col_findings,
+             (select count(*) from ({Q['pii_scan_values']}) b where finding) as value_findings) x"""
