@@ -300,5 +300,5 @@ def incremental_filter_q(spark, sf_dir) -> DataFrame:
 def seed_subscription_plans(spark, sf_dir) -> DataFrame:
     s = _p(spark, sf_dir).ref("silver_subscriptions").groupBy("plan_name").agg(
         F.count(F.lit(1)).alias("subscriptions"))
-    return F.broadcast(subscription_plans(spark)).join(s, "plan_name", "left").select(
+    return subscription_plans(spark).join(s, "plan_name", "left").select(
         "plan_name", "monthly_price", F.coalesce("subscriptions", F.lit(0)).alias("subscriptions"))

@@ -140,37 +140,34 @@ from (select *, row_number() over (partition by refund_id order by
 
 GOLD_CTES = {
     "gold_transaction_facts": """
-select t.transaction_id, t.customer_id, t.account_id, t.created_at, t.amount as transaction_amount,
-  coalesce(r.total_refunded_amount, 0) as refunded_amount,
-  case when p.final_payment_status = 'success' then t.amount - coalesce(r.total_refunded_amount, 0) else 0 end
+select tx.transaction_id, tx.customer_id, tx.account_id, tx.created_at, tx.amount as transaction_amount,
+  coalesce(rf.refund_total, 0) as refunded_amount,
+  if(coalesce(fp.final_payment_status = 'success', false), tx.amount - coalesce(rf.refund_total, 0), 0)
     as net_amount,
-  case when p.final_payment_status = 'success' then true else false end as is_paid
-from silver_transactions t
-left join (select transaction_id, final_payment_status from silver_payments) p on t.transaction_id = p.transaction_id
-left join (select transaction_id, sum(amount) as total_refunded_amount from silver_refunds group by transaction_id) r
-  on t.transaction_id = r.transaction_id""",
+  coalesce(fp.final_payment_status = 'success', false) as is_paid
+from silver_transactions tx
+left join silver_payments fp using (transaction_id)
+left join (select transaction_id, sum(amount) as refund_total from silver_refunds group by all) rf
+  using (transaction_id)""",
     "gold_daily_revenue": """
 select cast(created_at as date) as revenue_date,
   sum(transaction_amount) as gross_transaction_amount, sum(refunded_amount) as total_refunded_amount,
   sum(net_amount) as net_revenue,
-  count(case when is_paid = true then 1 end) as paid_transaction_count,
-  count(case when is_paid = false then 1 end) as unpaid_transaction_count
-from gold_transaction_facts group by 1""",
+  cast(sum(case when is_paid then 1 else 0 end) as bigint) as paid_transaction_count,
+  cast(sum(case when not is_paid then 1 else 0 end) as bigint) as unpaid_transaction_count
+from gold_transaction_facts group by all""",
     "scorecard_daily_base": """
-select r.date, r.gross_revenue,
-  r.gross_revenue - coalesce(d.refunded_amount, 0) as net_revenue,
-  coalesce(d.refunded_amount, 0) as refunded_amount,
-  case when r.gross_revenue = 0 then null else coalesce(d.refunded_amount, 0) * 1.0 / r.gross_revenue end
-    as refund_rate,
-  case when p.attempt_count = 0 then null else p.failed_count * 1.0 / p.attempt_count end as failed_payment_rate
-from (select cast(created_at as date) as date, sum(amount) as gross_revenue from silver_transactions
-      where status = 'success' group by 1) r
-left join (select cast(refunded_at as date) as date, sum(amount) as refunded_amount from silver_refunds group by 1) d
-  on r.date = d.date
-left join (select cast(attempted_at as date) as date, count(*) as attempt_count,
-             count(*) filter (where final_payment_status != 'success') as failed_count
-           from silver_payments group by 1) p
-  on r.date = p.date""",
+select rev.d as date, rev.gross as gross_revenue,
+  rev.gross - coalesce(rfd.refunded, 0) as net_revenue,
+  coalesce(rfd.refunded, 0) as refunded_amount,
+  if(rev.gross = 0, null, cast(coalesce(rfd.refunded, 0) as double) / cast(rev.gross as double)) as refund_rate,
+  if(pst.n_att = 0, null, cast(pst.n_fail as double) / pst.n_att) as failed_payment_rate
+from (select cast(created_at as date) as d, sum(amount) as gross from silver_transactions
+      where status = 'success' group by all) rev
+left join (select refunded_at as d, sum(amount) as refunded from silver_refunds group by all) rfd on rfd.d = rev.d
+left join (select cast(attempted_at as date) as d, count(*) as n_att,
+             sum(case when final_payment_status <> 'success' then 1 else 0 end) as n_fail
+           from silver_payments group by all) pst on pst.d = rev.d""",
 }
 
 BASE_CTES = {**FIXTURE_CTES, **SILVER_CTES, **GOLD_CTES}
@@ -232,98 +229,84 @@ select revenue_date, cast(gross_transaction_amount as double) as gross_transacti
 from gold_daily_revenue""")
 
 Q["gold_monthly_revenue"] = with_base("""
-select month, cast(gross_revenue as double) as gross_revenue, cast(net_revenue as double) as net_revenue,
-  cast(refund_amount as double) as refund_amount
-from (
-  select t.month, sum(t.amount) as gross_revenue, coalesce(sum(r.refund_amount), 0) as refund_amount,
-    sum(t.amount) - coalesce(sum(r.refund_amount), 0) as net_revenue
-  from (select transaction_id, cast(date_trunc('month', created_at) as date) as month, amount
-        from silver_transactions where status = 'success') t
-  left join (select transaction_id, amount as refund_amount from silver_refunds) r
-    on t.transaction_id = r.transaction_id
-  group by 1
-) m""")
+select month, cast(sum(amt) as double) as gross_revenue,
+  cast(sum(amt) - coalesce(sum(ramt), 0) as double) as net_revenue,
+  cast(coalesce(sum(ramt), 0) as double) as refund_amount
+from (select cast(date_trunc('month', s.created_at) as date) as month, s.amount as amt, x.amount as ramt
+      from silver_transactions s left join silver_refunds x on x.transaction_id = s.transaction_id
+      where s.status = 'success') j
+group by month""")
 
 MRR_EXPANDED = f"""
-select s.subscription_id, s.customer_id, s.plan_name, p.monthly_price,
-  cast(date_trunc('month', gs.revenue_date) as date) as revenue_month, s.status
-from (select subscription_id, customer_id, plan_name, status, start_date,
-        coalesce(end_date, {AS_OF}) as effective_end_date from silver_subscriptions) s
-join (select * from (values ('basic', 29), ('pro', 79), ('enterprise', 199)) v(plan_name, monthly_price)) p
-  on s.plan_name = p.plan_name
-cross join generate_series(cast(s.start_date as timestamp), cast(s.effective_end_date as timestamp),
-  interval '1 month') as gs(revenue_date)"""
+select subscription_id, customer_id, plan_name, monthly_price, status,
+  cast(date_trunc('month', ts) as date) as revenue_month
+from (
+  select sub.subscription_id, sub.customer_id, sub.plan_name, pl.monthly_price, sub.status,
+    unnest(generate_series(cast(sub.start_date as timestamp),
+                           cast(coalesce(sub.end_date, {AS_OF}) as timestamp), interval '1 month')) as ts
+  from silver_subscriptions sub
+  join (values ('basic', 29), ('pro', 79), ('enterprise', 199)) pl(plan_name, monthly_price)
+    on pl.plan_name = sub.plan_name
+) e"""
 
 Q["gold_mrr"] = with_base("""
 select revenue_month, cast(sum(monthly_price) as bigint) as mrr, count(distinct customer_id) as active_customers
-from mrr_expanded where status = 'active' group by revenue_month""", {"mrr_expanded": MRR_EXPANDED})
+from mrr_expanded where status = 'active' group by all""", {"mrr_expanded": MRR_EXPANDED})
 
 Q["gold_arr"] = with_base("""
-select month, cast(sum(monthly_price) * 12 as bigint) as arr
-from (select subscription_id, cast(date_trunc('month', start_date) as date) as month,
-        case when plan_name = 'basic' then 10 when plan_name = 'pro' then 30 when plan_name = 'enterprise' then 100
-             else 0 end as monthly_price
-      from silver_subscriptions where status = 'active') priced
-group by 1""")
+select cast(date_trunc('month', start_date) as date) as month,
+  cast(12 * sum(case plan_name when 'basic' then 10 when 'pro' then 30 when 'enterprise' then 100 else 0 end)
+       as bigint) as arr
+from silver_subscriptions where status = 'active' group by all""")
 
 Q["gold_churn"] = with_base("""
-select cast(date_trunc('month', end_date) as date) as churn_month, count(distinct customer_id) as churned_customers
-from silver_subscriptions where status = 'canceled' and end_date is not null group by 1""")
+select cast(date_trunc('month', end_date) as date) as churn_month,
+  count(distinct customer_id) as churned_customers
+from silver_subscriptions where end_date is not null and status = 'canceled' group by all""")
 
 Q["gold_customer_metrics"] = with_base(f"""
-select {AS_OF} as snapshot_date,
-  count(distinct a.customer_id) as active_customers, count(distinct p.customer_id) as paying_customers,
-  count(distinct r.customer_id) as refunded_customers, count(distinct c.customer_id) as churned_customers
-from (select customer_id from silver_accounts where normalized_status = 'active' group by customer_id) a
-left join (select customer_id from gold_transaction_facts where is_paid = true group by customer_id) p
-  on a.customer_id = p.customer_id
-left join (select customer_id from gold_transaction_facts where refunded_amount > 0 group by customer_id) r
-  on a.customer_id = r.customer_id
-left join (select customer_id from silver_subscriptions where status = 'canceled' group by customer_id) c
-  on a.customer_id = c.customer_id""")
+select {AS_OF} as snapshot_date, count(*) as active_customers,
+  count(*) filter (where exists (select 1 from gold_transaction_facts f
+                                 where f.customer_id = act.customer_id and f.is_paid)) as paying_customers,
+  count(*) filter (where exists (select 1 from gold_transaction_facts f
+                                 where f.customer_id = act.customer_id and f.refunded_amount > 0))
+    as refunded_customers,
+  count(*) filter (where exists (select 1 from silver_subscriptions sb
+                                 where sb.customer_id = act.customer_id and sb.status = 'canceled'))
+    as churned_customers
+from (select distinct customer_id from silver_accounts
+      where normalized_status = 'active' and customer_id is not null) act""")
 
 Q["gold_refund_rate"] = with_base("""
-select date, cast(paid_amount as double) as paid_amount, cast(refunded_amount as double) as refunded_amount,
-  round(case when paid_amount = 0 then null else refunded_amount * 1.0 / paid_amount end, 6) as refund_rate
-from (
-  select t.date, sum(t.amount) as paid_amount, coalesce(sum(r.refunded_amount), 0) as refunded_amount
-  from (select transaction_id, cast(created_at as date) as date, amount from silver_transactions
-        where status = 'success') t
-  left join (select transaction_id, amount as refunded_amount from silver_refunds) r
-    on t.transaction_id = r.transaction_id
-  group by 1
-) d""")
+select date, cast(paid as double) as paid_amount, cast(refunded as double) as refunded_amount,
+  round(if(paid = 0, null, cast(refunded as double) / cast(paid as double)), 6) as refund_rate
+from (select cast(s.created_at as date) as date, sum(s.amount) as paid, coalesce(sum(x.amount), 0) as refunded
+      from silver_transactions s left join silver_refunds x on x.transaction_id = s.transaction_id
+      where s.status = 'success' group by all) g""")
 
 Q["gold_failed_payment_rate"] = with_base("""
 select date, attempt_count, failed_count,
-  round(case when attempt_count = 0 then null else failed_count * 1.0 / attempt_count end, 6) as failed_payment_rate
-from (
-  select cast(attempted_at as date) as date, count(*) as attempt_count,
-    count(*) filter (where final_payment_status != 'success') as failed_count
-  from silver_payments group by 1
-) d""")
+  round(if(attempt_count = 0, null, cast(failed_count as double) / attempt_count), 6) as failed_payment_rate
+from (select cast(attempted_at as date) as date, count(*) as attempt_count,
+        cast(sum(case when final_payment_status <> 'success' then 1 else 0 end) as bigint) as failed_count
+      from silver_payments group by all) g""")
 
 Q["gold_cohort_retention"] = with_base("""
-select ca.cohort_month, ca.months_since_cohort, cs.customers_in_cohort, ca.customers_retained,
-  round(case when cs.customers_in_cohort = 0 then null
-        else ca.customers_retained * 1.0 / cs.customers_in_cohort end, 6) as retention_rate
-from (
-  select f.cohort_month, a.activity_month,
-    cast(datediff('month', f.cohort_month, a.activity_month) as int) as months_since_cohort,
-    count(distinct a.customer_id) as customers_retained
-  from (select customer_id, cast(date_trunc('month', min(created_at)) as date) as cohort_month
-        from silver_transactions where status = 'success' group by 1) f
-  join (select customer_id, cast(date_trunc('month', created_at) as date) as activity_month
-        from silver_transactions where status = 'success' group by 1, 2) a
-    on f.customer_id = a.customer_id
-  group by 1, 2, 3
-) ca
-join (select cohort_month, count(distinct customer_id) as customers_in_cohort
-      from (select customer_id, cast(date_trunc('month', min(created_at)) as date) as cohort_month
-            from silver_transactions where status = 'success' group by 1) f2
-      group by 1) cs
-  on ca.cohort_month = cs.cohort_month
-where ca.months_since_cohort >= 0""")
+select cf.first_month as cohort_month,
+  cast((year(ca.active_month) - year(cf.first_month)) * 12 + month(ca.active_month) - month(cf.first_month)
+       as int) as months_since_cohort,
+  any_value(sz.members) as customers_in_cohort, count(*) as customers_retained,
+  round(count(*) / any_value(sz.members), 6) as retention_rate
+from cohort_first cf
+join cohort_active ca on ca.customer_id = cf.customer_id
+join (select first_month, count(*) as members from cohort_first group by all) sz on sz.first_month = cf.first_month
+group by cf.first_month, ca.active_month
+having (year(ca.active_month) - year(cf.first_month)) * 12 + month(ca.active_month) - month(cf.first_month) >= 0""", {
+    "cohort_first": """select customer_id, cast(date_trunc('month', min(created_at)) as date) as first_month
+from silver_transactions where status = 'success' and customer_id is not null group by customer_id""",
+    "cohort_active": """select distinct customer_id, cast(date_trunc('month', created_at) as date) as active_month
+from silver_transactions where status = 'success' and customer_id is not null""",
+})
 
 SCORECARD_DAILY = """
 select date, gross_revenue, net_revenue, refund_rate, failed_payment_rate,
@@ -339,57 +322,43 @@ select date, cast(gross_revenue as double) as gross_revenue, cast(net_revenue as
 from scorecard_daily""", {"scorecard_daily": SCORECARD_DAILY})
 
 Q["platinum_scorecard_monthly"] = with_base("""
-select month, cast(gross_revenue as double) as gross_revenue, cast(net_revenue as double) as net_revenue,
-  arr_proxy, round(refund_rate, 6) as refund_rate, cast(net_revenue_mom_change as double) as net_revenue_mom_change,
-  arr_mom_change
+select month, cast(gross as double) as gross_revenue, cast(gross - refunded as double) as net_revenue,
+  subs * 12 as arr_proxy,
+  round(if(gross = 0, null, cast(refunded as double) / cast(gross as double)), 6) as refund_rate,
+  cast((gross - refunded) - lag(gross - refunded) over (order by month) as double) as net_revenue_mom_change,
+  subs * 12 - lag(subs * 12) over (order by month) as arr_mom_change
 from (
-  select month, gross_revenue, net_revenue, arr_proxy, refund_rate,
-    net_revenue - lag(net_revenue, 1) over (order by month) as net_revenue_mom_change,
-    arr_proxy - lag(arr_proxy, 1) over (order by month) as arr_mom_change
-  from (
-    select r.month, r.gross_revenue, r.gross_revenue - r.refunded_amount as net_revenue,
-      s.active_subscriptions * 12 as arr_proxy,
-      case when r.gross_revenue = 0 then null else r.refunded_amount * 1.0 / r.gross_revenue end as refund_rate
-    from (
-      select t.month, sum(t.amount) as gross_revenue, coalesce(sum(r.refund_amount), 0) as refunded_amount
-      from (select cast(date_trunc('month', created_at) as date) as month, transaction_id, amount
-            from silver_transactions where status = 'success') t
-      left join (select transaction_id, amount as refund_amount from silver_refunds) r
-        on t.transaction_id = r.transaction_id
-      group by 1
-    ) r
-    left join (select cast(date_trunc('month', start_date) as date) as month,
-                 count(distinct subscription_id) as active_subscriptions
-               from silver_subscriptions where status = 'active' group by 1) s
-      on r.month = s.month
-  ) base
-) f""")
+  select rm.month, rm.gross, rm.refunded, am.subs
+  from (select cast(date_trunc('month', s.created_at) as date) as month, sum(s.amount) as gross,
+          coalesce(sum(x.amount), 0) as refunded
+        from silver_transactions s left join silver_refunds x on x.transaction_id = s.transaction_id
+        where s.status = 'success' group by all) rm
+  left join (select cast(date_trunc('month', start_date) as date) as month, count(distinct subscription_id) as subs
+             from silver_subscriptions where status = 'active' group by all) am on am.month = rm.month
+) m""")
 
 
 def anomalies_sql(source: str) -> str:
-    """Trailing-30-row z-score flags over a relation with date + 3 metrics."""
-    parts = []
-    for m in ("net_revenue", "refund_rate", "failed_payment_rate"):
-        parts.append(f"""
-  select date, '{m}' as metric_name, cast({m} as double) as metric_value, {m}_mean as baseline_value,
-    case when {m}_std is null or {m}_std = 0 then null else (cast({m} as double) - {m}_mean) / {m}_std end as z_score
-  from stats""")
-    stats_cols = ",\n".join(
-        f"avg(cast({m} as double)) over w as {m}_mean, stddev_samp(cast({m} as double)) over w as {m}_std"
-        for m in ("net_revenue", "refund_rate", "failed_payment_rate"))
+    """Trailing-30-row z-score flags: the three metrics unpivoted (NULLs
+    kept, so every metric has a row per day) and windowed per metric."""
     return f"""
-select date, metric_name, round(metric_value, 6) as metric_value, round(baseline_value, 4) as baseline_value, round(z_score, 4) as z_score,
-  case when z_score is null then false when abs(z_score) >= 3 then true else false end as is_anomaly,
-  case when z_score is null then 'insufficient_history' when abs(z_score) >= 3 then 'deviation_over_3_std'
+select date, metric_name, round(metric_value, 6) as metric_value, round(mu, 4) as baseline_value,
+  round(z, 4) as z_score, coalesce(abs(z) >= 3, false) as is_anomaly,
+  case when z is null then 'insufficient_history' when abs(z) >= 3 then 'deviation_over_3_std'
        else 'normal_range' end as reason
 from (
-  with stats as (
-    select date, net_revenue, refund_rate, failed_payment_rate, {stats_cols}
-    from {source}
-    window w as (order by date rows between 30 preceding and 1 preceding)
-  )
-  {' union all '.join(parts)}
-) flags"""
+  select *, if(sd is null or sd = 0, null, (metric_value - mu) / sd) as z
+  from (
+    select date, metric_name, metric_value,
+      avg(metric_value) over hist as mu, stddev_samp(metric_value) over hist as sd
+    from (select * from (select date, cast(net_revenue as double) as net_revenue,
+                                cast(refund_rate as double) as refund_rate,
+                                cast(failed_payment_rate as double) as failed_payment_rate from {source}) wide
+          unpivot include nulls (metric_value for metric_name in (net_revenue, refund_rate, failed_payment_rate))
+         ) lng
+    window hist as (partition by metric_name order by date rows between 30 preceding and 1 preceding)
+  ) st
+) zz"""
 
 
 Q["platinum_anomalies_daily"] = with_base(
