@@ -129,9 +129,14 @@ def _table_list(p: Pipeline, tables) -> DataFrame:
     return p.spark.createDataFrame([(t,) for t in tables], schema)
 
 
+def daily_counts(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
+    """(table_name, d, n): one aggregation shared by volume and freshness."""
+    return monitored_dates(p, tables).groupBy("table_name", "d").agg(F.count(F.lit(1)).alias("n"))
+
+
 def volume_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
     """Row counts of each table's two latest dates and the % change."""
-    daily = monitored_dates(p, tables).groupBy("table_name", "d").agg(F.count(F.lit(1)).alias("n"))
+    daily = daily_counts(p, tables)
     w = Window.partitionBy("table_name").orderBy(F.col("d").desc_nulls_last())
     top2 = daily.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 2)
     piv = top2.groupBy("table_name").agg(
@@ -155,7 +160,7 @@ def volume_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
 
 
 def freshness_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
-    mx = monitored_dates(p, tables).groupBy("table_name").agg(F.max("d").alias("max_date"))
+    mx = daily_counts(p, tables).groupBy("table_name").agg(F.max("d").alias("max_date"))
     j = _table_list(p, list(tables)).join(mx, "table_name", "left")
     days_old = F.date_diff(F.lit(p.config.as_of), F.col("max_date")).cast("bigint")
     status = (F.when(F.col("max_date").isNull(), "fail")

@@ -50,8 +50,10 @@ def main() -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
     args = ap.parse_args()
-    from finspark.session import get_spark
+    from finspark.session import get_spark, size_shuffle_partitions
+    from finspark.sources.tables import DRIVER_TABLES, table_path
     spark = get_spark()
+    size_shuffle_partitions(spark, [table_path(args.sf_dir, t) for t in DRIVER_TABLES])
     for name, path in build_all(spark, args.sf_dir, args.out).items():
         print(name, path)
 

@@ -66,3 +66,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="finspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(scratch)
     return scratch
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the given files / folders (Hadoop FS, any cluster store)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str], bytes_per_partition: int = 200 << 20,
+                            floor: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size (about
+    ``bytes_per_partition`` of input per shuffle partition, never below the
+    cluster's cores); AQE then coalesces small stages down.  Returns it."""
+    cores = spark.sparkContext.defaultParallelism
+    n = max(floor or cores, -(-input_bytes(spark, paths) // bytes_per_partition))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

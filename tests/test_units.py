@@ -186,3 +186,22 @@ def test_payment_retry_faults_match_row_order_definition(spark):
             if prev and a[5] < max(prev):
                 e[2] += 1
     assert got == {k: tuple(v) for k, v in exp.items()}
+
+
+def test_incremental_filter_lazy_matches_literal(spark):
+    target = spark.createDataFrame([(1, D(2024, 1, 5)), (2, D(2024, 1, 3))], "id int, ingestion_date date")
+    batch = spark.createDataFrame([(3, D(2024, 1, 4)), (4, D(2024, 1, 5)), (5, D(2024, 1, 7))],
+                                  "id int, ingestion_date date")
+    eager = sorted(r["id"] for r in incremental_filter(batch, target, "ingestion_date").collect())
+    lazy = sorted(r["id"] for r in incremental_filter(batch, target, "ingestion_date", lazy=True).collect())
+    assert eager == lazy == [4, 5]
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from finspark.session import size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = size_shuffle_partitions(spark, ["/root/testdata/sf0.001/lineitem.parquet"], bytes_per_partition=1 << 10)
+        assert n >= 100 and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
