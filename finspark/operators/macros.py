@@ -26,7 +26,7 @@ def dedupe_latest(df: DataFrame, partition_key: str | Sequence[str], order_by: S
                   keep_rank: bool = False) -> DataFrame:
     keys = [partition_key] if isinstance(partition_key, str) else list(partition_key)
     w = Window.partitionBy(*keys).orderBy(*order_by)
-    ranked = df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1)
+    ranked = df.withColumn("rn", F.row_number().over(w).cast("bigint")).where(F.col("rn") == 1)
     return ranked if keep_rank else ranked.drop("rn")
 
 

@@ -39,6 +39,6 @@ def ranked_with_next(df: DataFrame, group: str, order: Sequence[str], next_of: s
     out = local.join(pieces, ["_pid", group])
     return out.select(
         *[c for c in df.columns],
-        (F.col("_local") + F.col("_offset")).cast("int").alias("seq"),
+        (F.col("_local") + F.col("_offset")).cast("bigint").alias("seq"),
         F.when(F.col("_local_next").isNotNull() | F.col("_local").isNull(), F.col("_local_next"))
          .otherwise(F.col("_next_piece_first")).alias("next_value"))

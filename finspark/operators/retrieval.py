@@ -169,7 +169,8 @@ def search(index: DataFrame, query_terms: DataFrame, search_k: int, term_bound:
               .groupBy("query_id", "ck").agg(F.sum(F.col("weight") * F.col("qw")).alias("raw")))
     scored = scored.select("query_id", "ck", F.round("raw", SCORE_DP).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("ck").asc())
-    return scored.withColumn("search_rank", F.row_number().over(w)).where(F.col("search_rank") <= search_k)
+    return (scored.withColumn("search_rank", F.row_number().over(w).cast("bigint"))
+            .where(F.col("search_rank") <= search_k))
 
 
 _BUILT: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
@@ -246,7 +247,7 @@ def best_per_source(r: DataFrame) -> DataFrame:
 
 def final_top_k(r: DataFrame, top_k: int = RETRIEVE_TOP_K) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy(F.col("adjusted_score").desc(), "search_rank")
-    return r.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
+    return r.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= top_k)
 
 
 def retrieve(spark: SparkSession, sf_dir: str, top_k: int = RETRIEVE_TOP_K, min_score: float = RETRIEVE_MIN_SCORE,
@@ -326,7 +327,7 @@ def dense_topk(vectors: DataFrame, queries: DataFrame, k: int, max_queries: int
     for x in passes[1:]:
         scored = scored.unionByName(x)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
 # ------------------------------------------------------------------ queries
@@ -373,7 +374,7 @@ def kb_index_q(spark, sf_dir):
     out.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
     return back.select("chunk_id", "source_file", "section", "start_line", "end_line",
-                       F.size("buckets").alias("terms"),
+                       F.size("buckets").cast("bigint").alias("terms"),
                        F.round(F.aggregate("weights", F.lit(0.0), lambda a, x: a + x * x), 4).alias("norm_sq"))
 
 

@@ -201,7 +201,7 @@ with cen as (
   from (select label, unnest(embedding) as v, unnest(range(1, len(embedding) + 1)) as i from embeddings) e
   group by label, i
 ),
-q as (select label as query_id, list(v order by i) as vec from cen group by label),
+q as (select cast(label as bigint) as query_id, list(v order by i) as vec from cen group by label),
 qn as (select query_id, list_transform(vec, lambda x: x / sqrt(list_sum(list_transform(vec, lambda y: y * y)))) as qvec
        from q)
 select * from (
