@@ -103,14 +103,17 @@ def pii_value_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS, stri
                 continue
             try:
                 part = value_scan(obj, p.ref(m), strict_compat)
-            except Exception as e:  # analysis error -> scan_error finding
-                part = spark.createDataFrame([(obj, None, None, str(e)[:200])],
+                if part is not None:
+                    part = part.withColumn("scan_error", F.lit(None).cast("string"))
+            except Exception as e:  # analysis error -> scan_error finding (warn)
+                part = spark.createDataFrame([(obj, None, None, None, str(e).splitlines()[0][:200])],
                                              "object string, email_detected boolean, phone_detected boolean, "
-                                             "sampled_columns string")
+                                             "sampled_columns string, scan_error string")
             if part is not None:
                 parts.append(part)
     out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.withColumn("finding", F.col("email_detected") | F.col("phone_detected"))
+    return out.withColumn("finding", F.col("scan_error").isNotNull()
+                          | F.coalesce(F.col("email_detected") | F.col("phone_detected"), F.lit(False)))
 
 
 def compliance_status(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> DataFrame:

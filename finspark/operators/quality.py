@@ -114,29 +114,38 @@ def schema_tests(p: Pipeline) -> DataFrame:
     return not_null_checks(p).unionByName(unique_checks(p))
 
 
-def monitored_dates(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
-    """(table_name, d) for every row of every monitored table."""
-    parts = []
+def monitored_dates(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> tuple[DataFrame, dict[str, str]]:
+    """(table_name, d) for every row of every monitored table, and the
+    tables that could not be read (name -> error), which the checks report
+    as ``error`` rows instead of failing the whole run."""
+    parts, errors = [], {}
     for t, col in tables.items():
-        df = p.ref(t)
-        c = next((x for x in DATE_COLUMN_CANDIDATES if x in df.columns), col)
-        parts.append(df.select(F.lit(t).alias("table_name"), F.to_date(F.col(c)).alias("d")))
-    return union_all(parts)
-
-
-def _table_list(p: Pipeline, tables) -> DataFrame:
-    schema = T.StructType([T.StructField("table_name", T.StringType(), False)])
-    return p.spark.createDataFrame([(t,) for t in tables], schema)
+        try:
+            df = p.ref(t)
+            c = next((x for x in DATE_COLUMN_CANDIDATES if x in df.columns), col)
+            parts.append(df.select(F.lit(t).alias("table_name"), F.to_date(F.col(c)).alias("d")))
+        except Exception as e:  # missing table / column: isolate this table
+            errors[t] = str(e).splitlines()[0][:300]
+    if not parts:
+        return p.spark.createDataFrame([], "table_name string, d date"), errors
+    return union_all(parts), errors
+
+
+def daily_counts(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> tuple[DataFrame, dict[str, str]]:
+    """(table_name, d, n): one aggregation shared by volume and freshness."""
+    dates, errors = monitored_dates(p, tables)
+    return dates.groupBy("table_name", "d").agg(F.count(F.lit(1)).alias("n")), errors
 
 
-def daily_counts(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
-    """(table_name, d, n): one aggregation shared by volume and freshness."""
-    return monitored_dates(p, tables).groupBy("table_name", "d").agg(F.count(F.lit(1)).alias("n"))
+def _table_list_with_errors(p: Pipeline, tables, errors: dict[str, str]) -> DataFrame:
+    schema = T.StructType([T.StructField("table_name", T.StringType(), False),
+                           T.StructField("error", T.StringType(), True)])
+    return p.spark.createDataFrame([(t, errors.get(t)) for t in tables], schema)
 
 
 def volume_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
     """Row counts of each table's two latest dates and the % change."""
-    daily = daily_counts(p, tables)
+    daily, errors = daily_counts(p, tables)
     w = Window.partitionBy("table_name").orderBy(F.col("d").desc_nulls_last())
     top2 = daily.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 2)
     piv = top2.groupBy("table_name").agg(
@@ -145,28 +154,32 @@ def volume_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
         F.max(F.when(F.col("rn") == 2, F.col("d"))).alias("prev_date"),
         F.max(F.when(F.col("rn") == 2, F.col("n"))).alias("prev_count"),
         F.count(F.lit(1)).alias("n_days"))
-    j = _table_list(p, list(tables)).join(piv, "table_name", "left")
+    j = _table_list_with_errors(p, list(tables), errors).join(piv, "table_name", "left")
     pct = safe_ratio(F.col("latest_count") - F.col("prev_count"), "prev_count")
     cfg = p.config
-    status = (F.when(F.coalesce(F.col("n_days"), F.lit(0)) < 2, "skip")
+    status = (F.when(F.col("error").isNotNull(), "error")
+              .when(F.coalesce(F.col("n_days"), F.lit(0)) < 2, "skip")
               .when(F.col("prev_count") == 0, "warn")
               .when(pct < -cfg.max_volume_drop_pct, "fail")
               .when(pct > cfg.max_volume_spike_pct, "warn")
               .otherwise("pass"))
-    reason = (F.when(F.coalesce(F.col("n_days"), F.lit(0)) < 2, "not enough history")
+    reason = (F.when(F.col("error").isNotNull(), F.col("error"))
+              .when(F.coalesce(F.col("n_days"), F.lit(0)) < 2, "not enough history")
               .when(F.col("prev_count") == 0, "previous day count was 0"))
     return j.select("table_name", status.alias("status"), reason.alias("reason"), "latest_date",
                     "latest_count", "prev_date", "prev_count", F.round(pct, 6).alias("pct_change"))
 
 
 def freshness_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
-    mx = daily_counts(p, tables).groupBy("table_name").agg(F.max("d").alias("max_date"))
-    j = _table_list(p, list(tables)).join(mx, "table_name", "left")
+    daily, errors = daily_counts(p, tables)
+    mx = daily.groupBy("table_name").agg(F.max("d").alias("max_date"))
+    j = _table_list_with_errors(p, list(tables), errors).join(mx, "table_name", "left")
     days_old = F.date_diff(F.lit(p.config.as_of), F.col("max_date")).cast("bigint")
-    status = (F.when(F.col("max_date").isNull(), "fail")
+    status = (F.when(F.col("error").isNotNull(), "error").when(F.col("max_date").isNull(), "fail")
               .when(days_old <= p.config.max_freshness_days, "pass").otherwise("fail"))
     return j.select("table_name", status.alias("status"),
-                    F.when(F.col("max_date").isNull(), "no rows").alias("reason"),
+                    F.when(F.col("error").isNotNull(), F.col("error"))
+                    .when(F.col("max_date").isNull(), "no rows").alias("reason"),
                     "max_date", days_old.alias("days_old"))
 
 

@@ -84,7 +84,7 @@ def _value_scan(obj: str, key: str, cols: list[str]) -> str:
 select '{obj}' as object,
   coalesce(bool_or(regexp_matches(concat_ws(' ', {', '.join(cols)}), '{EMAIL_PATTERN}')), false) as email_detected,
   coalesce(bool_or(regexp_matches(concat_ws(' ', {', '.join(cols)}), '{PHONE_PATTERN}')), false) as phone_detected,
-  '{','.join(cols)}' as sampled_columns
+  '{','.join(cols)}' as sampled_columns, cast(null as varchar) as scan_error
 from (select {', '.join(cols)} from ({Q[key]}) t order by {order} limit 200) s"""
 
 

@@ -205,3 +205,13 @@ def test_shuffle_partitions_sized_from_input(spark):
         assert n >= 100 and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_checks_isolate_a_broken_table(spark):
+    from finspark.operators.quality import freshness_checks, volume_checks
+    p = pipeline(spark, transactions=[txn("t1", created=T(2024, 1, 1, 10)), txn("t2", created=T(2024, 1, 2, 10))])
+    tables = {"gold_transaction_facts": "created_at", "no_such_model": "created_at"}
+    vol = {r["table_name"]: r["status"] for r in volume_checks(p, tables).collect()}
+    fresh = {r["table_name"]: r["status"] for r in freshness_checks(p, tables).collect()}
+    assert vol == {"gold_transaction_facts": "pass", "no_such_model": "error"}
+    assert fresh["no_such_model"] == "error" and fresh["gold_transaction_facts"] == "fail"
