@@ -417,3 +417,46 @@ def kb_answer_sources_q(spark, sf_dir):
 @query("kb_grounded_answer")
 def kb_grounded_answer_q(spark, sf_dir):
     return grounded_answers(kb_queries(spark, sf_dir), retrieve(spark, sf_dir))
+
+
+# ------------------------------------------------------ pluggable encoders
+def hashed_trigram_encoder(dim: int = 256):
+    """A small deterministic batch encoder (character trigrams hashed into
+    ``dim`` buckets) standing in for a neural model: ``list[str] -> ndarray``."""
+    import zlib
+
+    import numpy as np
+
+    def encode(texts):
+        out = np.zeros((len(texts), dim), dtype=np.float32)
+        for i, t in enumerate(texts):
+            s = f"  {(t or '').lower()} "
+            for j in range(len(s) - 2):
+                out[i, zlib.crc32(s[j:j + 3].encode("utf-8")) % dim] += 1.0
+        return out
+
+    return encode
+
+
+ENCODERS = {"hashed-trigrams-256": lambda: hashed_trigram_encoder(256)}
+
+
+def embed_with_encoder(df: DataFrame, id_col: str, text_col: str, encoder="hashed-trigrams-256") -> DataFrame:
+    """Dense, L2-normalised embeddings from a batch encoder (a name in
+    ``ENCODERS`` or a callable ``list[str] -> ndarray``), run once per Arrow
+    batch with ``mapInPandas``: the model is loaded per task, rows stay in
+    their partitions and only (id, vector) comes back."""
+    make = ENCODERS[encoder] if isinstance(encoder, str) else (lambda: encoder)
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        enc = make()
+        for pdf in batches:
+            vecs = np.asarray(enc(pdf[text_col].tolist()), dtype=np.float32)
+            norms = np.linalg.norm(vecs, axis=1, keepdims=True)
+            norms[norms == 0] = 1.0
+            yield pd.DataFrame({id_col: pdf[id_col], "embedding": list(vecs / norms)})
+
+    schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, embedding array<float>"
+    return df.select(id_col, text_col).mapInPandas(run, schema)

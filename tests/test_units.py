@@ -215,3 +215,16 @@ def test_checks_isolate_a_broken_table(spark):
     fresh = {r["table_name"]: r["status"] for r in freshness_checks(p, tables).collect()}
     assert vol == {"gold_transaction_facts": "pass", "no_such_model": "error"}
     assert fresh == {"gold_transaction_facts": "pass", "no_such_model": "error"}
+
+
+def test_encoder_hook_embeds_and_dense_search_finds_the_source(spark):
+    from finspark.operators.retrieval import dense_topk, embed_with_encoder
+    docs = spark.createDataFrame([(1, "monthly recurring revenue by plan"), (2, "refund rate per day"),
+                                  (3, "cohort retention of customers")], "vec_id bigint, text string")
+    vecs = embed_with_encoder(docs, "vec_id", "text")
+    norms = [sum(x * x for x in r["embedding"]) for r in vecs.collect()]
+    assert all(abs(n - 1) < 1e-5 for n in norms)
+    q = embed_with_encoder(spark.createDataFrame([(7, "refund rate per day")], "query_id bigint, text string"),
+                           "query_id", "text").withColumnRenamed("embedding", "qvec")
+    top = dense_topk(vecs, q, 1).collect()
+    assert [(r["query_id"], r["vec_id"]) for r in top] == [(7, 2)]
