@@ -89,10 +89,13 @@ def value_scan(name: str, df: DataFrame, strict_compat: bool = False) -> DataFra
              F.lit(",".join(cols)).alias("sampled_columns"))
 
 
-def pii_value_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS, strict_compat: bool = False
+def pii_value_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS, strict_compat: bool | None = None
                        ) -> DataFrame:
     """One row per scanned table (tables with PII column names are skipped,
-    as their finding already fails); ``finding`` marks the warn rows."""
+    as their finding already fails); ``finding`` marks the warn rows.
+    ``strict_compat`` defaults to the pipeline's config."""
+    if strict_compat is None:
+        strict_compat = p.config.strict_compat
     flagged = {f"{layer}.{m}" for layer in layers for m in LAYER_MODELS[layer]
                if any(c.lower() in PII_COLUMN_HINTS for c in p.ref(m).columns)}
     parts = []

@@ -30,9 +30,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def load_bronze(spark: SparkSession, batch: DataFrame, table: str, entity: str, lookback_days: int = 0
-                ) -> DataFrame:
-    """One incremental run of a bronze table; returns the new version."""
+def load_bronze(spark: SparkSession, batch: DataFrame, table: str, entity: str, lookback_days: int = 0,
+                mode: str = "upsert") -> DataFrame:
+    """One incremental run of a bronze table; returns the new version.
+
+    ``mode="upsert"`` replaces rows whose key the batch carries (the default);
+    ``mode="append"`` keeps every row ever loaded, duplicates included."""
+    if mode not in ("upsert", "append"):
+        raise ValueError(f"unknown load mode {mode!r}")
     key = ENTITY_KEYS[entity]
     current = latest_version(spark, table)
     batch = batch.select(*ENTITY_SCHEMAS[entity].fieldNames())
@@ -43,7 +48,7 @@ def load_bronze(spark: SparkSession, batch: DataFrame, table: str, entity: str,
         target = read_latest(spark, table)
         fresh = with_load_time(
             incremental_filter(batch, target, "ingestion_date", lookback_days), "bronze_loaded_at")
-        merged = upsert(target, fresh, key)
+        merged = upsert(target, fresh, key) if mode == "upsert" else target.unionByName(fresh)
         version = current + 1
     write_version(merged, table, version)
     return read_latest(spark, table)

@@ -228,3 +228,17 @@ def test_encoder_hook_embeds_and_dense_search_finds_the_source(spark):
                            "query_id", "text").withColumnRenamed("embedding", "qvec")
     top = dense_topk(vecs, q, 1).collect()
     assert [(r["query_id"], r["vec_id"]) for r in top] == [(7, 2)]
+
+
+def test_bronze_append_mode_keeps_duplicates(spark):
+    import uuid
+
+    from finspark.operators.ingest import load_bronze
+    from finspark.session import ensure_checkpoint_dir
+    p = pipeline(spark, transactions=[txn("t1", ingested=D(2024, 1, 2)), txn("t2", ingested=D(2024, 1, 3))])
+    raw = p.raw("transactions")
+    up, ap = (f"{ensure_checkpoint_dir(spark)}/{m}-{uuid.uuid4().hex}" for m in ("up", "ap"))
+    for table, mode in ((up, "upsert"), (ap, "append")):
+        load_bronze(spark, raw, table, "transactions", mode=mode)
+    assert load_bronze(spark, raw, up, "transactions").count() == 2          # t2 replaced by itself
+    assert load_bronze(spark, raw, ap, "transactions", mode="append").count() == 3  # t2 kept twice
