@@ -39,3 +39,23 @@ def test_anomalies_scan_metrics_once(spark):
     """The long format comes from one Generate, not a 3-way union."""
     txt = plan(Pipeline(spark, SF_SMALL).ref("platinum_anomalies_daily"))
     assert "Generate" in txt and "Union" not in txt
+
+
+def test_facts_joins_reuse_one_partitioning(spark):
+    """Without broadcasts (as at scale): one shuffle per input on
+    transaction_id, and the two joins add none."""
+    import re
+    old = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold"),
+           spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        txt = plan(Pipeline(spark, SF_SMALL).ref("gold_transaction_facts"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[0])
+        if old[1] is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
+    assert len(re.findall(r"Exchange hashpartitioning\(transaction_id", txt)) == 3
+    assert txt.count("SortMergeJoin") == 2
