@@ -187,16 +187,18 @@ def build_kb(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> tuple[D
 
 
 def _build_kb(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Chunks, term index and idf, each computed once: the chunk table and
-    the term counts are checkpointed (written to the shared checkpoint
-    folder), cutting the lineage the later joins would otherwise re-run."""
+    """Chunks, term index and idf, each computed once: the chunk table, the
+    term counts and the weighted index are checkpointed (written to the
+    shared checkpoint folder), cutting the lineage later queries would
+    otherwise re-run."""
     ensure_checkpoint_dir(spark)
     corpus = ensure_parallelism(kb_corpus(spark, sf_dir))
     chunks = chunk_documents(corpus, keep=("doc_id",)).withColumn(
         "ck", chunk_key(F.col("doc_id"), F.col("chunk_index"))).checkpoint(eager=True)
     counts = term_counts(chunks, "ck").checkpoint(eager=True)
     index, idf = build_index(chunks, counts)
-    return chunks, index, idf
+    # The weighted index is read by every query: materialise it once.
+    return chunks, index.checkpoint(eager=True), idf
 
 
 def retrieval_inputs(spark: SparkSession, sf_dir: str):
