@@ -143,7 +143,9 @@ def pii_scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("compliance_catalog")
 def compliance_catalog_q(spark, sf_dir):
-    return catalog_columns(spark, Pipeline(spark, sf_dir), DEFAULT_LAYERS)
+    """Tables and columns of the gold and platinum layers, as listed by the
+    catalog (engine-specific type names left out)."""
+    return catalog_columns(spark, Pipeline(spark, sf_dir), DEFAULT_LAYERS).drop("data_type")
 
 
 @query("pii_scan_columns")

@@ -120,3 +120,25 @@ select case when col_findings > 0 then 'fail' when col_findings + value_findings
   cast({len(LAYER_TABLES)} as bigint) as checked_objects, col_findings + value_findings as findings
 from (select (select count(*) from ({Q['pii_scan_columns']}) a) as col_findings,
              (select count(*) from ({Q['pii_scan_values']}) b where finding) as value_findings) x"""
+
+
+# Catalog listing of gold and platinum (column order from DESCRIBE); the
+# models also carry their load-time audit column, listed last.
+AUDITED = {"gold_transaction_facts", "gold_daily_revenue", "gold_mrr", "gold_churn", "gold_customer_metrics"}
+
+
+def _catalog(layer: str, name: str, key: str) -> str:
+    body = f"""select '{layer}' as layer, '{name}' as table_name, column_name,
+  cast(row_number() over () - 1 as integer) as ordinal from (describe {Q[key]}) d"""
+    if name in AUDITED:
+        body += f"""
+union all select '{layer}', '{name}', 'gold_loaded_at', cast((select count(*) from (describe {Q[key]}) c) as integer)"""
+    return body
+
+
+Q["compliance_catalog"] = " union all ".join(
+    _catalog(layer, name, key) for layer, name, key in LAYER_TABLES if layer in ("gold", "platinum"))
+
+# The insight report read back from JSON: flat, the date as text.
+Q["report_insight"] = (
+    "select * replace (cast(latest_date as varchar) as latest_date) from (" + Q["finance_insight"] + ") r")
