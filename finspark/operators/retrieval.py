@@ -22,8 +22,10 @@ deterministically on ``chunk_id`` / ``vec_id``.
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,10 @@ from finspark.plans.registry import query
 from finspark.session import ensure_checkpoint_dir
 from finspark.sources.tables import read_table
 
+# Encoder functions run inside Python workers (mapInPandas); ship them by
+# value so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCORE_DP = 5
 # Broadcast a query-side relation only below this many rows (checked).
 MAX_BROADCAST_ROWS = 200_000

@@ -88,3 +88,13 @@ def test_ranked_with_next_splits_a_hot_group(spark):
     hot_parts = (df.repartitionByRange(8, "g", "d", "id").where("g = 'hot'")
                  .select(F.spark_partition_id()).distinct().count())
     assert hot_parts > 1  # the hot group really is spread over several pieces
+
+
+def test_long_documents_take_the_linear_path_with_equal_chunks(spark):
+    from conftest import SF_SMALL
+    from finspark.operators.retrieval import kb_corpus
+    docs = kb_corpus(spark, SF_SMALL)
+    cols = ["chunk_id", "text", "source_file", "section", "start_line", "end_line", "chunk_index", "doc_id"]
+    native = chunk_documents(docs, keep=("doc_id",)).select(*cols)
+    python = chunk_documents(docs, keep=("doc_id",), long_doc_lines=2).select(*cols)  # most docs > 2 lines
+    assert sorted(map(tuple, native.collect())) == sorted(map(tuple, python.collect()))
