@@ -15,29 +15,23 @@ Rules (fixed behaviour the retrieval results depend on):
   shorter than ``min_chars`` are dropped after indexing.
 
 The fold runs per document inside one ``aggregate`` higher-order function:
-no shuffle, no Python, documents stay where they were read.  Appending a
-span copies the span array, so the fold is quadratic in the spans of one
-document; documents of more than ``LONG_DOC_LINES`` lines take a linear
-per-document fold in ``mapInPandas`` instead (same rules, same output).
+no shuffle, no Python, documents stay where they were read.  Appending to
+an array copies it, so the lines are folded in blocks of ``BLOCK_LINES``:
+each block appends to its own small span array and the outer fold keeps one
+array per block (flattened once at the end), which keeps the copying close
+to linear in the document length.
 """
 
 from __future__ import annotations
 
-import sys
-
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finspark.config import CHUNK_MIN_CHARS, CHUNK_OVERLAP_CHARS, CHUNK_TARGET_CHARS
 from finspark.functions.text import WHITESPACE_CLASS, py_strip, split_lines
 
-# Functions of this module run inside Python workers (mapInPandas); ship
-# them by value so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 SPAN_TYPE = "array<struct<s:int,e:int,sec:string>>"
-LONG_DOC_LINES = 5000
+BLOCK_LINES = 256
 
 
 def _let(value: Column, body) -> Column:
@@ -62,8 +56,6 @@ def chunk_spans(lines: Column, lens: Column, target: int = CHUNK_TARGET_CHARS,
     expression: it is read once per step inside the fold)."""
     n = F.size(lines)
     header_min = int(target * header_ratio)
-    init = F.struct(F.lit(1).alias("bs"), F.lit(0).alias("cl"), F.lit("root").alias("sec"),
-                    F.array().cast(SPAN_TYPE).alias("out"))
 
     def overlap_tail(i: Column) -> Column:
         # Fewest trailing lines ending at i whose (len + 1) sum reaches
@@ -99,74 +91,44 @@ def chunk_spans(lines: Column, lens: Column, target: int = CHUNK_TARGET_CHARS,
 
         return _let(stage1, after_append)
 
-    def finish(st: Column) -> Column:
-        return F.when(st["bs"] <= n, F.concat(st["out"], _span(st["bs"], n, st["sec"]))).otherwise(st["out"])
+    def block(st: Column, b: Column) -> Column:
+        # Fold one block of lines from the incoming state with a fresh,
+        # block-local span array; the outer fold keeps one array per block.
+        lo = b * BLOCK_LINES + 1
+        hi = F.least(n, (b + 1) * BLOCK_LINES)
+        start = F.struct(st["bs"].alias("bs"), st["cl"].alias("cl"), st["sec"].alias("sec"),
+                         F.array().cast(SPAN_TYPE).alias("out"))
+        inner = F.aggregate(F.sequence(lo, hi), start, step)
+        return F.struct(inner["bs"].alias("bs"), inner["cl"].alias("cl"), inner["sec"].alias("sec"),
+                        F.concat(st["blocks"], F.array(inner["out"])).alias("blocks"))
 
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), init, step, finish)
-    return F.when(n == 0, F.array().cast(SPAN_TYPE)).otherwise(folded)
+    def finish(st: Column) -> Column:
+        spans = F.flatten(st["blocks"])
+        return F.when(st["bs"] <= n, F.concat(spans, _span(st["bs"], n, st["sec"]))).otherwise(spans)
 
+    def finish_single(st: Column) -> Column:
+        return F.when(st["bs"] <= n, F.concat(st["out"], _span(st["bs"], n, st["sec"]))).otherwise(st["out"])
 
-def fold_spans_python(lines: list[str], target: int, overlap: int, header_ratio: float = 0.6):
-    """The chunking fold over one document's lines, linear in its length:
-    (start_line, end_line, section) of every buffer flush."""
-    spans, start, size, section = [], 1, 0, "root"
-    header_min = int(target * header_ratio)
-    for i, line in enumerate(lines, start=1):
-        stripped = line.strip()
-        if stripped.startswith("#"):
-            if start <= i - 1 and size >= header_min:
-                spans.append((start, i - 1, section))
-                start, size = i, 0
-            section = stripped.lstrip("#").strip() or "root"
-        size += len(line) + 1
-        if size >= target:
-            spans.append((start, i, section))
-            if i < len(lines):
-                m, acc = 0, 0
-                while acc < overlap and m < i:
-                    m += 1
-                    acc += len(lines[i - m]) + 1
-                start, size = i - m + 1, acc
-            else:
-                start, size = i + 1, 0
-    if start <= len(lines):
-        spans.append((start, len(lines), section))
-    return spans
-
-
-def _python_chunks(keep: tuple[str, ...], target: int, overlap: int):
-    def run(batches):
-        import pandas as pd
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                d = row._asdict()
-                lines = d["text"].splitlines() if d["text"] is not None else []
-                idx = 0
-                for s_, e_, sec in fold_spans_python(lines, target, overlap):
-                    body = "\n".join(lines[s_ - 1:e_]).strip()
-                    if not body:
-                        continue
-                    out.append({**{k: d[k] for k in keep}, "source_file": d["source_file"], "chunk_index": idx,
-                                "text": body, "section": sec, "start_line": s_, "end_line": e_})
-                    idx += 1
-            yield pd.DataFrame(out, columns=[*keep, "source_file", "chunk_index", "text", "section", "start_line",
-                                             "end_line"])
-    return run
+    # Documents within one block take the plain fold (no outer level).
+    single_init = F.struct(F.lit(1).alias("bs"), F.lit(0).alias("cl"), F.lit("root").alias("sec"),
+                           F.array().cast(SPAN_TYPE).alias("out"))
+    single = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), single_init, step, finish_single)
+    n_blocks = F.floor((F.greatest(n, F.lit(1)) - 1) / BLOCK_LINES).cast("int")
+    outer_init = F.struct(F.lit(1).alias("bs"), F.lit(0).alias("cl"), F.lit("root").alias("sec"),
+                          F.array().cast(f"array<{SPAN_TYPE}>").alias("blocks"))
+    blocked = F.aggregate(F.sequence(F.lit(0), n_blocks), outer_init, block, finish)
+    return (F.when(n == 0, F.array().cast(SPAN_TYPE)).when(n <= BLOCK_LINES, single)
+            .otherwise(blocked))
 
 
 def chunk_documents(docs: DataFrame, text_col: str = "text", source_col: str = "source_file",
                     target: int = CHUNK_TARGET_CHARS, overlap: int = CHUNK_OVERLAP_CHARS,
-                    min_chars: int = CHUNK_MIN_CHARS, keep: tuple[str, ...] = (),
-                    long_doc_lines: int = LONG_DOC_LINES) -> DataFrame:
+                    min_chars: int = CHUNK_MIN_CHARS, keep: tuple[str, ...] = ()) -> DataFrame:
     """docs(source_file, text, ...) -> chunks(chunk_id, text, source_file,
     section, start_line, end_line, chunk_index, ...keep)."""
-    base = docs.select(*keep, F.col(source_col).alias("source_file"), F.col(text_col).alias("text"))
-    with_lines = base.select(*keep, "source_file", "text", split_lines(F.col("text")).alias("lines"))
-    is_long = F.coalesce(F.size("lines") > long_doc_lines, F.lit(False))
-
-    native = with_lines.where(~is_long).drop("text")
-    native = native.withColumn("lens", F.transform("lines", lambda x: F.length(x) + 1))
+    with_lines = docs.select(*keep, F.col(source_col).alias("source_file"),
+                             split_lines(F.col(text_col)).alias("lines"))
+    with_lines = with_lines.withColumn("lens", F.transform("lines", lambda x: F.length(x) + 1))
     lines = F.col("lines")
 
     def materialize(sp: Column) -> Column:
@@ -176,17 +138,9 @@ def chunk_documents(docs: DataFrame, text_col: str = "text", source_col: str = "
 
     texts = F.filter(F.transform(chunk_spans(lines, F.col("lens"), target, overlap), materialize),
                      lambda c: c["text"] != "")
-    exploded = native.select(*keep, "source_file", F.posexplode(texts).alias("chunk_index", "c")).select(
-        *keep, "source_file", "chunk_index", F.col("c.text").alias("text"), F.col("c.section").alias("section"),
-        F.col("c.start_line").alias("start_line"), F.col("c.end_line").alias("end_line"))
-
-    long_docs = with_lines.where(is_long).select(*keep, "source_file", "text")
-    key_types = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keep)
-    schema = ((key_types + ", ") if keep else "") + ("source_file string, chunk_index int, text string, "
-                                                     "section string, start_line int, end_line int")
-    folded = long_docs.mapInPandas(_python_chunks(keep, target, overlap), schema)
-
-    chunks = exploded.unionByName(folded)
-    return chunks.where(F.length("text") >= min_chars).select(
+    exploded = with_lines.select(*keep, "source_file", F.posexplode(texts).alias("chunk_index", "c"))
+    return exploded.where(F.length(F.col("c.text")) >= min_chars).select(
         F.concat_ws(":", "source_file", F.col("chunk_index").cast("string")).alias("chunk_id"),
-        "text", "source_file", "section", "start_line", "end_line", "chunk_index", *keep)
+        F.col("c.text").alias("text"), "source_file", F.col("c.section").alias("section"),
+        F.col("c.start_line").alias("start_line"), F.col("c.end_line").alias("end_line"),
+        "chunk_index", *keep)

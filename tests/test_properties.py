@@ -90,11 +90,13 @@ def test_ranked_with_next_splits_a_hot_group(spark):
     assert hot_parts > 1  # the hot group really is spread over several pieces
 
 
-def test_long_documents_take_the_linear_path_with_equal_chunks(spark):
-    from conftest import SF_SMALL
-    from finspark.operators.retrieval import kb_corpus
-    docs = kb_corpus(spark, SF_SMALL)
-    cols = ["chunk_id", "text", "source_file", "section", "start_line", "end_line", "chunk_index", "doc_id"]
-    native = chunk_documents(docs, keep=("doc_id",)).select(*cols)
-    python = chunk_documents(docs, keep=("doc_id",), long_doc_lines=2).select(*cols)  # most docs > 2 lines
-    assert sorted(map(tuple, native.collect())) == sorted(map(tuple, python.collect()))
+def test_documents_longer_than_one_block_fold_exactly(spark):
+    from finspark.operators.chunking import BLOCK_LINES
+    texts = ["\n".join(("# H%d" % i) if i % 97 == 0 else ("w" * (i * 53 % 700)) for i in range(3 * BLOCK_LINES + 17)),
+             "\n".join("x" * 1000 for _ in range(BLOCK_LINES + 1)),
+             "\n".join("y" for _ in range(2 * BLOCK_LINES))]
+    df = spark.createDataFrame([(t, f"L{i}.md") for i, t in enumerate(texts)], "text string, source_file string")
+    got = {tuple(r) for r in chunk_documents(df).select(
+        "chunk_id", "text", "source_file", "section", "start_line", "end_line").collect()}
+    exp = {c for i, t in enumerate(texts) for c in chunk_model(t, f"L{i}.md")}
+    assert got == exp
