@@ -48,6 +48,22 @@ GROUNDED_ANSWER_LINES = [
 GROUNDED_FALLBACK = ("Based on retrieved documentation, churn is defined in the knowledge base, "
                      "but the exact definition was not strongly matched.")
 GROUNDED_NO_MATCH = "No strong matches found in the knowledge base."
+# Report texts.
+CAUSE_TESTS_FAILED = "dbt tests failed, likely schema or data quality regression in upstream models"
+CAUSE_VOLUME_DROP = "volume dropped sharply, likely missing ingest or incremental filter issue"
+CAUSE_FRESHNESS = "freshness failure, likely pipeline did not load newest partition"
+REASON_NO_HISTORY = "not enough history"
+REASON_PREV_ZERO = "previous day count was 0"
+REASON_NO_ROWS = "no rows"
+HEADLINE_DOWN = "Net revenue down {pct} versus prior day"
+HEADLINE_UP = "Net revenue up {pct} versus prior day"
+HEADLINE_STABLE = "Net revenue stable versus prior day"
+HEADLINE_NO_BASELINE = "Net revenue reported, but prior day baseline missing"
+HEADLINE_NO_DATA = "No daily revenue data found"
+NOTE_NO_DATA = "gold_daily_revenue missing or empty"
+DRIVER_REFUND_PRESSURE = "Refund pressure: Refund rate {rate} is elevated"
+FINDING_PII_COLUMN = "pii_column_name"
+FINDING_PII_VALUE = "pii_value_pattern"
 # ---------------------------------------------------------------------------
 
 # Date standing in for current_date wherever the reference uses "today"; it

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finspark.config import (COMPLIANCE_SAMPLE_COLUMNS, COMPLIANCE_SAMPLE_ROWS, EMAIL_PATTERN, PHONE_PATTERN,
-                             PII_COLUMN_HINTS)
+from finspark.config import (COMPLIANCE_SAMPLE_COLUMNS, COMPLIANCE_SAMPLE_ROWS, EMAIL_PATTERN,
+                             FINDING_PII_COLUMN, PHONE_PATTERN, PII_COLUMN_HINTS)
 from finspark.plans.catalog import LAYER_MODELS, publish
 from finspark.plans.pipeline import Pipeline
 from finspark.plans.registry import query
@@ -52,7 +52,7 @@ def pii_column_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) ->
     return (hits.groupBy("layer", "table_name")
             .agg(F.array_join(F.sort_array(F.collect_list("column_name")), ",").alias("evidence"))
             .select(F.concat_ws(".", "layer", "table_name").alias("object"),
-                    F.lit("pii_column_name").alias("type"), "evidence", F.lit("fail").alias("severity")))
+                    F.lit(FINDING_PII_COLUMN).alias("type"), "evidence", F.lit("fail").alias("severity")))
 
 
 def sampled_columns(df: DataFrame, strict_compat: bool = False) -> list[str]:

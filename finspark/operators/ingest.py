@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finspark.config import FINDING_PII_VALUE
 from finspark.operators.bronze import ENTITY_KEYS, with_load_time
 from finspark.operators.compliance import compliance_status, pii_column_findings, pii_value_findings
 from finspark.operators.insight import finance_insight
@@ -122,7 +123,7 @@ def report_compliance_q(spark, sf_dir):
     p = Pipeline(spark, sf_dir)
     cols = pii_column_findings(spark, p).select("object", "type", "evidence", "severity")
     vals = pii_value_findings(spark, p).where("finding").select(
-        "object", F.lit("pii_value_pattern").alias("type"),
+        "object", F.lit(FINDING_PII_VALUE).alias("type"),
         F.to_json(F.struct("email_detected", "phone_detected", "sampled_columns")).alias("evidence"),
         F.lit("warn").alias("severity"))
     g = gather({"summary": compliance_status(spark, p), "findings": cols.unionByName(vals)})

@@ -15,7 +15,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finspark.config import HEADLINE_MOVE_PCT, REFUND_PRESSURE_RATE
+from finspark.config import (DRIVER_REFUND_PRESSURE, HEADLINE_DOWN, HEADLINE_MOVE_PCT, HEADLINE_NO_BASELINE,
+                             HEADLINE_NO_DATA, HEADLINE_STABLE, HEADLINE_UP, NOTE_NO_DATA, REFUND_PRESSURE_RATE)
 from finspark.plans.pipeline import Pipeline
 from finspark.plans.registry import query
 
@@ -29,6 +30,12 @@ def pct_text(x: Column, decimals: int) -> Column:
     return F.format_string(f"%.{decimals}f%%", x * 100)
 
 
+def fill(template: str, key: str, value: Column) -> Column:
+    """A fixed text with one ``{key}`` placeholder filled by a column."""
+    before, after = template.split("{" + key + "}")
+    return F.concat(F.lit(before), value, F.lit(after))
+
+
 def latest_two_days(p: Pipeline, upto: dt.date | None = None) -> DataFrame:
     d = p.ref("gold_daily_revenue")
     if upto is not None:
@@ -57,14 +64,12 @@ def finance_insight(p: Pipeline, upto: dt.date | None = None, documented_drivers
     rate = F.when(F.col("latest_gross").isNull() | (F.col("latest_gross") == 0), F.lit(None).cast("double")) \
         .otherwise(F.col("latest_refunds") / F.col("latest_gross"))
     s = s.select("*", pct.alias("pct"), rate.alias("rate"))
-    headline = (F.when(F.col("pct").isNull(), "Net revenue reported, but prior day baseline missing")
-                .when(F.col("pct") < -HEADLINE_MOVE_PCT,
-                      F.concat(F.lit("Net revenue down "), pct_text(F.col("pct"), 1), F.lit(" versus prior day")))
-                .when(F.col("pct") > HEADLINE_MOVE_PCT,
-                      F.concat(F.lit("Net revenue up "), pct_text(F.col("pct"), 1), F.lit(" versus prior day")))
-                .otherwise("Net revenue stable versus prior day"))
-    drivers = [F.when(F.col("rate") > REFUND_PRESSURE_RATE, F.concat(
-        F.lit("Refund pressure: Refund rate "), pct_text(F.col("rate"), 2), F.lit(" is elevated")))]
+    headline = (F.when(F.col("pct").isNull(), HEADLINE_NO_BASELINE)
+                .when(F.col("pct") < -HEADLINE_MOVE_PCT, fill(HEADLINE_DOWN, "pct", pct_text(F.col("pct"), 1)))
+                .when(F.col("pct") > HEADLINE_MOVE_PCT, fill(HEADLINE_UP, "pct", pct_text(F.col("pct"), 1)))
+                .otherwise(HEADLINE_STABLE))
+    drivers = [F.when(F.col("rate") > REFUND_PRESSURE_RATE,
+                      fill(DRIVER_REFUND_PRESSURE, "rate", pct_text(F.col("rate"), 2)))]
     if documented_drivers:
         drivers += [
             F.when(F.col("latest_txn") < F.col("prev_txn") * LOW_VOLUME_RATIO, F.concat(
@@ -78,7 +83,7 @@ def finance_insight(p: Pipeline, upto: dt.date | None = None, documented_drivers
     return s.select(
         F.when(empty, "fail").when(driver_text != "", "warn").otherwise("pass").alias("status"),
         F.when(empty, "unknown").otherwise(F.col("latest_date").cast("string")).alias("as_of_date"),
-        F.when(empty, "No daily revenue data found").otherwise(headline).alias("headline"),
+        F.when(empty, HEADLINE_NO_DATA).otherwise(headline).alias("headline"),
         "latest_date",
         F.col("latest_net").alias("net_revenue"),
         F.col("latest_gross").alias("gross_transaction_amount"),
@@ -86,7 +91,7 @@ def finance_insight(p: Pipeline, upto: dt.date | None = None, documented_drivers
         F.round("pct", 6).alias("net_revenue_change_pct"),
         F.round("rate", 6).alias("refund_rate_amount_based"),
         F.when(empty, "").otherwise(driver_text).alias("drivers"),
-        F.when(empty, "gold_daily_revenue missing or empty").otherwise("").alias("notes"),
+        F.when(empty, NOTE_NO_DATA).otherwise("").alias("notes"),
     )
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finspark.config import (CAUSE_FRESHNESS, CAUSE_TESTS_FAILED, CAUSE_VOLUME_DROP, REASON_NO_HISTORY, REASON_NO_ROWS,
+                             REASON_PREV_ZERO)
 from finspark.functions.numeric import safe_ratio
 from finspark.plans.pipeline import Pipeline
 from finspark.plans.registry import query
@@ -164,8 +166,8 @@ def volume_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
               .when(pct > cfg.max_volume_spike_pct, "warn")
               .otherwise("pass"))
     reason = (F.when(F.col("error").isNotNull(), F.col("error"))
-              .when(F.coalesce(F.col("n_days"), F.lit(0)) < 2, "not enough history")
-              .when(F.col("prev_count") == 0, "previous day count was 0"))
+              .when(F.coalesce(F.col("n_days"), F.lit(0)) < 2, REASON_NO_HISTORY)
+              .when(F.col("prev_count") == 0, REASON_PREV_ZERO))
     return j.select("table_name", status.alias("status"), reason.alias("reason"), "latest_date",
                     "latest_count", "prev_date", "prev_count", F.round(pct, 6).alias("pct_change"))
 
@@ -179,13 +181,10 @@ def freshness_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
               .when(days_old <= p.config.max_freshness_days, "pass").otherwise("fail"))
     return j.select("table_name", status.alias("status"),
                     F.when(F.col("error").isNotNull(), F.col("error"))
-                    .when(F.col("max_date").isNull(), "no rows").alias("reason"),
+                    .when(F.col("max_date").isNull(), REASON_NO_ROWS).alias("reason"),
                     "max_date", days_old.alias("days_old"))
 
 
-VOLUME_CAUSE = "volume dropped sharply, likely missing ingest or incremental filter issue"
-TESTS_CAUSE = "dbt tests failed, likely schema or data quality regression in upstream models"
-FRESHNESS_CAUSE = "freshness failure, likely pipeline did not load newest partition"
 
 
 def validation_status(p: Pipeline) -> DataFrame:
@@ -208,9 +207,9 @@ def validation_status(p: Pipeline) -> DataFrame:
                   any_of("freshness", "is_fail").alias("fresh_fail"),
                   F.max(F.col("is_warn")).alias("any_warn"))
     causes = F.concat_ws(" | ",
-                         F.when(F.col("tests_failed"), F.lit(TESTS_CAUSE)),
-                         F.when(F.col("vol_fail"), F.lit(VOLUME_CAUSE)),
-                         F.when(F.col("fresh_fail"), F.lit(FRESHNESS_CAUSE)))
+                         F.when(F.col("tests_failed"), F.lit(CAUSE_TESTS_FAILED)),
+                         F.when(F.col("vol_fail"), F.lit(CAUSE_VOLUME_DROP)),
+                         F.when(F.col("fresh_fail"), F.lit(CAUSE_FRESHNESS)))
     status = (F.when(F.col("tests_failed") | F.col("vol_fail") | F.col("fresh_fail"), "fail")
               .when(F.col("any_warn"), "warn").otherwise("pass"))
     return j.select(status.alias("status"), "tests_failed", "vol_fail", "fresh_fail",
