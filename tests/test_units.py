@@ -242,3 +242,27 @@ def test_bronze_append_mode_keeps_duplicates(spark):
         load_bronze(spark, raw, table, "transactions", mode=mode)
     assert load_bronze(spark, raw, up, "transactions").count() == 2          # t2 replaced by itself
     assert load_bronze(spark, raw, ap, "transactions", mode="append").count() == 3  # t2 kept twice
+
+
+def test_dense_topk_batches_many_queries_like_brute_force(spark):
+    import numpy as np
+
+    from finspark.operators.retrieval import QUERY_BATCH, dense_topk
+    rng = np.random.default_rng(7)
+    vecs = rng.normal(size=(60, 8)).astype(np.float32)
+    qs = rng.normal(size=(QUERY_BATCH + 40, 8))
+    qs /= np.linalg.norm(qs, axis=1, keepdims=True)
+    vdf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)],
+                                "vec_id bigint, embedding array<float>")
+    qdf = spark.createDataFrame([(i, [float(x) for x in q]) for i, q in enumerate(qs)], "query_id bigint, qvec array<double>")
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in dense_topk(vdf, qdf, 3).collect()}
+    scores = np.round(qs @ vecs.astype(np.float64).T, 5)
+    for qi in range(len(qs)):
+        order = sorted(range(len(vecs)), key=lambda v: (-scores[qi, v], v))[:3]
+        assert [got[(qi, r)] for r in (1, 2, 3)] == order
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from finspark.session import ensure_checkpoint_dir
+    configured = spark.sparkContext.getCheckpointDir()
+    assert configured and ensure_checkpoint_dir(spark) == configured
