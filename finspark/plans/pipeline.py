@@ -54,6 +54,24 @@ class Pipeline:
             self._memo[name] = df
         return self._memo[name]
 
+    @classmethod
+    def from_materialized(cls, spark: SparkSession, sf_dir: str, out: str, layers=("silver", "gold", "platinum"),
+                          config: PipelineConfig | None = None) -> "Pipeline":
+        """A pipeline whose models of ``layers`` are read from ``out/<layer>/<model>``
+        (as written by :func:`finspark.plans.run.build_all`); models not found
+        there, and everything upstream of them, are still derived."""
+        from finspark.plans.catalog import LAYER_MODELS
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        found = {}
+        for layer in layers:
+            for m in LAYER_MODELS[layer]:
+                path = f"{out.rstrip('/')}/{layer}/{m}"
+                hp = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+                if hp.getFileSystem(conf).exists(hp):
+                    found[m] = spark.read.parquet(path)
+        return cls(spark, sf_dir, config, overrides=found)
+
     def raw(self, entity: str) -> DataFrame:
         return self.ref(f"raw_{entity}")
 
