@@ -60,11 +60,22 @@ def incremental_filter(batch: DataFrame, target: DataFrame | None, column: str,
     return batch.where(F.col(column) >= F.lit(hw))
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
+# Batch key sets up to this many rows are broadcast against the target.
+UPSERT_BROADCAST_KEYS = 2_000_000
+
+
+def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
+           broadcast_keys: int | None = UPSERT_BROADCAST_KEYS) -> DataFrame:
     """Delete+insert by key: target rows whose key appears in the batch are
     replaced by the batch rows; duplicate rows *inside* the batch are kept.
-    The key set is the only thing shuffled against the target."""
+
+    An incremental batch is usually small next to the target: its distinct
+    keys are counted and, below ``broadcast_keys``, broadcast, so the target
+    is filtered map-side without being shuffled.  Larger key sets use the
+    shuffle anti join.  ``broadcast_keys=None`` skips the count."""
     keys = [key] if isinstance(key, str) else list(key)
     batch_keys = batch.select(*keys).distinct()
+    if broadcast_keys is not None and batch_keys.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        batch_keys = F.broadcast(batch_keys)
     kept = target.join(batch_keys, on=keys, how="left_anti")
     return kept.unionByName(batch.select(*target.columns))

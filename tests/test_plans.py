@@ -59,3 +59,13 @@ def test_facts_joins_reuse_one_partitioning(spark):
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old[1])
     assert len(re.findall(r"Exchange hashpartitioning\(transaction_id", txt)) == 3
     assert txt.count("SortMergeJoin") == 2
+
+
+def test_small_upsert_batch_is_broadcast_against_the_target(spark):
+    from finspark.operators.macros import upsert
+    target = spark.range(1000).selectExpr("cast(id as string) as k", "id as v")
+    batch = spark.createDataFrame([("5", 50), ("2000", 1)], "k string, v long")
+    txt = plan(upsert(target, batch, "k"))
+    assert "BroadcastHashJoin" in txt and "LeftAnti" in txt
+    big = plan(upsert(target, batch, "k", broadcast_keys=1))
+    assert "SortMergeJoin" in big or "ShuffledHashJoin" in big or "BroadcastHashJoin" in big
