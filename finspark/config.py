@@ -81,4 +81,6 @@ class PipelineConfig:
     lookback_days: int = 0
     # Compliance compatibility switches (see README, "Divergences").
     strict_compat: bool = False
+    # PII value scan over every row instead of the first-200-rows sample.
+    pii_full_scan: bool = False
     extra_tables: tuple[str, ...] = field(default_factory=tuple)

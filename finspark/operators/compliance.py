@@ -76,11 +76,16 @@ def sampled_columns(df: DataFrame, strict_compat: bool = False) -> list[str]:
     return out[:COMPLIANCE_SAMPLE_COLUMNS]
 
 
-def value_scan(name: str, df: DataFrame, strict_compat: bool = False) -> DataFrame | None:
+def value_scan(name: str, df: DataFrame, strict_compat: bool = False, full_scan: bool = False) -> DataFrame | None:
+    """E-mail / phone pattern flags for one table: over the first 200 rows in
+    column order (a distributed top-k), or over every row with ``full_scan``
+    (a plain aggregation, no sort)."""
     cols = sampled_columns(df, strict_compat)
     if not cols:
         return None
-    sample = df.select(*cols).orderBy(*[F.col(c).asc_nulls_last() for c in cols]).limit(COMPLIANCE_SAMPLE_ROWS)
+    sample = df.select(*cols)
+    if not full_scan:
+        sample = sample.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).limit(COMPLIANCE_SAMPLE_ROWS)
     text = F.concat_ws(" ", *[F.col(c).cast("string") for c in cols])
     return sample.agg(
         F.coalesce(F.max(text.rlike(EMAIL_PATTERN)), F.lit(False)).alias("email_detected"),
@@ -105,7 +110,7 @@ def pii_value_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS, stri
             if obj in flagged:
                 continue
             try:
-                part = value_scan(obj, p.ref(m), strict_compat)
+                part = value_scan(obj, p.ref(m), strict_compat, p.config.pii_full_scan)
                 if part is not None:
                     part = part.withColumn("scan_error", F.lit(None).cast("string"))
             except Exception as e:  # analysis error -> scan_error finding (warn)

@@ -266,3 +266,11 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     from finspark.session import ensure_checkpoint_dir
     configured = spark.sparkContext.getCheckpointDir()
     assert configured and ensure_checkpoint_dir(spark) == configured
+
+
+def test_pii_full_scan_sees_rows_beyond_the_sample(spark):
+    from finspark.operators.compliance import value_scan
+    rows = [(f"note {i:04d}",) for i in range(300)] + [("zz reach me at someone@example.org",)]
+    df = spark.createDataFrame(rows, "note string")
+    assert value_scan("t", df).first()["email_detected"] is False      # sorted sample: first 200 only
+    assert value_scan("t", df, full_scan=True).first()["email_detected"] is True
