@@ -25,7 +25,7 @@ from __future__ import annotations
 import sys
 import uuid
 
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -188,6 +188,8 @@ def build_kb(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> tuple[D
     forces a fresh build."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if rebuild or key not in _BUILT:
+        if key in _BUILT:
+            _BUILT[key][1].unpersist()
         _BUILT[key] = _build_kb(spark, sf_dir)
     return _BUILT[key]
 
@@ -196,15 +198,20 @@ def _build_kb(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
     """Chunks, term index and idf, each computed once: the chunk table, the
     term counts and the weighted index are checkpointed (written to the
     shared checkpoint folder), cutting the lineage later queries would
-    otherwise re-run."""
+    otherwise re-run; the index is then kept partitioned by chunk key."""
     ensure_checkpoint_dir(spark)
     corpus = ensure_parallelism(kb_corpus(spark, sf_dir))
     chunks = chunk_documents(corpus, keep=("doc_id",)).withColumn(
         "ck", chunk_key(F.col("doc_id"), F.col("chunk_index"))).checkpoint(eager=True)
     counts = term_counts(chunks, "ck").checkpoint(eager=True)
     index, idf = build_index(chunks, counts)
-    # The weighted index is read by every query: materialise it once.
-    return chunks, index.checkpoint(eager=True), idf
+    # The weighted index is read by every query: written once to the
+    # checkpoint folder, then held hash-partitioned by chunk key, so the
+    # per-(query, chunk) score sums need no further shuffle.  Lost cached
+    # blocks are rebuilt from the checkpoint.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = index.checkpoint(eager=True).repartition(parts, "ck").persist(StorageLevel.MEMORY_AND_DISK)
+    return chunks, index, idf
 
 
 def retrieval_inputs(spark: SparkSession, sf_dir: str):
