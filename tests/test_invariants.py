@@ -32,3 +32,13 @@ def test_silver_keys_unique(spark):
                  ("silver_refunds", "refund_id"), ("silver_customers", "customer_id")):
         df = p.ref(m)
         assert df.count() == df.select(k).distinct().count(), m
+
+
+def test_checkpointed_layers_give_the_same_results(spark):
+    plain = Pipeline(spark, SF_SMALL)
+    ck = Pipeline(spark, SF_SMALL, checkpoint=("silver_", "gold_transaction_facts"))
+    for m in ("gold_daily_revenue", "gold_customer_metrics"):
+        a = sorted(map(tuple, plain.ref(m).drop("gold_loaded_at").collect()))
+        b = sorted(map(tuple, ck.ref(m).drop("gold_loaded_at").collect()))
+        assert a == b, m
+    assert "WindowGroupLimit" not in ck.ref("gold_daily_revenue")._jdf.queryExecution().executedPlan().toString()
