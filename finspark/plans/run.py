@@ -1,6 +1,6 @@
 """Batch job: build every layer and the reports.
 
-    spark-submit -m finspark.plans.run --sf-dir <tables> --out <shared folder>
+    spark-submit --py-files finspark.zip finspark/plans/run.py --sf-dir <tables> --out <shared folder>
 
 Silver is written first and read back, so gold and platinum are planned on
 top of the written silver tables (lineage cut at the layer boundary, the
