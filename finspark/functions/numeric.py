@@ -1,16 +1,10 @@
-"""Numeric helpers: guarded ratios and output normalisation."""
+"""Numeric helpers: guarded ratios (output rounding lives in plans.registry)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Output precision (applied once, at the model boundary).
-RATIO_DP = 6
-WINDOW_MONEY_DP = 4
-STAT_DP = 4
-
-
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -20,12 +14,3 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
     precision (ANSI-mode division by zero never raises)."""
     n, d = _c(num).cast("double"), _c(den).cast("double")
     return F.when(d == 0, F.lit(None).cast("double")).otherwise(n / d)
-
-
-def money(x: Column | str) -> Column:
-    """Exact decimal money rendered as DOUBLE for output."""
-    return _c(x).cast("double")
-
-
-def rounded(x: Column | str, dp: int) -> Column:
-    return F.round(_c(x).cast("double"), dp)
