@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
