@@ -72,6 +72,16 @@ class Pipeline:
                     found[m] = spark.read.parquet(path)
         return cls(spark, sf_dir, config, overrides=found)
 
+    @classmethod
+    def from_raw_csv(cls, spark: SparkSession, raw_path: str, config: PipelineConfig | None = None,
+                     file_pattern: str = "{entity}.csv") -> "Pipeline":
+        """A pipeline over raw entity CSV files (``<raw_path>/<entity>.csv``,
+        a file or a folder of parts), read with the fixed schemas."""
+        from finspark.sources.files import ENTITY_SCHEMAS, read_entity_csv
+        overrides = {f"raw_{e}": read_entity_csv(spark, f"{raw_path.rstrip('/')}/{file_pattern.format(entity=e)}", e)
+                     for e in ENTITY_SCHEMAS}
+        return cls(spark, raw_path, config, overrides=overrides)
+
     def raw(self, entity: str) -> DataFrame:
         return self.ref(f"raw_{entity}")
 

@@ -76,3 +76,16 @@ def test_batch_job_writes_layers_and_reports(spark):
     got = sorted(map(tuple, again.ref("gold_daily_revenue").drop("gold_loaded_at").collect()))
     exp = sorted(map(tuple, fresh.ref("gold_daily_revenue").drop("gold_loaded_at").collect()))
     assert got == exp
+
+
+def test_pipeline_from_raw_csv_files(spark):
+    from finspark.sources.files import ENTITY_SCHEMAS
+    fixtures = Pipeline(spark, SF_SMALL)
+    root = _scratch(spark, "raw-csv")
+    for e in ENTITY_SCHEMAS:
+        write_entity_csv(fixtures.raw(e), f"{root}/{e}.csv")
+    p = Pipeline.from_raw_csv(spark, root)
+    for m in ("gold_daily_revenue", "gold_mrr", "platinum_finance_exec_scorecard_monthly"):
+        a = sorted(map(tuple, p.ref(m).drop("gold_loaded_at").collect()))
+        b = sorted(map(tuple, fixtures.ref(m).drop("gold_loaded_at").collect()))
+        assert a == b, m
