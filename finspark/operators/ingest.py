@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from finspark.config import FINDING_PII_VALUE
 from finspark.operators.bronze import ENTITY_KEYS, with_load_time
-from finspark.operators.compliance import compliance_status, pii_column_findings, pii_value_findings
+from finspark.operators.compliance import ALL_LAYERS, compliance_status, pii_column_findings, pii_value_findings
 from finspark.operators.insight import finance_insight
 from finspark.operators.macros import incremental_filter, upsert
 from finspark.operators.quality import freshness_checks, schema_tests, validation_status, volume_checks
+from finspark.plans.catalog import LAYER_MODELS
 from finspark.plans.pipeline import Pipeline, for_output
 from finspark.plans.registry import query
 from finspark.session import ensure_checkpoint_dir
@@ -96,16 +97,23 @@ def gather(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def validation_report(p: Pipeline) -> DataFrame:
-    """One nested row: status, schema tests, volume / freshness checks and
-    likely causes."""
+    """One nested row: status, run times, schema-test summary, volume /
+    freshness checks and likely causes."""
+    import datetime as _dt
+    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat() + "Z"
     g = gather({"status": validation_status(p), "tests": schema_tests(p), "volume_checks": volume_checks(p),
                 "freshness_checks": freshness_checks(p)})
     st = F.element_at("status", 1)
-    return g.select(st["status"].alias("status"), F.split(st["likely_causes"], r" \| ").alias("likely_causes"),
-                    F.size("tests").alias("tests"),
-                    F.size(F.filter("tests", lambda t: t["status"] == "fail")).alias("failed_tests"),
+    failed = F.filter("tests", lambda t: t["status"] == "fail")
+    return g.select(st["status"].alias("status"),
+                    F.lit(started).alias("started_at"),
+                    F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("finished_at"),
+                    F.struct(F.size("tests").alias("tests"), F.size(failed).alias("failed_tests"),
+                             F.transform(failed, lambda t: F.concat_ws(".", t["model_name"], t["column_name"],
+                                                                       t["test_name"])).alias("failed"))
+                    .alias("test_summary"),
                     "volume_checks", "freshness_checks",
-                    F.current_timestamp().cast("string").alias("generated_at"))
+                    F.filter(F.split(st["likely_causes"], r" \| "), lambda c: c != "").alias("likely_causes"))
 
 
 @query("report_validation")
@@ -128,7 +136,9 @@ def report_compliance_q(spark, sf_dir):
         F.lit("warn").alias("severity"))
     g = gather({"summary": compliance_status(spark, p), "findings": cols.unionByName(vals)})
     s = F.element_at("summary", 1)
-    report = g.select(s["status"].alias("status"), s["checked_objects"].alias("checked_objects"), "findings")
+    checked = [f"{layer}.{m}" for layer in ALL_LAYERS for m in LAYER_MODELS[layer]]
+    report = g.select(s["status"].alias("status"), F.array(*[F.lit(c) for c in checked]).alias("checked_objects"),
+                      "findings")
     return _report_roundtrip(spark, report, "compliance-report")
 
 
