@@ -73,15 +73,23 @@ class Pipeline:
         return cls(spark, sf_dir, config, overrides=found)
 
     @classmethod
-    def from_raw_csv(cls, spark: SparkSession, raw_path: str, config: PipelineConfig | None = None,
-                     file_pattern: str = "{entity}.csv") -> "Pipeline":
-        """A pipeline over raw entity CSV files (``<raw_path>/<entity>.csv``,
-        a file or a folder of parts), read with the fixed schemas."""
-        from finspark.sources.files import ENTITY_SCHEMAS, read_entity_csv
-        overrides = {f"raw_{e}": read_entity_csv(spark, f"{raw_path.rstrip('/')}/{file_pattern.format(entity=e)}", e)
+    def from_raw_files(cls, spark: SparkSession, raw_path: str, fmt: str = "csv",
+                       config: PipelineConfig | None = None, file_pattern: str | None = None) -> "Pipeline":
+        """A pipeline over raw entity files ``<raw_path>/<entity>.<fmt>`` (a
+        file or a folder of parts) in CSV, JSON lines or parquet, read with
+        the fixed schemas."""
+        from finspark.sources.files import ENTITY_SCHEMAS, read_entity
+        pattern = file_pattern or "{entity}." + fmt
+        overrides = {f"raw_{e}": read_entity(spark, f"{raw_path.rstrip('/')}/{pattern.format(entity=e)}", e, fmt)
                      for e in ENTITY_SCHEMAS}
         return cls(spark, raw_path, config, overrides=overrides)
 
+    @classmethod
+    def from_raw_csv(cls, spark: SparkSession, raw_path: str, config: PipelineConfig | None = None,
+                     file_pattern: str = "{entity}.csv") -> "Pipeline":
+        """A pipeline over raw entity CSV files (``<raw_path>/<entity>.csv``)."""
+        return cls.from_raw_files(spark, raw_path, "csv", config, file_pattern)
+
     def raw(self, entity: str) -> DataFrame:
         return self.ref(f"raw_{entity}")
 

@@ -61,6 +61,20 @@ def read_entity_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
             .option("mode", "FAILFAST").csv(path))
 
 
+def read_entity(spark: SparkSession, path: str, entity: str, fmt: str = "csv") -> DataFrame:
+    """A raw entity from CSV, JSON lines or parquet, always with the fixed
+    schema (no inference pass; parquet columns are selected and cast)."""
+    schema = ENTITY_SCHEMAS[entity]
+    if fmt == "csv":
+        return read_entity_csv(spark, path, entity)
+    if fmt == "json":
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    if fmt == "parquet":
+        df = spark.read.parquet(path)
+        return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    raise ValueError(f"unsupported raw format {fmt!r}")
+
+
 def write_entity_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 

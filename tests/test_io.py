@@ -89,3 +89,16 @@ def test_pipeline_from_raw_csv_files(spark):
         a = sorted(map(tuple, p.ref(m).drop("gold_loaded_at").collect()))
         b = sorted(map(tuple, fixtures.ref(m).drop("gold_loaded_at").collect()))
         assert a == b, m
+
+
+def test_pipeline_from_raw_json_and_parquet(spark):
+    from finspark.sources.files import ENTITY_SCHEMAS
+    fixtures = Pipeline(spark, SF_SMALL)
+    exp = sorted(map(tuple, fixtures.ref("gold_transaction_facts").drop("gold_loaded_at").collect()))
+    for fmt in ("json", "parquet"):
+        root = _scratch(spark, f"raw-{fmt}")
+        for e in ENTITY_SCHEMAS:
+            fixtures.raw(e).write.mode("overwrite").format(fmt).save(f"{root}/{e}.{fmt}")
+        p = Pipeline.from_raw_files(spark, root, fmt)
+        got = sorted(map(tuple, p.ref("gold_transaction_facts").drop("gold_loaded_at").collect()))
+        assert got == exp, fmt
