@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from finspark.llm.ngram_join import jaccard_components
+from finspark.llm.substring_dedup import remove_repeats
 from finspark.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +24,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jaccard components of all documents (five words, 80 percent)."""
     return jaccard_components(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).toDF(
         "doc_id", "n_shingles", "component_id")
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents left after cutting 50-word windows that a smaller doc_id has."""
+    cut = remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

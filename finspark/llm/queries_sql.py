@@ -7,7 +7,7 @@ _WORDS = r"""
 words as (
   select doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), w -> w <> '') as w
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
   from documents)"""
 
 ORACLE_SQL["op2_ngram_jaccard"] = f"""
@@ -15,7 +15,7 @@ with recursive {_WORDS},
 spread as (
   select doc_id, case when len(w) = 0 then []
                       when len(w) < 5 then [array_to_string(w, ' ')]
-                      else list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) end as s
+                      else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) end as s
   from words),
 sizes as (select doc_id, len(s)::bigint as n from spread),
 grams as (select doc_id, unnest(s) as g from spread),
