@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finspark.llm.mixture import mix_sources
 from finspark.llm.ngram_join import jaccard_components
 from finspark.llm.substring_dedup import remove_repeats
 from finspark.sources.tables import read_table
@@ -31,3 +32,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents left after cutting 50-word windows that a smaller doc_id has."""
     cut = remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: weights 1, 2, 3 by source, three takings at most."""
+    mixed = mix_sources(read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"]), keep_text=False)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))

@@ -34,3 +34,39 @@ reach(doc_id, other) as (
 select doc_id, n as n_shingles, (select min(other) from reach where reach.doc_id = sizes.doc_id) as component_id
 from sizes
 """
+
+#: Schedules by place: 1.5 to 0.5, level, 0.5 to 1.5; all have an integral of 1.
+ORACLE_SQL["op9_mix_sources"] = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+         md5(coalesce(doc_id::varchar, '')) as ord
+  from documents),
+sources as (
+  select source, sum(size)::bigint as s, row_number() over (order by source nulls last) - 1 as place
+  from sized group by source),
+weighed as (select *, 3 * s as cap, [1, 2, 3][(place % 3 + 1)::int] as w from sources),
+filled as (
+  select *, (sum(s) over () - coalesce(sum(cap) over prior, 0))::double as room,
+         (sum(w) over () - coalesce(sum(w) over prior, 0))::double as weights
+  from weighed
+  window prior as (order by cap / w, source nulls last rows between unbounded preceding and 1 preceding)),
+judged as (select *, cap * weights <= room * w as at_cap from filled),
+targets as (
+  select source, s, place,
+         case when at_cap then cap::double
+              else (select arg_max(room / weights, weights) from judged where not at_cap) * w end as target
+  from judged),
+spread as (
+  select doc_id, size, s, place, target, case when s > 0 then floor(target / s) else 0 end as passes,
+         coalesce(sum(size) over (partition by sized.source order by ord rows between unbounded preceding and 1 preceding), 0) as here
+  from sized join targets on sized.source is not distinct from targets.source),
+counted as (
+  select *, passes + case when here + size / 2.0 < target - passes * s then 1 else 0 end as times, here / target as u
+  from spread)
+select doc_id, size, s as source_size, target, (size * times)::bigint as taken,
+       round(case when times < 1 then null else least(1.0, case place % 3
+         when 0 then u * 2 / (sqrt(greatest(1.5 * 1.5 + u * (2 * -1.0), 0)) + 1.5)
+         when 1 then u * 2 / (sqrt(greatest(1.0 + u * 0, 0)) + 1)
+         else u * 2 / (sqrt(greatest(0.5 * 0.5 + u * (2 * 1.0), 0)) + 0.5) end) end, 9) as position
+from counted
+"""
