@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from finspark.llm.mixture import mix_sources
 from finspark.llm.ngram_join import jaccard_components
 from finspark.llm.substring_dedup import remove_repeats
+from finspark.llm.toxicity import held_out, labelled_rows, learn_lexicon, score_toxicity
 from finspark.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,11 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: weights 1, 2, 3 by source, three takings at most."""
     mixed = mix_sources(read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"]), keep_text=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; learnt from at most 20,000 labelled rows outside the held-out fifth."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    lexicon = learn_lexicon(labelled_rows(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])))
+    return score_toxicity(docs, lexicon).select("doc_id", held_out().alias("held_out"), "score", "predicted")
