@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finspark.llm.decontaminate import contaminated
 from finspark.llm.mixture import mix_sources
 from finspark.llm.ngram_join import jaccard_components
 from finspark.llm.substring_dedup import remove_repeats
@@ -48,3 +49,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     lexicon = learn_lexicon(labelled_rows(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])))
     return score_toxicity(docs, lexicon).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the similarity of the best window."""
+    held = contaminated(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                        read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+    return held.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "common", "total")
