@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finspark.llm.decontaminate import contaminated
+from finspark.llm.license_scan import scan_licenses
 from finspark.llm.mixture import mix_sources
 from finspark.llm.ngram_join import jaccard_components
 from finspark.llm.substring_dedup import remove_repeats
@@ -57,3 +58,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = contaminated(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
                         read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
     return held.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "common", "total")
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License statements and notices in all documents."""
+    return scan_licenses(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).withColumnRenamed("id", "doc_id")
