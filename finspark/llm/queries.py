@@ -11,6 +11,7 @@ from finspark.llm.decontaminate import contaminated
 from finspark.llm.license_scan import scan_licenses
 from finspark.llm.mixture import mix_sources
 from finspark.llm.ngram_join import jaccard_components
+from finspark.llm.perplexity import quality_rules
 from finspark.llm.substring_dedup import remove_repeats
 from finspark.llm.toxicity import held_out, labelled_rows, learn_lexicon, score_toxicity
 from finspark.sources.tables import read_table
@@ -64,3 +65,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License statements and notices in all documents."""
     return scan_licenses(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base numbers and the perplexity verdict of all documents."""
+    return quality_rules(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])).withColumnRenamed("id", "doc_id")
