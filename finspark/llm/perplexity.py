@@ -1,7 +1,7 @@
 """Quality rules by n-gram perplexity: a modified Kneser-Ney model per language.
 
-Texts are read as bytes of 32 kinds (a-z; capital; white space; stop or comma; other
-ASCII; first and further bytes of other characters), with three white-space kinds ahead.
+Texts are read as bytes of 32 kinds (a-z; capital; white space; symbol; other ASCII;
+first and further bytes of other characters), with three white-space kinds ahead.
 Spark counts all 4-grams of all documents, per language: tasks sum in dense arrays, and
 the reducers add up what the tasks send.  32^4 grams bound the model whatever the corpus.
 Interpolated modified Kneser-Ney smoothing (three discounts per order from the counts of
@@ -9,9 +9,11 @@ counts, continuation counts below the highest order) gives each gram its probabi
 model is stored as one sorted array of gram hashes with log probabilities and back-off
 weights, and broadcast (2^20 + 2^15 + 2^10 + 2^5 entries per language at most).
 
-A document's log perplexity is its mean negative log probability.  Per language the band
-reaches ``width`` interquartile ranges beyond the quartiles of all documents that pass the
-base rules; documents outside are rejected.  The 31 most frequent languages have their
+A document's log perplexity is its mean negative log probability, each line read by the
+model that fits it best, so that quoted foreign lines do not tell against a document.  Per
+language the band reaches ``width`` interquartile ranges beyond the quartiles of all
+documents that pass the base rules, and further for short texts, whose means vary more
+(by the root of 1 + 50 / words); documents outside are rejected.  The 31 most frequent languages have their
 own model and band, all others share one.
 
 Base rules: too few words (under 20), or more than 30 percent of the words in 8-word
@@ -36,15 +38,17 @@ from finspark.llm.words import U64, Words, find_words, gram_hashes, mix, row_sum
 
 ORDER, KINDS, BITS = 4, 32, 5
 OWN_LANGUAGES = 31
+#: Words from which on a band is hardly wider than its language's.
+SHORT = 50
 _SLICE = 1 << 16
 
 
 def _kind_table() -> np.ndarray:
-    table = np.full(256, 29, np.int32)
+    table = np.full(256, 28, np.int32)
     table[ord("a"):ord("z") + 1] = np.arange(26)
     table[ord("A"):ord("Z") + 1] = 26
     table[[0x20, *range(0x09, 0x0E)]] = 27
-    table[[ord("."), ord(",")]] = 28
+    table[list(b"!#$%&*+/<=>@[]^_`{|}~\\")] = 29
     table[0xC0:] = 30
     table[0x80:0xC0] = 31
     return table
@@ -210,6 +214,23 @@ def _repeat_lines(words: Words) -> np.ndarray:
     return np.bincount(row[order][1:][again], minlength=len(words.first) - 1)
 
 
+def _log_perplexity(words: Words, known: dict[int, Model]) -> np.ndarray:
+    """Per row, the mean negative log probability; each line is read by the model that fits it best."""
+    grams, length = _grams(words.data, words.offsets), np.diff(words.offsets)
+    if not len(grams):
+        return np.full(len(length), np.nan)
+    cuts = np.unique(np.concatenate([words.offsets, np.flatnonzero(words.data == 0x0A) + 1]))
+    there = np.flatnonzero(np.bincount(grams, minlength=KINDS ** ORDER))
+    best = None
+    for model in known.values():
+        table = np.zeros(KINDS ** ORDER, np.float32)
+        table[there] = model.log_probability(there)
+        lines = row_sums(table[grams].astype(np.float64), cuts)
+        best = lines if best is None else np.maximum(best, lines)
+    row = np.searchsorted(words.offsets, cuts[:-1], side="right") - 1
+    return np.where(length > 0, -np.bincount(row, best, len(length)) / np.maximum(length, 1), np.nan)
+
+
 def _rule_rows(models):
     def run(batches):
         known = {lang: Model(*parts) for lang, parts in models.value.items()}
@@ -218,16 +239,7 @@ def _rule_rows(models):
                 words = find_words(part.column("text"))
                 hashes = word_hashes(words)
                 solid = ((words.data & 0xC0) != 0x80) & (_KIND[words.data] != 27)
-                grams, value = _grams(words.data, words.offsets), np.zeros(len(words.data))
-                for lang, _, own in _by_language(part, words):
-                    some = grams[own]
-                    if len(some):
-                        there = np.flatnonzero(np.bincount(some, minlength=KINDS ** ORDER))
-                        table = np.zeros(KINDS ** ORDER, np.float32)
-                        table[there] = known[lang].log_probability(there)
-                        value[own] = table[some]
-                length = np.diff(words.offsets)
-                mean = np.where(length > 0, -row_sums(value, words.offsets) / np.maximum(length, 1), np.nan)
+                mean = _log_perplexity(words, known)
                 numbers = [words.counts, row_sums(solid.astype(np.int64), words.offsets),
                            row_sums(_SYMBOL[words.data], words.offsets), _repeat_lines(words), _repeat_words(words, hashes)]
                 yield pa.RecordBatch.from_arrays(
@@ -247,7 +259,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  width: float = 3.0) -> DataFrame:
+                  width: float = 4.5) -> DataFrame:
     """One row per document: the base numbers, ``log_perplexity``, the band ``low`` to ``high`` of
     its language, ``base_failed`` and ``kept``."""
     spark = docs.sparkSession
@@ -267,8 +279,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rules = written(texts.mapInArrow(_rule_rows(shared), kinds).withColumn("base_failed", failed), "rules")
     quartiles = (rules.filter("not base_failed").groupBy("lang")
                  .agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q")))
-    reach = (F.col("q")[1] - F.col("q")[0]) * width
-    bands = quartiles.select("lang", (F.col("q")[0] - reach).alias("low"), (F.col("q")[1] + reach).alias("high"))
+    bands = quartiles.select("lang", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"),
+                             ((F.col("q")[1] - F.col("q")[0]) * width).alias("reach"))
+    wider = F.sqrt(1 + F.lit(float(SHORT)) / F.greatest(F.col("n_words"), F.lit(1)))
     inside = F.col("log_perplexity").between(F.col("low"), F.col("high"))
-    return rules.join(F.broadcast(bands), "lang", "left").withColumn(
-        "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("lang")
+    return rules.join(F.broadcast(bands), "lang", "left").withColumns({
+        "low": F.col("low") - F.col("reach") * wider, "high": F.col("high") + F.col("reach") * wider}).withColumn(
+        "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("lang", "reach")

@@ -13,6 +13,7 @@ from finspark.llm.mixture import mix_sources
 from finspark.llm.ngram_join import jaccard_components
 from finspark.llm.perplexity import quality_rules
 from finspark.llm.substring_dedup import remove_repeats
+from finspark.llm.token_scan import count_tokens, read_ranks, write_tokens
 from finspark.llm.toxicity import held_out, labelled_rows, learn_lexicon, score_toxicity
 from finspark.sources.tables import read_table
 
@@ -71,3 +72,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base numbers and the perplexity verdict of all documents."""
     return quality_rules(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])).withColumnRenamed("id", "doc_id")
+
+
+#: Vocabulary of the token queries, the split pattern of that vocabulary and its free id.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+END_ID = 50_256
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, counted from flat token streams of the whole table."""
+    ranks = read_ranks(spark, TOKENIZER)
+    blocks, order = write_tokens(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), ranks, SPLIT, END_ID)
+    return count_tokens(blocks, END_ID).join(order, ["stream", "ordinal"]).select(F.col("id").alias("doc_id"), "n_tokens")

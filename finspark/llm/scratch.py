@@ -19,7 +19,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     there, any executor can read it, and readers take only the columns they need."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
