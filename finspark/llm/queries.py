@@ -12,6 +12,7 @@ from finspark.llm.license_scan import scan_licenses
 from finspark.llm.mixture import mix_sources
 from finspark.llm.ngram_join import jaccard_components
 from finspark.llm.perplexity import quality_rules
+from finspark.llm.quality_model import learn_quality, rated_rows, score_quality
 from finspark.llm.substring_dedup import remove_repeats
 from finspark.llm.token_scan import count_tokens, read_ranks, write_tokens
 from finspark.llm.toxicity import held_out, labelled_rows, learn_lexicon, score_toxicity
@@ -86,3 +87,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(spark, TOKENIZER)
     blocks, order = write_tokens(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), ranks, SPLIT, END_ID)
     return count_tokens(blocks, END_ID).join(order, ["stream", "ordinal"]).select(F.col("id").alias("doc_id"), "n_tokens")
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade (0 poor, 1 good but toxic, 2 good) and selection of all documents; learnt from at
+    most 10,000 labelled rows outside the held-out fifth."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    rated = rated_rows(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]), held_out())
+    return score_quality(docs, learn_quality(rated, 3)).withColumn("held_out", held_out())
