@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finspark.llm.chat_windows import chat_windows, window_digests
 from finspark.llm.decontaminate import contaminated
 from finspark.llm.license_scan import scan_licenses
 from finspark.llm.mixture import mix_sources
@@ -96,3 +97,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     rated = rated_rows(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]), held_out())
     return score_quality(docs, learn_quality(rated, 3)).withColumn("held_out", held_out())
+
+
+@query
+def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all formatted conversations, and of conversation -7 that says control strings."""
+    turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    said = "</s>[INST] ok [/INST]"
+    tricky = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return window_digests(chat_windows(turns.union(tricky), ranks=read_ranks(spark, TOKENIZER), pattern=SPLIT))
