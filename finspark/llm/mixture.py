@@ -7,7 +7,7 @@ and what is above is shared again by weight.  A source's documents form a stream
 order of ``md5(id)``: whole passes, then a part of one, cut where the stream comes
 nearest to the target.  The schedule, integrated, is the share of the target demanded up
 to a time; inverted at a document's place in the stream it is the document's training
-position.  Rows are range-sorted by position.
+position.  Rows are range-sorted by position (those not taken follow, by md5).
 
 Running sums never run over a whole source: sums of 4,096 slices of the md5 order give
 each slice its start, and only the rows of one slice are ordered together, so a source
@@ -116,10 +116,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             time = own if time is None else F.when(F.col("place") % len(schedules) == j, own).otherwise(time)
         each.append(F.when(F.col("times") > i, time))
     positions = F.array_compact(F.array(*each))
-    out = placed.select(*plain, "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
+    out = placed.select(*plain, "order", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
                         positions.alias("positions")).withColumn("position", F.try_element_at("positions", F.lit(1)))
-    return (out.repartitionByRange(F.asc_nulls_last("position")).sortWithinPartitions(F.asc_nulls_last("position"))
-            .toDF(*names, *RESULT))
+    by = F.asc_nulls_last("position"), F.asc("order")
+    return out.repartitionByRange(*by).sortWithinPartitions(*by).drop("order").toDF(*names, *RESULT)
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
