@@ -23,6 +23,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that may be broadcast (some 16 MB); they are counted first.
+SMALL_ROWS = 1_000_000
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """``df``, written and counted, to be broadcast if it has few rows and joined by shuffle otherwise."""
+    df = written(df, "side")
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 

@@ -154,11 +154,11 @@ def _pair_rows(lexicon: Lexicon):
     return run
 
 
-def _value_rows(lexicon: Lexicon, extra: Sequence[str]):
+def _value_rows(lexicon: Lexicon, extra: Sequence[str], source: str = "text"):
     def run(batches):
         automaton = lexicon.automaton()
         for batch in batches:
-            values = [lexicon.value(automaton, fold(x.as_py())) for x in batch.column("text")]
+            values = [lexicon.value(automaton, fold(x.as_py())) for x in batch.column(source)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in extra), pa.array(values, pa.float64())],
                                              [*extra, "value"])
     return run
@@ -219,13 +219,15 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) ->
     return F.broadcast(chosen).join(docs.select(F.col("doc_id").alias("id"), "text"), "id").select("id", "text", "toxic")
 
 
-def score_toxicity(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with ``score`` (0 to 1) and ``predicted`` (1 from 0.5)."""
-    names = [c for c in docs.columns if c not in (text_col, "score", "predicted", "value")]
+def score_toxicity(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs``, with or without its text, with ``score`` (0 to 1) and ``predicted`` (1 from 0.5)."""
+    names = [c for c in docs.columns if c not in ("score", "predicted") and (keep_text or c != text_col)]
     plain = [f"_{i}" for i in range(len(names))]
-    rows = docs.select(*(F.col(f"`{c}`").alias(p) for c, p in zip(names, plain)), F.col(text_col).alias("text"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(p) for c, p in zip(names, plain)),
+                       *([] if keep_text else [F.col(text_col).alias("text")]))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    valued = rows.mapInArrow(_value_rows(lexicon, plain), kinds + ", value double")
+    source = plain[names.index(text_col)] if keep_text else "text"
+    valued = rows.mapInArrow(_value_rows(lexicon, plain, source), kinds + ", value double")
     score = 1 / (1 + F.exp(-(F.col("value") * lexicon.slope + lexicon.base)))
     return valued.select(*plain, score.alias("score"), F.when(score >= 0.5, 1).otherwise(0).alias("predicted")).toDF(
         *names, "score", "predicted")
