@@ -64,16 +64,17 @@ NOTE_NO_DATA = "gold_daily_revenue missing or empty"
 DRIVER_REFUND_PRESSURE = "Refund pressure: Refund rate {rate} is elevated"
 FINDING_PII_COLUMN = "pii_column_name"
 FINDING_PII_VALUE = "pii_value_pattern"
+FINDING_SCAN_ERROR = "scan_error"
 # ---------------------------------------------------------------------------
 
-# Date standing in for current_date wherever the reference uses "today"; it
-# lies after the last fixture date so results are reproducible.
-DEFAULT_AS_OF = dt.date(2002, 1, 1)
+# Run date of the registered queries: after the last fixture date, so that
+# their results are reproducible.  Runs without a date use the current one.
+FIXTURE_AS_OF = dt.date(2002, 1, 1)
 
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    as_of: dt.date = DEFAULT_AS_OF
+    as_of: dt.date | None = None  # None: the current date
     max_volume_drop_pct: float = MAX_VOLUME_DROP_PCT
     max_volume_spike_pct: float = MAX_VOLUME_SPIKE_PCT
     max_freshness_days: int = MAX_FRESHNESS_DAYS
@@ -81,6 +82,6 @@ class PipelineConfig:
     lookback_days: int = 0
     # Compliance compatibility switches (see README, "Divergences").
     strict_compat: bool = False
-    # PII value scan over every row instead of the first-200-rows sample.
-    pii_full_scan: bool = False
+    # PII value scan over the first 200 rows and six columns only (every row and column otherwise).
+    pii_sample: bool = False
     extra_tables: tuple[str, ...] = field(default_factory=tuple)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def run_date(as_of: dt.date | None) -> Column:
+    """The run's date: the given one, or the current date."""
+    return F.current_date() if as_of is None else F.lit(as_of)
+
+
 def day_of(ts: Column | str) -> Column:
     """``date(ts)``."""
     return F.to_date(_c(ts))

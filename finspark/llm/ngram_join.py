@@ -15,9 +15,10 @@ components of all links.
    prefix shingles, with the size and position filters.
 5. First each group member is held against its group's leader, and each group against
    the leader it shares most shingles with; this joins large groups of near copies with
-   one comparison per member.  Then every group pair that still spans two components
-   is expanded to its members and verified.  Pairs inside a component need no test:
-   they cannot change it.  No link between different texts is lost.
+   one comparison per member.  Then every member that shares a prefix shingle with
+   another component, and passes the filters, is held against all of that component, in
+   blocks of bounded size.  Pairs inside a component need no test: they cannot change it.
+   No link between different texts is lost.
 
 Defined cases: a null or empty text, or one without words, has an empty set, links with
 nothing and is its own component.  A text of fewer than ``k`` words has one shingle, its
@@ -40,6 +41,10 @@ from finspark.llm.scratch import components, shuffle_partitions, written
 from finspark.llm.words import U64, find_words, mix, pack, row_sums, shingle_sets, slices, unpack
 
 _KEY, _MOST = 6, 65_535
+#: Turns of one comparison per group at most, before all that is open is compared.
+MAX_TURNS = 12
+#: Classes of a component that are compared together.
+BLOCK = 64
 
 
 def _sets(batch: pa.RecordBatch, k: int):
@@ -198,29 +203,88 @@ def _grouped(members: DataFrame) -> DataFrame:
     return members.select("class", "n", "prefix_key").join(leaders, ["n", "prefix_key"]).select("class", "leader")
 
 
-def _near_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each leader with the first leader of a prefix shingle, the one it meets in most shingles."""
-    firsts = postings.groupBy("key").agg(F.min_by(F.struct("leader", "n", "pos"), "leader").alias("p"))
-    met = (postings.alias("x").join(firsts.select("key", "p.*").alias("y"), F.col("x.key") == F.col("y.key"))
-           .filter("x.leader > y.leader").filter(_fits("x", "y", percent))
-           .groupBy(F.col("x.leader").alias("a"), F.col("y.leader").alias("b")).agg(F.count("*").alias("times")))
-    return met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
-
-
-def _open_pairs(postings: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that may link and lie in different components so far."""
-    kinds = placed.select("leader", "component").distinct()
+def _torn(postings: DataFrame, placed: DataFrame) -> DataFrame:
+    """Postings, one per component of a group, of the shingles that still meet several components."""
+    sizes = placed.groupBy("component").agg(F.count("*").alias("members"))
+    kinds = placed.groupBy("leader", "component").agg(F.min("class").alias("class")).join(sizes, "component")
     entries = postings.join(kinds, "leader")
     torn = (entries.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
             .filter("lo < hi").select("key"))
-    entries = written(entries.join(torn, "key"), "entries")
-    met = (entries.alias("x").join(entries.alias("y"), F.col("x.key") == F.col("y.key"))
-           .filter("x.component < y.component").filter(_fits("x", "y", percent))
-           .select(*(F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in "xy" for c in ("leader", "component"))).distinct())
-    side = lambda s, as_: placed.select(
-        F.col("class").alias(as_), F.col("leader").alias(f"leader_{s}"), F.col("component").alias(f"component_{s}"))
-    return (met.join(side("x", "a"), ["leader_x", "component_x"])
-            .join(side("y", "b"), ["leader_y", "component_y"]).select("a", "b"))
+    return written(entries.join(torn, "key"), "torn")
+
+
+def _near_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each entry's class with one class of another component: every shingle names an entry of
+    its largest component, the first and in later turns others; the one named most is taken."""
+    rank = F.struct("members", -F.col("class") if turn == 0 else F.xxhash64("class", F.lit(turn)))
+    named = entries.groupBy("key").agg(F.max_by(F.struct("component", "class", "n", "pos"), rank).alias("p"))
+    met = (entries.alias("x").join(named.select("key", "p.*").alias("y"), F.col("x.key") == F.col("y.key"))
+           .filter("x.component <> y.component").filter(_fits("x", "y", percent))
+           .groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b")).agg(F.count("*").alias("times")))
+    return met.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
+
+
+def _open_pairs(entries: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """(class, component) of classes that may link with a class of another, larger component.
+
+    The larger component counts as one posting with its extreme sizes and positions."""
+    whole = entries.groupBy("key", "component", "members").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("left"))
+    n, best = F.col("x.n"), F.least(F.col("x.n") - F.col("x.pos"), F.col("left"))
+    fits = ((100 * F.col("hi") >= percent * n) & (100 * n >= percent * F.col("lo"))
+            & ((100 + percent) * best >= percent * (n + F.col("lo"))))
+    larger = F.struct("x.members", "x.component") < F.struct("y.members", "y.component")
+    met = (entries.alias("x").join(whole.alias("y"), F.col("x.key") == F.col("y.key")).filter(larger).filter(fits)
+           .select("x.leader", F.col("x.component").alias("own"), F.col("y.component").alias("component")).distinct())
+    own = placed.select("leader", F.col("component").alias("own"), "class")
+    return met.join(own, ["leader", "own"]).select("class", "component")
+
+
+def _in_blocks(rows: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """Rows of (component, class) with the classes' sets, in lists of some ``BLOCK`` by component."""
+    counts = rows.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    return (rows.join(counts, "component").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+            .join(classes.select("class", "n", "keys"), "class").groupBy("component", "block")
+            .agg(F.collect_list(F.struct("class", "n", "keys")).alias(name)).drop("block"))
+
+
+def _block_rows(percent: int):
+    """One link (a, b) at most of each class of one list with a class of the other."""
+    def run(batches):
+        for batch in batches:
+            for one, two in zip(batch.column("xs"), batch.column("ys")):
+                ys = two.as_py()
+                keys = np.concatenate([np.frombuffer(y["keys"], U64) for y in ys])
+                owner = np.repeat(np.arange(len(ys)), [len(y["keys"]) // 8 for y in ys])
+                order = np.argsort(keys, kind="stable")
+                keys, owner, sizes = keys[order], owner[order], np.array([y["n"] for y in ys])
+                found = []
+                for x in one.as_py():
+                    own = np.frombuffer(x["keys"], U64)
+                    low, high = np.searchsorted(keys, own), np.searchsorted(keys, own, side="right")
+                    change = np.bincount(low, minlength=len(keys) + 1) - np.bincount(high, minlength=len(keys) + 1)
+                    common = np.bincount(owner[np.cumsum(change)[:-1] > 0], minlength=len(ys))
+                    links = np.flatnonzero(100 * common >= percent * (x["n"] + sizes - common))
+                    found += [(x["class"], ys[links[0]]["class"])] if len(links) else []
+                a, b = zip(*found) if found else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
+def _open_links(open_: DataFrame, placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links between each (class, component): every class is held against all of the component."""
+    open_ = written(open_, "open")
+    others = placed.select("component", "class").join(open_.select("component").distinct(), "component")
+    both = _in_blocks(open_, classes, "xs").join(_in_blocks(others, classes, "ys"), "component").select("xs", "ys")
+    return both.mapInArrow(_block_rows(percent), "a bigint, b bigint")
+
+
+def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``placed`` with the components that links between classes join."""
+    of = lambda x: placed.select(F.col("class").alias(x), F.col("component").alias(f"c_{x}"))
+    joined = components(links.join(of("a"), "a").join(of("b"), "b").select("c_a", "c_b"), "c_a", "c_b").toDF("component", "to")
+    return written(placed.join(joined, "component", "left").select(
+        "class", "leader", F.coalesce("to", "component").alias("component")), "placed")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -250,15 +314,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .select(F.col("class").alias("leader"), "n", "single", F.posexplode("prefix").alias("i", "key"))
         .select("key", "leader", "n", (F.col("single") + F.col("i")).alias("pos")), "postings")
 
-    near = (grouped.filter("class <> leader").select(F.col("class").alias("a"), F.col("leader").alias("b"))
-            .union(_near_pairs(postings, percent)))
-    links = written(_linked(near, members, percent), "links")
-    placed = written(
-        grouped.join(components(links, "a", "b").withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("component", F.coalesce("component", "class")), "placed")
-    more = _linked(_open_pairs(postings, placed, percent), members, percent)
-    found = components(links.union(more), "a", "b")
-
+    alone = grouped.withColumn("component", F.col("class"))
+    inner = grouped.filter("class <> leader").select(F.col("class").alias("a"), F.col("leader").alias("b"))
+    placed = _merged(alone, written(_linked(inner, members, percent), "links"))
+    entries = _torn(postings, placed)
+    for turn in range(MAX_TURNS):
+        links = written(_linked(_near_pairs(entries, turn, percent), members, percent), "links")
+        placed = _merged(placed, links)
+        before, entries = entries.count(), _torn(postings, placed)
+        if entries.count() > 0.97 * before:
+            break
+    placed = _merged(placed, written(_open_links(_open_pairs(entries, placed, percent), placed, members, percent), "links"))
+
+    found = placed.select(F.col("class").alias("node"), "component")
     named = (classes.join(found.withColumnRenamed("node", "class"), "class", "left")
              .select("set", "more", "n", F.coalesce("component", "class").alias("component")))
     return (rows.join(named, ["set", "more", "n"], "left")

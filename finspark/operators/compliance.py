@@ -2,9 +2,11 @@
 
 * Column-name scan over the model schemas; catalog listing of published views
   (metadata only).
-* Value-pattern scan: a bounded, deterministic sample per table
-  (``orderBy(...).limit(200)`` -> distributed top-k), values concatenated per
-  row and matched with the e-mail / phone patterns (JVM regex), ``bool_or``.
+* Value-pattern scan: every row and string column of a table in one
+  aggregation (no sort), values concatenated per row and matched with the
+  e-mail / phone patterns (JVM regex), ``bool_or``; a sample is an option.
+* A table that cannot be read yields a ``scan_error`` finding with the whole
+  error text; the other tables are scanned.
 * Text scan at scale: the same two patterns counted over every document.
 """
 
@@ -20,7 +22,7 @@ from finspark.config import (COMPLIANCE_SAMPLE_COLUMNS, COMPLIANCE_SAMPLE_ROWS,
                              FINDING_PII_COLUMN, PHONE_PATTERN, PII_COLUMN_HINTS)
 from finspark.plans.catalog import LAYER_MODELS, publish
 from finspark.plans.pipeline import Pipeline
-from finspark.plans.registry import query
+from finspark.plans.registry import pipeline, query
 from finspark.sources.tables import read_table
 
 DEFAULT_LAYERS = ("gold", "platinum")
@@ -39,9 +41,9 @@ def catalog_columns(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> Data
 
 def schema_columns(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> DataFrame:
     """Same rows as :func:`catalog_columns`, read from the model schemas
-    (metadata only, no catalog round trips)."""
-    rows = [(layer, m, f.name, f.dataType.simpleString(), i)
-            for layer in layers for m in LAYER_MODELS[layer] for i, f in enumerate(p.ref(m).schema.fields)]
+    (metadata only, no catalog round trips); models that cannot be read are left out."""
+    rows = [(*obj.split("."), f.name, f.dataType.simpleString(), i)
+            for obj, df in model_frames(p, layers)[0].items() for i, f in enumerate(df.schema.fields)]
     schema = "layer string, table_name string, column_name string, data_type string, ordinal int"
     return spark.createDataFrame(rows, schema)
 
@@ -55,8 +57,22 @@ def pii_column_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) ->
                     F.lit(FINDING_PII_COLUMN).alias("type"), "evidence", F.lit("fail").alias("severity")))
 
 
-def sampled_columns(df: DataFrame, strict_compat: bool = False) -> list[str]:
-    """First N columns eligible for value sampling.
+def model_frames(p: Pipeline, layers=ALL_LAYERS) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The models of the layers by "layer.model", and the error texts of those that cannot be read.
+
+    Reading a model's schema and planning one row finds missing tables, columns and paths."""
+    frames, errors = {}, {}
+    for layer in layers:
+        for m in LAYER_MODELS[layer]:
+            try:
+                frames[f"{layer}.{m}"] = p.ref(m)
+            except Exception as e:  # noqa: BLE001  any failure of one table is a finding
+                errors[f"{layer}.{m}"] = str(e)
+    return frames, errors
+
+
+def scanned_columns(df: DataFrame, strict_compat: bool = False, sample: bool = False) -> list[str]:
+    """Columns eligible for the value scan; only the first six of them in a sample.
 
     Compatibility mode drops every name containing "id" (also ``is_paid``,
     ``paid_amount``) and keeps every type.  Default mode drops only ``id`` /
@@ -73,21 +89,21 @@ def sampled_columns(df: DataFrame, strict_compat: bool = False) -> list[str]:
             if n == "id" or n.endswith("_id") or not isinstance(f.dataType, T.StringType):
                 continue
         out.append(f.name)
-    return out[:COMPLIANCE_SAMPLE_COLUMNS]
+    return out[:COMPLIANCE_SAMPLE_COLUMNS] if sample else out
 
 
-def value_scan(name: str, df: DataFrame, strict_compat: bool = False, full_scan: bool = False) -> DataFrame | None:
-    """E-mail / phone pattern flags for one table: over the first 200 rows in
-    column order (a distributed top-k), or over every row with ``full_scan``
-    (a plain aggregation, no sort)."""
-    cols = sampled_columns(df, strict_compat)
+def value_scan(name: str, df: DataFrame, strict_compat: bool = False, sample: bool = False) -> DataFrame | None:
+    """E-mail / phone pattern flags for one table: over every row (a plain
+    aggregation, no sort), or with ``sample`` over the first 200 rows in
+    column order (a distributed top-k)."""
+    cols = scanned_columns(df, strict_compat, sample)
     if not cols:
         return None
-    sample = df.select(*cols)
-    if not full_scan:
-        sample = sample.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).limit(COMPLIANCE_SAMPLE_ROWS)
+    rows = df.select(*cols)
+    if sample:
+        rows = rows.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).limit(COMPLIANCE_SAMPLE_ROWS)
     text = F.concat_ws(" ", *[F.col(c).cast("string") for c in cols])
-    return sample.agg(
+    return rows.agg(
         F.coalesce(F.max(text.rlike(EMAIL_PATTERN)), F.lit(False)).alias("email_detected"),
         F.coalesce(F.max(text.rlike(PHONE_PATTERN)), F.lit(False)).alias("phone_detected"),
     ).select(F.lit(name).alias("object"), "email_detected", "phone_detected",
@@ -101,24 +117,17 @@ def pii_value_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS, stri
     ``strict_compat`` defaults to the pipeline's config."""
     if strict_compat is None:
         strict_compat = p.config.strict_compat
-    flagged = {f"{layer}.{m}" for layer in layers for m in LAYER_MODELS[layer]
-               if any(c.lower() in PII_COLUMN_HINTS for c in p.ref(m).columns)}
+    frames, errors = model_frames(p, layers)
     parts = []
-    for layer in layers:
-        for m in LAYER_MODELS[layer]:
-            obj = f"{layer}.{m}"
-            if obj in flagged:
-                continue
-            try:
-                part = value_scan(obj, p.ref(m), strict_compat, p.config.pii_full_scan)
-                if part is not None:
-                    part = part.withColumn("scan_error", F.lit(None).cast("string"))
-            except Exception as e:  # analysis error -> scan_error finding (warn)
-                part = spark.createDataFrame([(obj, None, None, None, str(e).splitlines()[0][:200])],
-                                             "object string, email_detected boolean, phone_detected boolean, "
-                                             "sampled_columns string, scan_error string")
-            if part is not None:
-                parts.append(part)
+    for obj, df in frames.items():
+        if any(c.lower() in PII_COLUMN_HINTS for c in df.columns):
+            continue
+        part = value_scan(obj, df, strict_compat, p.config.pii_sample)
+        if part is not None:
+            parts.append(part.withColumn("scan_error", F.lit(None).cast("string")))
+    schema = "object string, email_detected boolean, phone_detected boolean, sampled_columns string, scan_error string"
+    if errors or not parts:
+        parts.append(spark.createDataFrame([(o, None, None, None, text) for o, text in errors.items()], schema))
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.withColumn("finding", F.col("scan_error").isNotNull()
                           | F.coalesce(F.col("email_detected") | F.col("phone_detected"), F.lit(False)))
@@ -150,22 +159,22 @@ def pii_scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compliance_catalog_q(spark, sf_dir):
     """Tables and columns of the gold and platinum layers, as listed by the
     catalog (engine-specific type names left out)."""
-    return catalog_columns(spark, Pipeline(spark, sf_dir), DEFAULT_LAYERS).drop("data_type")
+    return catalog_columns(spark, pipeline(spark, sf_dir), DEFAULT_LAYERS).drop("data_type")
 
 
 @query("pii_scan_columns")
 def pii_scan_columns_q(spark, sf_dir):
-    return pii_column_findings(spark, Pipeline(spark, sf_dir))
+    return pii_column_findings(spark, pipeline(spark, sf_dir))
 
 
 @query("pii_scan_values")
 def pii_scan_values_q(spark, sf_dir):
-    return pii_value_findings(spark, Pipeline(spark, sf_dir))
+    return pii_value_findings(spark, pipeline(spark, sf_dir))
 
 
 @query("compliance_status")
 def compliance_status_q(spark, sf_dir):
-    return compliance_status(spark, Pipeline(spark, sf_dir))
+    return compliance_status(spark, pipeline(spark, sf_dir))
 
 
 @query("pii_scan_documents")

@@ -11,18 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finspark.functions.dates import day_of, month_start
+from finspark.functions.dates import day_of, month_start, run_date
 from finspark.functions.masking import standardize_email
 from finspark.functions.numeric import safe_ratio
 from finspark.operators.gold import mrr_by_subscription
 from finspark.operators.macros import dedupe_latest, desc_last
 from finspark.operators.ordering import ranked_with_next
 from finspark.plans.pipeline import Pipeline, for_output
-from finspark.plans.registry import query, round_columns
+from finspark.plans.registry import pipeline, query, round_columns
 
 
 def _p(spark, sf_dir) -> Pipeline:
-    return Pipeline(spark, sf_dir)
+    return pipeline(spark, sf_dir)
 
 
 def canceled(p: Pipeline) -> DataFrame:
@@ -172,7 +172,7 @@ def doc_subscription_lifecycle(spark, sf_dir):
     p = _p(spark, sf_dir)
     s = p.ref("silver_subscriptions").select("subscription_id", "customer_id", "status", "start_date", "end_date")
     x = ranked_with_next(s, "customer_id", ["start_date", "subscription_id"], "start_date")
-    eff_end = F.coalesce("end_date", F.lit(p.config.as_of))
+    eff_end = F.coalesce("end_date", run_date(p.config.as_of))
     return x.select("subscription_id", "customer_id", "status", "start_date", "end_date",
                     F.col("seq").alias("lifecycle_seq"), F.col("next_value").alias("next_start_date"),
                     F.coalesce(eff_end > F.col("next_value"), F.lit(False)).alias("overlaps_next"))

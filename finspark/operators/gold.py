@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finspark.config import ARR_PLAN_PRICES
-from finspark.functions.dates import day_of, month_boundaries_between, month_series, month_start
+from finspark.functions.dates import day_of, month_boundaries_between, month_series, month_start, run_date
 from finspark.functions.numeric import safe_ratio
 from finspark.operators.bronze import with_load_time
 from finspark.plans.pipeline import Pipeline, model
@@ -98,7 +98,7 @@ def mrr_by_subscription(p: Pipeline, active_only: bool = True) -> DataFrame:
     if active_only:
         s = s.where(F.col("status") == "active")
     s = s.select("subscription_id", "customer_id", "plan_name", "status", "start_date",
-                 F.coalesce("end_date", F.lit(p.config.as_of)).alias("effective_end_date"))
+                 F.coalesce("end_date", run_date(p.config.as_of)).alias("effective_end_date"))
     j = s.join(F.broadcast(subscription_plans(p.spark)), "plan_name")
     return j.select("subscription_id", "customer_id", "plan_name", "monthly_price", "status",
                     F.explode(month_series("start_date", "effective_end_date")).alias("revenue_month"))
@@ -157,7 +157,7 @@ def gold_customer_metrics(p: Pipeline) -> DataFrame:
         F.count_if(F.col("pa")).alias("paying_customers"),
         F.count_if(F.col("re")).alias("refunded_customers"),
         F.count("ch").alias("churned_customers"),
-    ).select(F.lit(p.config.as_of).alias("snapshot_date"), "*")
+    ).select(run_date(p.config.as_of).alias("snapshot_date"), "*")
     return with_load_time(out, "gold_loaded_at")
 
 

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.config import FINDING_PII_VALUE
+from finspark.config import FINDING_PII_VALUE, FINDING_SCAN_ERROR
 from finspark.operators.bronze import ENTITY_KEYS, with_load_time
 from finspark.operators.compliance import ALL_LAYERS, compliance_status, pii_column_findings, pii_value_findings
 from finspark.operators.insight import finance_insight
@@ -21,7 +21,7 @@ from finspark.operators.macros import incremental_filter, upsert
 from finspark.operators.quality import freshness_checks, schema_tests, validation_status, volume_checks
 from finspark.plans.catalog import LAYER_MODELS
 from finspark.plans.pipeline import Pipeline, for_output
-from finspark.plans.registry import query
+from finspark.plans.registry import pipeline, query
 from finspark.session import ensure_checkpoint_dir
 from finspark.sources.files import (ENTITY_SCHEMAS, latest_version, read_entity_csv, read_latest,
                                     write_entity_csv, write_report, write_version)
@@ -64,7 +64,7 @@ UPSERT_FIRST_LOAD_BEFORE = dt.date(1998, 1, 1)
 def bronze_upsert_q(spark, sf_dir):
     """Two incremental runs of bronze_transactions: the first load holds the
     rows ingested before 1998, the second run re-reads the whole source."""
-    p = Pipeline(spark, sf_dir)
+    p = pipeline(spark, sf_dir)
     src = p.raw("transactions")
     table = scratch_dir(spark, "bronze-transactions")
     load_bronze(spark, src.where(F.col("ingestion_date") < F.lit(UPSERT_FIRST_LOAD_BEFORE)), table, "transactions")
@@ -75,7 +75,7 @@ def bronze_upsert_q(spark, sf_dir):
 def src_csv_scan_q(spark, sf_dir):
     """Raw transactions written as CSV and read back with the fixed schema."""
     path = scratch_dir(spark, "raw-transactions-csv")
-    write_entity_csv(Pipeline(spark, sf_dir).raw("transactions"), path)
+    write_entity_csv(pipeline(spark, sf_dir).raw("transactions"), path)
     return for_output(read_entity_csv(spark, path, "transactions"))
 
 
@@ -118,21 +118,21 @@ def validation_report(p: Pipeline) -> DataFrame:
 
 @query("report_validation")
 def report_validation_q(spark, sf_dir):
-    return _report_roundtrip(spark, validation_report(Pipeline(spark, sf_dir)), "validation-report")
+    return _report_roundtrip(spark, validation_report(pipeline(spark, sf_dir)), "validation-report")
 
 
 @query("report_insight")
 def report_insight_q(spark, sf_dir):
-    return _report_roundtrip(spark, finance_insight(Pipeline(spark, sf_dir)), "daily-finance-insights")
+    return _report_roundtrip(spark, finance_insight(pipeline(spark, sf_dir)), "daily-finance-insights")
 
 
 @query("report_compliance")
 def report_compliance_q(spark, sf_dir):
-    p = Pipeline(spark, sf_dir)
+    p = pipeline(spark, sf_dir)
     cols = pii_column_findings(spark, p).select("object", "type", "evidence", "severity")
     vals = pii_value_findings(spark, p).where("finding").select(
-        "object", F.lit(FINDING_PII_VALUE).alias("type"),
-        F.to_json(F.struct("email_detected", "phone_detected", "sampled_columns")).alias("evidence"),
+        "object", F.when(F.col("scan_error").isNotNull(), FINDING_SCAN_ERROR).otherwise(FINDING_PII_VALUE).alias("type"),
+        F.coalesce("scan_error", F.to_json(F.struct("email_detected", "phone_detected", "sampled_columns"))).alias("evidence"),
         F.lit("warn").alias("severity"))
     g = gather({"summary": compliance_status(spark, p), "findings": cols.unionByName(vals)})
     s = F.element_at("summary", 1)
@@ -145,7 +145,7 @@ def report_compliance_q(spark, sf_dir):
 @query("stream_bronze_ingest")
 def stream_bronze_ingest_q(spark, sf_dir):
     from finspark.streaming.ingest import stream_bronze_demo
-    raw = Pipeline(spark, sf_dir).raw("transactions")
+    raw = pipeline(spark, sf_dir).raw("transactions")
     return for_output(stream_bronze_demo(spark, raw, "transactions", scratch_dir(spark, "stream-bronze")))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from finspark.config import (DRIVER_REFUND_PRESSURE, HEADLINE_DOWN, HEADLINE_MOVE_PCT, HEADLINE_NO_BASELINE,
                              HEADLINE_NO_DATA, HEADLINE_STABLE, HEADLINE_UP, NOTE_NO_DATA, REFUND_PRESSURE_RATE)
 from finspark.plans.pipeline import Pipeline
-from finspark.plans.registry import query
+from finspark.plans.registry import pipeline, query
 
 # Documented (not coded) extra driver rules, off unless asked for.
 LOW_VOLUME_RATIO = 0.5
@@ -101,14 +101,14 @@ EMPTY_UPTO = dt.date(1994, 12, 31)
 
 @query("finance_insight")
 def finance_insight_q(spark, sf_dir):
-    return finance_insight(Pipeline(spark, sf_dir))
+    return finance_insight(pipeline(spark, sf_dir))
 
 
 @query("finance_insight_empty")
 def finance_insight_empty_q(spark, sf_dir):
-    return finance_insight(Pipeline(spark, sf_dir), upto=EMPTY_UPTO)
+    return finance_insight(pipeline(spark, sf_dir), upto=EMPTY_UPTO)
 
 
 @query("doc_finance_drivers")
 def doc_finance_drivers_q(spark, sf_dir):
-    return finance_insight(Pipeline(spark, sf_dir), documented_drivers=True)
+    return finance_insight(pipeline(spark, sf_dir), documented_drivers=True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from finspark.functions.dates import day_of, month_boundaries_between, month_series, month_start
+from finspark.functions.dates import day_of, month_boundaries_between, month_series, month_start, run_date
 from finspark.functions.masking import hash_normalized, hash_raw
 from finspark.functions.numeric import safe_ratio
 from finspark.operators.gold import arr_price, mrr_by_subscription, success_transactions
@@ -19,13 +19,13 @@ from finspark.operators.macros import dedupe_latest, desc_last, incremental_filt
 from finspark.operators.platinum import scorecard_daily_base
 from finspark.operators.silver import DEDUPE_ORDER
 from finspark.plans.pipeline import Pipeline, for_output
-from finspark.plans.registry import query, round_columns
+from finspark.plans.registry import pipeline, query, round_columns
 from finspark.sources.seeds import subscription_plans
 from finspark.sources.tables import read_table
 
 
 def _p(spark: SparkSession, sf_dir: str) -> Pipeline:
-    return Pipeline(spark, sf_dir)
+    return pipeline(spark, sf_dir)
 
 
 @query("p_projection")
@@ -245,7 +245,7 @@ def fn_month(spark, sf_dir) -> DataFrame:
 def fn_months_between(spark, sf_dir) -> DataFrame:
     p = _p(spark, sf_dir)
     a = p.ref("silver_accounts")
-    end = F.coalesce("closed_at", F.lit(p.config.as_of))
+    end = F.coalesce("closed_at", run_date(p.config.as_of))
     return a.select("account_id", "opened_at", "closed_at",
                     month_boundaries_between("opened_at", end).alias("months_open"))
 
@@ -254,7 +254,7 @@ def fn_months_between(spark, sf_dir) -> DataFrame:
 def fn_month_series(spark, sf_dir) -> DataFrame:
     p = _p(spark, sf_dir)
     s = p.ref("silver_subscriptions").select(
-        "subscription_id", "start_date", F.coalesce("end_date", F.lit(p.config.as_of)).alias("effective_end_date"))
+        "subscription_id", "start_date", F.coalesce("end_date", run_date(p.config.as_of)).alias("effective_end_date"))
     ms = month_series("start_date", "effective_end_date")
     return s.select("subscription_id", "start_date", "effective_end_date",
                     F.size(ms).cast("bigint").alias("months_billed"),
@@ -266,7 +266,7 @@ def fn_coalesce(spark, sf_dir) -> DataFrame:
     p = _p(spark, sf_dir)
     s = p.ref("silver_subscriptions")
     return s.select("subscription_id", "end_date",
-                    F.coalesce("end_date", F.lit(p.config.as_of)).alias("effective_end_date"))
+                    F.coalesce("end_date", run_date(p.config.as_of)).alias("effective_end_date"))
 
 
 @query("fn_safe_ratio")

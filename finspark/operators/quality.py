@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 
 from finspark.config import (CAUSE_FRESHNESS, CAUSE_TESTS_FAILED, CAUSE_VOLUME_DROP, REASON_NO_HISTORY, REASON_NO_ROWS,
                              REASON_PREV_ZERO)
+from finspark.functions.dates import run_date
 from finspark.functions.numeric import safe_ratio
 from finspark.plans.pipeline import Pipeline
-from finspark.plans.registry import query
+from finspark.plans.registry import pipeline, query
 
 # Declared schema tests: (model, column, tests).
 SCHEMA_TESTS = [
@@ -32,7 +33,10 @@ SCHEMA_TESTS = [
     ("platinum_anomalies_daily", "date", ("not_null",)),
     ("platinum_anomalies_daily", "metric_name", ("not_null",)),
 ] + [(f"bronze_{e}", "ingestion_date", ("not_null",))
-     for e in ("customers", "accounts", "transactions", "payments", "subscriptions", "refunds")]
+     for e in ("customers", "accounts", "transactions", "payments", "subscriptions", "refunds")
+] + [(f"bronze_{e}s", f"{e}_id", ("not_null", "unique"))
+     for e in ("customer", "account", "transaction", "payment", "subscription", "refund")
+] + [(f"silver_{e}s", f"{e}_id", ("unique",)) for e in ("customer", "account", "transaction", "subscription", "refund")]
 
 # Monitored tables and the date column each one is tracked by.
 MONITORED_DATE_COLUMNS = {
@@ -69,6 +73,8 @@ GRAINS = [
     ("gold_cohort_retention", ("cohort_month", "months_since_cohort")),
     ("gold_mrr", ("revenue_month",)),
     ("gold_churn", ("churn_month",)),
+    ("bronze_payments", ("transaction_id", "attempt_number")),
+    ("bronze_refunds", ("transaction_id", "amount", "refund_reason", "refunded_at")),
 ]
 
 DAILY_MODELS = [("gold_daily_revenue", "revenue_date"), ("platinum_finance_exec_scorecard_daily", "date")]
@@ -127,14 +133,14 @@ def monitored_dates(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> tuple[DataFra
             c = next((x for x in DATE_COLUMN_CANDIDATES if x in df.columns), col)
             parts.append(df.select(F.lit(t).alias("table_name"), F.to_date(F.col(c)).alias("d")))
         except Exception as e:  # missing table / column: isolate this table
-            errors[t] = str(e).splitlines()[0][:300]
+            errors[t] = str(e)
     if not parts:
         return p.spark.createDataFrame([], "table_name string, d date"), errors
     return union_all(parts), errors
 
 
 def daily_counts(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> tuple[DataFrame, dict[str, str]]:
-    """(table_name, d, n): one aggregation shared by volume and freshness."""
+    """(table_name, d, n): rows per table and day, as volume and freshness each read them."""
     dates, errors = monitored_dates(p, tables)
     return dates.groupBy("table_name", "d").agg(F.count(F.lit(1)).alias("n")), errors
 
@@ -176,7 +182,7 @@ def freshness_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
     daily, errors = daily_counts(p, tables)
     mx = daily.groupBy("table_name").agg(F.max("d").alias("max_date"))
     j = _table_list_with_errors(p, list(tables), errors).join(mx, "table_name", "left")
-    days_old = F.date_diff(F.lit(p.config.as_of), F.col("max_date")).cast("bigint")
+    days_old = F.date_diff(run_date(p.config.as_of), F.col("max_date")).cast("bigint")
     status = (F.when(F.col("error").isNotNull(), "error").when(F.col("max_date").isNull(), "fail")
               .when(days_old <= p.config.max_freshness_days, "pass").otherwise("fail"))
     return j.select("table_name", status.alias("status"),
@@ -270,7 +276,7 @@ def missing_days(p: Pipeline, models=DAILY_MODELS) -> DataFrame:
 
 
 def _p(spark, sf_dir) -> Pipeline:
-    return Pipeline(spark, sf_dir)
+    return pipeline(spark, sf_dir)
 
 
 @query("dq_not_null")

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from finspark.functions.dates import day_of, month_start
 from finspark.operators.platinum import anomalies
 from finspark.plans.pipeline import Pipeline, for_output
-from finspark.plans.registry import query, round_columns
+from finspark.plans.registry import pipeline, query, round_columns
 
 
 def _p(spark, sf_dir) -> Pipeline:
-    return Pipeline(spark, sf_dir)
+    return pipeline(spark, sf_dir)
 
 
 @query("triage_revenue_layers")

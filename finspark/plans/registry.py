@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.config import PipelineConfig
+from finspark.config import FIXTURE_AS_OF, PipelineConfig
 from finspark.plans.pipeline import Pipeline, for_output
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,8 @@ def round_columns(df: DataFrame, spec: dict[str, int]) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str, config: PipelineConfig | None = None) -> Pipeline:
-    return Pipeline(spark, sf_dir, config)
+    """The pipeline of the registered queries: the fixtures' run date unless a config is given."""
+    return Pipeline(spark, sf_dir, config or PipelineConfig(as_of=FIXTURE_AS_OF))
 
 
 def model_query(key: str, model_name: str, rounding: dict[str, int] | None = None) -> None:

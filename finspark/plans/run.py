@@ -12,6 +12,7 @@ full-refresh write of its own folder.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import SparkSession
 
@@ -49,12 +50,13 @@ def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
+    ap.add_argument("--as-of", type=dt.date.fromisoformat, help="run date, YYYY-MM-DD (default: the current date)")
     args = ap.parse_args()
     from finspark.session import get_spark, size_shuffle_partitions
     from finspark.sources.tables import DRIVER_TABLES, table_path
     spark = get_spark()
     size_shuffle_partitions(spark, [table_path(args.sf_dir, t) for t in DRIVER_TABLES])
-    for name, path in build_all(spark, args.sf_dir, args.out).items():
+    for name, path in build_all(spark, args.sf_dir, args.out, PipelineConfig(as_of=args.as_of)).items():
         print(name, path)
 
 

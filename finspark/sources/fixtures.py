@@ -5,6 +5,10 @@ generators instead of joins: the reference's "duplicate" copies and the
 1..n child rows (accounts, payment attempts, subscriptions) come from
 ``explode(sequence(...))`` on the parent row, so each entity is one scan of
 one driver table and no shuffle.
+
+Some keys carry planted faults, so that the checks have something to find:
+unknown enum values, orphan keys, repeated loads, repeated refunds, missing
+ingestion dates, and retries that skip or go back in time.
 """
 
 from __future__ import annotations
@@ -44,17 +48,19 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("ck"),
         F.explode(_e("sequence(0, cast(c_custkey % 3 as int))")).alias("j"),
     ).select(
-        "ck", "j", _e("ck * 3 + j").alias("k"),
+        "ck", "j", F.explode(_e("sequence(0, if(ck % 40 = 0, 1, 0))")).alias("dup"),
+    ).select(
+        "ck", "j", "dup", _e("ck * 3 + j").alias("k"),
         _e("date_add(date'1995-01-01', cast(ck % 700 + j * 9 as int))").alias("d"),
     )
     return base.select(
         _e("cast(k as string)").alias("account_id"),
-        _e("cast(ck as string)").alias("customer_id"),
+        _e("concat(case when k % 89 = 0 then 'gone-' else '' end, cast(ck as string))").alias("customer_id"),
         _e("case j when 0 then 'checking' when 1 then 'savings' else 'credit' end").alias("account_type"),
-        _e("case when k % 10 < 7 then 'active' when k % 10 < 9 then 'closed' else 'suspended' end").alias("status"),
+        _e("case when k % 97 = 0 then 'frozen' when k % 10 < 7 then 'active' when k % 10 < 9 then 'closed' else 'suspended' end").alias("status"),
         F.col("d").alias("opened_at"),
         _e("case when k % 10 in (7, 8) then date_add(d, cast(30 + k % 500 as int)) end").alias("closed_at"),
-        _e("date_add(d, cast(k % 3 as int))").alias("ingestion_date"),
+        _e("date_add(d, cast(k % 3 + dup * 6 as int))").alias("ingestion_date"),
     )
 
 
@@ -87,51 +93,60 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = src.select(
         F.col("o_orderkey").alias("k"), _e("cast(o_orderdate as date)").alias("d"),
         F.explode(_e("sequence(1, cast(1 + o_orderkey % 3 as int))")).alias("a"),
-    )
+    ).where("not (k % 43 = 0 and a = 2)").select(
+        "k", "d", "a", F.explode(_e("sequence(0, if(k % 37 = 0 and a = 1, 1, 0))")).alias("dup"))
     return base.select(
         _e("cast(k * 10 + a as string)").alias("payment_id"),
         _e("cast(k as string)").alias("transaction_id"),
-        _e("case when k % 2 = 0 then 'card' else 'bank' end").alias("payment_method"),
+        _e("case when k % 53 = 0 then 'wire' when k % 2 = 0 then 'card' else 'bank' end").alias("payment_method"),
         _e("case when a = 1 + k % 3 and k % 7 <> 0 then 'success' else 'failed' end").alias("status"),
         _e("cast(a as int)").alias("attempt_number"),
-        _e("cast(d as timestamp_ntz) + make_dt_interval(0, cast(a * 23 + k % 13 as int), 0, 0)").alias("attempted_at"),
-        _e("date_add(d, cast(a + k % 3 as int))").alias("ingestion_date"),
+        _e("cast(d as timestamp_ntz) + make_dt_interval(0, "
+           "cast(a * 23 + k % 13 - if(k % 41 = 0 and a = 2, 60, 0) as int), 0, 0)").alias("attempted_at"),
+        _e("case when k % 101 <> 0 or a <> 1 then date_add(d, cast(a + k % 3 + dup * 2 as int)) end").alias("ingestion_date"),
     )
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = read_table(spark, sf_dir, "customer", ["c_custkey"]).where("c_custkey % 10 < 7")
+    src = read_table(spark, sf_dir, "customer", ["c_custkey"])
     base = src.select(
         F.col("c_custkey").alias("ck"),
         F.explode(_e("sequence(0, cast(c_custkey % 4 as int))")).alias("j"),
     ).select(
-        "ck", "j", _e("ck * 4 + j").alias("k"),
+        "ck", "j", F.explode(_e("sequence(0, if(ck % 25 = 0, 1, 0))")).alias("dup"),
+    ).select(
+        "ck", "j", "dup", _e("ck * 4 + j").alias("k"),
         _e("date_add(date'1996-01-01', cast(ck % 900 + 90 * j as int))").alias("d"),
     )
     return base.select(
         _e("cast(k as string)").alias("subscription_id"),
         _e("cast(ck as string)").alias("customer_id"),
-        _e("case (ck + j) % 3 when 0 then 'basic' when 1 then 'pro' else 'enterprise' end").alias("plan_name"),
+        _e("case when k % 71 = 0 then 'trial' when (ck + j) % 3 = 0 then 'basic' when (ck + j) % 3 = 1 then 'pro' "
+           "else 'enterprise' end").alias("plan_name"),
         _e("case (ck + 2 * j) % 3 when 0 then 'active' when 1 then 'paused' else 'canceled' end").alias("status"),
         F.col("d").alias("start_date"),
         _e("case when (ck + 2 * j) % 3 <> 0 then date_add(d, cast(30 + ck % 150 as int)) end").alias("end_date"),
-        _e("date_add(d, cast(k % 3 as int))").alias("ingestion_date"),
+        _e("date_add(d, cast(k % 3 + dup * 6 as int))").alias("ingestion_date"),
     )
 
 
 def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = read_table(spark, sf_dir, "lineitem",
-                     ["l_orderkey", "l_linenumber", "l_extendedprice", "l_suppkey", "l_shipdate", "l_returnflag"])
-    base = src.where("l_returnflag = 'R' and l_linenumber <= 2").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_suppkey", _e("cast(l_shipdate as date)").alias("d"))
+                     ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_returnflag"])
+    base = src.where("l_returnflag = 'R'").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        _e("cast(l_extendedprice as decimal(18,2))").alias("amount"), _e("cast(l_shipdate as date)").alias("d"),
+        F.explode(_e("sequence(0, if(l_partkey % 30 = 0, 1, 0))")).alias("again"),
+    ).select("*", F.explode(_e("sequence(0, if(l_suppkey % 25 = 0, 1, 0))")).alias("dup"))
     return base.select(
-        _e("cast(l_orderkey * 10 + l_linenumber as string)").alias("refund_id"),
-        _e("cast(l_orderkey as string)").alias("transaction_id"),
-        _e("cast(l_extendedprice as decimal(18,2))").alias("amount"),
-        _e("case l_suppkey % 3 when 0 then 'customer_dispute' when 1 then 'merchant_error' "
-           "else 'duplicate_charge' end").alias("refund_reason"),
+        # (order, line number) is not unique: all columns that tell returned lines apart make the key.
+        _e("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, amount, d, again)").alias("refund_id"),
+        _e("concat(case when l_partkey % 61 = 0 then 'gone-' else '' end, cast(l_orderkey as string))").alias("transaction_id"),
+        "amount",
+        _e("case when l_partkey % 67 = 0 then 'other' when l_suppkey % 3 = 0 then 'customer_dispute' "
+           "when l_suppkey % 3 = 1 then 'merchant_error' else 'duplicate_charge' end").alias("refund_reason"),
         F.col("d").alias("refunded_at"),
-        _e("date_add(d, cast(l_suppkey % 4 as int))").alias("ingestion_date"),
+        _e("date_add(d, cast(l_suppkey % 4 + dup * 5 as int))").alias("ingestion_date"),
     )
 
 

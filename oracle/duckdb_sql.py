@@ -30,16 +30,17 @@ from (
   where c_custkey % 20 = 0
 ) b""",
     "raw_accounts": """
-select cast(k as varchar) as account_id, cast(ck as varchar) as customer_id,
+select cast(k as varchar) as account_id,
+  concat(case when k % 89 = 0 then 'gone-' else '' end, cast(ck as varchar)) as customer_id,
   case j when 0 then 'checking' when 1 then 'savings' else 'credit' end as account_type,
-  case when k % 10 < 7 then 'active' when k % 10 < 9 then 'closed' else 'suspended' end as status,
+  case when k % 97 = 0 then 'frozen' when k % 10 < 7 then 'active' when k % 10 < 9 then 'closed' else 'suspended' end as status,
   d as opened_at,
   case when k % 10 in (7, 8) then (d + (cast(30 + k % 500 as int))) end as closed_at,
-  (d + (cast(k % 3 as int))) as ingestion_date
+  (d + (cast(k % 3 + dup * 6 as int))) as ingestion_date
 from (
-  select c_custkey ck, c_custkey * 3 + n.j k, n.j, (date '1995-01-01' + (cast(c_custkey % 700 + n.j * 9 as int))) d
-  from customer cross join (select 0 j union all select 1 union all select 2) n
-  where n.j <= c_custkey % 3
+  select c_custkey ck, c_custkey * 3 + n.j k, n.j, (date '1995-01-01' + (cast(c_custkey % 700 + n.j * 9 as int))) d, dup
+  from customer cross join (select 0 j union all select 1 union all select 2) n cross join (values (0), (1)) t(dup)
+  where n.j <= c_custkey % 3 and (dup = 0 or c_custkey % 40 = 0)
 ) b""",
     "raw_transactions": """
 select cast(k as varchar) as transaction_id, cast(ck * 3 as varchar) as account_id, cast(ck as varchar) as customer_id,
@@ -58,38 +59,45 @@ from (
 ) b""",
     "raw_payments": """
 select cast(k * 10 + a as varchar) as payment_id, cast(k as varchar) as transaction_id,
-  case when k % 2 = 0 then 'card' else 'bank' end as payment_method,
+  case when k % 53 = 0 then 'wire' when k % 2 = 0 then 'card' else 'bank' end as payment_method,
   case when a = 1 + k % 3 and k % 7 <> 0 then 'success' else 'failed' end as status,
   cast(a as int) as attempt_number,
-  cast(d as timestamp) + (a * 23 + k % 13) * interval '1' hour as attempted_at,
-  (d + (cast(a + k % 3 as int))) as ingestion_date
+  cast(d as timestamp) + (a * 23 + k % 13 - case when k % 41 = 0 and a = 2 then 60 else 0 end) * interval '1' hour
+    as attempted_at,
+  case when k % 101 <> 0 or a <> 1 then (d + (cast(a + k % 3 + dup * 2 as int))) end as ingestion_date
 from (
-  select o_orderkey k, n.a, cast(o_orderdate as date) d
-  from orders cross join (select 1 a union all select 2 union all select 3) n
-  where n.a <= 1 + o_orderkey % 3
+  select o_orderkey k, n.a, cast(o_orderdate as date) d, dup
+  from orders cross join (select 1 a union all select 2 union all select 3) n cross join (values (0), (1)) t(dup)
+  where n.a <= 1 + o_orderkey % 3 and not (o_orderkey % 43 = 0 and n.a = 2)
+    and (dup = 0 or (o_orderkey % 37 = 0 and n.a = 1))
 ) b""",
     "raw_subscriptions": """
 select cast(k as varchar) as subscription_id, cast(ck as varchar) as customer_id,
-  case (ck + j) % 3 when 0 then 'basic' when 1 then 'pro' else 'enterprise' end as plan_name,
+  case when k % 71 = 0 then 'trial' when (ck + j) % 3 = 0 then 'basic' when (ck + j) % 3 = 1 then 'pro'
+    else 'enterprise' end as plan_name,
   case (ck + 2 * j) % 3 when 0 then 'active' when 1 then 'paused' else 'canceled' end as status,
   d as start_date,
   case when (ck + 2 * j) % 3 <> 0 then (d + (cast(30 + ck % 150 as int))) end as end_date,
-  (d + (cast(k % 3 as int))) as ingestion_date
+  (d + (cast(k % 3 + dup * 6 as int))) as ingestion_date
 from (
-  select c_custkey ck, n.j, c_custkey * 4 + n.j k, (date '1996-01-01' + (cast(c_custkey % 900 + 90 * n.j as int))) d
+  select c_custkey ck, n.j, c_custkey * 4 + n.j k, (date '1996-01-01' + (cast(c_custkey % 900 + 90 * n.j as int))) d, dup
   from customer cross join (select 0 j union all select 1 union all select 2 union all select 3) n
-  where c_custkey % 10 < 7 and n.j <= c_custkey % 4
+    cross join (values (0), (1)) t(dup)
+  where n.j <= c_custkey % 4 and (dup = 0 or c_custkey % 25 = 0)
 ) b""",
     "raw_refunds": """
-select cast(l_orderkey * 10 + l_linenumber as varchar) as refund_id, cast(l_orderkey as varchar) as transaction_id,
-  cast(l_extendedprice as decimal(18,2)) as amount,
-  case l_suppkey % 3 when 0 then 'customer_dispute' when 1 then 'merchant_error' else 'duplicate_charge' end
-    as refund_reason,
+select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, amount, d, again) as refund_id,
+  concat(case when l_partkey % 61 = 0 then 'gone-' else '' end, cast(l_orderkey as varchar)) as transaction_id,
+  amount,
+  case when l_partkey % 67 = 0 then 'other' when l_suppkey % 3 = 0 then 'customer_dispute'
+    when l_suppkey % 3 = 1 then 'merchant_error' else 'duplicate_charge' end as refund_reason,
   d as refunded_at,
-  (d + (cast(l_suppkey % 4 as int))) as ingestion_date
+  (d + (cast(l_suppkey % 4 + dup * 5 as int))) as ingestion_date
 from (
-  select l_orderkey, l_linenumber, l_extendedprice, l_suppkey, cast(l_shipdate as date) d
-  from lineitem where l_returnflag = 'R' and l_linenumber <= 2
+  select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_extendedprice as decimal(18,2)) as amount,
+    cast(l_shipdate as date) d, again, dup
+  from lineitem cross join (values (0), (1)) r(again) cross join (values (0), (1)) t(dup)
+  where l_returnflag = 'R' and (again = 0 or l_partkey % 30 = 0) and (dup = 0 or l_suppkey % 25 = 0)
 ) b""",
 }
 

@@ -60,7 +60,7 @@ select doc_id, cast(len(regexp_extract_all(text, '{EMAIL_PATTERN}', 0)) as bigin
 from documents"""
 
 # Value-pattern scan: per table, the string columns that are not ids (model
-# schemas), the first 200 rows in column order, patterns matched per row.
+# schemas), every row, patterns matched per row.
 SAMPLED = [
     ("bronze.bronze_accounts", "bronze_accounts", ["account_type", "status"]),
     ("bronze.bronze_transactions", "bronze_transactions", ["currency", "merchant_name", "status", "card_last_four"]),
@@ -79,13 +79,12 @@ SAMPLED = [
 
 
 def _value_scan(obj: str, key: str, cols: list[str]) -> str:
-    order = ", ".join(f"{c} asc nulls last" for c in cols)
     return f"""
 select '{obj}' as object,
   coalesce(bool_or(regexp_matches(concat_ws(' ', {', '.join(cols)}), '{EMAIL_PATTERN}')), false) as email_detected,
   coalesce(bool_or(regexp_matches(concat_ws(' ', {', '.join(cols)}), '{PHONE_PATTERN}')), false) as phone_detected,
   '{','.join(cols)}' as sampled_columns, cast(null as varchar) as scan_error
-from (select {', '.join(cols)} from ({Q[key]}) t order by {order} limit 200) s"""
+from ({Q[key]}) s"""
 
 
 Q["pii_scan_values"] = ("select *, email_detected or phone_detected as finding from ("

@@ -26,7 +26,10 @@ SCHEMA_TESTS = [
     ("platinum_anomalies_daily", "date", ("not_null",)),
     ("platinum_anomalies_daily", "metric_name", ("not_null",)),
 ] + [(f"bronze_{e}", "ingestion_date", ("not_null",))
-     for e in ("customers", "accounts", "transactions", "payments", "subscriptions", "refunds")]
+     for e in ("customers", "accounts", "transactions", "payments", "subscriptions", "refunds")
+] + [(f"bronze_{e}s", f"{e}_id", ("not_null", "unique"))
+     for e in ("customer", "account", "transaction", "payment", "subscription", "refund")
+] + [(f"silver_{e}s", f"{e}_id", ("unique",)) for e in ("customer", "account", "transaction", "subscription", "refund")]
 
 
 def _status(col: str) -> str:
@@ -131,7 +134,9 @@ Q["dq_referential"] = "select *, " + _status("orphan_rows") + " as status from (
 
 GRAINS = [("platinum_anomalies_daily", ("date", "metric_name")),
           ("gold_cohort_retention", ("cohort_month", "months_since_cohort")),
-          ("gold_mrr", ("revenue_month",)), ("gold_churn", ("churn_month",))]
+          ("gold_mrr", ("revenue_month",)), ("gold_churn", ("churn_month",)),
+          ("bronze_payments", ("transaction_id", "attempt_number")),
+          ("bronze_refunds", ("transaction_id", "amount", "refund_reason", "refunded_at"))]
 Q["dq_grain"] = "select *, " + _status("duplicate_groups") + " as status from (" + " union all ".join(
     f"select '{m}' as model_name, '{','.join(cols)}' as grain, (select count(*) from (select {', '.join(cols)} "
     f"from {M(m)} t group by {', '.join(cols)} having count(*) > 1) d) as duplicate_groups"

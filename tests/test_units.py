@@ -210,6 +210,7 @@ def test_shuffle_partitions_sized_from_input(spark):
 def test_checks_isolate_a_broken_table(spark):
     from finspark.operators.quality import freshness_checks, volume_checks
     p = pipeline(spark, transactions=[txn("t1", created=T(2024, 1, 1, 10)), txn("t2", created=T(2024, 1, 2, 10))])
+    p.config = PipelineConfig(as_of=D(2024, 1, 4))
     tables = {"gold_transaction_facts": "created_at", "no_such_model": "created_at"}
     vol = {r["table_name"]: r["status"] for r in volume_checks(p, tables).collect()}
     fresh = {r["table_name"]: r["status"] for r in freshness_checks(p, tables).collect()}
@@ -268,9 +269,37 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     assert configured and ensure_checkpoint_dir(spark) == configured
 
 
-def test_pii_full_scan_sees_rows_beyond_the_sample(spark):
+def test_pii_scan_sees_every_row_and_a_sample_does_not(spark):
     from finspark.operators.compliance import value_scan
     rows = [(f"note {i:04d}",) for i in range(300)] + [("zz reach me at someone@example.org",)]
     df = spark.createDataFrame(rows, "note string")
-    assert value_scan("t", df).first()["email_detected"] is False      # sorted sample: first 200 only
-    assert value_scan("t", df, full_scan=True).first()["email_detected"] is True
+    assert value_scan("t", df).first()["email_detected"] is True
+    assert value_scan("t", df, sample=True).first()["email_detected"] is False      # sorted sample: first 200 only
+
+
+def test_pii_scan_reads_all_string_columns(spark):
+    from finspark.operators.compliance import value_scan
+    df = spark.createDataFrame([("a", "b", "c", "d", "e", "f", "write to bob@mail.org")], "c1 string, c2 string, "
+                               "c3 string, c4 string, c5 string, c6 string, c7 string")
+    assert value_scan("t", df).first()["email_detected"] is True
+
+
+def test_unreadable_table_is_a_scan_error_finding(spark):
+    from finspark.operators.compliance import compliance_status
+    from finspark.plans.pipeline import Pipeline
+    p = Pipeline(spark, "/nonexistent", overrides={f"raw_{e}": pipeline(spark).raw(e) for e in (
+        "customers", "accounts", "payments", "subscriptions", "refunds")})
+    rows = {r["object"]: r for r in pii_value_findings(spark, p, layers=("bronze",)).collect()}
+    bad = rows["bronze.bronze_transactions"]
+    assert bad["finding"] and "/nonexistent" in bad["scan_error"]
+    assert [o for o, r in rows.items() if r["scan_error"]] == ["bronze.bronze_transactions"]
+    assert compliance_status(spark, p, layers=("bronze",)).first()["status"] == "fail"  # the customers' columns
+
+
+def test_default_run_date_is_today(spark):
+    start = D.today().replace(day=1)
+    p = pipeline(spark, subscriptions=[sub("s1", "c1", "basic", "active", D(2024, 1, 1)),
+                                       sub("s2", "c2", "pro", "active", start)])
+    assert p.config.as_of is None
+    months = {r["revenue_month"] for r in p.ref("gold_mrr").collect()}
+    assert D(2024, 1, 1) in months and start in months
