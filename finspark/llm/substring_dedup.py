@@ -15,8 +15,10 @@ windows are judged on the input, not on what is left.
    windows around an anchor, to the shard of that anchor.  A false positive costs a
    piece and changes nothing.
 4. Automata.  Every shard compiles its phrases into one Aho-Corasick automaton, streams
-   its pieces through it, hashes the windows around every located phrase, and marks
-   those whose sequence a document with a smaller id has.
+   its pieces through it in order of anchor and id, hashes the windows around every
+   located phrase, and marks those whose sequence a document with a smaller id has.  A
+   shard is worked off in runs of bounded size; of an anchor with very many pieces only
+   window hashes go from one run to the next.
 5. Marked spans go back to their documents by id.
 
 Defined cases: null and empty texts have no words and stay as they are (null becomes an
@@ -43,6 +45,8 @@ from finspark.llm.words import U64, Words, find_words, gram_hashes, mix, pack, r
 
 #: Bits of the Bloom filter at most (128 MB); beyond it there are more false positives.
 FILTER_BITS_MAX = 1 << 30
+#: Bytes of pieces that a shard works off at once.
+PIECE_BYTES = 4 << 20
 _CHUNK_BITS = 20
 
 
@@ -191,49 +195,70 @@ def _located(words: Words, texts: list[str], wanted: dict[str, None]) -> tuple[n
     return np.array(piece, np.int64), np.array(index, np.int64)
 
 
+def _gram_chunks(batches, most: int = PIECE_BYTES) -> Iterator[pa.Table]:
+    """The rows of a partition in order, in runs of about ``most`` bytes of pieces."""
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(batch, "piece", most):
+            held.append(part)
+            size += part.column("piece").nbytes
+            if size >= most:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _span_rows(size: int, phrase: int):
-    """Marked spans (id, text hash, first word, end word) of the documents of a shard's pieces."""
+    """Marked spans (id, text hash, first word, end word) of the documents of a shard's pieces.
+
+    Pieces come by anchor and id.  They are worked off in runs of bounded size; of an anchor
+    that continues in the next run only window hashes and their smallest ids are kept."""
     def run(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
-            return
-        table = table.combine_chunks()
-        pieces = table.column("piece").chunk(0)
-        words = find_words(pieces)
-        texts = [" " + b" ".join(x.as_py().split()).decode() + " " for x in pieces]
-        rel, wanted = table.column("rel").to_numpy(), {}
-        _, one = np.unique(table.column("gram").to_numpy(), return_index=True)
-        for i in one:
-            own = texts[i].split(" ")[1 + rel[i]:1 + rel[i] + phrase]
-            wanted[" " + " ".join(own) + " "] = None
-        piece, index = _located(words, texts, wanted)
-
-        counts, first = words.counts, words.first[:-1]
-        low, high = np.maximum(index - (size - phrase), 0), np.minimum(index, counts[piece] - size)
-        fits = low <= high
-        change = np.zeros(len(words.start) + 1, np.int64)
-        np.add.at(change, first[piece[fits]] + low[fits], 1)
-        np.add.at(change, first[piece[fits]] + high[fits] + 1, -1)
-        begin = np.flatnonzero(np.cumsum(change)[:-1])
-        owner = words.row[begin]
-        windows = gram_hashes(word_hashes(words), size)[begin]
-        ids, fulls = (table.column(c).to_numpy()[owner] for c in ("id", "full"))
-        begin = table.column("at").to_numpy()[owner] + begin - first[owner]
-
-        order = np.lexsort((ids, windows))
-        edge = np.flatnonzero(np.r_[True, windows[order][1:] != windows[order][:-1]]) if len(order) else order
-        least = np.repeat(ids[order][edge], np.diff(np.r_[edge, len(order)]))
-        marked = order[ids[order] > least]
-        marked = marked[np.lexsort((begin[marked], fulls[marked], ids[marked]))]
-        ids, fulls, begin = ids[marked], fulls[marked], begin[marked]
-        new = np.ones(len(ids), bool)
-        new[1:] = (ids[1:] != ids[:-1]) | (fulls[1:] != fulls[:-1]) | (begin[1:] > begin[:-1] + 1)
-        start = np.flatnonzero(new)
-        last = np.r_[start[1:], len(ids)] - 1
-        if len(start):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[start]), pa.array(fulls[start]), pa.array(begin[start]), pa.array(begin[last] + size)],
-                ["id", "full", "begin", "end"])
+        last, seen = None, (np.zeros(0, U64), np.zeros(0, np.int64))
+        for table in _gram_chunks(batches):
+            pieces, gram, rel = table.column("piece").chunk(0), table.column("gram").to_numpy(), table.column("rel").to_numpy()
+            words = find_words(pieces)
+            texts = [" " + b" ".join(x.as_py().split()).decode() + " " for x in pieces]
+            wanted = {}
+            for i in np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]]):
+                wanted[" " + " ".join(texts[i].split(" ")[1 + rel[i]:1 + rel[i] + phrase]) + " "] = None
+            piece, index = _located(words, texts, wanted)
+
+            counts, first = words.counts, words.first[:-1]
+            low, high = np.maximum(index - (size - phrase), 0), np.minimum(index, counts[piece] - size)
+            fits = low <= high
+            change = np.zeros(len(words.start) + 1, np.int64)
+            np.add.at(change, first[piece[fits]] + low[fits], 1)
+            np.add.at(change, first[piece[fits]] + high[fits] + 1, -1)
+            begin = np.flatnonzero(np.cumsum(change)[:-1])
+            owner = words.row[begin]
+            windows = gram_hashes(word_hashes(words), size)[begin]
+            ids, fulls = (table.column(c).to_numpy()[owner] for c in ("id", "full"))
+            begin = table.column("at").to_numpy()[owner] + begin - first[owner]
+            old = seen if last == gram[0] else (seen[0][:0], seen[1][:0])
+            all_windows, all_ids = np.concatenate([windows, old[0]]), np.concatenate([ids, old[1]])
+
+            order = np.lexsort((all_ids, all_windows))
+            edge = np.flatnonzero(np.r_[True, all_windows[order][1:] != all_windows[order][:-1]]) if len(order) else order
+            least = np.repeat(all_ids[order][edge], np.diff(np.r_[edge, len(order)]))
+            marked = order[all_ids[order] > least]
+            marked = marked[marked < len(ids)]
+            last, tail = gram[-1], gram[owner] == gram[-1]
+            seen = windows[tail], ids[tail]
+            if gram[0] == gram[-1]:
+                seen = all_windows[order][edge], all_ids[order][edge]
+
+            marked = marked[np.lexsort((begin[marked], fulls[marked], ids[marked]))]
+            ids, fulls, begin = ids[marked], fulls[marked], begin[marked]
+            new = np.ones(len(ids), bool)
+            new[1:] = (ids[1:] != ids[:-1]) | (fulls[1:] != fulls[:-1]) | (begin[1:] > begin[:-1] + 1)
+            start = np.flatnonzero(new)
+            stop = np.r_[start[1:], len(ids)] - 1
+            if len(start):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[start]), pa.array(fulls[start]), pa.array(begin[start]), pa.array(begin[stop] + size)],
+                    ["id", "full", "begin", "end"])
     return run
 
 
@@ -274,7 +299,7 @@ def marked_spans(docs: DataFrame, size: int = 50, phrase: int = 10) -> DataFrame
         .repartition(parts, "bucket").mapInArrow(_recurring_rows, "gram bigint"), "recurring")
     pieces = docs.mapInArrow(_piece_rows(size, phrase, _filter(recurring)),
                              "gram bigint, id bigint, full bigint, at bigint, rel bigint, piece binary")
-    spans = (pieces.repartition(parts, "gram")
+    spans = (pieces.repartition(parts, "gram").sortWithinPartitions("gram", "id")
              .mapInArrow(_span_rows(size, phrase), "id bigint, full bigint, begin bigint, end bigint"))
     return spans.union(copies)
 
