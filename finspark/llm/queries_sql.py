@@ -70,3 +70,82 @@ select doc_id, size, s as source_size, target, (size * times)::bigint as taken,
          else u * 2 / (sqrt(greatest(0.5 * 0.5 + u * (2 * 1.0), 0)) + 0.5) end) end, 9) as position
 from counted
 """
+
+_EXACT_WORDS = r"""
+split as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents)"""
+
+ORACLE_SQL["op4_substring_dedup"] = f"""
+with {_EXACT_WORDS},
+starts as (select doc_id, w, unnest(range(1, len(w) - 48)) as i from split where len(w) >= 50),
+windows as (select doc_id, i, md5(array_to_string(w[i:i+49], ' ')) as h from starts),
+firsts as (select h, min(doc_id) as f from windows group by h having count(distinct doc_id) > 1),
+gone as (
+  select distinct doc_id, unnest(range(i, i + 50)) as p from windows join firsts on windows.h = firsts.h
+  where doc_id > f),
+spread as (select doc_id, unnest(range(1, len(w) + 1)) as p, unnest(w) as word from split),
+kept as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by p) as body
+  from spread anti join gone using (doc_id, p) group by doc_id)
+select split.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(body, '')) as kept_sha256
+from split left join kept on split.doc_id = kept.doc_id
+"""
+
+#: 5-word shingles in order, repeats kept; ``{{name}}``, ``{{id}}`` and ``{{table}}`` are filled in.
+_SHINGLES = r"""
+{name}_words as (
+  select {id} as id, list_filter(string_split_regex(lower(coalesce(text, '')), '{gap}'), lambda w: w <> '') as w
+  from {table}),
+{name} as (
+  select id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                  else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) end as s
+  from {name}_words)"""
+
+ORACLE_SQL["op1_decontaminate"] = f"""
+with {_SHINGLES.format(name="docs", id="doc_id", table="documents", gap="[ \\t-\\r]+")},
+{_SHINGLES.format(name="items", id="item_id", table="benchmark", gap="[ \\t-\\r]+")},
+doc_grams as (select id, unnest(s) as g, unnest(range(1, len(s) + 1)) as at from docs),
+item_grams as (select id, len(s) as length, unnest(s) as g from items),
+counted as (select id, g, count(*) as wanted from item_grams group by 1, 2),
+starts as (
+  select distinct d.id as doc, i.id as item, i.length, greatest(least(d.at, len(s) - i.length + 1), 1) as start
+  from doc_grams d join item_grams i on d.g = i.g join docs on docs.id = d.id),
+held as (
+  select doc, item, start, length, g, count(*) as times
+  from (select doc, item, start, length, unnest(s[start:start + length - 1]) as g from starts join docs on docs.id = doc) x
+  group by all),
+sizes as (select doc, item, start, length, sum(times) as n from held group by all),
+common as (
+  select doc, item, start, sum(least(times, wanted)) as common
+  from held join counted on counted.id = held.item and counted.g = held.g group by all),
+judged as (
+  select doc, item, common::bigint as common, (n + length - common)::bigint as total
+  from common join sizes using (doc, item, start))
+select doc as doc_id, item as item_id, arg_max(common, common / total) as common, arg_max(total, common / total) as total
+from judged where 100 * common >= 80 * total group by all
+"""
+
+
+def _license_sql() -> str:
+    from finspark.llm.license_scan import TEMPLATES
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    listed = ", ".join(f"({i}, {quoted(a)}, {quoted(b)}, {quoted(t)})" for i, (a, b, t) in enumerate(TEMPLATES))
+    gap = r"[^\p{{L}}\p{{N}}]+".format()
+    return f"""
+with texts(number, license, template, text) as (values {listed}),
+{_SHINGLES.format(name="docs", id="doc_id", table="documents", gap=gap)},
+{_SHINGLES.format(name="wanted", id="number", table="texts", gap=gap)},
+known as (select id, list_distinct(s) as s, len(list_distinct(s)) as m from wanted),
+places as (
+  select docs.id as doc, known.id as number, m, known.s as t, docs.s as s, unnest(range(0, len(docs.s), m)) as start
+  from docs join known on list_has_any(docs.s, known.s)),
+judged as (
+  select doc, number, m, len(list_intersect(s[start + 1:start + 2 * m], t)) as common from places)
+select doc as doc_id, license, template, max(common)::int as common, m::int as size
+from judged join texts using (number) where 100 * common >= 80 * m group by all
+"""
+
+
+ORACLE_SQL["op10_license_scan"] = _license_sql()
