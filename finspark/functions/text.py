@@ -46,6 +46,6 @@ def tokens(x: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_c(x)), F.lit(TOKEN), 0)
 
 
-def term_bucket(token: Column, bits: int = 20) -> Column:
-    """Stable term hash: the first ``bits / 4`` hex digits of md5(token)."""
-    return F.conv(F.substring(F.md5(token), 1, bits // 4), 16, 10).cast("int")
+def term_bucket(token: Column, bits: int = 60) -> Column:
+    """Stable term hash: the first ``bits / 4`` hex digits of md5(token); 60 bits keep terms apart."""
+    return F.conv(F.substring(F.md5(token), 1, bits // 4), 16, 10).cast("bigint")

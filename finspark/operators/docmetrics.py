@@ -180,7 +180,8 @@ def doc_subscription_lifecycle(spark, sf_dir):
 
 @query("doc_mrr_movement")
 def doc_mrr_movement(spark, sf_dir):
-    x = mrr_by_subscription(_p(spark, sf_dir))
+    p = _p(spark, sf_dir)
+    x = mrr_by_subscription(p)
     m = x.groupBy("customer_id", "revenue_month").agg(F.sum("monthly_price").cast("bigint").alias("mrr"))
     w = Window.partitionBy("customer_id").orderBy("revenue_month")
     prev_month = F.lag("revenue_month").over(w)
@@ -190,7 +191,15 @@ def doc_mrr_movement(spark, sf_dir):
     prev_mrr = F.when(consecutive, F.col("pv"))
     movement = (F.when(prev_mrr.isNull(), "new").when(F.col("mrr") > prev_mrr, "expansion")
                 .when(F.col("mrr") < prev_mrr, "contraction").otherwise("flat"))
-    return m.select("customer_id", "revenue_month", "mrr", prev_mrr.alias("prev_mrr"), movement.alias("movement"))
+    billed = m.select("customer_id", "revenue_month", "mrr", prev_mrr.alias("prev_mrr"), movement.alias("movement"))
+    # The month after a billed one that is not billed, if it has begun, is a churned one.
+    after = F.add_months("revenue_month", 1)
+    following = F.lead("revenue_month").over(Window.partitionBy("customer_id").orderBy("revenue_month"))
+    gone = billed.select("customer_id", after.alias("revenue_month"), F.lit(0).cast("bigint").alias("new_mrr"), "mrr",
+                         (following.isNull() | (following > after)).alias("churned"))
+    gone = gone.where(F.col("churned") & (F.col("revenue_month") <= run_date(p.config.as_of)))
+    return billed.unionByName(gone.select("customer_id", "revenue_month", F.col("new_mrr").alias("mrr"),
+                                          F.col("mrr").alias("prev_mrr"), F.lit("churned").alias("movement")))
 
 
 @query("doc_refund_linkage")
@@ -215,7 +224,8 @@ def doc_churn_classified(spark, sf_dir):
     s = p.ref("silver_subscriptions")
     per_customer = s.groupBy("customer_id").agg(
         F.max(F.col("status") == "active").alias("has_active"),
-        F.max(F.struct("start_date", "subscription_id", "plan_name")).getField("plan_name").alias("last_active_plan"))
+        F.max(F.when(F.col("status") == "active", F.struct("start_date", "subscription_id", "plan_name")))
+        .getField("plan_name").alias("last_active_plan"))
     c = canceled(p).select("subscription_id", "customer_id", F.col("end_date").alias("churn_date"))
     j = c.join(per_customer, "customer_id", "left")
     return j.select("churn_date", "subscription_id", "customer_id",

@@ -33,12 +33,13 @@ def ranked_with_next(df: DataFrame, group: str, order: Sequence[str], next_of: s
         F.min_by(F.col(next_of), F.struct(*[F.col(c) for c in order])).alias("_first"))
     across = Window.partitionBy(group).orderBy("_pid")
     pieces = pieces.select(
-        "_pid", group,
+        "_pid", group, "_n",
         F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.lead("_first").over(across).alias("_next_piece_first"))
     out = local.join(pieces, ["_pid", group])
     return out.select(
         *[c for c in df.columns],
         (F.col("_local") + F.col("_offset")).cast("bigint").alias("seq"),
-        F.when(F.col("_local_next").isNotNull() | F.col("_local").isNull(), F.col("_local_next"))
-         .otherwise(F.col("_next_piece_first")).alias("next_value"))
+        # Only a piece's last row looks into the next piece; a null next value inside a piece stays.
+        F.when(F.col("_local") == F.col("_n"), F.col("_next_piece_first"))
+         .otherwise(F.col("_local_next")).alias("next_value"))

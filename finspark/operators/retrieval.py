@@ -120,7 +120,7 @@ def term_counts(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame
 
 
 def document_frequency(counts: DataFrame, id_col: str) -> DataFrame:
-    """(bucket, df); at most 2^20 rows whatever the corpus size."""
+    """(bucket, df), one row per term."""
     return counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -131,7 +131,7 @@ def idf_table(counts: DataFrame, n_docs: Column, id_col: str) -> DataFrame:
 
 def weigh(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
     """tf * idf, L2-normalised per id -> (id, bucket, weight)."""
-    w = counts.join(F.broadcast(idf), "bucket").select(id_col, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
+    w = counts.join(idf, "bucket").select(id_col, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "bucket", (F.col("w") / norm).alias("weight"))
 

@@ -37,12 +37,14 @@ def triage_revenue_layers(spark, sf_dir):
 @query("triage_refund_distribution")
 def triage_refund_distribution(spark, sf_dir):
     """Histogram of per-transaction refunded amounts by order of magnitude
-    (number of integer digits), with count / sum / min / max per bucket."""
+    (number of integer digits), with count / sum / min / max and percentiles per bucket."""
     f = _p(spark, sf_dir).ref("gold_transaction_facts").where(F.col("refunded_amount") > 0)
     digits = F.length(F.floor("refunded_amount").cast("string")).cast("bigint")
     return for_output(f.groupBy(digits.alias("integer_digits")).agg(
         F.count(F.lit(1)).alias("transactions"), F.sum("refunded_amount").alias("total_refunded"),
-        F.min("refunded_amount").alias("min_refunded"), F.max("refunded_amount").alias("max_refunded")))
+        F.min("refunded_amount").alias("min_refunded"), F.max("refunded_amount").alias("max_refunded"),
+        *(F.round(F.percentile(F.col("refunded_amount").cast("double"), p), 2).alias(f"{name}_refunded")
+          for name, p in (("median", 0.5), ("p95", 0.95)))))
 
 
 @query("triage_duplicate_refunds")

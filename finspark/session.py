@@ -6,7 +6,7 @@
   from *measured* sizes).
 * No UI server.
 * ``spark.checkpoint.dir`` is read from the session; a scratch folder is
-  created only when the cluster has not named one (local tests).
+  created only in local mode; a cluster without one is an error.
 """
 
 from __future__ import annotations
@@ -56,13 +56,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a scratch one only if unset."""
+    """Return the shared checkpoint folder, creating a scratch one only if unset in local mode."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="finspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(scratch)
     return scratch

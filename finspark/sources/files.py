@@ -2,7 +2,7 @@
 JSON-lines chunk files and JSON reports.
 
 Raw CSVs are read with a fixed schema (no inference pass over 100 TB),
-``multiLine`` so quoted newlines (multi-line addresses) stay in one record,
+``multi_line`` where quoted newlines (multi-line addresses) stay in one record,
 and FAILFAST so malformed input stops the load instead of turning into
 NULLs.
 
@@ -53,11 +53,13 @@ ENTITY_SCHEMAS: dict[str, T.StructType] = {
         T.StructField("refunded_at", T.DateType()), T.StructField("ingestion_date", T.DateType())]),
 }
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
 
 
-def read_entity_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    return (spark.read.schema(ENTITY_SCHEMAS[entity]).options(**CSV_OPTIONS)
+def read_entity_csv(spark: SparkSession, path: str, entity: str, multi_line: bool = False) -> DataFrame:
+    """Entity rows of CSV files.  With ``multi_line`` quoted values may hold
+    line ends, and a file is one task; otherwise files are split."""
+    return (spark.read.schema(ENTITY_SCHEMAS[entity]).options(**CSV_OPTIONS).option("multiLine", multi_line)
             .option("mode", "FAILFAST").csv(path))
 
 

@@ -3,8 +3,8 @@
 New raw files landing in a folder are picked up by a file source with a
 fixed schema; each micro-batch is merged into the versioned bronze table by
 key (delete + insert) inside ``foreachBatch``.  The batch id names the
-version written, so a batch replayed after a failure rewrites the same
-version: the sink is idempotent and the checkpoint gives exactly-once
+version written, counted from the table's version when the stream began, so
+a batch replayed after a failure rewrites the same version: the sink is idempotent and the checkpoint gives exactly-once
 progress.  ``availableNow`` drains what has landed and stops, which is how
 the batch pipeline schedules it.
 """
@@ -16,28 +16,37 @@ from pyspark.sql import functions as F
 
 from finspark.operators.bronze import ENTITY_KEYS, with_load_time
 from finspark.operators.macros import upsert
-from finspark.sources.files import CSV_OPTIONS, ENTITY_SCHEMAS, version_path, write_version
+from finspark.sources.files import CSV_OPTIONS, ENTITY_SCHEMAS, latest_version, version_path, write_version
 
 
-def _merge_batch(spark: SparkSession, table: str, entity: str):
-    """Batch ``b`` merges into version ``b`` (the state before it; absent for
-    the first batch) and writes version ``b + 1``: replaying a batch repeats
-    exactly the same write."""
+def _base_version(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """The table's version when this stream began (0: no table yet), kept beside its checkpoint."""
+    path = f"{checkpoint.rstrip('/')}/base_version"
+    if not _complete(spark, path):
+        spark.createDataFrame([(latest_version(spark, table) or 0,)], "version int").write.mode("overwrite").json(path)
+    return spark.read.schema("version int").json(path).first().version
+
+
+def _merge_batch(spark: SparkSession, table: str, entity: str, base: int):
+    """Batch ``b`` merges into version ``base + b`` and writes the next one: replaying a
+    batch repeats exactly the same write.  The version before it must be there, but for
+    the first batch of a table that did not exist; a lost version is an error."""
     key = ENTITY_KEYS[entity]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        previous = (spark.read.parquet(version_path(table, batch_id))
-                    if _has_version(spark, table, batch_id) else None)
+        before = base + batch_id
         fresh = with_load_time(batch, "bronze_loaded_at")
-        merged = fresh if previous is None else upsert(previous, fresh, key)
-        write_version(merged, table, batch_id + 1)
+        if before and not _complete(spark, version_path(table, before)):
+            raise RuntimeError(f"version {before} of {table} is missing or incomplete")
+        merged = upsert(spark.read.parquet(version_path(table, before)), fresh, key) if before else fresh
+        write_version(merged, table, before + 1)
 
     return merge
 
 
-def _has_version(spark: SparkSession, table: str, version: int) -> bool:
+def _complete(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(version_path(table, version), "_SUCCESS")
+    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
@@ -50,7 +59,7 @@ def stream_bronze(spark: SparkSession, landing_dir: str, table: str, entity: str
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.format(fmt).load(landing_dir)
-    q = (src.writeStream.foreachBatch(_merge_batch(spark, table, entity))
+    q = (src.writeStream.foreachBatch(_merge_batch(spark, table, entity, _base_version(spark, table, checkpoint)))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 

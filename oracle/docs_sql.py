@@ -112,7 +112,7 @@ select subscription_id, customer_id, status, start_date, end_date,
 from silver_subscriptions
 window w as (partition by customer_id order by start_date, subscription_id)""")
 
-Q["doc_mrr_movement"] = with_base("""
+Q["doc_mrr_movement"] = with_base(f"""
 select customer_id, revenue_month, mrr, prev_mrr,
   case when prev_mrr is null then 'new' when mrr > prev_mrr then 'expansion'
        when mrr < prev_mrr then 'contraction' else 'flat' end as movement
@@ -122,7 +122,14 @@ from (
   from (select customer_id, revenue_month, cast(sum(monthly_price) as bigint) as mrr
         from mrr_expanded where status = 'active' group by 1, 2) m
   window w as (partition by customer_id order by revenue_month)
-) x""", MRR)
+) x
+union all
+select customer_id, cast(revenue_month + interval 1 month as date), 0, mrr, 'churned'
+from (select customer_id, revenue_month, cast(sum(monthly_price) as bigint) as mrr
+      from mrr_expanded where status = 'active' group by 1, 2) m
+where revenue_month + interval 1 month <= {AS_OF}
+  and not exists (select 1 from mrr_expanded n where n.status = 'active' and n.customer_id = m.customer_id
+                  and n.revenue_month = m.revenue_month + interval 1 month)""", MRR)
 
 Q["doc_refund_linkage"] = with_base("""
 select r.refund_id, r.transaction_id, coalesce(t.linked, false) as is_linked
@@ -143,7 +150,8 @@ select c.end_date as churn_date, c.subscription_id, c.customer_id,
   case when pc.has_active then 'partial' else 'full' end as churn_type, pc.last_active_plan
 from (select * from silver_subscriptions where status = 'canceled') c
 left join (select customer_id, bool_or(status = 'active') as has_active,
-             arg_max(plan_name, struct_pack(s := start_date, i := subscription_id)) as last_active_plan
+             arg_max(plan_name, struct_pack(s := start_date, i := subscription_id))
+               filter (where status = 'active') as last_active_plan
            from silver_subscriptions group by customer_id) pc
   on c.customer_id = pc.customer_id""")
 
@@ -161,7 +169,9 @@ select date, layer, count(*) as row_count from (
 Q["triage_refund_distribution"] = with_base("""
 select length(cast(floor(refunded_amount) as varchar)) as integer_digits, count(*) as transactions,
   cast(sum(refunded_amount) as double) as total_refunded, cast(min(refunded_amount) as double) as min_refunded,
-  cast(max(refunded_amount) as double) as max_refunded
+  cast(max(refunded_amount) as double) as max_refunded,
+  round(quantile_cont(cast(refunded_amount as double), 0.5), 2) as median_refunded,
+  round(quantile_cont(cast(refunded_amount as double), 0.95), 2) as p95_refunded
 from gold_transaction_facts where refunded_amount > 0 group by 1""")
 
 Q["triage_duplicate_refunds"] = with_base("""

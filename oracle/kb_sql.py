@@ -89,7 +89,7 @@ def _wrap(body: str, final: str) -> str:
 
 TERMS = """
 chunk_terms as (
-  select chunk_id, ('0x' || substr(md5(tok), 1, 5))::integer as bucket, count(*) as tf
+  select chunk_id, ('0x' || substr(md5(tok), 1, 15))::bigint as bucket, count(*) as tf
   from (select chunk_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as tok from kb_chunks) t
   group by 1, 2
 ),
@@ -108,7 +108,7 @@ queries as (
 query_w as (
   select query_id, bucket, w / sqrt(sum(w * w) over (partition by query_id)) as weight
   from (select query_id, bucket, tf * idf as w
-        from (select query_id, ('0x' || substr(md5(tok), 1, 5))::integer as bucket, count(*) as tf
+        from (select query_id, ('0x' || substr(md5(tok), 1, 15))::bigint as bucket, count(*) as tf
               from (select query_id, unnest(regexp_extract_all(lower(query_text), '[a-z0-9]+')) as tok
                     from queries) qt group by 1, 2) q
         join idf using (bucket)) x

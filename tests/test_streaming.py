@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -25,7 +26,7 @@ def _cols(df):
 def test_replayed_batch_rewrites_the_same_version(spark):
     raw = Pipeline(spark, SF_SMALL).raw("transactions")
     table = _root(spark, "bronze")
-    merge = _merge_batch(spark, table, "transactions")
+    merge = _merge_batch(spark, table, "transactions", 0)
     first, second = raw.where("ingestion_date < date'1998-01-01'"), raw.where("ingestion_date >= date'1998-01-01'")
     merge(first, 0)
     merge(second, 1)
@@ -36,6 +37,22 @@ def test_replayed_batch_rewrites_the_same_version(spark):
     assert v2 == sorted(map(tuple, _cols(upsert(first, second, "transaction_id")).collect()))
 
 
+def test_stream_goes_on_from_a_loaded_table_and_a_lost_version_is_an_error(spark):
+    from finspark.operators.ingest import load_bronze
+    from finspark.streaming.ingest import _base_version
+    raw = Pipeline(spark, SF_SMALL).raw("transactions")
+    table, checkpoint = _root(spark, "bronze"), _root(spark, "progress")
+    first, second = raw.where("ingestion_date < date'1998-01-01'"), raw.where("ingestion_date >= date'1998-01-01'")
+    load_bronze(spark, first, table, "transactions")
+    base = _base_version(spark, table, checkpoint)
+    _merge_batch(spark, table, "transactions", base)(second, 0)
+    assert _base_version(spark, table, checkpoint) == base == 1
+    got = _cols(spark.read.parquet(version_path(table, 2)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _cols(upsert(first, second, "transaction_id")).collect()))
+    with pytest.raises(RuntimeError, match="version 7"):
+        _merge_batch(spark, table, "transactions", base)(second, 6)
+
+
 def test_two_landings_equal_batch_upsert(spark):
     raw = Pipeline(spark, SF_SMALL).raw("transactions")
     got = _cols(stream_bronze_demo(spark, raw, "transactions", _root(spark, "demo")))

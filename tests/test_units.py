@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import D, T, pay, pipeline, refund, sub, txn
@@ -269,6 +270,15 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     assert configured and ensure_checkpoint_dir(spark) == configured
 
 
+def test_no_shared_folder_is_an_error_on_a_cluster():
+    from types import SimpleNamespace
+
+    from finspark.session import ensure_checkpoint_dir
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf={}))
+
+
 def test_pii_scan_sees_every_row_and_a_sample_does_not(spark):
     from finspark.operators.compliance import value_scan
     rows = [(f"note {i:04d}",) for i in range(300)] + [("zz reach me at someone@example.org",)]
