@@ -29,7 +29,8 @@ def jaccard_components(rows, k=5, percent=80):
 
     for a, s in sets:
         for b, t in sets:
-            if s and t and a < b and 100 * len(s & t) >= percent * len(s | t):
+            sizes = sorted((len(s), len(t)))
+            if s and t and a < b and 100 * sizes[0] >= percent * sizes[1] and 100 * len(s & t) >= percent * len(s | t):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return sorted((i, len(s), find(i)) for i, s in sets)
@@ -57,7 +58,7 @@ def contaminated(docs, items, k=5, percent=80):
         own = grams(split(text), k)
         for item, wanted in items:
             wanted = grams(split(wanted), k)
-            if not own or not wanted:
+            if not set(own) & set(wanted):
                 continue
             for at in range(max(1, len(own) - len(wanted) + 1)):
                 window = own[at:at + len(wanted)]

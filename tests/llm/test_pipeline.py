@@ -2,24 +2,24 @@
 
 import brute
 import corpus_pipeline as P
-from conftest import SF_SMALL
+from conftest import SF_CHECK as SF
 from finspark.llm.scratch import written
 from finspark.llm.toxicity import labelled_rows, learn_lexicon, score_toxicity
 
 
 def test_stages_equal_brute_force(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, kept = docs.columns, []
     for name, stage in P.STAGES:
         kept.append((name, docs.collect()))
-        docs = written(stage(spark, docs, SF_SMALL), "stage")
+        docs = written(stage(spark, docs, SF), "stage")
         assert name == P.STAGES[-1][0] or docs.columns == columns
     kept.append(("result", docs.collect()))
     rows = {name: {r.doc_id: r for r in some} for name, some in kept}
     start, clean, single, cut, pure, mixed = (rows[k] for k in (*(n for n, _ in P.STAGES), "result"))
 
-    table = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    lexicon = learn_lexicon(labelled_rows(table, spark.read.parquet(f"{SF_SMALL}/labels.parquet")))
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    lexicon = learn_lexicon(labelled_rows(table, spark.read.parquet(f"{SF}/labels.parquet")))
     assert set(clean) == {r.doc_id for r in score_toxicity(table, lexicon).collect() if r.predicted == 0}
     assert 0.8 * len(start) < len(clean) < len(start)
     assert set(single) == {i for i, _, c in brute.jaccard_components([(i, r.text) for i, r in clean.items()]) if c == i}
@@ -28,7 +28,7 @@ def test_stages_equal_brute_force(spark):
     for i, r in cut.items():
         n, gone, _ = expected[i]
         assert len(brute.words(r.text)) == n - gone and (gone or r.text == single[i].text)
-    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert set(pure) == set(cut) - {i for i, _ in brute.contaminated([(i, r.text) for i, r in cut.items()], items)}
     assert set(mixed) == set(pure) and sum(r.taken for r in mixed.values()) > 0
     assert all(r.size == len(brute.words(r.text)) and r.taken <= 3 * r.size for r in mixed.values())
