@@ -8,7 +8,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from chunk_model import chunk_model
+from chunk_rules import check_chunks
 from finspark.functions.dates import month_series
 from finspark.operators.chunking import chunk_documents
 from finspark.operators.macros import dedupe_latest, desc_last
@@ -39,19 +39,37 @@ def test_month_series_matches_drifting_series(spark, pairs):
 
 
 line = st.one_of(st.text(alphabet="ab #\t", max_size=40), st.text(alphabet="xyz ", min_size=100, max_size=1200),
-                 st.just("# Header"), st.just("## "), st.just(""))
+                 st.just("# Header"), st.just("## "))
+
+
+def chunks_by_source(spark, texts, **options):
+    df = spark.createDataFrame([(t, f"d{i}.md") for i, t in enumerate(texts)], "text string, source_file string")
+    out = {f"d{i}.md": [] for i in range(len(texts))}
+    for r in sorted(chunk_documents(df, **options).collect(), key=lambda r: r["chunk_index"]):
+        assert r["chunk_id"] == f"{r['source_file']}:{r['chunk_index']}"
+        out[r["source_file"]].append((r["text"], r["section"], r["start_line"], r["end_line"]))
+    return list(out.values())
 
 
 @settings(max_examples=1, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.lists(line, max_size=40), st.sampled_from(["\n", "\r\n", "\r"])),
                 min_size=60, max_size=60))
-def test_chunker_matches_model(spark, docs):
-    texts = [sep.join(lines) + (sep if i % 2 else "") for i, (lines, sep) in enumerate(docs)]
-    df = spark.createDataFrame([(t, f"d{i}.md") for i, t in enumerate(texts)], "text string, source_file string")
-    got = {tuple(r) for r in chunk_documents(df).select(
-        "chunk_id", "text", "source_file", "section", "start_line", "end_line").collect()}
-    exp = {c for i, t in enumerate(texts) for c in chunk_model(t, f"d{i}.md")}
-    assert got == exp
+def test_chunks_keep_the_rules(spark, docs):
+    texts = [sep.join(x if x.strip() else "filled" for x in lines) + (sep if i % 2 and lines else "")
+             for i, (lines, sep) in enumerate(docs)]
+    for text, chunks in zip(texts, chunks_by_source(spark, texts, min_chars=0)):
+        check_chunks(text, chunks)
+
+
+def test_chunks_of_hand_made_texts(spark):
+    full, short = "x" * 899, "y" * 100
+    texts = [f"{full}\ntail {short}", f"{short}\n{short}\n\n{short}", "", "\n \n", f"{'z' * 600}\n# A\n{short}\n## \n{short}",
+             f"{'a' * 700}\n{'b' * 60}\n{'c' * 200}\nend", "tiny", "# Only a heading " + short]
+    got = chunks_by_source(spark, texts)
+    assert [[(sec, s, e) for _, sec, s, e in c] for c in got] == [
+        [("root", 1, 1), ("root", 1, 2)], [("root", 1, 4)], [], [], [("root", 1, 1), ("root", 2, 5)],
+        [("root", 1, 3), ("root", 3, 4)], [], [("Only a heading " + short, 1, 1)]]
+    assert got[1][0][0] == f"{short}\n{short}\n\n{short}"
 
 
 def test_chunk_spans_cover_every_line(spark):
@@ -90,13 +108,10 @@ def test_ranked_with_next_splits_a_hot_group(spark):
     assert hot_parts > 1  # the hot group really is spread over several pieces
 
 
-def test_documents_longer_than_one_block_fold_exactly(spark):
+def test_documents_longer_than_one_block_keep_the_rules(spark):
     from finspark.operators.chunking import BLOCK_LINES
-    texts = ["\n".join(("# H%d" % i) if i % 97 == 0 else ("w" * (i * 53 % 700)) for i in range(3 * BLOCK_LINES + 17)),
+    texts = ["\n".join(("# H%d" % i) if i % 97 == 0 else ("w" * (1 + i * 53 % 700)) for i in range(3 * BLOCK_LINES + 17)),
              "\n".join("x" * 1000 for _ in range(BLOCK_LINES + 1)),
              "\n".join("y" for _ in range(2 * BLOCK_LINES))]
-    df = spark.createDataFrame([(t, f"L{i}.md") for i, t in enumerate(texts)], "text string, source_file string")
-    got = {tuple(r) for r in chunk_documents(df).select(
-        "chunk_id", "text", "source_file", "section", "start_line", "end_line").collect()}
-    exp = {c for i, t in enumerate(texts) for c in chunk_model(t, f"L{i}.md")}
-    assert got == exp
+    for text, chunks in zip(texts, chunks_by_source(spark, texts, min_chars=0)):
+        check_chunks(text, chunks)
