@@ -41,8 +41,8 @@ from finspark.llm.scratch import components, shuffle_partitions, written
 from finspark.llm.words import U64, find_words, mix, pack, row_sums, shingle_sets, slices, unpack
 
 _KEY, _MOST = 6, 65_535
-#: Turns of one comparison per group at most, before all that is open is compared.
-MAX_TURNS = 12
+#: Turns of one comparison per group, before all that is open is compared.
+TURNS = 2
 #: Classes of a component that are compared together.
 BLOCK = 64
 
@@ -83,7 +83,9 @@ def _key_rows(k: int, buckets: int):
                 bucket = (keys * U64(buckets) >> U64(48)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
                 got = list(_by_bucket(buckets, bucket, (keys, _KEY), (sets[rows], 8)))
                 if got:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*got)], ["bucket", "keys", "sets"])
+                    bucket, *packed = zip(*got)
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), *map(pa.array, packed)],
+                                                     ["bucket", "keys", "sets"])
     return run
 
 
@@ -125,8 +127,8 @@ def _shared_rows(buckets: int):
 
 
 _ROUTED = ["bucket", "set", "n", "sets", "keys", "times"]
-_ROUTED_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-_ROUTED_SCHEMA = "bucket bigint, set bigint, n bigint, sets binary, keys binary, times binary"
+_ROUTED_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+_ROUTED_SCHEMA = "bucket int, set bigint, n bigint, sets binary, keys binary, times binary"
 
 
 def _prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -292,18 +294,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``(id, n, component)`` for every row of ``docs``; see the module text."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    buckets = 4 * parts
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
     rows = written(texts.mapInArrow(_set_rows(k), "id bigint, n bigint, set bigint, more bigint"), "sets")
     classes = (rows.filter("n > 0 and id is not null").groupBy("set", "more", "n")
                .agg(F.min("id").alias("class")))
 
-    shared = (texts.filter("id is not null").mapInArrow(_key_rows(k, buckets), "bucket bigint, keys binary, sets binary")
-              .repartition(parts, "bucket").mapInArrow(_shared_rows(buckets), _ROUTED_SCHEMA))
-    sizes = classes.select(F.pmod("set", F.lit(buckets)).alias("bucket"), "set", "n",
+    shared = (texts.filter("id is not null").mapInArrow(_key_rows(k, parts), "bucket int, keys binary, sets binary")
+              .repartitionById(parts, "bucket").mapInArrow(_shared_rows(parts), _ROUTED_SCHEMA))
+    sizes = classes.select(F.pmod("set", F.lit(parts)).cast("int").alias("bucket"), "set", "n",
                            *(F.lit(None).cast("binary").alias(c) for c in _ROUTED[3:]))
-    prefixed = (shared.union(sizes).repartition(parts, "bucket")
+    prefixed = (shared.union(sizes).repartitionById(parts, "bucket")
                 .mapInArrow(_prefix_rows(percent), "set bigint, n bigint, single bigint, keys binary, "
                                                    "prefix array<bigint>, prefix_key bigint"))
     members = written(prefixed.join(classes, ["set", "n"]).drop("set", "more"), "members")
@@ -318,12 +319,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     inner = grouped.filter("class <> leader").select(F.col("class").alias("a"), F.col("leader").alias("b"))
     placed = _merged(alone, written(_linked(inner, members, percent), "links"))
     entries = _torn(postings, placed)
-    for turn in range(MAX_TURNS):
-        links = written(_linked(_near_pairs(entries, turn, percent), members, percent), "links")
-        placed = _merged(placed, links)
-        before, entries = entries.count(), _torn(postings, placed)
-        if entries.count() > 0.97 * before:
-            break
+    for turn in range(TURNS):
+        placed = _merged(placed, written(_linked(_near_pairs(entries, turn, percent), members, percent), "links"))
+        entries = _torn(postings, placed)
     placed = _merged(placed, written(_open_links(_open_pairs(entries, placed, percent), placed, members, percent), "links"))
 
     found = placed.select(F.col("class").alias("node"), "component")
