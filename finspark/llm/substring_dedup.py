@@ -4,25 +4,27 @@ A window is ``size`` consecutive words of one document.  Each word that lies in
 window whose word sequence also starts in a document with a smaller id is removed;
 windows are judged on the input, not on what is left.
 
-1. Anchors.  In every window the ``phrase``-word gram with the smallest hash is the
-   window's anchor (winnowing), so equal windows of two documents have equal anchors.
-   Some 5 percent of all positions are anchors.
-2. Confirm.  Anchors are counted over all documents, packed by bucket of hashes, one
-   entry per (anchor, text).  Those of two different texts or more recur.  Texts equal
-   word for word are found by whole-text hashes and need no anchors.
-3. Pieces.  A Bloom filter of the recurring anchors (16 bits each, two probes) lets a
-   second pass over all documents send only the surroundings of recurring anchors, all
-   windows around an anchor, to the shard of that anchor.  A false positive costs a
+1. Phrases.  In every window the ``seed``-word gram with the smallest hash is the window's
+   seed (winnowing), so equal windows of two documents have equal seeds at equal places.
+   On one side of its seed, at least, a window holds half of its other words: the seed with
+   those (30 words for windows of 50) is the window's phrase.  Lines and runs of words that
+   are common but shorter than a phrase never count.
+2. Confirm.  Phrases are counted over all documents, packed by bucket of hashes, one
+   entry per (phrase, text).  Those of two different texts or more recur.  Texts equal
+   word for word are found by whole-text hashes and need no phrases.
+3. Pieces.  A Bloom filter of the recurring phrases (16 bits each, two probes) lets a
+   second pass over all documents send only the surroundings of recurring phrases, all
+   windows around a phrase, to the shard of that phrase.  A false positive costs a
    piece and changes nothing.
 4. Automata.  Every shard compiles its phrases into one Aho-Corasick automaton, streams
-   its pieces through it in order of anchor and id, hashes the windows around every
+   its pieces through it in order of phrase and id, hashes the windows around every
    located phrase, and marks those whose sequence a document with a smaller id has.  A
-   shard is worked off in runs of bounded size; of an anchor with very many pieces only
+   shard is worked off in runs of bounded size; of a phrase with very many pieces only
    window hashes go from one run to the next.
 5. Marked spans go back to their documents by id.
 
 Defined cases: null and empty texts have no words and stay as they are (null becomes an
-empty kept text); a text shorter than a window loses words only never; equal ids do not
+empty kept text); a text shorter than a window loses nothing; equal ids do not
 remove from each other; rows with a null id keep all words and remove none; repeated rows
 each return a row; other columns are passed through, but for the names of the result
 columns, which win.  Word sequences are compared by 64-bit hashes.
@@ -56,10 +58,16 @@ def _text_hashes(words: Words, hashes: np.ndarray) -> np.ndarray:
     return mix(row_sums(mix(hashes + mix(place + U64(1))), words.first) + words.counts.astype(U64))
 
 
-def _anchors(words: Words, hashes: np.ndarray, size: int, phrase: int) -> tuple[np.ndarray, np.ndarray]:
-    """(gram hash, word index) of the anchors: the smallest gram of every window, leftmost of equals."""
-    grams, row = gram_hashes(hashes, phrase), words.row
-    span, out = size - phrase + 1, []
+def _phrase_length(size: int, seed: int) -> int:
+    """A window holds its seed and, to one side or the other, half of what else it holds."""
+    return seed + (size - seed) // 2
+
+
+def _phrases(words: Words, hashes: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, word index) of phrases such that every window holds one: the words from or up to the
+    window's seed, its smallest gram (the leftmost of equals)."""
+    grams, row = gram_hashes(hashes, seed), words.row
+    span, out = size - seed + 1, []
     windows = len(hashes) - size + 1
     step = 1 << 19
     for at in range(0, max(windows, 0), step):
@@ -75,8 +83,12 @@ def _anchors(words: Words, hashes: np.ndarray, size: int, phrase: int) -> tuple[
         chosen = np.zeros(len(value), bool)
         chosen[(least[inside] & U64((1 << 20) - 1)).astype(np.int64)] = True
         out.append(at + np.flatnonzero(chosen))
-    where = np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
-    return grams[where], where
+    seeds = np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
+    length = _phrase_length(size, seed)
+    where = np.union1d(seeds, seeds - (length - seed))
+    where = where[(where >= 0) & (where + length <= len(hashes))]
+    where = where[row[where] == row[where + length - 1]]
+    return gram_hashes(hashes, length)[where], where
 
 
 def _text_rows():
@@ -91,13 +103,13 @@ def _text_rows():
     return run
 
 
-def _anchor_rows(size: int, phrase: int, buckets: int):
+def _phrase_rows(size: int, seed: int, buckets: int):
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 words = find_words(part.column("text"))
                 hashes = word_hashes(words)
-                grams, where = _anchors(words, hashes, size, phrase)
+                grams, where = _phrases(words, hashes, size, seed)
                 full = _text_hashes(words, hashes)[words.row[where]]
                 pairs = np.unique(np.stack([grams, full]), axis=1)
                 bucket = ((pairs[0] >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
@@ -111,7 +123,7 @@ def _anchor_rows(size: int, phrase: int, buckets: int):
 
 
 def _recurring_rows(batches):
-    """Anchors that two different texts have."""
+    """Phrases that two different texts have."""
     parts = [(g, f) for b in batches for g, f in zip(*(b.column(c).to_pylist() for c in ("grams", "fulls")))]
     if parts:
         grams, fulls = (unpack(b"".join(x), 8) for x in zip(*parts))
@@ -127,7 +139,7 @@ def _probes(grams: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 def _filter(recurring: DataFrame) -> Broadcast:
-    """Bloom filter of the anchors, built in chunks by Spark; its size follows their number up to a bound."""
+    """Bloom filter of the phrases, built in chunks by Spark; its size follows their number up to a bound."""
     spark = recurring.sparkSession
     bits = int(np.clip(np.ceil(np.log2(16 * max(recurring.count(), 1))), _CHUNK_BITS, np.log2(FILTER_BITS_MAX)))
 
@@ -152,15 +164,17 @@ def _filter(recurring: DataFrame) -> Broadcast:
 _PIECE = ["gram", "id", "full", "at", "rel", "piece"]
 
 
-def _piece_rows(size: int, phrase: int, known: Broadcast):
-    """The surroundings of every recurring anchor: all windows that hold it."""
+def _piece_rows(size: int, seed: int, known: Broadcast):
+    """The surroundings of every recurring phrase: all windows that hold it."""
+    phrase = _phrase_length(size, seed)
+
     def run(batches):
         bits, whole = known.value
         for batch in batches:
             for part in slices(batch):
                 words = find_words(part.column("text"))
                 hashes = word_hashes(words)
-                grams, where = _anchors(words, hashes, size, phrase)
+                grams, where = _phrases(words, hashes, size, seed)
                 hit, also = ((whole[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool) for p in _probes(grams, bits))
                 grams, where = grams[hit & also], where[hit & also]
                 row = words.row[where]
@@ -195,7 +209,7 @@ def _located(words: Words, texts: list[str], wanted: dict[str, None]) -> tuple[n
     return np.array(piece, np.int64), np.array(index, np.int64)
 
 
-def _gram_chunks(batches, most: int = PIECE_BYTES) -> Iterator[pa.Table]:
+def _gram_chunks(batches, most: int) -> Iterator[pa.Table]:
     """The rows of a partition in order, in runs of about ``most`` bytes of pieces."""
     held, size = [], 0
     for batch in batches:
@@ -209,14 +223,16 @@ def _gram_chunks(batches, most: int = PIECE_BYTES) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _span_rows(size: int, phrase: int):
+def _span_rows(size: int, seed: int, most: int = PIECE_BYTES):
     """Marked spans (id, text hash, first word, end word) of the documents of a shard's pieces.
 
-    Pieces come by anchor and id.  They are worked off in runs of bounded size; of an anchor
+    Pieces come by phrase and id.  They are worked off in runs of bounded size; of a phrase
     that continues in the next run only window hashes and their smallest ids are kept."""
+    phrase = _phrase_length(size, seed)
+
     def run(batches):
         last, seen = None, (np.zeros(0, U64), np.zeros(0, np.int64))
-        for table in _gram_chunks(batches):
+        for table in _gram_chunks(batches, most):
             pieces, gram, rel = table.column("piece").chunk(0), table.column("gram").to_numpy(), table.column("rel").to_numpy()
             words = find_words(pieces)
             texts = [" " + b" ".join(x.as_py().split()).decode() + " " for x in pieces]
@@ -284,7 +300,7 @@ def _cut_rows(names: list[str]):
     return run
 
 
-def marked_spans(docs: DataFrame, size: int = 50, phrase: int = 10) -> DataFrame:
+def marked_spans(docs: DataFrame, size: int = 50, seed: int = 10) -> DataFrame:
     """``(id, full, begin, end)``: word spans of the text with hash ``full`` of document ``id`` that
     a document with a smaller id has too.  ``docs`` has ``id`` and ``text``."""
     parts = shuffle_partitions(docs.sparkSession)
@@ -295,19 +311,19 @@ def marked_spans(docs: DataFrame, size: int = 50, phrase: int = 10) -> DataFrame
     copies = (texts.join(firsts, ["full", "n_words"]).filter("id > first")
               .select("id", "full", F.lit(0).cast("bigint").alias("begin"), F.col("n_words").alias("end")).distinct())
     recurring = written(
-        docs.select("text").mapInArrow(_anchor_rows(size, phrase, 4 * parts), "bucket bigint, grams binary, fulls binary")
+        docs.select("text").mapInArrow(_phrase_rows(size, seed, 4 * parts), "bucket bigint, grams binary, fulls binary")
         .repartition(parts, "bucket").mapInArrow(_recurring_rows, "gram bigint"), "recurring")
-    pieces = docs.mapInArrow(_piece_rows(size, phrase, _filter(recurring)),
+    pieces = docs.mapInArrow(_piece_rows(size, seed, _filter(recurring)),
                              "gram bigint, id bigint, full bigint, at bigint, rel bigint, piece binary")
     spans = (pieces.repartition(parts, "gram").sortWithinPartitions("gram", "id")
-             .mapInArrow(_span_rows(size, phrase), "id bigint, full bigint, begin bigint, end bigint"))
+             .mapInArrow(_span_rows(size, seed), "id bigint, full bigint, begin bigint, end bigint"))
     return spans.union(copies)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 50,
-                   phrase: int = 10) -> DataFrame:
+                   seed: int = 10) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text`` (kept words, one space between)."""
-    spans = (marked_spans(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")), size, phrase)
+    spans = (marked_spans(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")), size, seed)
              .groupBy("id").agg(F.collect_list(F.struct("full", "begin", "end")).alias("spans")))
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", text_col)]
     plain = [f"_{i}" for i in range(len(names))]
