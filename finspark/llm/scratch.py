@@ -14,11 +14,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_FOLDERS: list[str] = []
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove the tables this process has written; only when no result that reads them is needed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _FOLDERS:
+        path = jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under spark.checkpoint.dir and read back: lineage ends
     there, any executor can read it, and readers take only the columns they need."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
+    _FOLDERS.append(f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}")
+    path = f"{_FOLDERS[-1]}/{name}"
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
