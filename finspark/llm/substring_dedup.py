@@ -88,7 +88,17 @@ def _phrases(words: Words, hashes: np.ndarray, size: int, seed: int) -> tuple[np
     where = np.union1d(seeds, seeds - (length - seed))
     where = where[(where >= 0) & (where + length <= len(hashes))]
     where = where[row[where] == row[where + length - 1]]
-    return gram_hashes(hashes, length)[where], where
+    grams = gram_hashes(hashes, length)[where]
+    # A phrase that comes again at once, as in a repeated word pair: in each stretch no longer than the
+    # places a window has for a phrase, the first and the last will do; every window still holds one.
+    stretch = where // max(size - length, 1)
+    order = np.lexsort((where, stretch, row[where], grams))
+    same = np.ones(max(len(order) - 1, 0), bool)
+    for values in (grams, row[where], stretch):
+        same &= values[order][1:] == values[order][:-1]
+    inner = np.r_[False, same] & np.r_[same, False] if len(order) else np.zeros(0, bool)
+    kept = np.sort(order[~inner])
+    return grams[kept], where[kept]
 
 
 def _text_rows():
