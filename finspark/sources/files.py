@@ -63,12 +63,12 @@ def read_entity_csv(spark: SparkSession, path: str, entity: str, multi_line: boo
             .option("mode", "FAILFAST").csv(path))
 
 
-def read_entity(spark: SparkSession, path: str, entity: str, fmt: str = "csv") -> DataFrame:
+def read_entity(spark: SparkSession, path: str, entity: str, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """A raw entity from CSV, JSON lines or parquet, always with the fixed
     schema (no inference pass; parquet columns are selected and cast)."""
     schema = ENTITY_SCHEMAS[entity]
     if fmt == "csv":
-        return read_entity_csv(spark, path, entity)
+        return read_entity_csv(spark, path, entity, multi_line)
     if fmt == "json":
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     if fmt == "parquet":

@@ -40,13 +40,13 @@ def test_csv_keeps_quoted_newlines_and_types(spark):
     df = spark.createDataFrame(rows, ENTITY_SCHEMAS["customers"])
     path = _scratch(spark, "csv")
     write_entity_csv(df, path)
-    back = read_entity_csv(spark, path, "customers").collect()
+    back = read_entity_csv(spark, path, "customers", multi_line=True).collect()
     assert [tuple(r) for r in back] == rows
     tx = spark.createDataFrame([("t1", "a", "c", Decimal("12.30"), "USD", "m", "success", dt.datetime(2024, 1, 1),
                                  None, dt.date(2024, 1, 1), "0042", "d")], ENTITY_SCHEMAS["transactions"])
     tpath = _scratch(spark, "csv-tx")
     write_entity_csv(tx, tpath)
-    r = read_entity_csv(spark, tpath, "transactions").first()
+    r = read_entity_csv(spark, tpath, "transactions", multi_line=True).first()
     assert r["amount"] == Decimal("12.30") and r["settled_at"] is None and r["card_last_four"] == "0042"
 
 
