@@ -1,20 +1,15 @@
 """Quality rules by n-gram perplexity: a modified Kneser-Ney model per language.
 
-Texts are read as bytes of 32 kinds (a-z; capital; white space; symbol; other ASCII;
-first and further bytes of other characters), with three white-space kinds ahead.
-Spark counts all 4-grams of all documents, per language: tasks sum in dense arrays, and
-the reducers add up what the tasks send.  32^4 grams bound the model whatever the corpus.
-Interpolated modified Kneser-Ney smoothing (three discounts per order from the counts of
-counts, continuation counts below the highest order) gives each gram its probability; the
-model is stored as one sorted array of gram hashes with log probabilities and back-off
-weights, and broadcast (2^20 + 2^15 + 2^10 + 2^5 entries per language at most).
-
-A document's log perplexity is its mean negative log probability, each line read by the
-model that fits it best, so that quoted foreign lines do not tell against a document.  Per
-language the band reaches ``width`` interquartile ranges beyond the quartiles of all
-documents that pass the base rules, and further for short texts, whose means vary more
-(by the root of 1 + 50 / words); documents outside are rejected.  The 31 most frequent languages have their
-own model and band, all others share one.
+The model counts 5-grams of characters of all documents, without a fixed alphabet, and grows
+with the corpus (``char_model``).  Every value of the language column has its own model and
+its own band; null is one of them.  Documents are dealt over two folds by the hash of their
+text, and each is read by its language's model of the other fold, so that it is no evidence
+for itself (exact copies share a fold; near copies may not).
+
+A document's log perplexity is its mean negative log probability.  Per language the band
+reaches ``width`` interquartile ranges beyond the quartiles of all documents that pass the
+base rules, and further for short texts, whose means vary more (by the root of
+1 + 50 / words); documents outside are rejected.
 
 Base rules: too few words (under 20), or more than 30 percent of the words in 8-word
 windows that occur twice or more in the text.
@@ -30,14 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finspark.llm.scratch import shuffle_partitions, written
+from finspark.llm.char_model import distinct_grams, scored
+from finspark.llm.scratch import if_small, written
 from finspark.llm.words import U64, Words, find_words, gram_hashes, mix, row_sums, slices, span_hashes, word_hashes
 
 ORDER, KINDS, BITS = 4, 32, 5
-OWN_LANGUAGES = 31
 #: Words from which on a band is hardly wider than its language's.
 SHORT = 50
 _SLICE = 1 << 16
@@ -71,42 +67,6 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _by_language(part: pa.RecordBatch, words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(language, its rows, the bytes of those rows as a mask)."""
-    lang = part.column("lang").to_numpy(zero_copy_only=False)
-    for one in np.unique(lang):
-        yield int(one), np.flatnonzero(lang == one), np.repeat(lang == one, np.diff(words.offsets))
-
-
-def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part in slices(batch):
-            words = find_words(part.column("text"))
-            grams = _grams(words.data, words.offsets)
-            for lang, _, own in _by_language(part, words):
-                total = totals.setdefault(lang, np.zeros(KINDS ** ORDER, np.int64))
-                total += np.bincount(grams[own], minlength=KINDS ** ORDER)
-    for lang, total in totals.items():
-        for at in range(0, KINDS ** ORDER, _SLICE):
-            some = np.flatnonzero(total[at:at + _SLICE])
-            if len(some):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang], pa.int32()), pa.array([at // _SLICE], pa.int32()), pa.array([some.astype(np.uint16).tobytes()]),
-                     pa.array([total[at:at + _SLICE][some].tobytes()])], ["lang", "slice", "grams", "counts"])
-
-
-def _sum_rows(batches):
-    totals: dict[tuple[int, int], np.ndarray] = {}
-    for batch in batches:
-        for lang, slice_, grams, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            total = totals.setdefault((lang, slice_), np.zeros(_SLICE, np.int64))
-            total[np.frombuffer(grams, np.uint16)] += np.frombuffer(counts, np.int64)
-    for (lang, slice_), total in totals.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang], pa.int32()), pa.array([slice_], pa.int32()), pa.array([total.tobytes()])],
-                                         ["lang", "slice", "counts"])
-
-
 def _discounts(counts: np.ndarray) -> np.ndarray:
     """Discounts of counts 1, 2, and 3 or more; usual values where counts of counts are missing."""
     n = [int((counts == i).sum()) for i in range(1, 5)]
@@ -116,6 +76,7 @@ def _discounts(counts: np.ndarray) -> np.ndarray:
     return np.clip([i + 1 - (i + 2) * y * n[i + 1] / n[i] for i in range(3)], 0.1, [0.95, 1.95, 2.95])
 
 
+# From here to ``Model``: the bounded 4-gram model over kinds of bytes, which no query uses; its test is kept.
 def kneser_ney(counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """(probability, back-off weight of the context) of orders 1 to 4 from 4-gram counts.
 
@@ -214,75 +175,57 @@ def _repeat_lines(words: Words) -> np.ndarray:
     return np.bincount(row[order][1:][again], minlength=len(words.first) - 1)
 
 
-def _log_perplexity(words: Words, known: dict[int, Model]) -> np.ndarray:
-    """Per row, the mean negative log probability; each line is read by the model that fits it best."""
-    grams, length = _grams(words.data, words.offsets), np.diff(words.offsets)
-    if not len(grams):
-        return np.full(len(length), np.nan)
-    cuts = np.unique(np.concatenate([words.offsets, np.flatnonzero(words.data == 0x0A) + 1]))
-    there = np.flatnonzero(np.bincount(grams, minlength=KINDS ** ORDER))
-    best = None
-    for model in known.values():
-        table = np.zeros(KINDS ** ORDER, np.float32)
-        table[there] = model.log_probability(there)
-        lines = row_sums(table[grams].astype(np.float64), cuts)
-        best = lines if best is None else np.maximum(best, lines)
-    row = np.searchsorted(words.offsets, cuts[:-1], side="right") - 1
-    return np.where(length > 0, -np.bincount(row, best, len(length)) / np.maximum(length, 1), np.nan)
-
-
-def _rule_rows(models):
-    def run(batches):
-        known = {lang: Model(*parts) for lang, parts in models.value.items()}
-        for batch in batches:
-            for part in slices(batch):
-                words = find_words(part.column("text"))
-                hashes = word_hashes(words)
-                solid = ((words.data & 0xC0) != 0x80) & (_KIND[words.data] != 27)
-                mean = _log_perplexity(words, known)
-                numbers = [words.counts, row_sums(solid.astype(np.int64), words.offsets),
-                           row_sums(_SYMBOL[words.data], words.offsets), _repeat_lines(words), _repeat_words(words, hashes)]
+def _rule_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text with its base numbers and block, and the distinct grams of each block."""
+    block = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part in slices(batch):
+            words = find_words(part.column("text"))
+            hashes = word_hashes(words)
+            solid = ((words.data & 0xC0) != 0x80) & (_KIND[words.data] != 27)
+            numbers = [words.counts, row_sums(solid.astype(np.int64), words.offsets),
+                       row_sums(_SYMBOL[words.data], words.offsets), _repeat_lines(words), _repeat_words(words, hashes)]
+            lang = np.unique(part.column("lang").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            group = lang * 2 + part.column("fold").to_numpy()
+            _, groups = np.unique(group, return_inverse=True)
+            rows = part.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block + groups, pa.int64()), *(part.column(c) for c in ("id", "lang", "fold", "text")),
+                 *(pa.array(x.astype(np.int64)) for x in numbers), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary())], _BLOCK)
+            for one in range(groups.max() + 1):
+                own = np.flatnonzero(groups == one)
+                grams, counts, _, _ = distinct_grams(part.column("text").take(pa.array(own)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("lang"), *(pa.array(x.astype(np.int64)) for x in numbers),
-                     pa.array(mean, from_pandas=True)], _RULES)
-    return run
+                    [pa.array([block + one], pa.int64()), pa.nulls(1, pa.int64()),
+                     *(part.column(c).slice(own[0], 1) for c in ("lang", "fold")), pa.nulls(1, part.column("text").type),
+                     *(pa.nulls(1, pa.int64()) for _ in numbers), pa.array([grams.tobytes()]),
+                     pa.array([counts.astype(np.int64).tobytes()])], _BLOCK)
+            block += groups.max() + 1
 
 
 _RULES = ["id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity"]
-
-
-def count_grams(texts: DataFrame) -> DataFrame:
-    """(lang, slice, counts) of rows of (text, lang), lang a number."""
-    return (texts.mapInArrow(_count_rows, "lang int, slice int, grams binary, counts binary")
-            .repartition(shuffle_partitions(texts.sparkSession), "lang", "slice")
-            .mapInArrow(_sum_rows, "lang int, slice int, counts binary"))
+_BLOCK = ["block", "id", "lang", "fold", "text", *_RULES[2:-1], "grams", "counts"]
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   width: float = 4.5) -> DataFrame:
     """One row per document: the base numbers, ``log_perplexity``, the band ``low`` to ``high`` of
     its language, ``base_failed`` and ``kept``."""
-    spark = docs.sparkSession
-    frequent = [r.lang for r in docs.groupBy(F.col(lang_col).alias("lang")).count()
-                .orderBy(F.desc("count"), "lang").limit(OWN_LANGUAGES).collect()]
-    number = F.lit(len(frequent))
-    for i, lang in enumerate(frequent):
-        number = F.when(F.col(lang_col).eqNullSafe(F.lit(lang)), i).otherwise(number)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), number.cast("int").alias("lang"))
-
-    models = (count_grams(texts.select("text", "lang")).groupBy("lang")
-              .applyInArrow(_model_rows, "lang int, hashes binary, logs binary, weights binary, floor double"))
-    shared = spark.sparkContext.broadcast({r.lang: (r.hashes, r.logs, r.weights, r.floor) for r in models.collect()})
-    kinds = "id bigint, lang int, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, " \
-            "n_repeat_words bigint, log_perplexity double"
+    key = F.concat(F.lit("="), F.col(lang_col).cast("string"))
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(key, F.lit("")).alias("lang"),
+                        F.pmod(F.xxhash64(text_col), F.lit(2)).cast("int").alias("fold"), F.col(text_col).alias("text"))
+    kinds = "block bigint, id bigint, lang string, fold int, text string, n_words bigint, word_chars bigint, " \
+            "n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, grams binary, counts binary"
+    blocks = written(texts.mapInArrow(_rule_rows, kinds), "blocks")
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
-    rules = written(texts.mapInArrow(_rule_rows(shared), kinds).withColumn("base_failed", failed), "rules")
+    read = scored(blocks.filter("grams is null").select("block", "text", *_RULES[:-1]), blocks.filter("grams is not null"))
+    rules = written(read.withColumn("base_failed", failed), "rules")
     quartiles = (rules.filter("not base_failed").groupBy("lang")
                  .agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q")))
     bands = quartiles.select("lang", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"),
                              ((F.col("q")[1] - F.col("q")[0]) * width).alias("reach"))
     wider = F.sqrt(1 + F.lit(float(SHORT)) / F.greatest(F.col("n_words"), F.lit(1)))
     inside = F.col("log_perplexity").between(F.col("low"), F.col("high"))
-    return rules.join(F.broadcast(bands), "lang", "left").withColumns({
+    return rules.join(if_small(bands), "lang", "left").withColumns({
         "low": F.col("low") - F.col("reach") * wider, "high": F.col("high") + F.col("reach") * wider}).withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("lang", "reach")
