@@ -164,8 +164,9 @@ def _repeat_words(words: Words, hashes: np.ndarray, size: int = 8) -> np.ndarray
 
 def _repeat_lines(words: Words) -> np.ndarray:
     """Per row, the lines with a word that equal an earlier line."""
-    ends = np.union1d(np.flatnonzero(words.data == 0x0A), words.offsets[1:])
-    starts = np.r_[0, np.where(np.isin(ends, words.offsets), ends, ends + 1)][:len(ends)]
+    breaks = np.flatnonzero(words.data == 0x0A)
+    starts = np.sort(np.r_[words.offsets[:-1], breaks + 1])
+    ends = np.sort(np.r_[breaks, words.offsets[1:]])
     full = np.searchsorted(words.start, ends) > np.searchsorted(words.start, starts)
     starts, ends = starts[full], ends[full]
     row = np.searchsorted(words.offsets, starts, side="right") - 1

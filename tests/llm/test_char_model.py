@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from finspark.llm import char_model as C
-from finspark.llm.perplexity import quality_rules
+from finspark.llm.perplexity import _repeat_lines, quality_rules
+from finspark.llm.words import find_words
 
 SCHEMA = "doc_id bigint, text string, lang string"
 
@@ -68,3 +69,8 @@ def test_garbled_letters_of_one_class_stand_out(spark):
     rows = [(i, t, "ru") for i, t in enumerate([*texts, garbled])]
     by = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, SCHEMA)).withColumnRenamed("id", "doc_id").collect()}
     assert by[60].log_perplexity > max(by[i].log_perplexity for i in range(60)) + 1 and not by[60].kept
+
+
+def test_repeated_lines_after_leading_newlines():
+    for texts, again in ((["\nabc\nabc", "x", "\n\nabc\n\nabc\n"], [1, 0, 1]), (["", "\nab\nc\nab\nab", "\n", "\nab"], [0, 2, 0, 0])):
+        assert _repeat_lines(find_words(pa.array(texts))).tolist() == again
