@@ -9,7 +9,8 @@ for itself (exact copies share a fold; near copies may not).
 A document's log perplexity is its mean negative log probability.  Per language the band
 reaches ``width`` interquartile ranges beyond the quartiles of all documents that pass the
 base rules, and further for short texts, whose means vary more (by the root of
-1 + 50 / words); documents outside are rejected.
+1 + 50 / words); documents outside are rejected.  Where a language has enough labelled
+documents, its width is the one that best parts good ones from poor ones among them.
 
 Base rules: too few words (under 20), or more than 30 percent of the words in 8-word
 windows that occur twice or more in the text.
@@ -37,6 +38,8 @@ ORDER, KINDS, BITS = 4, 32, 5
 #: Words from which on a band is hardly wider than its language's.
 SHORT = 50
 _SLICE = 1 << 16
+#: Widths that labels choose from; the share of good documents to keep; good and poor labels needed.
+WIDTHS, LEAST_KEPT, LEAST_LABELS = [i / 4 for i in range(2, 41)], 0.95, 50
 
 
 def _kind_table() -> np.ndarray:
@@ -208,10 +211,32 @@ _RULES = ["id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_
 _BLOCK = ["block", "id", "lang", "fold", "text", *_RULES[2:-1], "grams", "counts"]
 
 
+def _widths(rules: DataFrame, bands: DataFrame, labels: DataFrame, width: float) -> DataFrame:
+    """(lang, width) by the labelled documents of each language that pass the base rules: the width with the
+    largest sum of good documents kept and poor ones rejected (shares) among those that keep ``LEAST_KEPT``."""
+    rated = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    reach = F.greatest(F.col("low") - F.col("log_perplexity"), F.col("log_perplexity") - F.col("high"), F.lit(0.0))
+    away = (rules.filter("not base_failed").join(rated, F.col("id") == F.col("doc_id")).join(bands, "lang")
+            .select("lang", "quality", (reach / _wider() / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))).alias("away")))
+    good, share = F.col("quality") > 0, {}
+    for w in WIDTHS:
+        inside = F.coalesce(F.col("away") <= w, F.lit(False))
+        share[w] = [F.avg(F.when(x, inside.cast("double"))) for x in (good, ~good)]
+    choice = F.array_max(F.array(*(F.when(g >= LEAST_KEPT, F.struct((g - b).alias("gain"), F.lit(w).alias("width")))
+                                   for w, (g, b) in share.items())))
+    enough = F.least(F.sum(good.cast("int")), F.sum((~good).cast("int"))) >= LEAST_LABELS
+    return away.groupBy("lang").agg(F.coalesce(F.when(enough, choice["width"]), F.lit(float(width))).alias("width"))
+
+
+def _wider():
+    return F.sqrt(1 + F.lit(float(SHORT)) / F.greatest(F.col("n_words"), F.lit(1)))
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  width: float = 4.5) -> DataFrame:
+                  width: float = 4.5, labels: DataFrame | None = None) -> DataFrame:
     """One row per document: the base numbers, ``log_perplexity``, the band ``low`` to ``high`` of
-    its language, ``base_failed`` and ``kept``."""
+    its language, ``base_failed`` and ``kept``.  Rows of (doc_id, quality) in ``labels`` choose the
+    width of their language; ``width`` is for languages with too few of them."""
     key = F.concat(F.lit("="), F.col(lang_col).cast("string"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(key, F.lit("")).alias("lang"),
                         F.pmod(F.xxhash64(text_col), F.lit(2)).cast("int").alias("fold"), F.col(text_col).alias("text"))
@@ -223,10 +248,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rules = written(read.withColumn("base_failed", failed), "rules")
     quartiles = (rules.filter("not base_failed").groupBy("lang")
                  .agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q")))
-    bands = quartiles.select("lang", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"),
-                             ((F.col("q")[1] - F.col("q")[0]) * width).alias("reach"))
-    wider = F.sqrt(1 + F.lit(float(SHORT)) / F.greatest(F.col("n_words"), F.lit(1)))
+    bands = written(quartiles.select("lang", F.col("q")[0].alias("low"), F.col("q")[1].alias("high")), "bands")
+    if labels is None:
+        widths = bands.select("lang", F.lit(float(width)).alias("width"))
+    else:
+        widths = _widths(rules, bands, labels, width)
+    reach = F.coalesce(F.col("width"), F.lit(float(width))) * (F.col("high") - F.col("low"))
+    bands = bands.join(widths, "lang", "left").select("lang", "low", "high", reach.alias("reach"))
     inside = F.col("log_perplexity").between(F.col("low"), F.col("high"))
     return rules.join(if_small(bands), "lang", "left").withColumns({
-        "low": F.col("low") - F.col("reach") * wider, "high": F.col("high") + F.col("reach") * wider}).withColumn(
+        "low": F.col("low") - F.col("reach") * _wider(), "high": F.col("high") + F.col("reach") * _wider()}).withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("lang", "reach")

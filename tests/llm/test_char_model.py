@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from finspark.llm import char_model as C
-from finspark.llm.perplexity import _repeat_lines, quality_rules
+from finspark.llm.perplexity import _repeat_lines, _widths, quality_rules
 from finspark.llm.words import find_words
 
 SCHEMA = "doc_id bigint, text string, lang string"
@@ -74,3 +74,26 @@ def test_garbled_letters_of_one_class_stand_out(spark):
 def test_repeated_lines_after_leading_newlines():
     for texts, again in ((["\nabc\nabc", "x", "\n\nabc\n\nabc\n"], [1, 0, 1]), (["", "\nab\nc\nab\nab", "\n", "\nab"], [0, 2, 0, 0])):
         assert _repeat_lines(find_words(pa.array(texts))).tolist() == again
+
+
+def test_every_language_has_its_own_band_and_wrong_languages_are_rejected(spark):
+    rng, rows = random.Random(9), []
+    for lang in range(36):
+        letters = [chr(0x4E00 + 40 * lang + i) for i in range(8)]
+        rows += [(100 * lang + i, " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(40)), f"l{lang}") for i in range(24)]
+    rows.append((9999, rows[0][1], "l35"))
+    by = {r.id: r for r in quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len({by[100 * lang].low for lang in range(36)}) == 36
+    assert by[9999].log_perplexity > by[9999].high and not by[9999].kept and by[0].kept
+
+
+def test_labels_choose_the_width_of_their_language(spark):
+    good = [(i, 10_000, 1 + i % 100 / 1000) for i in range(400)]
+    poor = [(1000 + i, 10_000, 1.2) for i in range(60)]
+    rows = [(i, lang, n, p, False) for lang, all_ in (("=a", good + poor), ("=b", [(5000 + i, n, p) for i, n, p in good[:30] + poor[:30]]))
+            for i, n, p in all_]
+    rules = spark.createDataFrame(rows, "id bigint, lang string, n_words bigint, log_perplexity double, base_failed boolean")
+    bands = spark.createDataFrame([("=a", 1.025, 1.075), ("=b", 1.025, 1.075)], "lang string, low double, high double")
+    labels = spark.createDataFrame([(r[0], int(r[3] < 1.15)) for r in rows], "doc_id bigint, quality int")
+    widths = {r.lang: r.width for r in _widths(rules, bands, labels, 4.5).collect()}
+    assert 0.5 <= widths["=a"] < 2.5 and widths["=b"] == 4.5
