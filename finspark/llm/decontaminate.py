@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash over item-sized windows.
+"""Benchmark decontamination: item-sized windows, met by the items' rarest shingles.
 
 A document holds a benchmark item when one of its windows of as many ``k``-word shingles
 as the item has (all of them, if it has fewer) is similar to the item: the sum of smaller
@@ -8,14 +8,11 @@ counts over the sum of larger counts of all shingles is at least ``percent`` per
    with an item's shingles a best one begins with such a shingle or ends with the text
    (moving its start up to the next common shingle loses none).  Only these windows are
    formed, for the sizes of the items whose shingles they meet.
-2. SimHash.  Every window and item gets a 128-bit fingerprint (two 64-bit ones): the
-   majority of each bit over its shingle hashes, repeats counted.
-3. Index.  A fingerprint has eight blocks of 16 bits.  Two fingerprints within 31 bits
-   agree in one block up to three bits (31 < 8 * 4), so items are entered under all block
-   values up to two flipped bits and windows look up theirs with up to one: every pair
-   within 31 bits meets, whatever the data.  At similarity 0.8 the expected distance is
-   some 19 bits with a deviation of 4.
-4. Candidates within the radius are verified by their exact weighted similarity.
+2. Index.  A pair at the threshold shares at least ``percent`` percent of the item's shingles,
+   repeats counted.  So of any choice of one shingle more than the rest of the item's, the
+   window has one: an item is entered under its rarest shingles (by items that have them), and
+   a window looks up all of its own.  Every pair meets, whatever the data.
+3. Pairs that meet are verified by their exact weighted similarity.
 
 Windows are found by joining shingles with the benchmark's; that table is broadcast only
 if its rows were counted and are few, and shuffled otherwise.  DataFrame functions only.
@@ -29,57 +26,31 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from itertools import combinations
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finspark.llm.scratch import written
 from finspark.llm.shingles_sql import shingles_column, words_column
 
-RADIUS, BLOCKS, BLOCK_BITS = 31, 8, 16
 #: Benchmark shingles broadcast at most (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 
 
-def simhash(shingles: Column) -> Column:
-    """64-bit fingerprint: the majority of each bit; a tie is 0."""
-    def bit(b: Column) -> Column:
-        ones = F.aggregate(shingles, F.lit(0), lambda n, h: n + F.call_function("getbit", h, b))
-        return F.when(ones * 2 > F.size(shingles), F.call_function("shiftleft", F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("bigint"), lambda v, b: v.bitwiseOR(bit(b)))
-
-
-def fingerprints(shingles: Column) -> tuple[Column, Column]:
-    return simhash(shingles), simhash(F.transform(shingles, lambda h: F.xxhash64(h)))
-
-
-def _blocks(low: Column, high: Column) -> Column:
-    """(block, value) of each 16-bit block."""
-    cut = lambda x, i: F.shiftrightunsigned(x, BLOCK_BITS * i).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
-    half = BLOCKS // 2
-    return F.array(*(F.struct(F.lit(i).alias("block"), cut(low if i < half else high, i % half).alias("value"))
-                     for i in range(BLOCKS)))
-
-
-def _flips(most: int) -> Column:
-    """All masks of up to ``most`` of the bits of a block."""
-    masks = [sum(1 << b for b in some) for n in range(most + 1) for some in combinations(range(BLOCK_BITS), n)]
-    return F.array(*map(F.lit, masks))
-
-
-def _probes(rows: DataFrame, most: int) -> DataFrame:
-    keep = [c for c in rows.columns if c not in ("low", "high")]
-    return (rows.select(*keep, "low", "high", F.explode(_blocks(F.col("low"), F.col("high"))).alias("b"))
-            .select(*keep, "low", "high", "b.*").withColumn("flip", F.explode(_flips(most)))
-            .withColumn("value", F.col("value").bitwiseXOR(F.col("flip"))).drop("flip"))
-
-
 def _counts(rows: DataFrame, key: str) -> DataFrame:
     """(key, shingle, times) of the shingle arrays of distinct keys."""
     return rows.select(key, F.explode("shingles").alias("h")).groupBy(key, "h").agg(F.count("*").alias("times"))
 
 
+def _rarest(bench: DataFrame, percent: int) -> DataFrame:
+    """(item, length, h): shingles of each item, rarest first, until the others are fewer than a held item shares."""
+    counts = _counts(bench, "item").join(bench.select("item", "length").distinct(), "item")
+    counts = counts.join(counts.groupBy("h").agg(F.count("*").alias("items")), "h")
+    ahead = Window.partitionBy("item").orderBy("items", "h").rowsBetween(Window.unboundedPreceding, -1)
+    spare = F.floor(F.col("length") * (100 - percent) / 100)
+    return (counts.withColumn("before", F.coalesce(F.sum("times").over(ahead), F.lit(0)))
+            .filter(F.col("before") <= spare).select("item", "length", "h"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """``(id, item, common, total)`` for every document and item it holds, of the best window:
@@ -87,8 +58,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     shingled = lambda t: shingles_column(words_column(F.col(t)), k)
     bench = written(items.filter(F.col(item_col).isNotNull()).select(
         F.col(item_col).alias("item"), shingled(item_text_col).alias("shingles")).distinct()
-        .filter(F.size("shingles") > 0).withColumn("length", F.size("shingles"))
-        .withColumns(dict(zip(("low", "high"), fingerprints(F.col("shingles"))))), "items")
+        .filter(F.size("shingles") > 0).withColumn("length", F.size("shingles")), "items")
     vocabulary = bench.select(F.explode("shingles").alias("h"), "length").groupBy("h").agg(
         F.collect_set("length").alias("lengths"))
     if (bench.agg(F.sum("length")).first()[0] or 0) <= BROADCAST_ROWS:
@@ -109,14 +79,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         "id", "length", F.slice("all", F.least(F.col("start"), last) + 1, F.col("length")).alias("shingles"))
     windows = written(windows.withColumn("window", F.xxhash64("length", "shingles")), "windows")
     # Equal windows, such as those of one passage in many documents, are looked up once.
-    contents = written(windows.select("window", "length", "shingles").distinct()
-                       .withColumns(dict(zip(("low", "high"), fingerprints(F.col("shingles"))))), "contents")
-
-    distance = (F.bit_count(F.col("w.low").bitwiseXOR(F.col("i.low")))
-                + F.bit_count(F.col("w.high").bitwiseXOR(F.col("i.high"))))
-    near = (_probes(contents.select("window", "length", "low", "high"), 1).alias("w")
-            .join(_probes(bench.select("item", "length", "low", "high"), 2).alias("i"), ["block", "value", "length"])
-            .filter(distance <= RADIUS).select("window", "item").distinct())
+    contents = written(windows.select("window", "length", "shingles").distinct(), "contents")
+
+    near = (contents.select("window", "length", F.explode(F.array_distinct("shingles")).alias("h"))
+            .join(_rarest(bench, percent), ["h", "length"]).select("window", "item").distinct())
     pairs = near.join(contents.select("window", F.size("shingles").alias("n")), "window").join(
         bench.select("item", "length").distinct(), "item")
     common = (pairs.join(_counts(contents, "window"), "window")
