@@ -128,11 +128,15 @@ def _fit_rows(grades: int):
     return run
 
 
+def _gathered(sample: DataFrame) -> DataFrame:
+    """The sample's features in one task, after a shuffle: reading, joining and features run in all tasks."""
+    return sample.mapInArrow(_sample_rows, "id bigint, grade bigint, features binary, values binary").repartition(1)
+
+
 def learn_quality(rated: DataFrame, grades: int) -> tuple[bytes, list[float]]:
     """(weights, thresholds) from bounded rows of (id, text, grade), grades 0 to ``grades`` - 1."""
     sample = rated.filter("grade is not null").select(F.col("id").cast("bigint"), "text", F.col("grade").cast("bigint"))
-    row = (sample.mapInArrow(_sample_rows, "id bigint, grade bigint, features binary, values binary").coalesce(1)
-           .mapInArrow(_fit_rows(grades), "weights binary, thresholds array<double>").first())
+    row = _gathered(sample).mapInArrow(_fit_rows(grades), "weights binary, thresholds array<double>").first()
     return bytes(row.weights), list(row.thresholds)
 
 
