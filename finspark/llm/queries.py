@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finspark.llm.centroids import centroid_digest, cluster_vectors
 from finspark.llm.chat_windows import chat_windows, window_digests
 from finspark.llm.decontaminate import contaminated
 from finspark.llm.license_scan import scan_licenses
 from finspark.llm.mixture import mix_sources
 from finspark.llm.ngram_join import jaccard_components
 from finspark.llm.perplexity import quality_rules
+from finspark.llm.prefix_trie import prefix_trie
 from finspark.llm.quality_model import learn_quality, rated_rows, score_quality
+from finspark.llm.simhash_tiles import simhash_components
 from finspark.llm.substring_dedup import remove_repeats
 from finspark.llm.token_scan import count_tokens, read_ranks, write_tokens
 from finspark.llm.toxicity import held_out, labelled_rows, learn_lexicon, score_toxicity
@@ -107,3 +110,29 @@ def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     tricky = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
     return window_digests(chat_windows(turns.union(tricky), ranks=read_ranks(spark, TOKENIZER), pattern=SPLIT))
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of all vectors after five rounds from 40 starts, with sums and digests of the clusters."""
+    found, clusters = cluster_vectors(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+    digests = spark.createDataFrame([(r["cluster"], centroid_digest(r["centroid"])) for r in clusters.select("cluster", "centroid").collect()],
+                                    "cluster int, centroid_sha256 string")  # 40 rows
+    facts = clusters.select("cluster", "cluster_inertia", "inertia").join(F.broadcast(digests), "cluster")
+    return found.join(F.broadcast(facts), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents (four words, four bits)."""
+    found = simhash_components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations with subtree totals."""
+    trie = prefix_trie(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+    return trie.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")

@@ -7,11 +7,11 @@ from conftest import SF_SMALL
 from finspark.llm.queries import QUERIES
 from finspark.llm.queries_sql import ORACLE_SQL
 
-TABLES = ("documents", "benchmark", "labels", "conversations")
+TABLES = ("documents", "embeddings", "benchmark", "labels", "conversations")
 
 
 def test_one_query_per_operator_and_the_pipeline():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
