@@ -149,3 +149,67 @@ from judged join texts using (number) where 100 * common >= 80 * m group by all
 
 
 ORACLE_SQL["op10_license_scan"] = _license_sql()
+
+
+def _centroid_rounds(k: int, rounds: int) -> str:
+    """Rounds as one table each: distances of all vectors to all centroids, then floored means."""
+    found = """assigned{r} as (
+  select i, vec_id, v, arg_min(n, {{'d': d, 'n': n}}) as c, min(d) as d from (
+    select i, vec_id, v, n, list_sum(list_transform(list_zip(v, x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d
+    from kept, centroids{r}) group by i, vec_id, v)"""
+    moved = """centroids{s} as (
+  select n, coalesce(mean, x) as x from centroids{r} left join (
+    select c as n, list((s - ((s % m) + m) % m) // m order by j) as mean from (
+      select c, j, sum(y)::bigint as s, count(*) as m from (select c, unnest(v) as y, unnest(range(len(v))) as j from assigned{r})
+      group by c, j) group by c) using (n))"""
+    return ",\n".join(x for r in range(rounds) for x in (found.format(r=r), moved.format(r=r, s=r + 1))) + ",\n" + found.format(r=rounds)
+
+
+ORACLE_SQL["op11_centroids"] = f"""
+with kept as (
+  select row_number() over () as i, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x) and abs(x::double) * 256 < 16777216)) = 64),
+centroids0 as (
+  select row_number() over (order by h, v) - 1 as n, v as x
+  from (select *, sha256('2:' || vec_id) as h from kept where vec_id is not null) qualify n < 40),
+{_centroid_rounds(40, 5)},
+sums as (select c, sum(d)::bigint as cluster_inertia from assigned5 group by c)
+select vec_id, c::int as cluster, d as distance, cluster_inertia, (select sum(d)::bigint from assigned5) as inertia,
+       sha256(array_to_string(x, ',')) as centroid_sha256
+from assigned5 join sums using (c) join centroids5 on n = c
+"""
+
+#: CRC-32 of decimal numbers, bit by bit.
+_CRC = """xor(4294967295::ubigint, list_reduce(list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::ubigint),
+    lambda a, x: list_reduce(range(8)::ubigint[], lambda b, i: xor(b >> 1, case when b & 1 = 1 then 3988292384 else 0 end::ubigint), xor(a, x)),
+    4294967295::ubigint))"""
+
+ORACLE_SQL["op13_prefix_trie"] = rf"""
+with own as (
+  select conv_id as c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id),
+shifted as (select c, turns, ({_CRC} % 4)::bigint as h from own),
+built as (
+  select s.c, list_concat(coalesce(b.turns[1:s.h], []), s.turns[s.h + 1:]) as turns
+  from shifted s left join own b on b.c = s.c - s.c % 20),
+members as (
+  select c, depth, turns[1:depth] as node, depth = len(turns) as ends
+  from (select c, turns, unnest(range(len(turns) + 1)) as depth from built)),
+nodes as (
+  select node, depth, min(c) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where ends), '')) as ends_sha256,
+         case when depth = 0 then 0 else (count(*) - 1)
+           * len(list_filter(string_split_regex(node[depth].t, '[\x20\x09-\x0D]+'), lambda w: w <> '')) end as saved
+  from members group by node, depth),
+kids as (select node[1:depth - 1] as node, count(*) as n_children from nodes where depth > 0 group by 1),
+totals as (
+  select node, sum(leaf)::bigint as n_leaves, sum(saved)::bigint as saved_tokens from (
+    select n.node[1:d] as node, (k.node is null)::int as leaf, saved
+    from (select *, unnest(range(depth + 1)) as d from nodes) n left join kids k on k.node = n.node)
+  group by node)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0)::bigint as n_children,
+       n_leaves, saved_tokens, n.ends_sha256
+from nodes n join totals using (node) left join kids using (node)
+left join nodes p on p.depth = n.depth - 1 and p.node = n.node[1:n.depth - 1]
+"""
