@@ -1,23 +1,18 @@
 """Knowledge-base build and retrieval as Spark jobs.
 
-Build: documents -> markdown corpus -> chunks (native fold, no shuffle) ->
-sparse TF-IDF term weights over hashed terms (L2-normalised per chunk).
-The term -> weight rows are the index (parquet); scoring a query is an
-equi-join on the term bucket (an inverted-index lookup) followed by a sum per
-(query, chunk), so no pair of (query, chunk) without a shared term is ever
-formed.
+Build: documents -> markdown corpus -> chunks (native fold, no shuffle) -> TF-IDF weights,
+L2-normalised per chunk -> the persisted index of :mod:`finspark.operators.kb_index`.
+Scoring a query joins its terms with the index's blocks and sums per (query, chunk), so no pair
+without a shared term is ever formed.
 
 Retrieve: top ``search_k = max(6 * top_k, 30)`` per query (row_number <= k,
 planned as partial + final WindowGroupLimit), then the rule-based gate,
 penalty and bonuses, score threshold, best chunk per source, final top_k,
-citation / preview strings and a grounded answer per query.
+citation / preview strings and a grounded answer per query.  Ranks and the threshold use
+whole scores; only shown scores are rounded.
 
-Dense search over the ``embeddings`` table scores every vector against a
-small, size-checked set of query vectors held as a literal array column: a
-map-side expression, no join.
-
-Scores are rounded to 5 decimals before ranking so ties break
-deterministically on ``chunk_id`` / ``vec_id``.
+Dense search multiplies blocks of vectors with blocks of queries (Arrow batches, numpy) and
+keeps the best k of each block.
 """
 
 from __future__ import annotations
@@ -25,7 +20,7 @@ from __future__ import annotations
 import sys
 import uuid
 
-from pyspark import StorageLevel, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,11 +28,12 @@ from pyspark.sql import types as T
 from finspark.config import (CHURN_GATE_TERMS, CHURN_HEADING_TERMS, CHURN_SOURCE_BONUS, CHURN_SQL_TERMS,
                              CONTENT_BONUS, GROUNDED_ANSWER_LINES, GROUNDED_FALLBACK, GROUNDED_NO_MATCH,
                              INTRO_PENALTY, INTRO_PENALTY_TERMS, RETRIEVE_MIN_SCORE, RETRIEVE_TOP_K)
-from finspark.functions.text import contains_any, py_strip, term_bucket, tokens
+from finspark.functions.text import contains_any, py_strip, term_bucket
 from finspark.operators.chunking import chunk_documents
+from finspark.operators.kb_index import CHUNK_KEY, KnowledgeBase, knowledge_base, vector_rows
 from finspark.plans.registry import query
 from finspark.session import ensure_checkpoint_dir
-from finspark.sources.tables import read_table
+from finspark.sources.tables import read_table, table_path
 
 # Encoder functions run inside Python workers (mapInPandas); ship them by
 # value so executors need no copy of the package.
@@ -59,12 +55,6 @@ CHUNK_SCHEMA = T.StructType([
 ])
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the rows; larger inputs keep the
-    shuffle join Spark would otherwise plan."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def broadcast_if_bounded(df: DataFrame, bound: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint when a proven upper bound on the rows is small."""
     return F.broadcast(df) if bound <= max_rows else df
@@ -97,65 +87,8 @@ def read_markdown_corpus(spark: SparkSession, root: str) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text"))
 
 
-def chunk_key(doc_id: Column, chunk_index: Column) -> Column:
-    """Numeric chunk key ordered like (doc_id, chunk_index)."""
-    return F.shiftleft(doc_id.cast("bigint"), 20) + chunk_index.cast("bigint")
-
-
-def kb_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks with their document id and numeric key ``ck``."""
-    c = chunk_documents(kb_corpus(spark, sf_dir), keep=("doc_id",))
-    return c.withColumn("ck", chunk_key(F.col("doc_id"), F.col("chunk_index")))
-
-
 def kb_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kb_chunk_table(spark, sf_dir).select(*CHUNK_SCHEMA.fieldNames())
-
-
-# --------------------------------------------------------------- embedding
-def term_counts(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-    """(id, bucket, tf) — hashed term frequencies."""
-    t = df.select(id_col, F.explode(tokens(F.col(text_col))).alias("tok"))
-    return t.groupBy(id_col, term_bucket(F.col("tok")).alias("bucket")).agg(F.count(F.lit(1)).alias("tf"))
-
-
-def document_frequency(counts: DataFrame, id_col: str) -> DataFrame:
-    """(bucket, df), one row per term."""
-    return counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
-
-
-def idf_table(counts: DataFrame, n_docs: Column, id_col: str) -> DataFrame:
-    dfreq = document_frequency(counts, id_col)
-    return dfreq.select("bucket", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1).alias("idf"))
-
-
-def weigh(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
-    """tf * idf, L2-normalised per id -> (id, bucket, weight)."""
-    w = counts.join(idf, "bucket").select(id_col, "bucket", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "bucket", (F.col("w") / norm).alias("weight"))
-
-
-def build_index(chunks: DataFrame, counts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Returns (chunk term weights (ck, bucket, weight), idf table)."""
-    counts = term_counts(chunks, "ck") if counts is None else counts
-    n = chunks.select(F.count(F.lit(1))).scalar()
-    idf = idf_table(counts, n, "ck")
-    return weigh(counts, idf, "ck"), idf
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a small input over the cluster's cores.  Only when the scan
-    produced fewer partitions than there are cores (small test inputs); a
-    large input already has one task per file split and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def embed_queries(queries: DataFrame, idf: DataFrame) -> DataFrame:
-    """Queries embedded with the corpus idf (terms unseen in the corpus drop)."""
-    counts = term_counts(queries, "query_id", "query_text")
-    return weigh(counts, idf, "query_id")
+    return chunk_documents(kb_corpus(spark, sf_dir), keep=("doc_id",)).select(*CHUNK_SCHEMA.fieldNames())
 
 
 def kb_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,69 +100,27 @@ def kb_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ search
-def search(index: DataFrame, query_terms: DataFrame, search_k: int, term_bound: int | None = None) -> DataFrame:
-    """Top ``search_k`` chunks per query by inner product of sparse vectors."""
-    q = query_terms.select("query_id", "bucket", F.col("weight").alias("qw"))
-    q = broadcast_if_small(q) if term_bound is None else broadcast_if_bounded(q, term_bound)
-    scored = (index.join(q, "bucket")
-              .groupBy("query_id", "ck").agg(F.sum(F.col("weight") * F.col("qw")).alias("raw")))
-    scored = scored.select("query_id", "ck", F.round("raw", SCORE_DP).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("ck").asc())
-    return (scored.withColumn("search_rank", F.row_number().over(w).cast("bigint"))
-            .where(F.col("search_rank") <= search_k))
-
-
-_BUILT: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
-
-
-def build_kb(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The knowledge base of ``sf_dir``, built once per Spark application
-    (like an index built offline and queried many times); ``rebuild``
-    forces a fresh build."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if rebuild or key not in _BUILT:
-        if key in _BUILT:
-            _BUILT[key][1].unpersist()
-        _BUILT[key] = _build_kb(spark, sf_dir)
-    return _BUILT[key]
-
-
-def _build_kb(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Chunks, term index and idf, each computed once: the chunk table, the
-    term counts and the weighted index are checkpointed (written to the
-    shared checkpoint folder), cutting the lineage later queries would
-    otherwise re-run; the index is then kept partitioned by chunk key."""
-    ensure_checkpoint_dir(spark)
-    corpus = ensure_parallelism(kb_corpus(spark, sf_dir))
-    chunks = chunk_documents(corpus, keep=("doc_id",)).withColumn(
-        "ck", chunk_key(F.col("doc_id"), F.col("chunk_index"))).checkpoint(eager=True)
-    counts = term_counts(chunks, "ck").checkpoint(eager=True)
-    index, idf = build_index(chunks, counts)
-    # The weighted index is read by every query: written once to the
-    # checkpoint folder, then held hash-partitioned by chunk key, so the
-    # per-(query, chunk) score sums need no further shuffle.  Lost cached
-    # blocks are rebuilt from the checkpoint.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = index.checkpoint(eager=True).repartition(parts, "ck").persist(StorageLevel.MEMORY_AND_DISK)
-    return chunks, index, idf
-
-
-def retrieval_inputs(spark: SparkSession, sf_dir: str):
-    chunks, index, idf = build_kb(spark, sf_dir)
-    queries = kb_queries(spark, sf_dir)
-    return chunks, index, idf, queries
+def build_kb(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> KnowledgeBase:
+    """The index of the documents as they are now, written if there is none."""
+    return knowledge_base(spark, kb_corpus(spark, sf_dir), table_path(sf_dir, "documents"), rebuild)
+
+
+def search_hits(spark: SparkSession, sf_dir: str, top_k: int = RETRIEVE_TOP_K) -> tuple[KnowledgeBase, DataFrame, DataFrame, int]:
+    """The index, the queries, their hits and a bound on the number of hits."""
+    kb, queries = build_kb(spark, sf_dir), kb_queries(spark, sf_dir)
+    n_queries, term_bound = query_bounds(queries)
+    search_k = max(top_k * 6, 30)
+    hits = kb.search(kb.embed(queries), search_k, term_bound <= MAX_BROADCAST_ROWS)
+    return kb, broadcast_if_bounded(queries, n_queries), hits, n_queries * search_k
 
 
 def candidates(spark: SparkSession, sf_dir: str, top_k: int = RETRIEVE_TOP_K) -> DataFrame:
     """Search hits joined with their chunk text and query text.  Hits are at
     most (#queries x search_k) rows, so once the query table is counted they
     are broadcast against the chunk table instead of shuffling it."""
-    chunks, index, idf, queries = retrieval_inputs(spark, sf_dir)
-    n_queries, term_bound = query_bounds(queries)
-    search_k = max(top_k * 6, 30)
-    hits = search(index, embed_queries(queries, idf), search_k, term_bound)
-    hits = broadcast_if_bounded(hits, n_queries * search_k)
-    return (chunks.join(hits, "ck").join(broadcast_if_bounded(queries, n_queries), "query_id")
+    kb, queries, hits, bound = search_hits(spark, sf_dir, top_k)
+    return (kb.chunks.join(broadcast_if_bounded(hits, bound), CHUNK_KEY).join(queries, "query_id")
+            .withColumn("score", F.round("raw", SCORE_DP))
             .withColumn("text_lower", F.lower("text")).withColumn("query_lower", F.lower("query_text")))
 
 
@@ -251,17 +142,18 @@ def reranked(c: DataFrame, min_score: float = RETRIEVE_MIN_SCORE) -> DataFrame:
     content = (F.when(contains_any(F.col("text_lower"), CHURN_SQL_TERMS), CONTENT_BONUS).otherwise(0.0)
                + F.when(contains_any(F.col("text_lower"), CHURN_HEADING_TERMS), CONTENT_BONUS).otherwise(0.0))
     bonus = F.when(churn_mode, source_bonus + content).otherwise(0.0)
-    adjusted = F.round(F.col("score") + penalty + bonus, SCORE_DP)
-    return gated(c).withColumn("adjusted_score", adjusted).where(F.col("adjusted_score") >= min_score)
+    adjusted = F.col("raw") + penalty + bonus
+    return (gated(c).withColumn("adjusted", adjusted).where(F.col("adjusted") >= min_score)
+            .withColumn("adjusted_score", F.round("adjusted", SCORE_DP)))
 
 
 def best_per_source(r: DataFrame) -> DataFrame:
-    w = Window.partitionBy("query_id", "source_file").orderBy(F.col("adjusted_score").desc(), "search_rank")
+    w = Window.partitionBy("query_id", "source_file").orderBy(F.col("adjusted").desc(), "search_rank")
     return r.withColumn("source_rank", F.row_number().over(w)).where(F.col("source_rank") == 1).drop("source_rank")
 
 
 def final_top_k(r: DataFrame, top_k: int = RETRIEVE_TOP_K) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.col("adjusted_score").desc(), "search_rank")
+    w = Window.partitionBy("query_id").orderBy(F.col("adjusted").desc(), "search_rank")
     return r.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= top_k)
 
 
@@ -309,40 +201,69 @@ def label_centroids(emb: DataFrame) -> DataFrame:
     return vec.select(F.col("label").alias("query_id"), F.transform("vec", lambda x: x / norm).alias("qvec"))
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),
-                       lambda s, x: s + x)
-
-
-QUERY_BATCH = 256
+#: Queries and vectors that are multiplied together.
+QUERY_BATCH, VECTOR_BATCH = 256, 1024
+#: Bytes of query vectors that may be broadcast; they are counted first.
+BROADCAST_BYTES = 64 << 20
+#: Dense scores are equal below this many decimals (sums of products differ in their last bits).
+DENSE_DP = 9
 
 
-def dense_topk(vectors: DataFrame, queries: DataFrame, k: int, max_queries: int = 10_000) -> DataFrame:
-    """Exact inner-product top-k of every query over all vectors.
-
-    The query set is checked to be small (``max_queries``) and shipped to
-    the executors as literal array columns, ``QUERY_BATCH`` queries per pass
-    over the vectors (a map-side expression, no join); the top-k per query
-    is a partial + final WindowGroupLimit."""
-    qs = queries.select("query_id", "qvec").limit(max_queries + 1).collect()
-    if len(qs) > max_queries:
-        raise ValueError(f"dense_topk: more than {max_queries} query vectors")
-    passes = []
-    for lo in range(0, len(qs), QUERY_BATCH):
-        batch = qs[lo:lo + QUERY_BATCH]
-        qarr = F.array(*[F.struct(F.lit(q["query_id"]).cast("bigint").alias("query_id"),
-                                  F.array(*[F.lit(float(x)) for x in q["qvec"]]).alias("qvec")) for q in batch])
-        scored = vectors.select("vec_id", F.explode(F.transform(
-            qarr, lambda q: F.struct(q["query_id"].alias("query_id"),
-                                     F.round(dot(q["qvec"], F.col("embedding")), SCORE_DP).alias("score")))).alias("s"))
-        passes.append(scored.select("s.query_id", "vec_id", "s.score"))
-    if not passes:
-        return vectors.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double, rank int")
-    scored = passes[0]
-    for x in passes[1:]:
-        scored = scored.unionByName(x)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
-    return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
+def _packed(id_col: str, vector_col: str, size: int):
+    """Rows to blocks: ids and vectors of up to ``size`` rows of one dimension."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                ids, vectors = part.column(id_col), part.column(vector_col)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([ids.to_pylist()], pa.list_(pa.int64())),
+                    pa.array([vectors.flatten().to_numpy(zero_copy_only=False).astype("float64")], pa.list_(pa.float64()))],
+                    ["ids", "values"])
+    return run
+
+
+def _best_of_blocks(k: int):
+    """The best ``k`` vectors of a block for each query of a block."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            for i in range(batch.num_rows):
+                vids, vs, qids, qs = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("ids", "values", "q_ids", "q_values"))
+                vectors = vs.reshape(len(vids), -1)
+                scores = np.round(qs.reshape(len(qids), -1) @ vectors.T, DENSE_DP)
+                rank = np.argsort(vids, kind="stable")
+                scores, vids = scores[:, rank], vids[rank]
+                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(qids, best.shape[1])), pa.array(vids[best].ravel()),
+                    pa.array(np.take_along_axis(scores, best, axis=1).ravel())], ["query_id", "vec_id", "raw"])
+    return run
+
+
+def dense_topk(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Exact inner-product top-k of every query over all vectors, of one dimension.
+
+    Vectors and queries are packed into blocks; every block of vectors meets every block of
+    queries, as one matrix product, and gives its best ``k`` of each query; these are merged by a
+    partial + final WindowGroupLimit.  Rows without id or vector, or with a null component, are left out."""
+    whole = lambda df, i, v: df.where(F.col(i).isNotNull() & F.col(v).isNotNull() & F.forall(v, lambda x: x.isNotNull()))
+    block = "ids array<bigint>, values array<double>"
+    vs = whole(vectors, "vec_id", "embedding").select(F.col("vec_id").cast("bigint"), "embedding").mapInArrow(
+        _packed("vec_id", "embedding", VECTOR_BATCH), block)
+    queries = whole(queries, "query_id", "qvec").select(F.col("query_id").cast("bigint"), "qvec")
+    known = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("qvec")), F.lit(0)).alias("dim")).first()
+    qs = (queries.repartition(max(1, known["n"] // (4 * QUERY_BATCH)), "query_id")
+          .mapInArrow(_packed("query_id", "qvec", QUERY_BATCH), block).toDF("q_ids", "q_values"))
+    if known["n"] * known["dim"] * 8 <= BROADCAST_BYTES:
+        qs = F.broadcast(qs)
+    # A stated query set against all rows, block by block.
+    best = vs.join(qs).mapInArrow(_best_of_blocks(k), "query_id bigint, vec_id bigint, raw double")
+    w = Window.partitionBy("query_id").orderBy(F.col("raw").desc(), F.col("vec_id").asc())
+    return (best.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
+            .select("query_id", "vec_id", F.round("raw", SCORE_DP).alias("score"), "rank"))
 
 
 # ------------------------------------------------------------------ queries
@@ -370,27 +291,17 @@ def kb_chunks_roundtrip_q(spark, sf_dir):
 
 @query("kb_embed")
 def kb_embed_q(spark, sf_dir):
-    chunks, index, _ = build_kb(spark, sf_dir)
-    return index.join(chunks.select("ck", "chunk_id"), "ck").select(
-        "chunk_id", "bucket", F.round("weight", 6).alias("weight"))
+    kb = build_kb(spark, sf_dir)
+    return kb.weights().join(kb.chunks.select(*CHUNK_KEY, "chunk_id"), CHUNK_KEY).select(
+        "chunk_id", term_bucket(F.col("term")).alias("bucket"), F.round("weight", 6).alias("weight"))
 
 
 @query("kb_index")
 def kb_index_q(spark, sf_dir):
-    """Persisted index: chunk rows with their sparse vector (bucket/weight
-    arrays), written as parquet and read back."""
-    chunks, index, _ = build_kb(spark, sf_dir, rebuild=True)
-    vec = index.groupBy("ck").agg(F.sort_array(F.collect_list(F.struct("bucket", "weight"))).alias("v"))
-    out = chunks.join(vec, "ck").select(
-        "chunk_id", "source_file", "section", "start_line", "end_line",
-        F.transform("v", lambda x: x["bucket"]).alias("buckets"),
-        F.transform("v", lambda x: F.round(x["weight"], 6)).alias("weights"))
-    path = _scratch(spark, "kb-index")
-    out.write.mode("overwrite").parquet(path)
-    back = spark.read.parquet(path)
-    return back.select("chunk_id", "source_file", "section", "start_line", "end_line",
-                       F.size("buckets").cast("bigint").alias("terms"),
-                       F.round(F.aggregate("weights", F.lit(0.0), lambda a, x: a + x * x), 4).alias("norm_sq"))
+    """The index written anew and read back: chunk rows with the size and norm of their vectors."""
+    kb = build_kb(spark, sf_dir, rebuild=True)
+    return kb.chunks.join(vector_rows(kb), CHUNK_KEY).select(
+        "chunk_id", "source_file", "section", "start_line", "end_line", "terms", F.round("norm_sq", 4).alias("norm_sq"))
 
 
 @query("vector_topk")
@@ -401,10 +312,9 @@ def vector_topk_q(spark, sf_dir):
 
 @query("kb_search")
 def kb_search_q(spark, sf_dir):
-    chunks, index, idf, queries = retrieval_inputs(spark, sf_dir)
-    _, term_bound = query_bounds(queries)
-    hits = search(index, embed_queries(queries, idf), max(RETRIEVE_TOP_K * 6, 30), term_bound)
-    return hits.join(chunks.select("ck", "chunk_id"), "ck").select("query_id", "chunk_id", "score", "search_rank")
+    kb, _, hits, bound = search_hits(spark, sf_dir)
+    return kb.chunks.select(*CHUNK_KEY, "chunk_id").join(broadcast_if_bounded(hits, bound), CHUNK_KEY).select(
+        "query_id", "chunk_id", F.round("raw", SCORE_DP).alias("score"), "search_rank")
 
 
 @query("kb_gate")

@@ -98,7 +98,7 @@ idf as (
   from chunk_terms group by bucket
 ),
 chunk_w as (
-  select chunk_id, bucket, w / sqrt(sum(w * w) over (partition by chunk_id)) as weight
+  select chunk_id, bucket, cast(round(w / sqrt(sum(w * w) over (partition by chunk_id)) * 1073741824) as bigint) as units
   from (select chunk_id, bucket, tf * idf as w from chunk_terms join idf using (bucket)) x
 ),
 queries as (
@@ -106,7 +106,7 @@ queries as (
   union all select -1, 'how is churn calculated'
 ),
 query_w as (
-  select query_id, bucket, w / sqrt(sum(w * w) over (partition by query_id)) as weight
+  select query_id, bucket, cast(round(w / sqrt(sum(w * w) over (partition by query_id)) * 1073741824) as bigint) as units
   from (select query_id, bucket, tf * idf as w
         from (select query_id, ('0x' || substr(md5(tok), 1, 15))::bigint as bucket, count(*) as tf
               from (select query_id, unnest(regexp_extract_all(lower(query_text), '[a-z0-9]+')) as tok
@@ -115,10 +115,11 @@ query_w as (
 ),
 search as (
   select * from (
-    select query_id, chunk_id, score,
-      row_number() over (partition by query_id order by score desc, doc_id asc, chunk_index asc) as search_rank
+    select query_id, chunk_id, cast(units as double) / 1152921504606846976.0::double as raw,
+      round(cast(units as double) / 1152921504606846976.0::double, 5) as score,
+      row_number() over (partition by query_id order by units desc, doc_id asc, chunk_index asc) as search_rank
     from (select q.query_id, c.chunk_id, any_value(k.doc_id) as doc_id, any_value(k.chunk_index) as chunk_index,
-            round(sum(c.weight * q.weight), 5) as score
+            sum(c.units * q.units) as units
           from chunk_w c join query_w q on c.bucket = q.bucket join kb_chunks k on c.chunk_id = k.chunk_id
           group by 1, 2) s
   ) r where search_rank <= 48
@@ -136,7 +137,7 @@ gated as (
 ),
 reranked as (
   select * from (
-    select *, round(score
+    select *, round(adjusted, 5) as adjusted_score from (select *, (raw
       + case when contains(query_lower, 'how is') and contains(query_lower, 'calculated')
               and (contains(text_lower, '## purpose') or contains(text_lower, 'this document')
                    or contains(text_lower, 'these queries are not exploratory')) then -0.12 else 0.0 end
@@ -147,19 +148,19 @@ reranked as (
           + (case when contains(text_lower, '```sql') or contains(text_lower, 'select') then 0.10 else 0.0 end
              + case when contains(text_lower, '## churn') or contains(text_lower, 'churn calculation')
                     then 0.10 else 0.0 end)
-        else 0.0 end, 5) as adjusted_score
-    from gated
-  ) x where adjusted_score >= 0.30
+        else 0.0 end) as adjusted
+    from gated) y
+  ) x where adjusted >= 0.30
 ),
 deduped as (
   select * exclude (source_rank) from (
-    select *, row_number() over (partition by query_id, source_file order by adjusted_score desc, search_rank)
+    select *, row_number() over (partition by query_id, source_file order by adjusted desc, search_rank)
       as source_rank
     from reranked) d where source_rank = 1
 ),
 final as (
   select * from (
-    select *, row_number() over (partition by query_id order by adjusted_score desc, search_rank) as rank
+    select *, row_number() over (partition by query_id order by adjusted desc, search_rank) as rank
     from deduped) f where rank <= 8
 )"""
 
@@ -172,7 +173,7 @@ Q["kb_documents"] = CORPUS
 CHUNK_COLS = "chunk_id, text, source_file, section, start_line, end_line"
 Q["kb_chunks"] = f"select {CHUNK_COLS} from ({CHUNKS}) c"
 Q["kb_chunks_roundtrip"] = Q["kb_chunks"]
-Q["kb_embed"] = kb("select chunk_id, bucket, round(weight, 6) as weight from chunk_w")
+Q["kb_embed"] = kb("select chunk_id, bucket, round(units / 1073741824.0::double, 6) as weight from chunk_w")
 Q["kb_search"] = kb("select query_id, chunk_id, score, search_rank from search")
 Q["kb_gate"] = kb("select query_id, chunk_id, score, search_rank from gated")
 Q["kb_rerank"] = kb("select query_id, chunk_id, source_file, score, adjusted_score, search_rank from reranked")
@@ -215,5 +216,5 @@ select * from (
 Q["kb_index"] = kb("""
 select k.chunk_id, k.source_file, k.section, k.start_line, k.end_line, w.terms, w.norm_sq
 from kb_chunks k join (
-  select chunk_id, count(*) as terms, round(sum(round(weight, 6) * round(weight, 6)), 4) as norm_sq
+  select chunk_id, count(*) as terms, round(sum(round(units / 1073741824.0::double, 6) * round(units / 1073741824.0::double, 6)), 4) as norm_sq
   from chunk_w group by chunk_id) w on k.chunk_id = w.chunk_id""")
