@@ -1,8 +1,8 @@
 """Incremental bronze loads and report sinks.
 
-An incremental run reads the table's latest version, keeps the batch rows at
-or after its high-water mark (``ingestion_date``), replaces target rows whose
-key the batch carries (delete + insert) and writes the next version.
+An incremental run takes the high-water mark (``ingestion_date``) from the table's manifest, keeps
+the batch rows at or after it, replaces target rows whose key the batch carries
+(delete + insert) and puts the next version in place (:mod:`finspark.sources.manifest`).
 """
 
 from __future__ import annotations
@@ -17,14 +17,14 @@ from finspark.config import FINDING_PII_VALUE, FINDING_SCAN_ERROR
 from finspark.operators.bronze import ENTITY_KEYS, with_load_time
 from finspark.operators.compliance import ALL_LAYERS, compliance_status, pii_column_findings, pii_value_findings
 from finspark.operators.insight import finance_insight
-from finspark.operators.macros import incremental_filter, upsert
+from finspark.operators.macros import since_mark
 from finspark.operators.quality import freshness_checks, schema_tests, validation_status, volume_checks
 from finspark.plans.catalog import LAYER_MODELS
 from finspark.plans.pipeline import Pipeline, for_output
 from finspark.plans.registry import pipeline, query
 from finspark.session import ensure_checkpoint_dir
-from finspark.sources.files import (ENTITY_SCHEMAS, latest_version, read_entity_csv, read_latest,
-                                    write_entity_csv, write_report, write_version)
+from finspark.sources.files import ENTITY_SCHEMAS, read_entity_csv, write_entity_csv, write_report
+from finspark.sources.manifest import ManifestTable
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -32,28 +32,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def bronze_table(spark: SparkSession, table: str, entity: str) -> ManifestTable:
+    return ManifestTable(spark, table, ENTITY_KEYS[entity])
+
+
 def load_bronze(spark: SparkSession, batch: DataFrame, table: str, entity: str, lookback_days: int = 0,
                 mode: str = "upsert") -> DataFrame:
     """One incremental run of a bronze table; returns the new version.
 
-    ``mode="upsert"`` replaces rows whose key the batch carries (the default);
-    ``mode="append"`` keeps every row ever loaded, duplicates included."""
+    ``mode="upsert"`` replaces rows whose key the batch carries (the default) and rewrites only
+    the files that can hold one; ``mode="append"`` keeps every row ever loaded, duplicates included."""
     if mode not in ("upsert", "append"):
         raise ValueError(f"unknown load mode {mode!r}")
-    key = ENTITY_KEYS[entity]
-    current = latest_version(spark, table)
+    target = bronze_table(spark, table, entity)
     batch = batch.select(*ENTITY_SCHEMAS[entity].fieldNames())
-    if current is None:
-        merged = with_load_time(batch, "bronze_loaded_at")
-        version = 1
-    else:
-        target = read_latest(spark, table)
-        fresh = with_load_time(
-            incremental_filter(batch, target, "ingestion_date", lookback_days), "bronze_loaded_at")
-        merged = upsert(target, fresh, key) if mode == "upsert" else target.unionByName(fresh)
-        version = current + 1
-    write_version(merged, table, version)
-    return read_latest(spark, table)
+    if target.version():
+        batch = since_mark(batch, target.high_water_mark(), "ingestion_date", lookback_days)
+    fresh = with_load_time(batch, "bronze_loaded_at")
+    target.merge(fresh) if mode == "upsert" else target.append(fresh)
+    return target.read()
 
 
 # First load of the upsert demonstration: rows ingested before this day.

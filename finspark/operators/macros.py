@@ -52,12 +52,16 @@ def incremental_filter(batch: DataFrame, target: DataFrame | None, column: str,
         if lookback_days:
             mark = F.date_sub(mark, lookback_days)
         return batch.where(F.col(column) >= mark)
-    hw = high_water_mark(target, column)
-    if hw is None:
+    return since_mark(batch, high_water_mark(target, column), column, lookback_days)
+
+
+def since_mark(batch: DataFrame, mark, column: str, lookback_days: int = 0) -> DataFrame:
+    """Rows of ``batch`` at or after a known high-water mark; none where the mark is NULL."""
+    if mark is None:
         return batch.where(F.lit(False))
-    if lookback_days and isinstance(hw, (dt.date, dt.datetime)):
-        hw = hw - dt.timedelta(days=lookback_days)
-    return batch.where(F.col(column) >= F.lit(hw))
+    if lookback_days and isinstance(mark, (dt.date, dt.datetime)):
+        mark = mark - dt.timedelta(days=lookback_days)
+    return batch.where(F.col(column) >= F.lit(mark))
 
 
 # Batch key sets up to this many rows are broadcast against the target.

@@ -1,11 +1,11 @@
 """Bronze ingestion with Structured Streaming.
 
 New raw files landing in a folder are picked up by a file source with a
-fixed schema; each micro-batch is merged into the versioned bronze table by
-key (delete + insert) inside ``foreachBatch``.  The batch id names the
+fixed schema; each micro-batch is merged into the bronze table by key (delete + insert, only
+files that can hold a key are rewritten) inside ``foreachBatch``.  The batch id names the
 version written, counted from the table's version when the stream began, so
-a batch replayed after a failure rewrites the same version: the sink is idempotent and the checkpoint gives exactly-once
-progress.  ``availableNow`` drains what has landed and stops, which is how
+a batch replayed after a failure finds its version in place: the sink is idempotent and the
+checkpoint gives exactly-once progress.  ``availableNow`` drains what has landed and stops, which is how
 the batch pipeline schedules it.
 """
 
@@ -15,31 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finspark.operators.bronze import ENTITY_KEYS, with_load_time
-from finspark.operators.macros import upsert
-from finspark.sources.files import CSV_OPTIONS, ENTITY_SCHEMAS, latest_version, version_path, write_version
+from finspark.sources.files import CSV_OPTIONS, ENTITY_SCHEMAS
+from finspark.sources.manifest import ManifestTable
 
 
 def _base_version(spark: SparkSession, table: str, checkpoint: str) -> int:
     """The table's version when this stream began (0: no table yet), kept beside its checkpoint."""
     path = f"{checkpoint.rstrip('/')}/base_version"
     if not _complete(spark, path):
-        spark.createDataFrame([(latest_version(spark, table) or 0,)], "version int").write.mode("overwrite").json(path)
+        spark.createDataFrame([(ManifestTable(spark, table, "").version(),)], "version int").write.mode("overwrite").json(path)
     return spark.read.schema("version int").json(path).first().version
 
 
 def _merge_batch(spark: SparkSession, table: str, entity: str, base: int):
-    """Batch ``b`` merges into version ``base + b`` and writes the next one: replaying a
-    batch repeats exactly the same write.  The version before it must be there, but for
+    """Batch ``b`` merges into version ``base + b`` and puts the next one in place; a batch
+    whose version is there has been merged.  The version before it must be there, but for
     the first batch of a table that did not exist; a lost version is an error."""
-    key = ENTITY_KEYS[entity]
+    target = ManifestTable(spark, table, ENTITY_KEYS[entity])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         before = base + batch_id
-        fresh = with_load_time(batch, "bronze_loaded_at")
-        if before and not _complete(spark, version_path(table, before)):
-            raise RuntimeError(f"version {before} of {table} is missing or incomplete")
-        merged = upsert(spark.read.parquet(version_path(table, before)), fresh, key) if before else fresh
-        write_version(merged, table, before + 1)
+        if before and not target.has_version(before):
+            raise RuntimeError(f"version {before} of {table} is missing")
+        if not target.has_version(before + 1):
+            target.merge(with_load_time(batch, "bronze_loaded_at"), before + 1)
 
     return merge
 
@@ -80,14 +79,14 @@ STREAM_FIRST_DROP_BEFORE = "1998-01-01"
 def stream_bronze_demo(spark: SparkSession, raw: DataFrame, entity: str, root: str) -> DataFrame:
     """Two landings of raw CSV files drained by two availableNow runs of the
     same stream (same checkpoint): the second run only sees the new files."""
-    from finspark.sources.files import read_latest, write_entity_csv
+    from finspark.sources.files import write_entity_csv
     landing, table, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
     first = F.col("ingestion_date") < F.lit(STREAM_FIRST_DROP_BEFORE).cast("date")
     write_entity_csv(raw.where(first), f"{landing}/drop=1")
     stream_bronze(spark, f"{landing}/*", table, entity, ckpt)
     write_entity_csv(raw.where(~first), f"{landing}/drop=2")
     stream_bronze(spark, f"{landing}/*", table, entity, ckpt)
-    return read_latest(spark, table)
+    return ManifestTable(spark, table, ENTITY_KEYS[entity]).read()
 
 
 def stream_event_counts(spark: SparkSession, events: DataFrame, root: str, delay: str = "2 days") -> DataFrame:

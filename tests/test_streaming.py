@@ -11,7 +11,8 @@ from conftest import SF_SMALL
 from finspark.operators.macros import upsert
 from finspark.plans.pipeline import Pipeline
 from finspark.session import ensure_checkpoint_dir
-from finspark.sources.files import ENTITY_SCHEMAS, version_path
+from finspark.sources.files import ENTITY_SCHEMAS
+from finspark.sources.manifest import ManifestTable
 from finspark.streaming.ingest import _merge_batch, stream_bronze_demo, stream_event_counts
 
 
@@ -30,9 +31,9 @@ def test_replayed_batch_rewrites_the_same_version(spark):
     first, second = raw.where("ingestion_date < date'1998-01-01'"), raw.where("ingestion_date >= date'1998-01-01'")
     merge(first, 0)
     merge(second, 1)
-    v2 = sorted(map(tuple, _cols(spark.read.parquet(version_path(table, 2))).collect()))
+    v2 = sorted(map(tuple, _cols(ManifestTable(spark, table, "transaction_id").read(2)).collect()))
     merge(second, 1)  # replay after a failure
-    again = sorted(map(tuple, _cols(spark.read.parquet(version_path(table, 2))).collect()))
+    again = sorted(map(tuple, _cols(ManifestTable(spark, table, "transaction_id").read(2)).collect()))
     assert v2 == again
     assert v2 == sorted(map(tuple, _cols(upsert(first, second, "transaction_id")).collect()))
 
@@ -47,7 +48,7 @@ def test_stream_goes_on_from_a_loaded_table_and_a_lost_version_is_an_error(spark
     base = _base_version(spark, table, checkpoint)
     _merge_batch(spark, table, "transactions", base)(second, 0)
     assert _base_version(spark, table, checkpoint) == base == 1
-    got = _cols(spark.read.parquet(version_path(table, 2)))
+    got = _cols(ManifestTable(spark, table, "transaction_id").read(2))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _cols(upsert(first, second, "transaction_id")).collect()))
     with pytest.raises(RuntimeError, match="version 7"):
         _merge_batch(spark, table, "transactions", base)(second, 6)
