@@ -4,7 +4,7 @@ Each source has a weight and a schedule, its relative density over training time
 (values at equally spaced times, linear in between).  Targets come from the weights:
 sources share all words by weight, none gets more than ``max_repeats`` times its size,
 and what is above is shared again by weight.  A source's documents form a stream in the
-order of ``md5(id)``: whole passes, then a part of one, cut where the stream comes
+order of ``md5(id)`` (then size, then a hash of the text): whole passes, then a part of one, cut where the stream comes
 nearest to the target.  The schedule, integrated, is the share of the target demanded up
 to a time; inverted at a document's place in the stream it is the document's training
 position.  Rows are range-sorted by position (those not taken follow, by md5).
@@ -16,8 +16,9 @@ ever brought into one task.  DataFrame functions only.
 
 Defined cases: null and empty texts have size 0, are never needed by a target, but are
 taken with the whole passes of their source at no cost; null sources are one source, the
-last; null ids order as the empty string; repeated rows are taken one by one; an empty
-table gives an empty result.  Other columns pass through, but for the names of the result
+last; null ids order as the empty string, after it; rows of equal id order by size, then by a
+64-bit hash of the text, and rows equal in all these may change places, which changes no
+row's result; repeated rows are taken one by one; an empty table gives an empty result.  Other columns pass through, but for the names of the result
 columns (``RESULT``), which win.
 """
 
@@ -90,7 +91,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     rows = docs.select(
         *(F.col(f"`{c}`").alias(p) for c, p in zip(names, plain)), F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"), order.alias("order"), order.substr(1, 3).alias("slice"))
+        word_count(F.col(text_col)).alias("size"), order.alias("order"), order.substr(1, 3).alias("slice"),
+        F.col(id_col).isNull().alias("no_id"), F.xxhash64(text_col).alias("text_hash"))
+    ties = ["order", "no_id", "size", "text_hash"]
 
     slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     targets = source_targets(slices.groupBy("source").agg(F.sum("slice_size").alias("source_size")), weights, max_repeats)
@@ -99,7 +102,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
         F.col("s.source").alias("of"), F.col("slice").alias("in"), "start", "source_size", "place", "target")
 
-    within = Window.partitionBy("source", "slice").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "slice").orderBy(*ties).rowsBetween(Window.unboundedPreceding, -1)
     placed = (rows.join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("slice") == F.col("in")))
               .withColumn("at", F.col("start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
               .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
@@ -116,10 +119,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             time = own if time is None else F.when(F.col("place") % len(schedules) == j, own).otherwise(time)
         each.append(F.when(F.col("times") > i, time))
     positions = F.array_compact(F.array(*each))
-    out = placed.select(*plain, "order", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
+    out = placed.select(*plain, "order", "no_id", "text_hash", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
                         positions.alias("positions")).withColumn("position", F.try_element_at("positions", F.lit(1)))
-    by = F.asc_nulls_last("position"), F.asc("order")
-    return out.repartitionByRange(*by).sortWithinPartitions(*by).drop("order").toDF(*names, *RESULT)
+    by = F.asc_nulls_last("position"), *ties
+    return out.repartitionByRange(*by).sortWithinPartitions(*by).drop("order", "no_id", "text_hash").toDF(*names, *RESULT)
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

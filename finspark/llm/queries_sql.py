@@ -58,7 +58,7 @@ targets as (
   from judged),
 spread as (
   select doc_id, size, s, place, target, case when s > 0 then floor(target / s) else 0 end as passes,
-         coalesce(sum(size) over (partition by sized.source order by ord rows between unbounded preceding and 1 preceding), 0) as here
+         coalesce(sum(size) over (partition by sized.source order by ord, size rows between unbounded preceding and 1 preceding), 0) as here
   from sized join targets on sized.source is not distinct from targets.source),
 counted as (
   select *, passes + case when here + size / 2.0 < target - passes * s then 1 else 0 end as times, here / target as u

@@ -58,3 +58,14 @@ def test_edge_rows(spark):
     got = mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string, target int")).collect()
     assert len(got) == 5 and sum(r.taken for r in got) == 50_000 and got[0].__fields__.count("target") == 1
     assert mix_sources(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_repeated_and_null_ids_give_the_same_rows_under_any_partitioning(spark):
+    rows = [((None, 7)[i % 2], "w " * (1 + i * 13 % 9) + f"x{i % 50}", "ab"[i % 3 // 2]) for i in range(1200)]
+    rows += [(100 + i, "w " * (i % 5), "a") for i in range(100)]
+    results = []
+    for order, parts in ((rows, 1), (rows[::-1], 5), (rows[600:] + rows[:600], 16)):
+        got = mix_sources(spark.createDataFrame(order, SCHEMA).repartition(parts)).collect()
+        results.append(sorted(map(tuple, got), key=repr))
+    assert results[0] == results[1] == results[2]
+    assert len({r[6] for r in results[0]}) > 2  # some are taken more often than others

@@ -2,9 +2,10 @@
 
 import brute
 import corpus_pipeline as P
-from conftest import SF_CHECK as SF
+from conftest import SF_CHECK as SF, SF_SMALL
 from finspark.llm.scratch import written
 from finspark.llm.toxicity import labelled_rows, learn_lexicon, score_toxicity
+from pyspark.sql import functions as F
 
 
 def test_stages_equal_brute_force(spark):
@@ -32,3 +33,14 @@ def test_stages_equal_brute_force(spark):
     assert set(pure) == set(cut) - {i for i, _ in brute.contaminated([(i, r.text) for i, r in cut.items()], items)}
     assert set(mixed) == set(pure) and sum(r.taken for r in mixed.values()) > 0
     assert all(r.size == len(brute.words(r.text)) and r.taken <= 3 * r.size for r in mixed.values())
+
+
+def test_columns_of_clashing_names_pass_every_filtering_stage(spark):
+    names = ("score", "predicted", "n_words", "n_removed", "kept_text", "component", "id", "gone")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns, name
+        rows = out.select("doc_id", *names).collect()
+        assert rows and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in names), name
