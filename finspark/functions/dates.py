@@ -55,3 +55,25 @@ def month_series(start: Column | str, end: Column | str) -> Column:
     keep_last = F.least(F.dayofmonth(s), shortest) <= F.dayofmonth(e)
     trimmed = F.when(keep_last, months).otherwise(F.slice(months, 1, F.size(months) - 1))
     return F.when(s <= e, trimmed).otherwise(F.array().cast("array<date>"))
+
+
+def last_series_month(start: Column | str, end: Column | str) -> Column:
+    """The last month of ``month_series(start, end)`` without building it; NULL where that is empty.
+
+    The shortest month of the span follows from its first and last month: 28 days with a February
+    of a common year (of two Februaries in a row one is), 29 with one of a leap year alone,
+    else 30 with any 30-day month, else 31."""
+    s, e = F.to_date(_c(start)), F.to_date(_c(end))
+    a, b = (F.year(x) * 12 + F.month(x) - 1 for x in (s, e))
+
+    def count(month: int) -> Column:  # how often the span holds the month (January is 0)
+        return F.floor((b - month) / 12) - F.floor((a - 1 - month) / 12)
+
+    february = F.floor((b - 1) / 12)  # the year of the last one
+    leap = (february % 4 == 0) & ((february % 100 != 0) | (february % 400 == 0))
+    short = count(3) + count(5) + count(8) + count(10)
+    shortest = (F.when(count(1) > 1, 28).when(count(1) == 1, F.when(leap, 29).otherwise(28))
+                .when(short > 0, 30).otherwise(31))
+    last = F.trunc(e, "month")
+    keep = F.least(F.dayofmonth(s), shortest) <= F.dayofmonth(e)
+    return F.when(s <= e, F.when(keep, last).otherwise(F.add_months(last, -1)))

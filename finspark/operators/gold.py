@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finspark.config import ARR_PLAN_PRICES
-from finspark.functions.dates import day_of, month_boundaries_between, month_series, month_start, run_date
+from finspark.functions.dates import (day_of, last_series_month, month_boundaries_between, month_series, month_start,
+                                      run_date)
 from finspark.functions.numeric import safe_ratio
 from finspark.operators.bronze import with_load_time
 from finspark.plans.pipeline import Pipeline, model
@@ -104,12 +105,39 @@ def mrr_by_subscription(p: Pipeline, active_only: bool = True) -> DataFrame:
                     F.explode(month_series("start_date", "effective_end_date")).alias("revenue_month"))
 
 
+def mrr_events(p: Pipeline) -> DataFrame:
+    """(customer_id, month, price, n): what active subscriptions add in their first month and take
+    away after their last; at most one row per customer and calendar month."""
+    s = p.ref("silver_subscriptions").where((F.col("status") == "active") & F.col("start_date").isNotNull())
+    end = F.coalesce("end_date", run_date(p.config.as_of))
+    s = s.select("customer_id", "plan_name", month_start("start_date").alias("first"),
+                 last_series_month("start_date", end).alias("last")).where(F.col("last").isNotNull())
+    j = s.join(F.broadcast(subscription_plans(p.spark)), "plan_name")
+    price = F.col("monthly_price").cast("bigint")
+    begin = j.select("customer_id", F.col("first").alias("month"), price.alias("price"), F.lit(1).alias("n"))
+    after = j.select("customer_id", F.add_months("last", 1).alias("month"), (-price).alias("price"), F.lit(-1).alias("n"))
+    return begin.union(after).groupBy("customer_id", "month").agg(F.sum("price").alias("price"), F.sum("n").alias("n"))
+
+
 @model("gold_mrr")
 def gold_mrr(p: Pipeline) -> DataFrame:
-    out = mrr_by_subscription(p).groupBy("revenue_month").agg(
-        F.sum("monthly_price").cast("bigint").alias("mrr"),
-        F.count_distinct("customer_id").alias("active_customers"),
-    )
+    """A sweep over the months: subscriptions meet the shuffle as two events, however long they run.
+
+    A customer counts while any subscription of theirs does: the running number of these per customer
+    turns events into arrivals and departures.  One row per event month is then summed
+    along the calendar, and months without events repeat the month before."""
+    own = Window.partitionBy("customer_id").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    running = mrr_events(p).withColumn("now", F.sum("n").over(own)).withColumn("before", F.col("now") - F.col("n"))
+    present = lambda c: F.when(F.col("customer_id").isNotNull() & (F.col(c) > 0), 1).otherwise(0)
+    months = running.groupBy("month").agg(F.sum("price").alias("price"), F.sum("n").alias("n"),
+                                          F.sum(present("now") - present("before")).alias("customers"))
+    calendar = Window.orderBy("month")
+    upto = calendar.rowsBetween(Window.unboundedPreceding, 0)
+    steps = months.select("month", F.lead("month").over(calendar).alias("next"), F.sum("price").over(upto).alias("mrr"),
+                          F.sum("n").over(upto).alias("n"), F.sum("customers").over(upto).alias("active_customers"))
+    out = steps.where("n > 0").select(
+        F.explode(F.sequence("month", F.add_months("next", -1), F.expr("interval 1 month"))).alias("revenue_month"),
+        F.col("mrr").cast("bigint").alias("mrr"), F.col("active_customers").cast("bigint").alias("active_customers"))
     return with_load_time(out, "gold_loaded_at")
 
 

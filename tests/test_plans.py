@@ -20,6 +20,12 @@ def test_plan_seed_is_broadcast(spark):
     assert "BroadcastHashJoin" in txt
 
 
+def test_mrr_shuffles_two_events_per_subscription_however_long(spark):
+    """No month of a subscription is generated; only the calendar's gaps are, after all sums."""
+    txt = plan(Pipeline(spark, SF_SMALL).ref("gold_mrr"))
+    assert "last_day" not in txt and txt.index("Generate explode(sequence(month") < txt.index("HashAggregate")
+
+
 def test_models_have_no_python_nodes(spark):
     p = Pipeline(spark, SF_SMALL)
     for m in ("gold_transaction_facts", "gold_mrr", "gold_cohort_retention",

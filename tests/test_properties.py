@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from chunk_rules import check_chunks
-from finspark.functions.dates import month_series
+from finspark.functions.dates import last_series_month, month_series
 from finspark.operators.chunking import chunk_documents
 from finspark.operators.macros import dedupe_latest, desc_last
 
@@ -32,10 +32,13 @@ dates = st.dates(min_value=dt.date(1999, 1, 1), max_value=dt.date(2003, 12, 31))
 def test_month_series_matches_drifting_series(spark, pairs):
     pairs += [(dt.date(2024, 1, 31), dt.date(2024, 3, 29)), (dt.date(2024, 1, 31), dt.date(2024, 3, 28)),
               (dt.date(2023, 5, 31), dt.date(2023, 5, 1)), (dt.date(2024, 2, 29), dt.date(2025, 2, 28))]
+    pairs += [(dt.date(y, m, d), dt.date(y + (m + n - 1) // 12, (m + n - 1) % 12 + 1, e)) for y in (1999, 2000, 2004) for m in (1, 7, 8, 12)
+              for d in (29, 30, 31) for n in (0, 1, 2, 3, 13) for e in (28, 1) if n or d <= e]
     df = spark.createDataFrame(pairs, "a date, b date")
-    got = [(r["a"], r["b"], r["m"]) for r in df.select("a", "b", month_series("a", "b").alias("m")).collect()]
-    for a, b, m in got:
-        assert list(m) == drifting_months(a, b), (a, b)
+    got = df.select("a", "b", month_series("a", "b").alias("m"), last_series_month("a", "b").alias("last")).collect()
+    for a, b, m, last in got:
+        months = drifting_months(a, b)
+        assert list(m) == months and last == (months[-1] if months else None), (a, b)
 
 
 line = st.one_of(st.text(alphabet="ab #\t", max_size=40), st.text(alphabet="xyz ", min_size=100, max_size=1200),

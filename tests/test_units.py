@@ -77,6 +77,21 @@ def test_month_series_drops_last_month_when_day_drifts_past_end(spark):
     assert months == [D(2024, 1, 1), D(2024, 2, 1)]
 
 
+def test_mrr_counts_a_customer_once_over_overlaps_gaps_and_handovers(spark):
+    p = pipeline(spark, subscriptions=[
+        sub("s1", "c1", "basic", "active", D(2024, 1, 1), D(2024, 3, 15)), sub("s2", "c1", "pro", "active", D(2024, 2, 1), D(2024, 2, 20)),
+        sub("s3", "c1", "basic", "active", D(2024, 4, 2), D(2024, 4, 9)), sub("s4", "c2", "basic", "active", D(2024, 8, 1), D(2024, 8, 1)),
+        sub("s5", None, "basic", "active", D(2024, 8, 1), D(2024, 9, 1)), sub("s6", "c3", "basic", "active", D(2024, 5, 9), D(2024, 5, 1)),
+        sub("s7", "c3", "basic", "active", None, D(2024, 5, 1)), sub("s8", "c3", "basic", "paused", D(2024, 5, 1), D(2024, 7, 1))])
+    from finspark.operators.gold import mrr_by_subscription
+    from pyspark.sql import functions as F
+    plain = mrr_by_subscription(p).groupBy("revenue_month").agg(F.sum("monthly_price").cast("bigint").alias("mrr"),
+                                                                F.count_distinct("customer_id").alias("active_customers"))
+    got = sorted(rows(p.ref("gold_mrr"), "revenue_month", "mrr", "active_customers"))
+    assert got == sorted(rows(plain, "revenue_month", "mrr", "active_customers"))
+    assert [(m.month, n) for m, _, n in got] == [(1, 1), (2, 1), (3, 1), (4, 1), (8, 1), (9, 0)]
+
+
 def test_unknown_plan_dropped_by_mrr_priced_zero_by_arr(spark):
     p = pipeline(spark, subscriptions=[sub("s1", "c1", "gold", "active", D(2024, 1, 1), D(2024, 1, 20))])
     assert p.ref("gold_mrr").count() == 0
