@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from finspark.plans.catalog import LAYER_MODELS
 from finspark.plans.pipeline import Pipeline, for_output
 from finspark.plans.registry import pipeline, query
 from finspark.session import ensure_checkpoint_dir
-from finspark.sources.files import ENTITY_SCHEMAS, read_entity_csv, write_entity_csv, write_report
+from finspark.sources.files import CSV_OPTIONS, ENTITY_SCHEMAS, load_entity_csv, read_entity_csv, write_entity_csv, write_report
 from finspark.sources.manifest import ManifestTable
 
 
@@ -76,6 +77,38 @@ def src_csv_scan_q(spark, sf_dir):
     return for_output(read_entity_csv(spark, path, "transactions"))
 
 
+def landed_csv(spark: SparkSession, raw: DataFrame, entity: str, path: str) -> None:
+    """Raw rows as CSV lines without header, and beside each row whose key ends in 7 a line that
+    is no row: the key and two words."""
+    raw.write.mode("overwrite").options(**CSV_OPTIONS).option("header", False).csv(f"{path}/rows")
+    key = F.col(ENTITY_KEYS[entity])
+    raw.where(key.endswith("7")).select(F.concat(key, F.lit(",cut off"))).write.mode("overwrite").text(f"{path}/cut")
+
+
+def _quarantined_load(spark: SparkSession, sf_dir: str, entity: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, lines set aside) of an entity landed as CSV."""
+    root = scratch_dir(spark, f"raw-{entity}-csv")
+    landed_csv(spark, pipeline(spark, sf_dir).raw(entity), entity, f"{root}/landing")
+    return load_entity_csv(spark, [f"{root}/landing/rows", f"{root}/landing/cut"], entity, f"{root}/staging",
+                           max_bad_share=0.25, header=False)
+
+
+def _csv_query(entity: str) -> None:
+    @query(f"src_csv_{entity}")
+    def run(spark, sf_dir):
+        return for_output(_quarantined_load(spark, sf_dir, entity)[0])
+
+
+for _entity in ENTITY_SCHEMAS:
+    _csv_query(_entity)
+
+
+@query("src_csv_quarantine")
+def src_csv_quarantine_q(spark, sf_dir):
+    """The lines of all six entities that were set aside, whole."""
+    return reduce(DataFrame.unionByName, (_quarantined_load(spark, sf_dir, e)[1] for e in ENTITY_SCHEMAS)).select("entity", "line")
+
+
 def _report_roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = write_report(df, scratch_dir(spark, name))
     return spark.read.json(path)

@@ -3,8 +3,8 @@ JSON-lines chunk files and JSON reports.
 
 Raw CSVs are read with a fixed schema (no inference pass over 100 TB),
 ``multi_line`` where quoted newlines (multi-line addresses) stay in one record,
-and FAILFAST so malformed input stops the load instead of turning into
-NULLs.
+and either FAILFAST, so malformed input stops the load instead of turning into
+NULLs, or with a quarantine for the lines that do not fit (``load_entity_csv``).
 
 Tables without a transactional format are kept as immutable versions
 ``<base>/v=<n>``: a run writes a new version and readers take the highest
@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ENTITY_SCHEMAS: dict[str, T.StructType] = {
@@ -53,7 +54,9 @@ ENTITY_SCHEMAS: dict[str, T.StructType] = {
         T.StructField("refunded_at", T.DateType()), T.StructField("ingestion_date", T.DateType())]),
 }
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
+# Spaces around values are kept, also by the writer.
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_entity_csv(spark: SparkSession, path: str, entity: str, multi_line: bool = False) -> DataFrame:
@@ -63,6 +66,38 @@ def read_entity_csv(spark: SparkSession, path: str, entity: str, multi_line: boo
             .option("mode", "FAILFAST").csv(path))
 
 
+BAD_LINE = "_bad_line"
+
+
+class TooManyBadRows(ValueError):
+    """A load whose share of lines that do not fit the schema is above what it allows."""
+
+
+def load_entity_csv(spark: SparkSession, path: str | list[str], entity: str, staging: str, max_bad_share: float = 0.05,
+                    header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad lines) of CSV files, parsed once into ``staging``.
+
+    A line with a value of another type or with too few or too many values is set aside whole, as
+    (entity, line, source_file), in a partition of its own; all others are rows.  Above
+    ``max_bad_share`` of all lines the load fails, with the staging table written."""
+    fields = ENTITY_SCHEMAS[entity]
+    lines = (spark.read.options(**CSV_OPTIONS).option("header", header).option("mode", "PERMISSIVE")
+             .schema(T.StructType([*fields, T.StructField(BAD_LINE, T.StringType())]))
+             .option("columnNameOfCorruptRecord", BAD_LINE).csv(path))
+    seen = Observation()
+    (lines.withColumns({"source_file": F.col("_metadata.file_path"), "is_bad": F.col(BAD_LINE).isNotNull()})
+     .observe(seen, F.count(F.lit(1)).alias("lines"), F.count(BAD_LINE).alias("bad"))
+     .write.mode("overwrite").partitionBy("is_bad").parquet(staging))
+    counts = seen.get
+    if counts["bad"] > max_bad_share * counts["lines"]:
+        raise TooManyBadRows(f"{counts['bad']} of {counts['lines']} lines of {path} do not fit {entity}; see {staging}")
+    schema = T.StructType([*fields, T.StructField(BAD_LINE, T.StringType()), T.StructField("source_file", T.StringType()),
+                           T.StructField("is_bad", T.BooleanType())])
+    staged = spark.read.schema(schema).parquet(staging)
+    return (staged.where("not is_bad").select(*fields.names),
+            staged.where("is_bad").select(F.lit(entity).alias("entity"), F.col(BAD_LINE).alias("line"), "source_file"))
+
+
 def read_entity(spark: SparkSession, path: str, entity: str, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """A raw entity from CSV, JSON lines or parquet, always with the fixed
     schema (no inference pass; parquet columns are selected and cast)."""

@@ -8,6 +8,12 @@ TX = BRONZE_COLUMNS["transactions"]
 
 Q["src_csv_scan"] = with_base(f"select {TX} from raw_transactions")
 
+KEYS = {e: cols.split(",")[0] for e, cols in BRONZE_COLUMNS.items()}
+for _e, _cols in BRONZE_COLUMNS.items():
+    Q[f"src_csv_{_e}"] = with_base(f"select {_cols} from raw_{_e}")
+Q["src_csv_quarantine"] = with_base("\nunion all ".join(
+    f"select '{e}' as entity, {k} || ',cut off' as line from raw_{e} where {k} like '%7'" for e, k in KEYS.items()))
+
 Q["bronze_upsert"] = with_base(f"""
 select {TX} from (
   select * from first_load

@@ -6,8 +6,11 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+
 from decimal import Decimal
 
+import pytest
+
 from conftest import SF_SMALL
 from finspark.operators.chunking import chunk_documents
 from finspark.operators.retrieval import read_markdown_corpus
@@ -102,3 +105,22 @@ def test_pipeline_from_raw_json_and_parquet(spark):
         p = Pipeline.from_raw_files(spark, root, fmt)
         got = sorted(map(tuple, p.ref("gold_transaction_facts").drop("gold_loaded_at").collect()))
         assert got == exp, fmt
+
+
+def test_bad_lines_are_set_aside_whole_and_the_rest_loads(spark):
+    from finspark.sources.files import TooManyBadRows, load_entity_csv
+    good = ["r1,t1,10.50,duplicate_charge,2024-01-05,2024-01-06", 'r2,t1,,"a, b",,2024-01-06', ",,,,,"]
+    bad = ["r3,t1,ten,duplicate_charge,2024-01-05,2024-01-06", "r4,t1", "r5,t1,1.00,x,2024-01-05,2024-01-06,more",
+           "r6,t1,1.00,x,2024-13-05,2024-01-06"]
+    header = "refund_id,transaction_id,amount,refund_reason,refunded_at,ingestion_date"
+    path, aside = _scratch(spark, "bad-csv"), _scratch(spark, "aside")
+    spark.createDataFrame([("\n".join([header, *good, *bad]),)], "line string").coalesce(1).write.text(path)
+    rows, lines = load_entity_csv(spark, path, "refunds", aside, max_bad_share=0.6)
+    assert sorted(rows.select("refund_id").collect(), key=repr) == sorted([("r1",), ("r2",), (None,)], key=repr)
+    assert rows.where("amount = 10.50 and refunded_at = date'2024-01-05'").count() == 1 and rows.where("transaction_id = 't1'").count() == 2
+    kept = lines.collect()
+    assert sorted(r["line"] for r in kept) == sorted(bad) and {r["entity"] for r in kept} == {"refunds"}
+    assert all(path.rsplit("/", 1)[1] in r["source_file"] for r in kept)
+    with pytest.raises(TooManyBadRows, match="4 of 7 lines"):
+        load_entity_csv(spark, path, "refunds", aside, max_bad_share=0.5)
+    assert spark.read.parquet(aside).groupBy("is_bad").count().orderBy("is_bad").collect() == [(False, 3), (True, 4)]
