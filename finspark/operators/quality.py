@@ -80,6 +80,11 @@ GRAINS = [
 DAILY_MODELS = [("gold_daily_revenue", "revenue_date"), ("platinum_finance_exec_scorecard_daily", "date")]
 
 
+def layer_order(model: str) -> tuple:
+    """Models in the order of their layers, so that later ones read what earlier ones wrote."""
+    return (("bronze", "silver", "gold", "platinum").index(model.split("_")[0]), model != "gold_transaction_facts", model)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -88,13 +93,26 @@ def _status(failures) -> F.Column:
     return F.when(failures > 0, "fail").otherwise("pass")
 
 
+def _measured(p: Pipeline, metric: str, wanted: dict[tuple[str, str], tuple], names: str) -> DataFrame | None:
+    """(names..., value) of what a finished run has measured of ``wanted`` (model, column) -> literals."""
+    rows = [(m, c, *more) for (m, c), more in wanted.items() if m in p.measured]
+    if not rows:
+        return None
+    asked = p.spark.createDataFrame(rows, names)  # the declared checks
+    got = p.metrics.where(F.col("metric") == metric).select("model_name", "column_name", "value")
+    return F.broadcast(asked).join(got, ["model_name", "column_name"])
+
+
 def not_null_checks(p: Pipeline, tests=SCHEMA_TESTS) -> DataFrame:
-    """One aggregation pass per model counts NULLs in all its tested columns."""
+    """One aggregation pass per model counts NULLs in all its tested columns; none for a model
+    that a finished run has measured."""
     by_model: dict[str, list[str]] = {}
     for m, c, kinds in tests:
-        if "not_null" in kinds:
+        if "not_null" in kinds and m not in p.measured:
             by_model.setdefault(m, []).append(c)
-    parts = []
+    known = _measured(p, "nulls", {(m, c): ("not_null",) for m, c, kinds in tests if "not_null" in kinds},
+                      "model_name string, column_name string, test_name string")
+    parts = [] if known is None else [known.select("model_name", "column_name", "test_name", F.col("value").alias("failures"))]
     for m, cols in by_model.items():
         counts = p.ref(m).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
         parts.append(counts.select(F.explode(F.array(*[
@@ -107,9 +125,11 @@ def not_null_checks(p: Pipeline, tests=SCHEMA_TESTS) -> DataFrame:
 
 def unique_checks(p: Pipeline, tests=SCHEMA_TESTS) -> DataFrame:
     """Failures = number of non-null values that occur more than once."""
-    parts = []
+    known = _measured(p, "repeated", {(m, c): ("unique",) for m, c, kinds in tests if "unique" in kinds},
+                      "model_name string, column_name string, test_name string")
+    parts = [] if known is None else [known.select("model_name", "column_name", "test_name", F.col("value").alias("failures"))]
     for m, c, kinds in tests:
-        if "unique" not in kinds:
+        if "unique" not in kinds or m in p.measured:
             continue
         dup = (p.ref(m).where(F.col(c).isNotNull()).groupBy(c).count().where(F.col("count") > 1)
                .agg(F.count(F.lit(1)).alias("failures")))
@@ -122,6 +142,11 @@ def schema_tests(p: Pipeline) -> DataFrame:
     return not_null_checks(p).unionByName(unique_checks(p))
 
 
+def date_column(df: DataFrame, own: str) -> str:
+    """The column a table is tracked by: the first candidate it has, else its own."""
+    return next((x for x in DATE_COLUMN_CANDIDATES if x in df.columns), own)
+
+
 def monitored_dates(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> tuple[DataFrame, dict[str, str]]:
     """(table_name, d) for every row of every monitored table, and the
     tables that could not be read (name -> error), which the checks report
@@ -130,8 +155,7 @@ def monitored_dates(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> tuple[DataFra
     for t, col in tables.items():
         try:
             df = p.ref(t)
-            c = next((x for x in DATE_COLUMN_CANDIDATES if x in df.columns), col)
-            parts.append(df.select(F.lit(t).alias("table_name"), F.to_date(F.col(c)).alias("d")))
+            parts.append(df.select(F.lit(t).alias("table_name"), F.to_date(F.col(date_column(df, col))).alias("d")))
         except Exception as e:  # missing table / column: isolate this table
             errors[t] = str(e)
     if not parts:
@@ -141,8 +165,14 @@ def monitored_dates(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> tuple[DataFra
 
 def daily_counts(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> tuple[DataFrame, dict[str, str]]:
     """(table_name, d, n): rows per table and day, as volume and freshness each read them."""
-    dates, errors = monitored_dates(p, tables)
-    return dates.groupBy("table_name", "d").agg(F.count(F.lit(1)).alias("n")), errors
+    dates, errors = monitored_dates(p, {t: c for t, c in tables.items() if t not in p.measured})
+    counts = dates.groupBy("table_name", "d").agg(F.count(F.lit(1)).alias("n"))
+    known = [t for t in tables if t in p.measured]
+    if known:
+        days = p.metrics.where((F.col("metric") == "day") & F.col("model_name").isin(known)).select(
+            F.col("model_name").alias("table_name"), F.col("day").alias("d"), F.col("value").alias("n"))
+        counts = days if len(known) == len(tables) else counts.union(days)
+    return counts, errors
 
 
 def _table_list_with_errors(p: Pipeline, tables, errors: dict[str, str]) -> DataFrame:
@@ -225,8 +255,11 @@ def validation_status(p: Pipeline) -> DataFrame:
 def accepted_values_checks(p: Pipeline, rules=ACCEPTED_VALUES) -> DataFrame:
     by_model: dict[str, list] = {}
     for m, c, vals in rules:
-        by_model.setdefault(m, []).append((c, vals))
-    parts = []
+        if m not in p.measured:
+            by_model.setdefault(m, []).append((c, vals))
+    known = _measured(p, "invalid", {(m, c): (",".join(vals),) for m, c, vals in rules},
+                      "model_name string, column_name string, accepted_values string")
+    parts = [] if known is None else [known.select("model_name", "column_name", "accepted_values", F.col("value").alias("invalid_rows"))]
     for m, rs in by_model.items():
         counts = p.ref(m).agg(*[F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vals)).alias(c)
                                 for c, vals in rs])
@@ -304,6 +337,21 @@ def dq_status(spark, sf_dir):
     return validation_status(_p(spark, sf_dir))
 
 
+@query("dq_measured_status")
+def dq_measured_status(spark, sf_dir):
+    """The same verdict from a finished run: its layers are written and measured, and the checks
+    read the measurements alone."""
+    import uuid
+
+    from finspark.plans.metrics import use_metrics, write_measured
+    from finspark.session import ensure_checkpoint_dir
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/measured-{uuid.uuid4().hex}"
+    p = _p(spark, sf_dir)
+    for m in sorted({m for m, _, _ in SCHEMA_TESTS} | set(MONITORED_DATE_COLUMNS), key=layer_order):
+        write_measured(p, m, f"{out}/{m}", f"{out}/metrics")
+    return validation_status(use_metrics(p, f"{out}/metrics"))
+
+
 @query("dq_accepted_values")
 def dq_accepted_values(spark, sf_dir):
     return accepted_values_checks(_p(spark, sf_dir))

@@ -43,6 +43,9 @@ class Pipeline:
         self.config = config or PipelineConfig()
         self._memo: dict[str, DataFrame] = dict(overrides or {})
         self._checkpoint = tuple(checkpoint)
+        # Metrics of a finished run and the models they cover (finspark.plans.metrics).
+        self.metrics: DataFrame | None = None
+        self.measured: set[str] = set()
 
     def ref(self, name: str) -> DataFrame:
         if name not in self._memo:
@@ -59,7 +62,8 @@ class Pipeline:
                           config: PipelineConfig | None = None) -> "Pipeline":
         """A pipeline whose models of ``layers`` are read from ``out/<layer>/<model>``
         (as written by :func:`finspark.plans.run.build_all`); models not found
-        there, and everything upstream of them, are still derived."""
+        there, and everything upstream of them, are still derived.  Checks of models
+        that the run has measured read its metrics."""
         from finspark.plans.catalog import LAYER_MODELS
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -70,7 +74,8 @@ class Pipeline:
                 hp = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
                 if hp.getFileSystem(conf).exists(hp):
                     found[m] = spark.read.parquet(path)
-        return cls(spark, sf_dir, config, overrides=found)
+        from finspark.plans.metrics import use_metrics
+        return use_metrics(cls(spark, sf_dir, config, overrides=found), f"{out.rstrip('/')}/metrics")
 
     @classmethod
     def from_raw_files(cls, spark: SparkSession, raw_path: str, fmt: str = "csv",

@@ -4,8 +4,8 @@
 
 Silver is written first and read back, so gold and platinum are planned on
 top of the written silver tables (lineage cut at the layer boundary, the
-same files serve every downstream model).  Gold and platinum follow, then
-the validation / insight / compliance reports as JSON.  Every output is a
+same files serve every downstream model).  Gold and platinum follow, each measured as it is written,
+then the validation / insight / compliance reports as JSON; validation reads the measurements.  Every output is a
 full-refresh write of its own folder.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from finspark.config import PipelineConfig
 from finspark.plans.catalog import LAYER_MODELS
+from finspark.plans.metrics import use_metrics, write_measured
 from finspark.plans.pipeline import Pipeline
 
 
@@ -30,11 +31,13 @@ def build_all(spark: SparkSession, sf_dir: str, out: str, config: PipelineConfig
 
     p = Pipeline(spark, sf_dir, config)
     written: dict[str, str] = {}
+    metrics = f"{out.rstrip('/')}/metrics"
     for layer in layers:
         for m in LAYER_MODELS[layer]:
             path = f"{out.rstrip('/')}/{layer}/{m}"
-            p.materialize(m, path)
+            write_measured(p, m, path, metrics)
             written[m] = path
+    use_metrics(p, metrics)
     reports = {
         "validation_report": validation_report(p),
         "daily_finance_insights": finance_insight(p),

@@ -147,3 +147,5 @@ Q["dq_missing_days"] = " union all ".join(f"""
 select '{m}' as model_name, cast(c.d as date) as missing_date
 from (select unnest(generate_series(min({col}), max({col}), interval 1 day)) as d from {M(m)} t) c
 where cast(c.d as date) not in (select {col} from {M(m)} t2 where {col} is not null)""" for m, col in DAILY)
+
+Q["dq_measured_status"] = Q["dq_status"]

@@ -39,7 +39,7 @@ def test_columns_of_clashing_names_pass_every_filtering_stage(spark):
     names = ("score", "predicted", "n_words", "n_removed", "kept_text", "component", "id", "gone")
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+    for name, stage in P.STAGES[:-1]:
         out = stage(spark, docs, SF_SMALL)
         assert out.columns == docs.columns, name
         rows = out.select("doc_id", *names).collect()
