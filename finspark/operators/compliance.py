@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from finspark.config import (COMPLIANCE_SAMPLE_COLUMNS, COMPLIANCE_SAMPLE_ROWS, EMAIL_PATTERN,
                              FINDING_PII_COLUMN, PHONE_PATTERN, PII_COLUMN_HINTS)
 from finspark.plans.catalog import LAYER_MODELS, publish
+from finspark.plans.isolation import run_isolated
 from finspark.plans.pipeline import Pipeline
 from finspark.plans.registry import pipeline, query
 from finspark.sources.tables import read_table
@@ -58,9 +59,9 @@ def pii_column_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) ->
 
 
 def model_frames(p: Pipeline, layers=ALL_LAYERS) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """The models of the layers by "layer.model", and the error texts of those that cannot be read.
-
-    Reading a model's schema and planning one row finds missing tables, columns and paths."""
+    """The models of the layers by "layer.model", and the error texts of those that cannot be planned
+    (missing tables, columns and paths).  Faults met while rows are read are found by
+    :func:`isolated_value_findings`."""
     frames, errors = {}, {}
     for layer in layers:
         for m in LAYER_MODELS[layer]:
@@ -133,6 +134,23 @@ def pii_value_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS, stri
                           | F.coalesce(F.col("email_detected") | F.col("phone_detected"), F.lit(False)))
 
 
+FINDING_SCHEMA = "object string, email_detected boolean, phone_detected boolean, sampled_columns string, scan_error string, finding boolean"
+
+
+def isolated_value_findings(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> DataFrame:
+    """``pii_value_findings`` with a job for each table: one that fails while it is read is a ``scan_error`` row."""
+    def scan(name: str):
+        df = p.ref(name.split(".")[1])
+        skipped = any(c.lower() in PII_COLUMN_HINTS for c in df.columns)
+        part = None if skipped else value_scan(name, df, p.config.strict_compat, p.config.pii_sample)
+        if part is None:
+            return spark.createDataFrame([], FINDING_SCHEMA)
+        return part.withColumns({"scan_error": F.lit(None).cast("string"), "finding": F.col("email_detected") | F.col("phone_detected")})
+
+    checks = {f"{layer}.{m}": (lambda n=f"{layer}.{m}": scan(n)) for layer in layers for m in LAYER_MODELS[layer]}
+    return run_isolated(spark, checks, lambda name, text: (name, None, None, None, text, True), FINDING_SCHEMA)
+
+
 def compliance_status(spark: SparkSession, p: Pipeline, layers=ALL_LAYERS) -> DataFrame:
     cols = pii_column_findings(spark, p, layers).select("object", "severity")
     vals = pii_value_findings(spark, p, layers).where("finding").select("object", F.lit("warn").alias("severity"))

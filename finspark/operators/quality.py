@@ -7,6 +7,7 @@ No per-table driver loop touches data: the loops below only assemble plans.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -17,8 +18,10 @@ from finspark.config import (CAUSE_FRESHNESS, CAUSE_TESTS_FAILED, CAUSE_VOLUME_D
                              REASON_PREV_ZERO)
 from finspark.functions.dates import run_date
 from finspark.functions.numeric import safe_ratio
+from finspark.plans.isolation import run_isolated
 from finspark.plans.pipeline import Pipeline
 from finspark.plans.registry import pipeline, query
+from finspark.session import ensure_checkpoint_dir
 
 # Declared schema tests: (model, column, tests).
 SCHEMA_TESTS = [
@@ -208,6 +211,35 @@ def volume_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
                     "latest_count", "prev_date", "prev_count", F.round(pct, 6).alias("pct_change"))
 
 
+VOLUME_SCHEMA = ("table_name string, status string, reason string, latest_date date, latest_count bigint, prev_date date, "
+                 "prev_count bigint, pct_change double")
+
+
+def isolated_volume_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
+    """``volume_checks`` with a job for each table: a table that fails while it is read is one ``error`` row."""
+    checks = {t: (lambda t=t, c=c: volume_checks(p, {t: c})) for t, c in tables.items()}
+    return run_isolated(p.spark, checks, lambda t, text: (t, "error", text, *[None] * 5), VOLUME_SCHEMA)
+
+
+def with_cut_file(p: Pipeline, model: str, path: str) -> Pipeline:
+    """``p`` with ``model`` written to ``path`` and the second half of one of its files lost."""
+    spark = p.spark
+    p.ref(model).coalesce(1).write.mode("overwrite").parquet(path)
+    whole = spark.read.parquet(path)
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    file = hadoop.fs.Path(whole.inputFiles()[0])
+    fs = file.getFileSystem(conf)
+    half = fs.getFileStatus(file).getLen() // 2
+    source = fs.open(file)
+    kept = bytearray(source.readNBytes(half))
+    source.close()
+    out = fs.create(file, True)
+    out.write(kept)
+    out.close()
+    p.override(model, spark.read.schema(whole.schema).parquet(path))
+    return p
+
+
 def freshness_checks(p: Pipeline, tables=MONITORED_DATE_COLUMNS) -> DataFrame:
     daily, errors = daily_counts(p, tables)
     mx = daily.groupBy("table_name").agg(F.max("d").alias("max_date"))
@@ -327,6 +359,13 @@ def dq_volume(spark, sf_dir):
     return volume_checks(_p(spark, sf_dir))
 
 
+@query("dq_volume_isolated")
+def dq_volume_isolated(spark, sf_dir):
+    """Volume checks as jobs of their own over a run in which one of gold_churn's files was cut short."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    return isolated_volume_checks(with_cut_file(_p(spark, sf_dir), "gold_churn", path)).drop("reason")
+
+
 @query("dq_freshness")
 def dq_freshness(spark, sf_dir):
     return freshness_checks(_p(spark, sf_dir))
@@ -341,10 +380,7 @@ def dq_status(spark, sf_dir):
 def dq_measured_status(spark, sf_dir):
     """The same verdict from a finished run: its layers are written and measured, and the checks
     read the measurements alone."""
-    import uuid
-
     from finspark.plans.metrics import use_metrics, write_measured
-    from finspark.session import ensure_checkpoint_dir
     out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/measured-{uuid.uuid4().hex}"
     p = _p(spark, sf_dir)
     for m in sorted({m for m, _, _ in SCHEMA_TESTS} | set(MONITORED_DATE_COLUMNS), key=layer_order):

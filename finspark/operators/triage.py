@@ -8,9 +8,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from finspark.functions.dates import day_of, month_start
+from finspark.functions.quantiles import quantiles
 from finspark.operators.platinum import anomalies
 from finspark.plans.pipeline import Pipeline, for_output
 from finspark.plans.registry import pipeline, query, round_columns
+from finspark.session import ensure_checkpoint_dir
 
 
 def _p(spark, sf_dir) -> Pipeline:
@@ -37,14 +39,38 @@ def triage_revenue_layers(spark, sf_dir):
 @query("triage_refund_distribution")
 def triage_refund_distribution(spark, sf_dir):
     """Histogram of per-transaction refunded amounts by order of magnitude
-    (number of integer digits), with count / sum / min / max and percentiles per bucket."""
-    f = _p(spark, sf_dir).ref("gold_transaction_facts").where(F.col("refunded_amount") > 0)
-    digits = F.length(F.floor("refunded_amount").cast("string")).cast("bigint")
-    return for_output(f.groupBy(digits.alias("integer_digits")).agg(
+    (number of integer digits), with count / sum / min / max and exact percentiles per bucket.
+
+    Amounts are whole cents; percentiles come from counting passes over them, so no bucket's
+    amounts meet in one task."""
+    amount = F.col("refunded_amount")
+    ensure_checkpoint_dir(spark)
+    refunded = _p(spark, sf_dir).ref("gold_transaction_facts").where(amount > 0).select(
+        F.length(F.floor(amount).cast("string")).cast("bigint").alias("integer_digits"), amount,
+        (amount * 100).cast("bigint").alias("cents")).checkpoint()  # read by every pass
+    facts = refunded.groupBy("integer_digits").agg(
         F.count(F.lit(1)).alias("transactions"), F.sum("refunded_amount").alias("total_refunded"),
-        F.min("refunded_amount").alias("min_refunded"), F.max("refunded_amount").alias("max_refunded"),
-        *(F.round(F.percentile(F.col("refunded_amount").cast("double"), p), 2).alias(f"{name}_refunded")
-          for name, p in (("median", 0.5), ("p95", 0.95)))))
+        F.min("refunded_amount").alias("min_refunded"), F.max("refunded_amount").alias("max_refunded"))
+    cuts = quantiles(refunded, "integer_digits", "cents", {"median_refunded": 0.5, "p95_refunded": 0.95},
+                     cut=lambda x: x.checkpoint())
+    return for_output(facts.join(cuts, "integer_digits").withColumns(
+        {c: F.round(F.col(c) / 100, 2) for c in ("median_refunded", "p95_refunded")}))
+
+
+#: Refunds of the largest-refunds report.
+LARGEST_REFUNDS = 50
+
+
+@query("triage_largest_refunds")
+def triage_largest_refunds(spark, sf_dir):
+    """The largest refunds with their transactions; every task keeps its own top rows, and the few
+    that are left are broadcast to the transactions.  A refund without a transaction stays."""
+    p = _p(spark, sf_dir)
+    top = (p.ref("silver_refunds").select("refund_id", "transaction_id", F.col("amount").alias("refund_amount"), "refund_reason")
+           .orderBy(F.col("refund_amount").desc_nulls_last(), "refund_id").limit(LARGEST_REFUNDS).checkpoint())
+    t = p.ref("silver_transactions").select("transaction_id", "customer_id", F.col("amount").alias("transaction_amount"))
+    held = t.join(F.broadcast(top.select("transaction_id").distinct()), "transaction_id", "left_semi")
+    return for_output(top.join(held, "transaction_id", "left"))
 
 
 @query("triage_duplicate_refunds")

@@ -174,6 +174,12 @@ select length(cast(floor(refunded_amount) as varchar)) as integer_digits, count(
   round(quantile_cont(cast(refunded_amount as double), 0.95), 2) as p95_refunded
 from gold_transaction_facts where refunded_amount > 0 group by 1""")
 
+Q["triage_largest_refunds"] = with_base("""
+select r.refund_id, r.transaction_id, cast(r.amount as double) as refund_amount, r.refund_reason, t.customer_id,
+  cast(t.amount as double) as transaction_amount
+from (select * from silver_refunds order by amount desc nulls last, refund_id limit 50) r
+left join silver_transactions t on t.transaction_id = r.transaction_id""")
+
 Q["triage_duplicate_refunds"] = with_base("""
 select transaction_id, cast(amount as double) as amount, refund_reason, refunded_at, count(*) as copies
 from silver_refunds group by transaction_id, amount, refund_reason, refunded_at having count(*) > 1""")

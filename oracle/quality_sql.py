@@ -76,6 +76,12 @@ from {TABLES} left join (
 ) v on tl.table_name = v.table_name"""
 Q["dq_volume"] = VOLUME
 
+_CUT = "case when table_name = 'gold_churn' then null else {0} end as {0}"
+Q["dq_volume_isolated"] = f"""
+select table_name, case when table_name = 'gold_churn' then 'error' else status end as status,
+  {", ".join(_CUT.format(c) for c in ("latest_date", "latest_count", "prev_date", "prev_count", "pct_change"))}
+from ({VOLUME}) v"""
+
 FRESH = f"""
 select tl.table_name,
   case when max_date is null then 'fail' when cast({AS_OF} - max_date as bigint) <= 2 then 'pass' else 'fail' end
