@@ -1,12 +1,15 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
-Folding lower-cases, maps look-alike letters of other scripts and full-width forms to
-Latin, strips accents and invisible characters, and reads digits and signs as the letters
+Folding lower-cases, takes compatibility forms apart (NFKD: accents of any kind, full-width,
+mathematical and circled letters), drops combining marks and invisible characters, maps
+look-alike letters of other scripts to Latin, and reads digits and signs as the letters
 they stand in for (one shape for l, i and 1).  Everything else separates words.
 
 The lexicon is learnt from a bounded sample of labelled rows: whole words and word stems,
 weighted by their smoothed log odds between toxic and other texts, counted by Spark once
-per text.  Word pairs around an entry that occur in clean texts at least as often as in
+per text.  Every entry is kept that occurs in three toxic texts or more, at odds of ``min_odds``, and
+whose excess in toxic texts is no chance (a likelihood ratio of ``min_ratio``, which asks the same of a
+sample of any size); the sample bounds their number.  Word pairs around an entry that occur in clean texts at least as often as in
 toxic ones are learnt as exception phrases, beside those given; a match inside an
 exception does not count.  A text's value is the sum of its matches' weights divided by
 the square root of its words (plus a constant); a logistic curve fitted on the sample
@@ -16,7 +19,7 @@ Defined cases: null, empty and wordless texts have value 0 and the score of that
 without a labelled row of each kind the lexicon is empty and every score is the base rate
 (0 if there are no labels at all); null labels are not used; repeated rows each return a
 row; long texts are read whole; other columns are ignored.  Ties in the bounded sample
-and lexicon are broken by id and entry.
+are broken by id.
 """
 
 from __future__ import annotations
@@ -56,7 +59,9 @@ def _folding() -> dict[int, str | None]:
             table[code] = LOOK_ALIKES[chr(code)]
     table |= {ord(k): v for k, v in LOOK_ALIKES.items()} | {ord(c): None for c in INVISIBLE}
     table |= {c: " " for c in [*range(0xA0, 0xC0), *range(0x2000, 0x2070)] if chr(c) not in INVISIBLE}
-    table |= {c: None for c in range(0x300, 0x370)}
+    # Combining marks, which NFKD splits off.
+    table |= {c: None for lo, hi in ((0x300, 0x370), (0x1AB0, 0x1B00), (0x1DC0, 0x1E00), (0x20D0, 0x2100), (0xFE20, 0xFE30))
+              for c in range(lo, hi)}
     return {k: SUBSTITUTES.get(v, v) if v else v for k, v in table.items()}
 
 
@@ -67,6 +72,8 @@ _INNER = re.compile(r"(?<=\w)[!|](?=\w)")
 def fold(text: str | None) -> str:
     """Folded words with one space around each; ``" "`` if there are none."""
     text = (text or "").lower()
+    if not text.isascii():
+        text = unicodedata.normalize("NFKD", text).lower()
     if "!" in text or "|" in text:
         text = _INNER.sub("i", text)
     return " ".join(["", *text.translate(_FOLD).split(), ""]) or " "
@@ -177,10 +184,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
     return float(beta[0]), float(beta[1])
 
 
-def learn_lexicon(labelled: DataFrame, max_entries: int = 2_000, min_odds: float = 4.0,
+def likelihood_ratio(hits: Column, of: Column, rate: float) -> Column:
+    """G squared of ``hits`` among ``of`` texts where a share ``rate`` is expected."""
+    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    return 2 * (part(hits, of * rate) + part(of - hits, of * (1 - rate)))
+
+
+def learn_lexicon(labelled: DataFrame, min_odds: float = 4.0, min_ratio: float = 24.0, least: int = 3,
                   stems: Sequence[int] = (4, 5, 6), exceptions: Sequence[str] = ()) -> Lexicon:
-    """A lexicon from bounded rows of (id, text, toxic), one of each text; at most ``max_entries``
-    entries are kept, the likeliest first."""
+    """A lexicon from bounded rows of (id, text, toxic), one of each text."""
     given = frozenset(fold(x) for x in exceptions)
     sample = written(labelled.filter("toxic is not null").groupBy(F.md5(F.coalesce("text", F.lit(""))).alias("same"))
                      .agg(F.min_by(F.struct("id", "text", "toxic"), "id").alias("row")).select("row.*"), "sample")
@@ -188,13 +200,12 @@ def learn_lexicon(labelled: DataFrame, max_entries: int = 2_000, min_odds: float
     n, bad = totals[0], totals[1] or 0
     if not bad or bad == n:
         return Lexicon({}, given, 0.0, -20.0 if not n or not bad else 20.0)
-    least = max(3, bad // 100)
     odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("all") - F.col("bad") + 0.5) / (n - bad + 1.0))
     counted = (sample.repartition(sample.sparkSession.sparkContext.defaultParallelism).select("text", "toxic")
                .mapInArrow(_count_rows(stems), "entry string, n bigint, toxic bigint")
                .groupBy("entry").agg(F.sum("n").alias("all"), F.sum("toxic").alias("bad")))
     best = (counted.filter(F.col("bad") >= least).withColumn("odds", odds).filter(F.col("odds") >= min_odds)
-            .orderBy(F.desc("odds"), "entry").limit(max_entries).select("entry", "odds").collect())
+            .filter(likelihood_ratio(F.col("bad"), F.col("all"), bad / n) >= min_ratio).select("entry", "odds").collect())
     weights: dict[str, float] = {}
     for row in sorted(best, key=lambda r: (len(r.entry.rstrip()), r.entry)):
         stem = row.entry.rstrip()
@@ -204,7 +215,7 @@ def learn_lexicon(labelled: DataFrame, max_entries: int = 2_000, min_odds: float
     mild = (sample.select("text", "toxic").mapInArrow(_pair_rows(lexicon), "entry string, n bigint, toxic bigint")
             .groupBy("entry").agg(F.sum("n").alias("all"), F.sum("toxic").alias("bad"))
             .filter((F.col("all") >= least) & (F.col("bad") * n <= F.col("all") * bad))
-            .orderBy("entry").limit(max_entries).select("entry").collect())
+            .select("entry").collect())
     lexicon = Lexicon(weights, given | {r.entry for r in mild})
     pairs = sample.select("text", "toxic").mapInArrow(_value_rows(lexicon, ["toxic"]), "toxic int, value double").collect()
     slope, base = _logistic(np.array([p.value for p in pairs]), np.array([float(p.toxic) for p in pairs]))

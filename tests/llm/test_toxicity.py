@@ -21,6 +21,7 @@ def sample(n=600):
 def test_folding():
     assert T.fold("M0R0N") == T.fold("moron") == T.fold("МОRОN") == T.fold("mo​ron")
     assert T.fold("ＩＤＩＯＴ, 1d10t!") == f"{T.fold('idiot').rstrip()}{T.fold('idiot')}"
+    assert T.fold("ịdịot") == T.fold("𝐢diot") == T.fold("ⓘⓓⓘⓞⓣ") == T.fold("𝐈DIOT") == T.fold("i\u0323\u0331diot") == T.fold("idiot")
     assert T.fold("naïve") == T.fold("naive") and T.fold(None) == T.fold(" .,") == " "
 
 
@@ -64,3 +65,47 @@ def test_degenerate_samples_and_clashing_names(spark):
         assert len(rows) == 2 and all(r.predicted == 0 and r.value == 2 for r in rows)
     assert T.score_toxicity(docs.limit(0), none).collect() == []
     assert T.score_toxicity(docs, none, keep_text=True).columns == ["doc_id", "text", "value", "score", "predicted"]
+
+
+def test_entries_and_values_equal_plain_python(spark):
+    import math
+    rows = sample()
+    lexicon = T.learn_lexicon(spark.createDataFrame(rows, LABELLED), min_odds=2.0, stems=(4,))
+    texts = {t: y for _, t, y in reversed(rows)}  # one of each text
+    n, bad, seen = len(texts), sum(texts.values()), {}
+    for text, toxic in texts.items():
+        words = set(T.fold(text).split())
+        for entry in {f" {w} " for w in words if len(w) > 2} | {f" {w[:4]}" for w in words if len(w) > 4}:
+            a, b = seen.get(entry, (0, 0))
+            seen[entry] = a + 1, b + toxic
+    odds = {}
+    for entry, (a, b) in seen.items():
+        o = math.log((b + 0.5) / (bad + 1)) - math.log((a - b + 0.5) / (n - bad + 1))
+        g = sum(2 * x * math.log(x / e) for x, e in ((b, a * bad / n), (a - b, a * (1 - bad / n))) if x)
+        if b >= 3 and o >= 2.0 and g >= 24.0:
+            odds[entry] = o
+    assert lexicon.weights and set(lexicon.weights) <= set(odds)
+    assert all(abs(w - odds[e]) < 1e-9 for e, w in lexicon.weights.items())
+    for entry in set(odds) - set(lexicon.weights):  # left out only beside a shorter one of about its weight
+        assert any(entry.rstrip().startswith(e.rstrip()) and w >= odds[entry] - 0.7 for e, w in lexicon.weights.items())
+
+    def value(text):
+        text, best = T.fold(text), {}
+        hidden = [(m, m + len(p)) for p in lexicon.exceptions for m in range(len(text)) if text.startswith(p, m)]
+        for entry, weight in lexicon.weights.items():
+            for at in range(len(text)):
+                if text.startswith(entry, at) and not any(a <= at < b for a, b in hidden):
+                    best[at] = max(best.get(at, 0), weight)
+        return sum(best.values()) / (text.count(" ") + 19) ** 0.5
+
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows[:80]] + [(900, None), (901, "the moron clan, M0RON")], "doc_id bigint, text string")
+    for r in T.score_toxicity(docs, lexicon, keep_text=True).collect():
+        expected = 1 / (1 + math.exp(-(lexicon.slope * value(r.text) + lexicon.base)))
+        assert abs(r.score - expected) < 1e-9
+
+
+def test_a_larger_sample_keeps_rare_toxic_words(spark):
+    rows = [(i, f"w{i % 40} w{i % 7} plain", 0) for i in range(3000)]
+    rows += [(5000 + i, f"w{i % 40} w{i % 7} common{'xyz'[i % 3]}word", 1) for i in range(600)]
+    rows += [(9000 + i, f"w{i} w{i % 7} verfluchtes", 1) for i in range(12)]
+    assert any(T.fold("verfluchtes").strip().startswith(e.strip()) for e in T.learn_lexicon(spark.createDataFrame(rows, LABELLED)).weights)
