@@ -1,21 +1,13 @@
-"""File sources and sinks: raw CSV entities, versioned parquet tables,
-JSON-lines chunk files and JSON reports.
+"""File sources and sinks: raw CSV, JSON and parquet entities, JSON reports.
 
 Raw CSVs are read with a fixed schema (no inference pass over 100 TB),
 ``multi_line`` where quoted newlines (multi-line addresses) stay in one record,
 and either FAILFAST, so malformed input stops the load instead of turning into
 NULLs, or with a quarantine for the lines that do not fit (``load_entity_csv``).
-
-Tables without a transactional format are kept as immutable versions
-``<base>/v=<n>``: a run writes a new version and readers take the highest
-complete one (a ``_SUCCESS`` marker), so a path being read is never
-overwritten and a replayed run rewrites the same version (idempotent).
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,49 +108,6 @@ def write_entity_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-# ------------------------------------------------------- versioned tables
-_VERSION = re.compile(r"^v=(\d+)$")
-
-
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    """Complete versions under ``base`` (Hadoop FS listing; works on any
-    cluster filesystem)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _VERSION.match(st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
-
-
-def version_path(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/v={version:08d}"
-
-
-def latest_version(spark: SparkSession, base: str) -> int | None:
-    vs = _versions(spark, base)
-    return vs[-1] if vs else None
-
-
-def read_latest(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame | None:
-    v = latest_version(spark, base)
-    if v is None:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(version_path(base, v))
-
-
-def write_version(df: DataFrame, base: str, version: int) -> str:
-    path = version_path(base, version)
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 # ----------------------------------------------------------------- reports
 def write_report(df: DataFrame, path: str) -> str:
     """A report DataFrame as JSON lines (one file per partition)."""
