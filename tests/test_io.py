@@ -123,4 +123,4 @@ def test_bad_lines_are_set_aside_whole_and_the_rest_loads(spark):
     assert all(path.rsplit("/", 1)[1] in r["source_file"] for r in kept)
     with pytest.raises(TooManyBadRows, match="4 of 7 lines"):
         load_entity_csv(spark, path, "refunds", aside, max_bad_share=0.5)
-    assert spark.read.parquet(aside).groupBy("is_bad").count().orderBy("is_bad").collect() == [(False, 3), (True, 4)]
+    assert spark.read.parquet(aside).groupBy("is_bad").count().orderBy("is_bad").collect() == [("false", 3), ("true", 4)]
