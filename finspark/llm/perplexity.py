@@ -30,126 +30,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finspark.llm.char_model import distinct_grams, scored
-from finspark.llm.scratch import if_small, written
-from finspark.llm.words import U64, Words, find_words, gram_hashes, mix, row_sums, slices, span_hashes, word_hashes
+from finspark.llm.char_model import distinct_grams, pack_numbers, pack_rows, scored
+from finspark.llm.scratch import bucketed, if_small, written
+from finspark.llm.words import SPACE, U64, Words, find_words, gram_hashes, row_sums, slices, span_hashes, word_hashes
 
-ORDER, KINDS, BITS = 4, 32, 5
 #: Words from which on a band is hardly wider than its language's.
 SHORT = 50
-_SLICE = 1 << 16
+#: Bytes of text in a block, held by a task before it gives up its fullest, and blocks in a part.
+BLOCK_BYTES, HELD_BYTES, PART_BLOCKS = 4 << 20, 32 << 20, 32
 #: Widths that labels choose from; the share of good documents to keep; good and poor labels needed.
 WIDTHS, LEAST_KEPT, LEAST_LABELS = [i / 4 for i in range(2, 41)], 0.95, 50
 
 
-def _kind_table() -> np.ndarray:
-    table = np.full(256, 28, np.int32)
-    table[ord("a"):ord("z") + 1] = np.arange(26)
-    table[ord("A"):ord("Z") + 1] = 26
-    table[[0x20, *range(0x09, 0x0E)]] = 27
-    table[list(b"!#$%&*+/<=>@[]^_`{|}~\\")] = 29
-    table[0xC0:] = 30
-    table[0x80:0xC0] = 31
-    return table
-
-
-_KIND = _kind_table()
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The 4-gram that ends at each byte, 5 bits for each kind."""
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    place = np.arange(len(data)) + (ORDER - 1) * (row + 1)
-    kinds = np.full(len(data) + (ORDER - 1) * (len(offsets) - 1), 27, np.int32)
-    kinds[place] = _KIND[data]
-    out = np.zeros(len(data), np.int32)
-    for back in range(ORDER - 1, -1, -1):
-        out = out << BITS | kinds[place - back]
-    return out
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts of counts 1, 2, and 3 or more; usual values where counts of counts are missing."""
-    n = [int((counts == i).sum()) for i in range(1, 5)]
-    if min(n) == 0:
-        return np.array([0.5, 0.75, 0.9])
-    y = n[0] / (n[0] + 2 * n[1])
-    return np.clip([i + 1 - (i + 2) * y * n[i + 1] / n[i] for i in range(3)], 0.1, [0.95, 1.95, 2.95])
-
-
-# From here to ``Model``: the bounded 4-gram model over kinds of bytes, which no query uses; its test is kept.
-def kneser_ney(counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(probability, back-off weight of the context) of orders 1 to 4 from 4-gram counts.
-
-    Arrays of order n have n axes; weights have one less."""
-    below, out, levels = np.full(KINDS, 1 / KINDS), [], [counts]
-    for _ in range(ORDER - 1):
-        levels.insert(0, (levels[0] > 0).sum(axis=0))
-    for own in levels:
-        d = _discounts(own)
-        cut = np.where(own > 0, d[np.clip(own, 1, 3) - 1], 0)
-        total = own.sum(axis=-1)
-        safe = np.maximum(total, 1)
-        weight = np.where(total > 0, cut.sum(axis=-1) / safe, 1.0)
-        below = (own - cut) / safe[..., None] + weight[..., None] * below
-        out.append((below, weight))
-    return out
-
-
-def _key(order: int, grams: np.ndarray) -> np.ndarray:
-    return mix(grams.astype(U64) | U64(order << 40))
-
-
-def _model_rows(key, table):
-    """Sorted hash arrays of one language: seen grams with log probability and, as contexts, weight."""
-    counts = np.zeros(KINDS ** ORDER, np.int64)
-    for at, own in zip(table.column("slice").to_pylist(), table.column("counts").to_pylist()):
-        counts[at * _SLICE:(at + 1) * _SLICE] = np.frombuffer(own, np.int64)
-    levels = kneser_ney(counts.reshape([KINDS] * ORDER))
-    hashes, logs, weights, seen = [], [], [], counts > 0
-    for order in range(ORDER, 0, -1):
-        grams = np.flatnonzero(seen)
-        hashes.append(_key(order, grams))
-        logs.append(np.log(levels[order - 1][0].reshape(-1)[grams]))
-        weights.append(np.log(levels[order][1].reshape(-1)[grams]) if order < ORDER else np.zeros(len(grams)))
-        seen = seen.reshape(KINDS, -1).any(axis=0) | (levels[order - 1][1].reshape(-1) < 1 if order > 1 else False)
-    hashes, logs, weights = map(np.concatenate, (hashes, logs, weights))
-    order = np.argsort(hashes)
-    return pa.table({"lang": pa.array([key[0].as_py()], pa.int32()), "hashes": [hashes[order].tobytes()],
-                     "logs": [logs[order].astype(np.float32).tobytes()],
-                     "weights": [weights[order].astype(np.float32).tobytes()],
-                     "floor": [float(np.log(levels[0][1] / KINDS))]})
-
-
-class Model:
-    """Log probabilities from sorted hash arrays."""
-
-    def __init__(self, hashes: bytes, logs: bytes, weights: bytes, floor: float):
-        self.hashes, self.floor = np.frombuffer(hashes, U64), floor
-        self.logs, self.weights = np.frombuffer(logs, np.float32), np.frombuffer(weights, np.float32)
-
-    def _find(self, order: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        wanted = _key(order, grams)
-        at = np.minimum(np.searchsorted(self.hashes, wanted), max(len(self.hashes) - 1, 0))
-        return at, self.hashes[at] == wanted
-
-    def log_probability(self, grams: np.ndarray) -> np.ndarray:
-        """Of the last kind of each 4-gram after the others; backs off to shorter grams."""
-        out, open_ = np.zeros(len(grams)), np.arange(len(grams))
-        for order in range(ORDER, 0, -1):
-            own = grams[open_] & (1 << BITS * order) - 1
-            at, found = self._find(order, own)
-            out[open_[found]] += self.logs[at[found]]
-            open_, own = open_[~found], own[~found]
-            if order > 1:
-                at, found = self._find(order - 1, own >> BITS)
-                out[open_[found]] += self.weights[at[found]]
-        out[open_] += self.floor
-        return out
-
-
 def _repeat_words(words: Words, hashes: np.ndarray, size: int = 8) -> np.ndarray:
     """Per row, the words in windows of ``size`` words that occur twice or more in the row."""
     grams, row = gram_hashes(hashes, size), words.row
@@ -179,36 +75,51 @@ def _repeat_lines(words: Words) -> np.ndarray:
     return np.bincount(row[order][1:][again], minlength=len(words.first) - 1)
 
 
+def _block(part: int, block: int, pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(pieces)
+    grams, counts, _, _ = distinct_grams(pa.concat_arrays(rows.column("text").chunks))
+    lang, fold = rows.column("lang")[0].as_py(), rows.column("fold")[0].as_py()
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int64()), pa.array([block], pa.int64()), pa.array([lang], pa.string()), pa.array([fold], pa.int32()),
+         pa.array([pack_rows(rows.drop(["fold"]))], pa.binary()), pa.array([len(grams)], pa.int64()),
+         pa.array([pack_numbers(grams)], pa.binary()), pa.array([pack_numbers(counts)], pa.binary())],
+        ["part", "block", "lang", "fold", "body", "entries", "grams", "counts"])
+
+
 def _rule_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text with its base numbers and block, and the distinct grams of each block."""
-    block = TaskContext.get().partitionId() << 32
+    """Texts with their base numbers in packed blocks of one language and fold, and each block's distinct grams."""
+    task, made, held, size = TaskContext.get().partitionId() << 32, 0, {}, {}
+
+    def flush(keys):
+        nonlocal made
+        for key in keys:
+            yield _block(task + made // PART_BLOCKS, task + made, held.pop(key))
+            size.pop(key)
+            made += 1
+
     for batch in batches:
         for part in slices(batch):
             words = find_words(part.column("text"))
             hashes = word_hashes(words)
-            solid = ((words.data & 0xC0) != 0x80) & (_KIND[words.data] != 27)
+            solid = ((words.data & 0xC0) != 0x80) & ~SPACE[words.data]
             numbers = [words.counts, row_sums(solid.astype(np.int64), words.offsets),
                        row_sums(_SYMBOL[words.data], words.offsets), _repeat_lines(words), _repeat_words(words, hashes)]
-            lang = np.unique(part.column("lang").to_numpy(zero_copy_only=False), return_inverse=True)[1]
-            group = lang * 2 + part.column("fold").to_numpy()
-            _, groups = np.unique(group, return_inverse=True)
-            rows = part.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block + groups, pa.int64()), *(part.column(c) for c in ("id", "lang", "fold", "text")),
-                 *(pa.array(x.astype(np.int64)) for x in numbers), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary())], _BLOCK)
-            for one in range(groups.max() + 1):
-                own = np.flatnonzero(groups == one)
-                grams, counts, _, _ = distinct_grams(part.column("text").take(pa.array(own)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block + one], pa.int64()), pa.nulls(1, pa.int64()),
-                     *(part.column(c).slice(own[0], 1) for c in ("lang", "fold")), pa.nulls(1, part.column("text").type),
-                     *(pa.nulls(1, pa.int64()) for _ in numbers), pa.array([grams.tobytes()]),
-                     pa.array([counts.astype(np.int64).tobytes()])], _BLOCK)
-            block += groups.max() + 1
+            rows = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "lang", "fold", "text")),
+                                               *(pa.array(x.astype(np.int64)) for x in numbers)], ["id", "lang", "fold", "text", *_RULES[2:-1]])
+            key = np.char.add(np.asarray(part.column("lang").to_pylist(), str), np.asarray(part.column("fold").to_pylist(), str))
+            for one in np.unique(key).tolist():
+                some = np.flatnonzero(key == one)
+                held.setdefault(one, []).append(rows.take(pa.array(some)))
+                size[one] = size.get(one, 0) + int(np.diff(words.offsets)[some].sum())
+                if size[one] >= BLOCK_BYTES:
+                    yield from flush([one])
+            while sum(size.values()) >= HELD_BYTES:
+                yield from flush([max(size, key=size.get)])
+    yield from flush(sorted(held))
 
 
 _RULES = ["id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity"]
-_BLOCK = ["block", "id", "lang", "fold", "text", *_RULES[2:-1], "grams", "counts"]
+_KINDS = "id bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 
 
 def _widths(rules: DataFrame, bands: DataFrame, labels: DataFrame, width: float) -> DataFrame:
@@ -240,11 +151,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     key = F.concat(F.lit("="), F.col(lang_col).cast("string"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(key, F.lit("")).alias("lang"),
                         F.pmod(F.xxhash64(text_col), F.lit(2)).cast("int").alias("fold"), F.col(text_col).alias("text"))
-    kinds = "block bigint, id bigint, lang string, fold int, text string, n_words bigint, word_chars bigint, " \
-            "n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, grams binary, counts binary"
-    blocks = written(texts.mapInArrow(_rule_rows, kinds), "blocks")
+    blocks = bucketed(texts.mapInArrow(
+        _rule_rows, "part bigint, block bigint, lang string, fold int, body binary, entries bigint, grams binary, counts binary"), "part")
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
-    read = scored(blocks.filter("grams is null").select("block", "text", *_RULES[:-1]), blocks.filter("grams is not null"))
+    read = scored(blocks, _KINDS)
     rules = written(read.withColumn("base_failed", failed), "rules")
     quartiles = (rules.filter("not base_failed").groupBy("lang")
                  .agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q")))

@@ -15,6 +15,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 _FOLDERS: list[str] = []
+_TABLES: list[str] = []
 
 
 def remove_written(spark: SparkSession) -> None:
@@ -23,6 +24,8 @@ def remove_written(spark: SparkSession) -> None:
     while _FOLDERS:
         path = jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
         path.getFileSystem(conf).delete(path, True)
+    while _TABLES:
+        spark.sql(f"drop table if exists {_TABLES.pop()}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -35,6 +38,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written as a table in the shared warehouse, bucketed by ``key``: what is grouped or joined by
+    that key meets the rows where they lie, and they are not shuffled."""
+    spark = df.sparkSession
+    _TABLES.append(f"llm_{uuid.uuid4().hex}")
+    df.write.bucketBy(shuffle_partitions(spark), key).format("parquet").option("compression", "zstd").saveAsTable(_TABLES[-1])
+    return spark.table(_TABLES[-1])
+
+
 #: Rows of a few numbers that may be broadcast (some 16 MB); they are counted first.
 SMALL_ROWS = 1_000_000
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from finspark.llm import char_model as C
 from finspark.llm.perplexity import _repeat_lines, _widths, quality_rules
+from finspark.llm.scratch import bucketed
 from finspark.llm.words import find_words
 
 SCHEMA = "doc_id bigint, text string, lang string"
@@ -47,9 +48,9 @@ def test_probabilities_equal_dictionaries(spark):
     for fold, texts in enumerate(folds):
         for at in (0, 4):
             grams, counts, _, _ = C.distinct_grams(pa.array(texts[at:at + 4]))
-            rows.append((fold * 2 + at, "=x", fold, bytearray(grams.tobytes()), bytearray(counts.astype(np.int64).tobytes())))
-    blocks = spark.createDataFrame(rows, "block bigint, lang string, fold int, grams binary, counts binary")
-    got = C.log_probabilities(C.requests(blocks)).collect()
+            rows.append((0, fold * 2 + at, "=x", fold, bytearray(C.pack_numbers(grams)), bytearray(C.pack_numbers(counts))))
+    blocks = spark.createDataFrame(rows, "part bigint, block bigint, lang string, fold int, grams binary, counts binary")
+    got = C.log_probabilities(blocks, 3).collect()
     models, kinds = [by_hand(t) for t in folds], len(set("".join(map("".join, folds))))
     for r in got:
         chars = tuple(r.gram[i:i + 4].rstrip(b"\0").decode() for i in range(0, 20, 4))
@@ -58,6 +59,41 @@ def test_probabilities_equal_dictionaries(spark):
     assert len(got) == len({g for t in folds for x in t for g in zip(*(("    " + x)[i:] for i in range(5)))})
 
 
+def test_one_shard_and_many_give_the_same_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, " ".join(brute.prose(rng, 20, 30) for _ in range(3)), rng.choice(("en", "de"))) for i in range(60)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    once = {r.id: (round(r.log_perplexity, 5), r.kept) for r in quality_rules(table).collect()}
+    monkeypatch.setattr(C, "ENTRIES", 500)
+    assert {r.id: (round(r.log_perplexity, 5), r.kept) for r in quality_rules(table).collect()} == once
+
+
+def test_runs_of_a_shard_merge_to_exact_counts(monkeypatch):
+    monkeypatch.setattr(C, "ENTRIES", 3)
+    texts = ["abcabcab", "bcabca", "", "abcabcab"]
+    parts = [C.distinct_grams(pa.array([t])) for t in texts]
+    table = pa.table({"fold": pa.array([0, 1, 0, 1], pa.int32()), "grams": [C.pack_numbers(p[0]) for p in parts],
+                      "counts": [C.pack_numbers(p[1]) for p in parts]})
+    row = C._shard_rows((pa.scalar("=x"), pa.scalar(0)), table).to_pylist()[-1]
+    got = {g.tobytes(): (a, b) for g, (a, b, _, _) in zip(C.unpack_numbers(row["grams"], 5), C.unpack_numbers(row["counts"], 4))}
+    hand = defaultdict(lambda: [0, 0])
+    for fold, t in zip((0, 1, 0, 1), texts):
+        for i in range(len(t)):
+            hand[np.array([ord(c) for c in ("    " + t)[i:i + 5]], "<u4").tobytes()][fold] += 1
+    assert got == {g: tuple(n) for g, n in hand.items()}
+
+
+def test_texts_are_not_shuffled(spark):
+    rows = [(0, i, "=x", 0, bytearray(b""), 1, bytearray(b""), bytearray(b"")) for i in range(3)]
+    blocks = bucketed(spark.createDataFrame(rows, "part bigint, block bigint, lang string, fold int, body binary, entries bigint, "
+                                                   "grams binary, counts binary"), "part")
+    left = blocks.select("part", "block", "body").groupBy("part").cogroup(
+        spark.range(3).selectExpr("id as part", "0L as block", "0 as shard", "cast('' as binary) as logs").groupBy("part"))
+    plan = left.applyInArrow(lambda a, b: a.select(["part"]), "part bigint")._jdf.queryExecution().executedPlan().toString()
+    side = plan[plan.index("FileScan parquet"):]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in side
+
+
 def cyrillic(rng, n):
     return " ".join(rng.choice(["который", "дерево", "молоко", "письмо", "вечером", "дорога", "сегодня", "человек"]) for _ in range(n))
 
