@@ -179,6 +179,13 @@ def stream_bronze_ingest_q(spark, sf_dir):
     return for_output(stream_bronze_demo(spark, raw, "transactions", scratch_dir(spark, "stream-bronze")))
 
 
+@query("stream_latest_state")
+def stream_latest_state_q(spark, sf_dir):
+    """The latest row per transaction from a stream with late and repeated rows, kept in bounded state."""
+    from finspark.streaming.latest import stream_latest_demo
+    return for_output(stream_latest_demo(spark, pipeline(spark, sf_dir).raw("transactions"), scratch_dir(spark, "stream-latest")))
+
+
 @query("stream_event_counts")
 def stream_event_counts_q(spark, sf_dir):
     from finspark.sources.tables import read_table

@@ -316,6 +316,20 @@ from silver_transactions where status = 'success' and customer_id is not null gr
 from silver_transactions where status = 'success' and customer_id is not null""",
 })
 
+Q["active_sets_retention"] = Q["gold_cohort_retention"]
+
+Q["active_sets_distinct"] = with_base("""
+select kind, span as month, count(distinct customer_id) as active_customers from (
+  select 'quarter' as kind, cast(date_trunc('quarter', month) as date) as span, customer_id from active_months
+  union all select 'year', cast(date_trunc('year', month) as date), customer_id from active_months
+  union all select '12 months', m.month, a.customer_id
+  from (select distinct month from active_months) m
+  join active_months a on a.month <= m.month and a.month > m.month - interval 12 month
+) s group by all""", {
+    "active_months": """select distinct customer_id, cast(date_trunc('month', created_at) as date) as month
+from silver_transactions where status = 'success' and customer_id is not null""",
+})
+
 SCORECARD_DAILY = """
 select date, gross_revenue, net_revenue, refund_rate, failed_payment_rate,
   avg(net_revenue) over (order by date rows between 6 preceding and current row) as net_revenue_7d_avg,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.duckdb_sql import BRONZE_COLUMNS, Q, with_base
+from oracle.duckdb_sql import BRONZE_COLUMNS, Q, _dn, with_base
 
 TX = BRONZE_COLUMNS["transactions"]
 
@@ -33,6 +33,11 @@ select {TX} from (
     "drop2": "select * from raw_transactions where ingestion_date >= DATE '1998-01-01'",
 })
 
+Q["stream_latest_state"] = with_base(f"""
+select {TX} from (select *, row_number() over (partition by transaction_id order by
+  {_dn('ingestion_date, created_at, amount, status, settled_at, account_id, customer_id, currency, merchant_name, card_last_four, device_id')}) as rn
+  from raw_transactions) x where rn = 1""")
+
 Q["stream_event_counts"] = """
 select cast(date_trunc('day', ts) as date) as day, event_type, count(*) as events
 from events group by 1, 2"""
