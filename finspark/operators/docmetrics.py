@@ -150,14 +150,17 @@ def final_status() -> F.Column:
             .otherwise("pending"))
 
 
-@query("doc_final_status")
-def doc_final_status(spark, sf_dir):
-    p = _p(spark, sf_dir)
+def final_statuses(p: Pipeline) -> DataFrame:
     f = p.ref("gold_transaction_facts").select("transaction_id", "refunded_amount")
     pay = p.ref("silver_payments").select("transaction_id", "final_payment_status")
     return f.join(pay, "transaction_id", "left").select("transaction_id", final_status().alias("final_status"))
 
 
+@query("doc_final_status")
+def doc_final_status(spark, sf_dir):
+    return final_statuses(_p(spark, sf_dir))
+
+
 @query("doc_paying_customers")
 def doc_paying_customers(spark, sf_dir):
     t = _p(spark, sf_dir).ref("silver_transactions")

@@ -30,6 +30,11 @@ from finspark.sources.seeds import subscription_plans
 
 
 def refunds_per_transaction(p: Pipeline) -> DataFrame:
+    return p.ref("refunds_per_transaction")
+
+
+@model("refunds_per_transaction")
+def refunds_by_transaction(p: Pipeline) -> DataFrame:
     """transaction_id, refund_rows, refund_sum (one row per transaction)."""
     return (p.ref("silver_refunds")
             .groupBy("transaction_id")

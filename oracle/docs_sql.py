@@ -212,3 +212,6 @@ Q["triage_anomalies_complete_days"] = with_base(
     anomalies_sql("complete_days"),
     {"scorecard_daily": SCORECARD_DAILY,
      "complete_days": "select * from scorecard_daily where date < (select max(date) from scorecard_daily)"})
+
+Q["layout_transaction_facts"] = Q["gold_transaction_facts"]
+Q["layout_final_status"] = Q["doc_final_status"]
