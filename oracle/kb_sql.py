@@ -173,6 +173,7 @@ Q["kb_documents"] = CORPUS
 CHUNK_COLS = "chunk_id, text, source_file, section, start_line, end_line"
 Q["kb_chunks"] = f"select {CHUNK_COLS} from ({CHUNKS}) c"
 Q["kb_chunks_roundtrip"] = Q["kb_chunks"]
+Q["kb_chunks_incremental"] = Q["kb_chunks"]
 Q["kb_embed"] = kb("select chunk_id, bucket, round(units / 1073741824.0::double, 6) as weight from chunk_w")
 Q["kb_search"] = kb("select query_id, chunk_id, score, search_rank from search")
 Q["kb_gate"] = kb("select query_id, chunk_id, score, search_rank from gated")
