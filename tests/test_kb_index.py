@@ -134,3 +134,36 @@ def test_dense_topk_has_no_limit_on_queries(spark):
     got = {r["query_id"]: r["vec_id"] for r in dense_topk(vdf, qdf, 1).collect()}
     assert got == dict(enumerate((asked @ vectors.T).argmax(axis=1).tolist()))
     assert dense_topk(vdf, qdf.limit(0), 1).count() == 0
+
+
+def test_terms_are_counted_and_joined_within_their_shard(spark, built):
+    from finspark.operators.kb_index import SHARD_KEY, chunk_counts, vector_rows
+    kb = built[1]
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles(chunk_counts(kb.chunks)) == 0
+    assert shuffles(kb.weights().join(kb.chunks.select(*SHARD_KEY, "chunk_id").hint("shuffle_hash"), SHARD_KEY)) == 0
+    assert shuffles(kb.chunks.join(vector_rows(kb), SHARD_KEY)) == 0
+
+
+def test_an_index_shuffles_no_row_per_chunk_and_term(spark, tmp_path, monkeypatch):
+    """Documents and the shards' terms are shuffled, postings are not."""
+    import finspark.operators.kb_index as index
+    plans = []
+    write = index._write_shards
+    monkeypatch.setattr(index, "_write_shards", lambda df, *a: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a)))
+    path = write_corpus(spark, corpus_rows(10))
+    knowledge_base(spark, spark.read.parquet(path), path)
+    chunks, own, norms, postings = plans
+    assert chunks.count("Exchange hashpartitioning(shard") == chunks.count("Exchange") == 1
+    # Only the dictionary comes through exchanges; joins and sums by chunk stay in the shard.
+    keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*), \d+\)", own + norms + postings)]
+    assert "shard" in keys and set(keys) <= {"shard", "term"}
+
+
+def test_documents_of_one_id_and_null_ids_as_before(spark):
+    from finspark.operators.kb_index import chunk_counts
+    path = write_corpus(spark, [(1, "a.md", "churn plan " * 20), (1, "a.md", "churn ledger " * 20), (None, "n.md", "churn plan " * 20)])
+    kb = knowledge_base(spark, spark.read.parquet(path), path)
+    counted = {(r["doc_id"], r["term"]): r["tf"] for r in chunk_counts(kb.chunks).collect()}
+    assert counted == {(1, "churn"): 40, (1, "plan"): 20, (1, "ledger"): 20, (None, "churn"): 20, (None, "plan"): 20}
+    assert {r["doc_id"] for r in kb.search(kb.embed(queries(spark, "churn")), 5, True).collect()} == {1, None}
