@@ -13,6 +13,7 @@ an empty corpus removes all files.
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ from finspark.operators.kb_index import dictionary, term_counts
 from finspark.operators.retrieval import CHUNK_SCHEMA, kb_corpus
 from finspark.plans.registry import query
 
+#: Characters of texts of a bucket of chunks.
+BUCKET_CHARS = 6 << 20
 FILES = "source_file string, digest string, copies bigint, since int"
 CHUNKS = "chunk_id string, text string, source_file string, section string, start_line int, end_line int, chunk_index int"
 COUNTS = "source_file string, chunk_index int, term string, tf bigint"
@@ -68,9 +71,24 @@ class ChunkStore:
 
     def _write(self, df: DataFrame, version: int, name: str) -> DataFrame:
         path = f"{self.root}/v={version}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression="zstd")
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _table(self, version: int) -> str:
+        return "kb_version_" + hashlib.sha256(f"{self.root}/v={version}".encode()).hexdigest()[:24]
+
+    def _write_by_file(self, texts: DataFrame, version: int) -> DataFrame:
+        """The chunks of ``texts``, in buckets by file that are small enough to count in memory: terms are
+        counted where the chunks lie, and no row per chunk and term is shuffled."""
+        size = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+        buckets = max(self.spark.sparkContext.defaultParallelism, -(-size // BUCKET_CHARS))
+        chunks = chunk_documents(texts.repartition(buckets, "source_file")).select(
+            *(F.col(c.split()[0]).cast(c.split()[1]) for c in CHUNKS.split(", ")))
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version)}")
+        (chunks.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, "source_file")
+         .option("path", f"{self.root}/v={version}/chunks").saveAsTable(self._table(version)))
+        return self.spark.table(self._table(version))
+
     def update(self, corpus: DataFrame) -> int:
         """Bring the store to ``corpus`` (source_file, text); returns how many files were chunked."""
         n = self.versions()
@@ -83,9 +101,10 @@ class ChunkStore:
         if n and touched.isEmpty():
             return 0
         changed = self._write(touched.join(now, "source_file", "left_semi"), n, "changed")
-        chunks = self._write(chunk_documents(corpus.join(changed, "source_file", "left_semi")).select(
-            *(F.col(c.split()[0]).cast(c.split()[1]) for c in CHUNKS.split(", "))), n, "chunks")
+        fresh_texts = corpus.join(changed, "source_file", "left_semi") if n else corpus
+        chunks = self._write_by_file(fresh_texts, n)
         self._write(term_counts(chunks, ["source_file", "chunk_index"]), n, "counts")
+        self.spark.sql(f"DROP TABLE {self._table(n)}")
         kept = old.join(touched, "source_file", "left_anti")
         fresh = now.join(changed, "source_file", "left_semi").withColumn("since", F.lit(n))
         self._write(kept.unionByName(fresh), n, "files")

@@ -83,3 +83,18 @@ def test_nulls_repeated_paths_and_empty_corpora(spark):
     assert store.update(fewer) == 1
     assert _rows(store.chunks()) == _rows(chunk_documents(fewer.where("source_file = 'b.md'")))
     assert store.update(spark.createDataFrame([], SCHEMA)) == 0 and store.chunks().collect() == [] and store.versions() == 3
+
+
+def test_terms_are_counted_without_a_shuffle(spark, monkeypatch):
+    import finspark.operators.kb_increment as increment
+    plans, whole = [], increment.term_counts
+    def count(chunks, keys):
+        df = whole(chunks, keys)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+    monkeypatch.setattr(increment, "term_counts", count)
+    store = _store(spark)
+    corpus = spark.createDataFrame([(f"f{i}.md", _text(i)) for i in range(9)] + [("f1.md", _text(1)), ("f2.md", _text(30))], SCHEMA)
+    assert store.update(corpus) == 9
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    _equal_to_full(store, corpus)
