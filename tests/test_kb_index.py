@@ -167,3 +167,51 @@ def test_documents_of_one_id_and_null_ids_as_before(spark):
     counted = {(r["doc_id"], r["term"]): r["tf"] for r in chunk_counts(kb.chunks).collect()}
     assert counted == {(1, "churn"): 40, (1, "plan"): 20, (1, "ledger"): 20, (None, "churn"): 20, (None, "plan"): 20}
     assert {r["doc_id"] for r in kb.search(kb.embed(queries(spark, "churn")), 5, True).collect()} == {1, None}
+
+
+def test_each_bucket_holds_one_shard(spark):
+    """Numbers 0, 1, ... left a third of the buckets empty and put several shards into one task, which spilled."""
+    import pyspark.sql.functions as F
+    from finspark.operators.kb_index import build_index, shard_labels
+    for n in (1, 7, 150):
+        buckets = spark.createDataFrame([(x,) for x in shard_labels(spark, n)], "x int").select(F.pmod(F.hash("x"), F.lit(n)))
+        assert [r[0] for r in buckets.collect()] == list(range(n))
+    folder = f"{ensure_checkpoint_dir(spark)}/kb-{uuid.uuid4().hex}"
+    build_index(spark.createDataFrame(corpus_rows(200), "doc_id bigint, source_file string, text string"), folder, 12)
+    for name in ("chunks", "postings", "own", "norms"):
+        files = spark.read.parquet(f"{folder}/{name}").groupBy(F.input_file_name()).agg(F.countDistinct("shard")).collect()
+        assert [r[1] for r in files] == [1] * 12
+
+
+def test_no_row_of_chunk_and_term_before_the_postings(spark, monkeypatch):
+    """A shard is inverted as a whole: nothing is exploded, summed or sorted by (chunk, term) for the postings."""
+    import finspark.operators.kb_index as index
+    plans, write = {}, index._write_shards
+    monkeypatch.setattr(index, "_write_shards", lambda df, folder, name, *a: (
+        plans.update({name: df._jdf.queryExecution().executedPlan().toString()}), write(df, folder, name, *a)))
+    path = write_corpus(spark, corpus_rows(10))
+    knowledge_base(spark, spark.read.parquet(path), path)
+    assert not re.search("Generate|Aggregate|Exchange|Join|Window", plans["postings"])
+    assert plans["own"].count("Exchange hashpartitioning") == 2  # by term, and back
+
+
+def test_words_are_cut_as_the_pattern_cuts_them():
+    import pyarrow as pa
+    from finspark.operators.kb_index import _words
+    texts = ["", "a", "ab cd", "cd", "--", "x\u00e9y \u4e2d1\n2", "", "3_4", "tail "]
+    for part in (pa.array(texts), pa.array(["skipped", *texts, "left out"]).slice(1, len(texts)), pa.array(["", ""]), pa.array([], pa.string())):
+        words, of = _words(part)
+        assert list(zip(words.to_pylist(), of.tolist())) == [(w, i) for i, t in enumerate(part.to_pylist()) for w in re.findall("[a-z0-9]+", t)]
+
+
+def test_blocks_of_long_terms_and_rows_of_one_key():
+    import pyarrow as pa
+    from finspark.operators.kb_index import BLOCK, _inverted
+    n = 2 * BLOCK + 5
+    rows = [(7, i, 0, "plan plan x") for i in reversed(range(n))] + [(7, 3, 0, "plan"), (7, None, 2, "plan"), (7, None, 2, "y"), (7, 0, 1, "--")]
+    schema = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("chunk_index", pa.int32()), ("text", pa.string())])
+    out = _inverted(pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)).to_pylist()
+    assert [len(r["entries"]) for r in out if r["term"] == "plan"] == [BLOCK, BLOCK, 6]
+    got = Counter({(r["term"], e["doc_id"], e["chunk_index"]): e["tf"] for r in out for e in r["entries"]})
+    want = Counter((w, d, c) for _, d, c, t in rows for w in re.findall("[a-z0-9]+", t))
+    assert got == want and {r["shard"] for r in out} == {7}
