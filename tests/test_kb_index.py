@@ -215,3 +215,24 @@ def test_blocks_of_long_terms_and_rows_of_one_key():
     got = Counter({(r["term"], e["doc_id"], e["chunk_index"]): e["tf"] for r in out for e in r["entries"]})
     want = Counter((w, d, c) for _, d, c, t in rows for w in re.findall("[a-z0-9]+", t))
     assert got == want and {r["shard"] for r in out} == {7}
+
+
+def test_a_shard_hands_on_its_best_only(spark, monkeypatch):
+    """Few queries: no row of (query, chunk) is formed in the plan; the same hits as by joins, in blocks of queries too."""
+    import finspark.operators.kb_index as index
+    rows = [(i, f"s/{i}.md", (f"{WORDS[i % 8]} {WORDS[i % 3]} plan " * (1 + i % 2) * 6).strip()) for i in range(60)]
+    path = write_corpus(spark, [*rows, (None, "n.md", "churn plan " * 20), (5, "s/5.md", "ledger plan " * 20)])
+    kb = knowledge_base(spark, spark.read.parquet(path), path)
+    asked = spark.createDataFrame([(i, " ".join(WORDS[i % 8:][:1 + i % 3])) for i in range(9)] + [(None, "churn"), (-7, "plan plan refund")],
+                                  "query_id bigint, query_text string")
+    few = kb.search(kb.embed(asked, True), 6, True)
+    assert not re.search(r"Generate explode\(entries", few._jdf.queryExecution().executedPlan().toString())
+    want = Counter(map(tuple, kb.search(kb.embed(asked), 6, False).collect()))
+    assert len(want) == 11 * 6 and Counter(map(tuple, few.select(*kb.search(kb.embed(asked), 6, False).columns).collect())) == want
+    monkeypatch.setattr(index, "QUERY_BLOCK", 2)
+    assert Counter(map(tuple, kb.search(kb.embed(asked, True), 6, True).select(*few.columns).collect())) == Counter(map(tuple, few.collect()))
+
+
+def test_few_query_terms_leave_the_dictionary_where_it_is(spark, built):
+    plan = built[1].embed(queries(spark, "churn plan"), True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
