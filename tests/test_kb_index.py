@@ -236,3 +236,15 @@ def test_a_shard_hands_on_its_best_only(spark, monkeypatch):
 def test_few_query_terms_leave_the_dictionary_where_it_is(spark, built):
     plan = built[1].embed(queries(spark, "churn plan"), True)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_postings_meet_names_and_norms_in_one_join(spark):
+    """Also for two documents of one id; chunks without doc_id have no name."""
+    from finspark.operators.kb_index import SHARD_KEY
+    path = write_corpus(spark, [*corpus_rows(12), (1, "b.md", "churn ledger " * 20), (None, "n.md", "churn plan " * 20)])
+    kb = knowledge_base(spark, spark.read.parquet(path), path)
+    got = kb.named_weights()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan[:plan.index("Generate explode")].count("ShuffledHashJoin") == 1
+    want = kb.weights().join(kb.chunks.select(*SHARD_KEY, "chunk_id"), SHARD_KEY).select("chunk_id", "term", "weight")
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect())) and got.count() > 0
