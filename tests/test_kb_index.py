@@ -248,3 +248,13 @@ def test_postings_meet_names_and_norms_in_one_join(spark):
     assert "Exchange hashpartitioning" not in plan and plan[:plan.index("Generate explode")].count("ShuffledHashJoin") == 1
     want = kb.weights().join(kb.chunks.select(*SHARD_KEY, "chunk_id"), SHARD_KEY).select("chunk_id", "term", "weight")
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect())) and got.count() > 0
+
+
+@pytest.mark.parametrize("name", ["kb_search", "kb_gate", "kb_rerank", "kb_dedupe_source", "kb_answer_sources", "kb_grounded_answer"])
+def test_queries_on_the_search_form_no_row_of_query_and_chunk(spark, name):
+    """What is dealt out is each shard's best, by query."""
+    from conftest import SF_SMALL
+    from finspark.plans.registry import load_all
+    plan = load_all()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Generate explode(entries" not in plan
+    assert "Exchange hashpartitioning(shard" not in plan
