@@ -258,3 +258,16 @@ def test_queries_on_the_search_form_no_row_of_query_and_chunk(spark, name):
     plan = load_all()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "Generate explode(entries" not in plan
     assert "Exchange hashpartitioning(shard" not in plan
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, monkeypatch):
+    """The documents' shuffle is gone when the postings are written, without a collection of the driver's garbage."""
+    import finspark.operators.kb_index as index
+    disk, write, left = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), index._write_shards, {}
+    shuffled = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(" ")))
+    monkeypatch.setattr(index, "_write_shards", lambda df, folder, name, *a: (
+        before := shuffled(), write(df, folder, name, *a), left.update({name: shuffled() - before})))
+    path, setting = write_corpus(spark, corpus_rows(30)), spark.conf.get(index.SHUFFLES_GO)
+    knowledge_base(spark, spark.read.parquet(path), path)
+    assert left == {"chunks": set(), "postings": set(), "own": set(), "norms": set()}
+    assert spark.conf.get(index.SHUFFLES_GO) == setting
