@@ -271,3 +271,39 @@ def test_a_written_table_leaves_no_shuffle_files(spark, monkeypatch):
     knowledge_base(spark, spark.read.parquet(path), path)
     assert left == {"chunks": set(), "postings": set(), "own": set(), "norms": set()}
     assert spark.conf.get(index.SHUFFLES_GO) == setting
+
+
+def test_terms_meet_as_rows_of_shards(spark, monkeypatch):
+    """A row for each shard and term went both ways through the shuffles, next to the tables written before."""
+    import finspark.operators.kb_index as index
+    plans, write = {}, index._write_shards
+    monkeypatch.setattr(index, "_write_shards", lambda df, folder, name, *a: (
+        plans.update({name: df._jdf.queryExecution().executedPlan().toString()}), write(df, folder, name, *a)))
+    rows = [*corpus_rows(60), *((i, f"s/own-{i}.md", f"plan word{i} " * 20) for i in range(100, 160)), (None, "n.md", "churn lone " * 20), (7, "e.md", "")]
+    path = write_corpus(spark, rows)
+    kb = knowledge_base(spark, spark.read.parquet(path), path)
+    below = [plans["own"].split("Exchange hashpartitioning")[i].splitlines()[1] for i in (1, 2)]
+    assert "FlatMapGroupsInArrow" in below[0] and "FlatMapGroupsInArrow" in below[1] and "Window" not in plans["own"]
+    n_all, in_shard = Counter(), set()
+    for r in kb.postings.collect():
+        n_all[r["term"]] += len(r["entries"])
+        in_shard.add((r["shard"], r["term"]))
+    got, n = kb.own.collect(), kb.chunks.count()
+    assert Counter((r["shard"], r["term"]) for r in got) == Counter(in_shard)
+    assert all(r["n_all"] == n_all[r["term"]] and math.isclose(r["idf"], math.log((1 + n) / (1 + r["n_all"])) + 1) for r in got)
+    assert {(r["shard"], r["term"]) for r in got if r["first"]} == {(min(s for s, t in in_shard if t == term), term) for term in n_all}
+    assert {(r["term"], r["df"]) for r in kb.terms.collect()} == set(n_all.items()) and kb.terms.count() == len(n_all)
+
+
+def test_packed_terms_come_back_with_their_sums():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from finspark.operators.kb_index import _pack_terms, _sum_owned, _unpack_terms
+    schema = pa.schema([("shard", pa.int32()), ("owner", pa.int32()), ("term", pa.string()), ("n", pa.int32())])
+    # Blocks of one term, in any order; shard 4 has the smaller number.
+    shards = {9: [(1, "b", 1024), (0, "a", 2), (1, "b", 1024), (1, "c", 1), (1, "b", 5)], 4: [(0, "z", 1), (1, "b", 3)]}
+    packed = pa.concat_tables([_pack_terms(pa.Table.from_pylist([dict(zip(schema.names, (s, *r))) for r in rows], schema)) for s, rows in shards.items()])
+    assert sorted(zip(packed["shard"].to_pylist(), packed["of"].to_pylist())) == [(0, 4), (0, 9), (1, 4), (1, 9)]
+    summed = pa.concat_tables([_sum_owned(packed.filter(pc.equal(packed["shard"], owner))) for owner in (0, 1)])
+    got = {tuple(r.values()) for b in _unpack_terms(summed.to_batches()) for r in b.to_pylist()}
+    assert got == {(9, "a", 2, True), (4, "z", 1, True), (4, "b", 2056, True), (9, "b", 2056, False), (9, "c", 1, True)}
